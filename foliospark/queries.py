@@ -1,0 +1,20 @@
+"""Every query of the engine by name, and its oracle where SQL can express it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def inverted_index(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    terms = docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0))).alias("term"))
+    return terms.groupBy("term").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
+
+
+QUERIES = {"inverted_index": inverted_index}
+ORACLE_SQL = {
+    "inverted_index": """
+        WITH t AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]+'))) AS term FROM documents)
+        SELECT term, count(*) AS n_docs, min(doc_id) AS first_doc, max(doc_id) AS last_doc FROM t GROUP BY term"""
+}
