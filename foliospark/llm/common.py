@@ -49,11 +49,11 @@ def discard(*tables: DataFrame) -> None:
                 path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Only (rid, rv, id, text): other columns of ``df``, whatever their names, stay out."""
+def keyed(df: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
+    """Only (rid, rv, id, text) and ``more``: other columns of ``df``, whatever their names, stay out."""
     i, t = df[id_col].cast("long"), df[text_col].cast("string")
     return df.select(
-        F.coalesce(i, F.lit(NULL_ID)).alias("rid"), F.hash(i, t).alias("rv"), i.alias("id"), F.coalesce(t, F.lit("")).alias("text")
+        F.coalesce(i, F.lit(NULL_ID)).alias("rid"), F.hash(i, t).alias("rv"), i.alias("id"), F.coalesce(t, F.lit("")).alias("text"), *(df[c] for c in more)
     )
 
 

@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from foliospark.llm import substring_dedup
+from foliospark.llm import mixing, quality_rules, secret_scan, substring_dedup
 
-QUERIES = {"op1_substring_dedup": substring_dedup.op1_substring_dedup}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {
+    "op1_substring_dedup": substring_dedup.op1_substring_dedup,
+    "op2_secret_scan": secret_scan.op2_secret_scan,
+    "op4_mixing": mixing.op4_mixing,
+    "op9_quality_rules": quality_rules.op9_quality_rules,
+}
+ORACLE_SQL = {
+    "op2_secret_scan": secret_scan.ORACLE_SQL,
+    "op4_mixing": mixing.ORACLE_SQL,
+    "op9_quality_rules": quality_rules.ORACLE_SQL,
+}
