@@ -124,12 +124,14 @@ def repeated_pieces(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     run, schema = _chains(window, seed)
     chains = materialize(docs.select("rid", "rv", "text").mapInArrow(run, schema), "chains")
     again = chains.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h")
+    again = materialize(again, "again")  # a join below its own aggregate could not be split where a hash is hot
     shared = materialize(chains.join(again, "h"), "shared")
     by_content = shared.groupBy("h", "d").agg(F.count("*").alias("c"), F.min(F.struct("rid", "rv", "start", "n")).alias("rep"))
     contents = materialize(by_content, "contents")
     whole = shared.join(contents.filter("c > 1").select("h", "d"), ["h", "d"])
     whole = whole.select("rid", "rv", "start", "n", F.xxhash64("h", "d").alias("piece"))
     differ = contents.groupBy("h").agg(F.count("*").alias("kinds"), F.min("c").alias("least")).filter("kinds > 1 and least = 1").select("h")
+    differ = materialize(differ, "differ")
     opened = (
         contents.join(differ, "h")
         .groupBy("rep.rid", "rep.rv")
@@ -138,7 +140,7 @@ def repeated_pieces(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     run, schema = _edges(window)
     edges = materialize(compress_text(docs, "rid", "rv").join(opened, ["rid", "rv"]).mapInArrow(run, schema), "edges")
     met = edges.groupBy("e1", "e2").agg(F.count("*").alias("c"), F.max("alone").alias("any")).filter("c > 1 and any").select("e1", "e2")
-    single = edges.filter("alone").join(met, ["e1", "e2"])
+    single = edges.filter("alone").join(materialize(met, "met"), ["e1", "e2"])
     single = single.select("rid", "rv", "start", F.lit(1).alias("n"), F.xxhash64("e1", "e2").alias("piece"))
     return whole.unionByName(single)
 
@@ -162,7 +164,7 @@ def compacted_paths(pieces: DataFrame) -> DataFrame:
     ends = linked.groupBy("piece").agg(
         (F.min("after") != F.max("after")).alias("forks"), (F.min("before") != F.max("before")).alias("joins")
     )
-    ends = ends.filter("forks or joins")
+    ends = materialize(ends.filter("forks or joins"), "ends")
     marked = linked.join(ends, "piece", "left").select(
         "rid", "rv", "start", "n",
         (F.col("before").isNull() | F.coalesce("joins", F.lit(False))).alias("opens"),
