@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from foliospark.llm import mixing, near_dedup, quality_rules, secret_scan, substring_dedup
+from foliospark.llm import bpe, mixing, near_dedup, quality_rules, secret_scan, substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_secret_scan": secret_scan.op2_secret_scan,
     "op4_mixing": mixing.op4_mixing,
     "op7_near_dedup": near_dedup.op7_near_dedup,
+    "op8_bpe": bpe.op8_bpe,
     "op9_quality_rules": quality_rules.op9_quality_rules,
 }
 ORACLE_SQL = {
     "op2_secret_scan": secret_scan.ORACLE_SQL,
     "op4_mixing": mixing.ORACLE_SQL,
     "op7_near_dedup": near_dedup.op7_near_dedup,
+    "op8_bpe": bpe.op8_bpe,
     "op9_quality_rules": quality_rules.ORACLE_SQL,
 }
