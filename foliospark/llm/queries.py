@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from foliospark.llm import bpe, mixing, near_dedup, quality_rules, secret_scan, substring_dedup
+import corpus_pipeline
+from foliospark.llm import bpe, line_dedup, media, mixing, near_dedup, packing, quality_rules, secret_scan, substring_dedup, token_counts
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_secret_scan": secret_scan.op2_secret_scan,
+    "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_mixing": mixing.op4_mixing,
+    "op5_media": media.op5_media,
+    "op6_packing": packing.op6_packing,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_bpe": bpe.op8_bpe,
     "op9_quality_rules": quality_rules.op9_quality_rules,
+    "op10_token_counts": token_counts.op10_token_counts,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {
     "op2_secret_scan": secret_scan.ORACLE_SQL,
     "op4_mixing": mixing.ORACLE_SQL,
-    "op7_near_dedup": near_dedup.op7_near_dedup,
-    "op8_bpe": bpe.op8_bpe,
     "op9_quality_rules": quality_rules.ORACLE_SQL,
 }
