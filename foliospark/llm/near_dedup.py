@@ -12,11 +12,13 @@ sets one differing shingle spoils one band at most.
 Candidates.  Documents with equal sets are one node.  A band key with several
 nodes elects a *centre*, the node whose keys are shared most, and only pairs
 (node, centre) are formed: rows grow with nodes, not with the squares of
-groups.  Verified links are joined into components.  What a bucket has left -
-nodes that are not in one component - goes on: up to ``SMALL`` nodes are all
-centres, larger rests meet again under pairs of their keys (sixteen registers
-at once) and elect up to ``SMALL`` centres at a time, until no bucket has two
-components whose nodes have not met.  No cap on partners or buckets.
+groups.  Verified links are joined into components.  What a bucket then has
+left - nodes of several components - is compared among itself, but only where
+sizes allow a link: a node's *own* shingles, which no other left node has, can
+be in no intersection, so copies that each carry edits of their own beyond the
+threshold rule each other out without meeting.  Pairs of sizes that still can
+link are found by an equi-join on bins of the size.  No cap on partners,
+buckets or pairs.
 
 Verification.  A pair's registers give a Jaccard estimate corrected for
 accidental collisions; pairs far below the threshold stop there, all others
@@ -33,7 +35,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.common import BASES, NULL_ID, Rolling, compress_text, keyed, materialize, mix, signed, slices, word_hashes
@@ -41,7 +43,6 @@ from foliospark.llm.common import BASES, NULL_ID, Rolling, compress_text, keyed,
 SHINGLE, PERCENT = 5, 85
 BANDS, ROWS, MANTISSA = 40, 8, 26
 BUCKETS = BANDS * ROWS
-SMALL = 16
 _EMPTY = np.uint64(1 << 63)
 _FACTORS = mix(np.arange(1, ROWS + 1, dtype=np.uint64) * np.uint64(BASES[0])) | np.uint64(1)
 
@@ -163,30 +164,57 @@ def connected(links: DataFrame) -> DataFrame:
         labels = new.select("node", "component")
 
 
-def _centres(rows: DataFrame, most: int) -> DataFrame:
-    """(key, centre, cn): up to ``most`` nodes of each key, those with the most popular keys first."""
-    if most == 1:
-        best = rows.groupBy("key").agg(F.max(F.struct("popular", "node", "n")).alias("x"))
-        return best.select("key", F.col("x.node").alias("centre"), F.col("x.n").alias("cn"))
-    best = [F.col("popular").desc(), F.col("node").desc()]
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(64)))
-    first = salted.withColumn("r", F.row_number().over(Window.partitionBy("key", "salt").orderBy(*best))).filter(F.col("r") <= most)
-    first = first.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy(*best))).filter(F.col("r") <= most)
-    return first.select("key", F.col("node").alias("centre"), F.col("n").alias("cn"))
-
-
-def _pairs(rows: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
-    met = rows.join(centres, "key").filter("node != centre")
-    if "component" in rows.columns:
-        met = met.join(rows.select("key", F.col("node").alias("centre"), F.col("component").alias("cc")), ["key", "centre"]).filter("component != cc")
+def _star(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The centre of every key, and the pairs of its other nodes with it."""
+    best = rows.groupBy("key").agg(F.max(F.struct("popular", "node", "n")).alias("x"))
+    centres = materialize(best.select("key", F.col("x.node").alias("centre"), F.col("x.n").alias("cn")), "centres")
     near = 100 * F.least("n", "cn") >= percent * F.greatest("n", "cn")
-    return met.filter(near).select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    met = rows.join(centres, "key").filter("node != centre").filter(near)
+    return centres, met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
 
 
 def _apart(rows: DataFrame) -> DataFrame:
     """The rows of keys whose nodes are in several components."""
-    mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).filter("lo != hi")
-    return rows.drop("size").join(mixed.select("key", "size"), "key")
+    mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi")
+    return rows.join(materialize(mixed.select("key"), "mixed"), "key")
+
+
+def _own_shingles(texts: DataFrame) -> DataFrame:
+    """(node, own): how many shingles of a node no other node of the table has."""
+
+    def run(batches):
+        import zstandard
+
+        un = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
+                sets = shingle_sets(pa.array([un.decompress(z.as_py()).decode() for z in part.column("z")], pa.string()))
+                of = np.repeat(part.column("rid").to_numpy(), [len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(sets))), pa.array(of)], ["h", "node"])
+
+    rows = texts.select("rid", "z").mapInArrow(run, "h long, node long")
+    alone = rows.groupBy("h").agg(F.count("*").alias("c"), F.min("node").alias("node")).filter("c = 1")
+    return alone.groupBy("node").agg(F.count("*").alias("own"))
+
+
+def _possible(rest: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a key's nodes in different components whose sizes and own shingles allow a link.
+
+    With ``most`` the shingles of the larger set that any other node has, the
+    smaller set has at most ``most * (1 + 100 / percent) - n`` shingles, and
+    at least ``percent`` of ``n``; that range is a few bins of 2 %.
+    """
+    size_bin = lambda c: F.floor(F.log(c.cast("double")) / math.log(1.02)).cast("int")
+    most = F.col("n") - F.col("own")
+    low = F.ceil(F.col("n") * percent / 100)
+    high = F.least(F.col("n"), F.floor(most * (1 + 100 / percent) - F.col("n") + 1e-6))
+    larger = rest.withColumn("most", most).withColumn("low", low).withColumn("high", high).filter("high >= low and low > 0")
+    larger = larger.select("key", "node", "n", "most", "component", F.explode(F.sequence(size_bin(F.col("low")), size_bin(F.col("high")))).alias("bin"))
+    smaller = rest.select("key", F.col("node").alias("other"), F.col("n").alias("on"), most.alias("omost"), F.col("component").alias("oc"), size_bin(F.col("n")).alias("bin"))
+    shared = F.least("most", "omost")
+    met = larger.join(smaller, ["key", "bin"]).filter("node != other and component != oc and on <= n")
+    met = met.filter(100 * shared >= percent * (F.col("n") + F.col("on") - shared))
+    return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
 def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -198,9 +226,9 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nodes = materialize(nodes.select("d1", "d2", F.col("m.rid").alias("node"), F.col("m.rv").alias("node_rv")), "nodes")
     reps = signed_docs.join(nodes, ["d1", "d2"]).filter("rid = node and rv = node_rv")
     rows = reps.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    shared = materialize(rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1"), "keys")
     rows = materialize(rows.join(shared, "key"), "bands")
-    popular = rows.groupBy("node").agg(F.sum("c").alias("popular"))
+    popular = materialize(rows.groupBy("node").agg(F.sum("c").alias("popular")), "nodes")
     rows = materialize(rows.drop("c").join(popular, "node"), "popular")
     wanted = popular.select(F.col("node").alias("rid")).join(nodes.select(F.col("node").alias("rid"), F.col("node_rv").alias("rv")), "rid")
     texts = materialize(compress_text(docs, "rid", "rv").join(wanted, ["rid", "rv"]).select("rid", "z").dropDuplicates(["rid"]), "texts")
@@ -210,28 +238,18 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         with_b = pairs.join(texts.select(F.col("rid").alias("b"), F.col("z").alias("zb")), "b")
         return materialize(with_b.join(texts.select(F.col("rid").alias("a"), F.col("z").alias("za")), "a").mapInArrow(run, schema), "confirmed")
 
-    centres = materialize(_centres(rows, 1), "centres")
-    tested = materialize(_pairs(rows, centres, percent), "pairs")
+    centres, tested = _star(rows, percent)
+    tested = materialize(tested, "pairs")
     links = confirmed(tested)
     components = connected(links)
-    label = lambda r: r.drop("component").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     spent = centres.select("key", F.col("centre").alias("node"))
-    rest = materialize(_apart(label(rows.join(spent, ["key", "node"], "left_anti"))), "rest")
-    large = rest.filter(F.col("size") > SMALL)
-    keys = large.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("ks"), F.first("n").alias("n"), F.first("popular").alias("popular"))
-    pairs_of = F.flatten(F.transform("ks", lambda x, i: F.transform(F.slice("ks", i + 2, F.size("ks")), lambda y: F.xxhash64(x, y))))
-    deep = keys.select("node", "n", "popular", F.explode(pairs_of).alias("key"))
-    rest = rest.filter(F.col("size") <= SMALL).select("key", "node", "n", "popular").unionByName(deep.select("key", "node", "n", "popular"))
-    rest = materialize(_apart(label(rest)), "rest")
-    while rest.limit(1).count():
-        centres = materialize(_centres(rest, SMALL), "centres")
-        new = materialize(_pairs(rest, centres, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = confirmed(new)
-        tested, links = tested.unionByName(new), links.unionByName(found)
-        if found.limit(1).count():
-            components = connected(links)
-        spent = centres.select("key", F.col("centre").alias("node"))
-        rest = materialize(_apart(label(rest.join(spent, ["key", "node"], "left_anti"))), "rest")
+    rest = rows.join(spent, ["key", "node"], "left_anti").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rest = materialize(_apart(rest).select("key", "node", "n", "component"), "rest")
+    own = _own_shingles(texts.join(rest.select(F.col("node").alias("rid")).distinct(), "rid"))
+    rest = materialize(rest.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0))), "rest")
+    more = confirmed(materialize(_possible(rest, percent).join(tested, ["a", "b"], "left_anti"), "pairs"))
+    if more.limit(1).count():
+        components = connected(links.unionByName(more))
 
     of_class = nodes.join(components, "node", "left").select("d1", "d2", F.coalesce("component", "node").alias("component"))
     out = signed_docs.select("id", "rid", "n_shingles", "d1", "d2").join(of_class, ["d1", "d2"], "left")
