@@ -15,6 +15,7 @@ from typing import NamedTuple
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from foliospark.functions.vocabulary import DEFAULT, Vocabulary
 
@@ -41,12 +42,12 @@ def normalize_text(c: Column) -> Column:
     return F.btrim(F.regexp_replace(t, " ?\\n[ \\n]*", "\n"), F.lit(" \n"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape_html(s: pd.Series) -> pd.Series:
     import html
 
@@ -123,12 +124,15 @@ def apply_rules(c: Column, rules: list[Replacement]) -> Column:
 ENUMERATOR = f"^(?:[（(]\\s*[{CJK_NUMERALS}\\d]+\\s*[）)]|[（(]\\s*[A-Za-z]{{1,3}}\\s*[）)]|[{CJK_NUMERALS}]+\\s*[）)])\\s*"
 
 
-def strip_enumerator(c: Column) -> Column:
-    t = F.regexp_replace(normalize_text(c), ENUMERATOR, "")
-    t = F.regexp_replace(t, " +(?=[\\u4e00-\\u9fff（()）、])|(?<=[\\u4e00-\\u9fff（()）、]) +", "")
+def _bare_name(t: Column) -> Column:
+    t = F.regexp_replace(F.regexp_replace(t, ENUMERATOR, ""), " +(?=[\\u4e00-\\u9fff（()）、])|(?<=[\\u4e00-\\u9fff（()）、]) +", "")
     return strip(t, "：: ")
 
 
+def strip_enumerator(c: Column) -> Column:
+    return _bare_name(normalize_text(c))
+
+
 def _occurrences(c: Column, chars: str) -> Column:
     return reduce(lambda n, x: n + F.length(c) - F.length(F.replace(c, F.lit(x), F.lit(""))), chars, F.lit(0))
 
@@ -153,19 +157,14 @@ def loose_title(c: Column) -> Column:
 
 def record_title(c: Column, v: Vocabulary = DEFAULT) -> Column:
     """Whether a title block opens a record."""
-    t = normalize_text(c)
-    name = strip_enumerator(c)
-    bare = F.replace(t, F.lit(" "), F.lit(""))
-    return F.coalesce(
-        ~bare.endswith(v.category_suffix)
-        & (bare != v.contents)
-        & ~bare.isin(*v.corpus_names or ("",))
-        & t.rlike(ENUMERATOR + "\\S")
-        & ~name.rlike("^(?:" + "|".join(map(re.escape, v.section_words)) + ")")
-        & ~t.rlike("[：:]\\s*$")
-        & plausible_title(name, v=v),
-        F.lit(False),
-    )
+    words = "|".join(map(re.escape, v.section_words))
+
+    def good(t: Column) -> Column:
+        kept = lambda bare: ~bare.endswith(v.category_suffix) & ~bare.isin(v.contents, *v.corpus_names)
+        name = lambda n: ~n.rlike(f"^(?:{words})") & plausible_title(n, v=v)
+        return t.rlike(ENUMERATOR + "\\S") & ~t.rlike("[：:]\\s*$") & let(F.replace(t, F.lit(" "), F.lit("")), kept) & let(_bare_name(t), name)
+
+    return F.coalesce(let(normalize_text(c), good), F.lit(False))
 
 
 def fullwidth_parens(c: Column) -> Column:

@@ -16,6 +16,7 @@ from foliospark.functions import text as T
 from foliospark.functions.grammar import grammar, parse_line
 from foliospark.functions.vocabulary import DEFAULT, Vocabulary
 from foliospark.operators.pages import appendix_page, section_header
+from foliospark.sources.scratch import materialize
 
 BREAKS = ("toc", "front_matter", "category")
 
@@ -186,7 +187,7 @@ def finalize_records(records: DataFrame, pages: DataFrame, v: Vocabulary = DEFAU
 
     Ingredients keep repeats, for an amount may stand alone; steps and tips do not.
     """
-    routed = route_sections(records, v)
+    routed = materialize(route_sections(records, v), "routed")
     items = inherit_groups(routed.filter("section = 'ingredients'"), REC, ["k"], v=v)
     items = items.select(*REC, "k", "sub", F.when(F.col("grp") == "seasoning", "seasonings").otherwise("ingredients").alias("section"), F.col("item").alias("x"))
     steps = routed.filter("section = 'steps'").select(*REC, "k", F.posexplode(T.numbered_steps(F.col("text"))).alias("sub", "x"), F.lit("steps").alias("section"))

@@ -14,6 +14,14 @@ from foliospark.functions.vocabulary import DEFAULT, Vocabulary
 SPARSE, FAIR, FULL = 24, 80, 160
 SUSPICIOUS = ("�", "[A-Za-z]{6,}")
 
+# The warnings as published results word them.
+SAYS = {
+    "sparse": "very sparse text",
+    "titles": "multiple recipe title candidates on one page",
+    "empty": "empty cleaned text",
+    "pattern": "suspicious text pattern matched: ",
+}
+
 
 def select_groups(df: DataFrame, key: str, wanted: list | None = None, enabled: str = "enabled", status: str = "status") -> DataFrame:
     """Named groups, or by default those that are enabled and not pending.  Both filters reach the scan."""
@@ -63,10 +71,10 @@ def warnings(text: Column, titles: Column, sparse: int = SPARSE, patterns=SUSPIC
     return F.array_distinct(
         F.array_compact(
             F.array(
-                F.when((n < sparse) & (n > 0), "sparse text"),
-                F.when(F.size(titles) > 1, "several titles"),
-                F.when(n == 0, "empty page"),
-                *(F.when(text.rlike(T.java_pattern(p)), f"suspicious: {p}") for p in patterns),
+                F.when(n < sparse, SAYS["sparse"]),
+                F.when(F.size(titles) > 1, SAYS["titles"]),
+                F.when(n == 0, SAYS["empty"]),
+                *(F.when(text.rlike(T.java_pattern(p)), SAYS["pattern"] + p) for p in patterns),
             )
         )
     )
@@ -84,9 +92,10 @@ def normalize_pages(pages: DataFrame, rules: list[T.Replacement] = (), v: Vocabu
     clean = lambda c: T.normalize_text(T.apply_rules(T.normalize_text(c), list(rules)))
     blocks = F.transform("text_blocks", lambda b: b.withField("text", clean(b["text"])))
     p = pages.withColumn("cleaned_text", clean(F.col("raw_text"))).withColumn("text_blocks", blocks)
-    titles = F.transform(F.filter("text_blocks", lambda b: (b["block_type"] == "title") & T.loose_title(b["text"])), lambda b: b["text"])
+    titles = F.transform(F.filter("text_blocks", lambda b: (b["block_type"] == "title") & (b["text"] != "")), lambda b: b["text"])
     p = with_structure(p.withColumn("title_candidates", titles), v=v)
-    names, t = F.col("title_candidates"), F.col("cleaned_text")
+    p = p.withColumn("record_titles", F.filter("title_candidates", lambda x: T.loose_title(x)))
+    names, t = F.col("record_titles"), F.col("cleaned_text")
     steps, items = F.col("has_steps_header"), F.col("has_ingredients_header")
     p = p.withColumn("page_kind", page_kind(names, steps, items, F.col("is_toc"), F.col("is_front_matter"), F.col("is_category_page")))
     return p.select(
@@ -106,20 +115,20 @@ def section_header(c: Column, v: Vocabulary = DEFAULT) -> Column:
 
     Header words are tried as they stand and without the number; the list's order decides.
     """
-    t = T.normalize_text(c)
-    bare = F.regexp_replace(t, _ENUM, "")
-    out = F.lit(None).cast("struct<section:string,rest:string>")
-    found = []
-    for candidate in (t, bare):
-        for section, words in v.headers:
-            for w in words:
-                head = candidate.rlike(f"^{re.escape(w)}(?:{_TAIL}|$)")
-                rest = F.regexp_replace(candidate, f"^{re.escape(w)}{_TAIL}*", "")
-                found.append(F.when(head, F.struct(F.lit(section).alias("section"), rest.alias("rest"))))
-    return F.coalesce(*found, out)
+    kind = "struct<section:string,rest:string>"
+
+    def of(candidate: Column) -> Column:
+        found = F.lit(None).cast(kind)
+        for section, words in reversed(v.headers):
+            head = f"^(?:{'|'.join(map(re.escape, words))})(?:{_TAIL}+|$)"
+            found = F.when(candidate.rlike(head), F.struct(F.lit(section).alias("section"), F.regexp_replace(candidate, head, "").alias("rest"))).otherwise(found)
+        return found
+
+    return T.let(T.normalize_text(c), lambda t: F.coalesce(of(t), T.let(F.regexp_replace(t, _ENUM, ""), of)))
 
 
 def appendix_page(titles: Column, head: str = "附", v: Vocabulary = DEFAULT) -> Column:
     """Whether some title opens an appendix: the head word with a colon, and no plausible name behind it."""
     pattern = f"^{re.escape(head)}\\s*[：:]\\s*"
-    return F.exists(titles, lambda x: T.normalize_text(x).rlike(pattern) & ~T.plausible_title(F.regexp_replace(T.normalize_text(x), pattern, ""), v=v))
+    opens = lambda t: t.rlike(pattern) & ~T.let(F.regexp_replace(t, pattern, ""), lambda x: T.plausible_title(x, v=v))
+    return F.exists(titles, lambda x: T.let(T.normalize_text(x), opens))

@@ -11,6 +11,7 @@ from foliospark.functions import text as T
 from foliospark.functions.vocabulary import DEFAULT, Vocabulary
 from foliospark.operators.layout import fill_forward
 from foliospark.operators.order import run_texts
+from foliospark.operators.pages import SAYS
 
 ENTRY = "^(.+?)[.·…．\\s]*[（(]\\s*(\\d+)\\s*[)）]\\s*[.。]?$"
 
@@ -64,7 +65,7 @@ def triage(p: DataFrame) -> DataFrame:
         "failed": c("confidence") == "failed",
         "unresolved page": (c("page_kind") == "unresolved") & ~linked,
         "low confidence without record": (c("confidence") == "low") & ~linked & ~c("page_kind").isin("toc", "front_matter", "category"),
-        "several titles": F.array_contains("warnings", "several titles"),
+        "several titles": F.array_contains("warnings", SAYS["titles"]),
     }
     mild = {
         "medium confidence": c("confidence") == "medium",

@@ -1,7 +1,8 @@
 """The batch build and the triage as whole plans.
 
-Each is one lineage, partitioned by book; stages hand over DataFrames and
-nothing is collected.  Triage gives anchors and title overrides that the next
+Stages hand over DataFrames and nothing is collected; pages, blocks and
+records are written to the shared folder between stages, so that plans stay
+small and a lost executor costs one stage at most.  Triage gives anchors and title overrides that the next
 build takes as input tables: two passes, never a cyclic plan.
 """
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from foliospark.functions import text as T
 from foliospark.functions.vocabulary import DEFAULT, Vocabulary
 from foliospark.operators import corrections, layout, order, pages, relate, review
+from foliospark.sources.scratch import materialize
 
 
 class Build(NamedTuple):
@@ -43,10 +45,11 @@ def build(
         no_box = F.transform(fixed, lambda b: F.struct(b["block_type"].alias("block_type"), b["text"].alias("text"), F.lit(None).cast("array<double>").alias("bbox"), F.lit(None).cast("int").alias("index")))
         p = p.withColumn("text_blocks", F.when(F.col("correct_content").isNotNull(), no_box).otherwise(F.col("text_blocks"))).drop("correct_content")
         p = p.withColumn("raw_text", F.array_join(F.transform("text_blocks", lambda b: b["text"]), "\n"))
-    p = pages.normalize_pages(p.select("book_id", "local_page", "raw_text", "text_blocks"), rules, v)
-    b = mend_columns(layout.explode_blocks(p, ["book_id", "local_page"]), v)
+    p = materialize(pages.normalize_pages(p.select("book_id", "local_page", "raw_text", "text_blocks"), rules, v), "pages")
+    b = materialize(mend_columns(layout.explode_blocks(p, ["book_id", "local_page"]), v), "blocks")
     inside, outside = layout.segment(p, b.select("book_id", "local_page", "ord", "block_type", "text"), v)
-    records = layout.finalize_records(inside, p, v).withColumn("aliases", F.array().cast("array<string>"))
+    records = layout.finalize_records(materialize(inside, "inside"), p, v).withColumn("aliases", F.array().cast("array<string>"))
+    records = materialize(records, "records")
     queue = layout.review_items(records)
     if overrides is not None:
         r = records.withColumn("local_page", F.array_min("local_pages"))

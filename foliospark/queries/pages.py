@@ -51,8 +51,8 @@ def page_confidence(table):
 
 
 @query(
-    f"""WITH {PAGE} SELECT doc_id, array_to_string(list_filter([CASE WHEN n < 24 AND n > 0 THEN 'sparse text' END, CASE WHEN len(names) > 1 THEN 'several titles' END, CASE WHEN n = 0 THEN 'empty page' END,
-    CASE WHEN regexp_matches(t, '[*]{{3}}') THEN 'suspicious: [*]{{3}}' END, CASE WHEN regexp_matches(t, '[A-Za-z]{{12,}}') THEN 'suspicious: [A-Za-z]{{12,}}' END], lambda x: x IS NOT NULL), '; ') AS warnings FROM kind"""
+    f"""WITH {PAGE} SELECT doc_id, array_to_string(list_filter([CASE WHEN n < 24 THEN 'very sparse text' END, CASE WHEN len(names) > 1 THEN 'multiple recipe title candidates on one page' END, CASE WHEN n = 0 THEN 'empty cleaned text' END,
+    CASE WHEN regexp_matches(t, '[*]{{3}}') THEN 'suspicious text pattern matched: [*]{{3}}' END, CASE WHEN regexp_matches(t, '[A-Za-z]{{12,}}') THEN 'suspicious text pattern matched: [A-Za-z]{{12,}}' END], lambda x: x IS NOT NULL), '; ') AS warnings FROM kind"""
 )
 def suspicious_patterns(table):
     t = _structured(table)

@@ -22,7 +22,8 @@ PAGE = f"array<struct<page_idx:int,page_size:array<double>,para_blocks:array<{RA
 
 def whole_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(path, value): one row a file."""
-    return spark.read.option("wholetext", True).option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    files = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
+    return files.select(F.col("_metadata.file_path").alias("path"), "value")
 
 
 def page_container(payload: Column) -> Column:
@@ -89,7 +90,7 @@ _BULLET = "^\\s*[-*]\\s+([^:：]+)[:：]\\s*(.*)$"
 def bullet_map(lines: Column) -> Column:
     """map<string,string> of ``- key: value`` lines: split at the first colon, keys lower-case with underscores, the last of a key holds."""
     hits = F.filter(lines, lambda x: x.rlike(_BULLET))
-    key = lambda x: F.regexp_replace(F.lower(T.strip(F.regexp_extract(x, _BULLET, 1))), "[\\s-]+", "_")
+    key = lambda x: F.regexp_replace(F.lower(T.strip(F.regexp_extract(x, _BULLET, 1))), "[\\s_-]+", "_")
     pairs = F.transform(hits, lambda x: F.struct(key(x).alias("key"), T.strip(F.regexp_extract(x, _BULLET, 2)).alias("value")))
     last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"]))
     return F.map_from_entries(last)
