@@ -13,12 +13,13 @@ Candidates.  Documents with equal sets are one node.  A band key with several
 nodes elects a *centre*, the node whose keys are shared most, and only pairs
 (node, centre) are formed: rows grow with nodes, not with the squares of
 groups.  Verified links are joined into components.  What a bucket then has
-left - nodes of several components - is compared among itself, but only where
-sizes allow a link: a node's *own* shingles, which no other left node has, can
-be in no intersection, so copies that each carry edits of their own beyond the
-threshold rule each other out without meeting.  Pairs of sizes that still can
-link are found by an equi-join on bins of the size.  No cap on partners,
-buckets or pairs.
+left - nodes of several components - is compared among itself by the join on
+its key, which passes a pair on only if a link is possible and only in the
+first key the two share.  Possible means: sizes allow it; so do the shingles
+that no other left node has, which can be in no intersection; and the packed
+registers (occupancy and four mantissa bits) agree in at least the threshold
+less five standard deviations.  What leaves the join so are the links and
+their close misses, not a group's pairs.  No cap on partners, buckets or pairs.
 
 Verification.  A pair's registers give a Jaccard estimate corrected for
 accidental collisions; pairs far below the threshold stop there, all others
@@ -44,6 +45,8 @@ SHINGLE, PERCENT = 5, 85
 BANDS, ROWS, MANTISSA = 40, 8, 26
 BUCKETS = BANDS * ROWS
 _EMPTY = np.uint64(1 << 63)
+#: Of the sketch: longs a bit plane, and planes of mantissa bits.
+_WORDS, _PLANES = BUCKETS // 64, 4
 _FACTORS = mix(np.arange(1, ROWS + 1, dtype=np.uint64) * np.uint64(BASES[0])) | np.uint64(1)
 
 
@@ -78,6 +81,13 @@ def band_keys(regs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys, (banded != _EMPTY).any(axis=2)
 
 
+def sketches(regs: np.ndarray) -> np.ndarray:
+    """Bit planes of the registers, a row of longs a set: which are occupied, then the mantissas' lowest bits."""
+    full = regs != _EMPTY
+    planes = [full, *(full & ((regs >> np.uint64(k)) & np.uint64(1)).astype(bool) for k in range(_PLANES))]
+    return np.concatenate([np.packbits(p, axis=1, bitorder="little").view(np.int64) for p in planes], axis=1)
+
+
 def estimate(a: np.ndarray, b: np.ndarray, n: int, m: int) -> float:
     """Jaccard similarity from registers, without what registers agree on by accident."""
     used = (a != _EMPTY) | (b != _EMPTY)
@@ -88,21 +98,23 @@ def estimate(a: np.ndarray, b: np.ndarray, n: int, m: int) -> float:
 
 
 def _signatures():
-    names = ["rid", "rv", "id", "n_shingles", "d1", "d2", "bands"]
+    names = ["rid", "rv", "id", "n_shingles", "d1", "d2", "bands", "sketch"]
 
     def run(batches):
         for batch in batches:
             for part in slices(batch):
                 sets = shingle_sets(part.column("text"))
-                keys, valid = band_keys(registers(sets))
+                regs = registers(sets)
+                keys, valid = band_keys(regs)
                 sums = lambda base: pa.array([int(mix(s ^ np.uint64(base)).sum(dtype=np.uint64).view(np.int64)) for s in sets], pa.int64())
                 offsets = np.concatenate([[0], np.cumsum(valid.sum(axis=1))]).astype(np.int32)
                 bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(keys[valid])))
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in names[:3]), pa.array([len(s) for s in sets], pa.int64()), sums(BASES[1]), sums(BASES[2]), bands], names
-                )
+                flat = sketches(regs)
+                sketch = pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, flat.shape[1], dtype=np.int32)), pa.array(flat.ravel()))
+                sizes = pa.array([len(s) for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names[:3]), sizes, sums(BASES[1]), sums(BASES[2]), bands, sketch], names)
 
-    return run, "rid long, rv int, id long, n_shingles long, d1 long, d2 long, bands array<long>"
+    return run, "rid long, rv int, id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch array<long>"
 
 
 def _confirm(percent: int):
@@ -197,24 +209,33 @@ def _own_shingles(texts: DataFrame) -> DataFrame:
     return alone.groupBy("node").agg(F.count("*").alias("own"))
 
 
-def _possible(rest: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a key's nodes in different components whose sizes and own shingles allow a link.
+def _possible(rest: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a key's nodes in different components that sizes, own shingles and registers allow to link.
 
-    With ``most`` the shingles of the larger set that any other node has, the
-    smaller set has at most ``most * (1 + 100 / percent) - n`` shingles, and
-    at least ``percent`` of ``n``; that range is a few bins of 2 %.
+    ``rest`` is (key, node); ``nodes`` has n, component, own, keys and sketch of each node.
     """
-    size_bin = lambda c: F.floor(F.log(c.cast("double")) / math.log(1.02)).cast("int")
-    most = F.col("n") - F.col("own")
-    low = F.ceil(F.col("n") * percent / 100)
-    high = F.least(F.col("n"), F.floor(most * (1 + 100 / percent) - F.col("n") + 1e-6))
-    larger = rest.withColumn("most", most).withColumn("low", low).withColumn("high", high).filter("high >= low and low > 0")
-    larger = larger.select("key", "node", "n", "most", "component", F.explode(F.sequence(size_bin(F.col("low")), size_bin(F.col("high")))).alias("bin"))
-    smaller = rest.select("key", F.col("node").alias("other"), F.col("n").alias("on"), most.alias("omost"), F.col("component").alias("oc"), size_bin(F.col("n")).alias("bin"))
-    shared = F.least("most", "omost")
-    met = larger.join(smaller, ["key", "bin"]).filter("node != other and component != oc and on <= n")
-    met = met.filter(100 * shared >= percent * (F.col("n") + F.col("on") - shared))
-    return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    x = rest.join(nodes, "node")
+    y = x.select(F.col("key").alias("o_key"), *(F.col(c).alias(f"o_{c}") for c in nodes.columns))
+    n, on, share = F.col("n"), F.col("o_n"), percent / 100
+    most = F.least(n - F.col("own"), on - F.col("o_own"))
+    word = lambda side, plane, i: F.get(F.col(side), F.lit(plane * _WORDS + i))
+    used = equal = F.lit(0)
+    for i in range(_WORDS):
+        either = word("sketch", 0, i).bitwiseOR(word("o_sketch", 0, i))
+        differ = F.lit(0).cast("long")
+        for plane in range(_PLANES + 1):
+            differ = differ.bitwiseOR(word("sketch", plane, i).bitwiseXOR(word("o_sketch", plane, i)))
+        used = used + F.bit_count(either)
+        equal = equal + F.bit_count(either.bitwiseAND(F.bitwise_not(differ)))
+    met = (
+        (F.col("node") < F.col("o_node"))
+        & (F.col("component") != F.col("o_component"))
+        & (100 * F.least(n, on) >= percent * F.greatest(n, on))
+        & (100 * most >= percent * (n + on - most))
+        & (equal + 5 * F.sqrt(share * (1 - share) * used) >= share * used)
+        & (F.array_min(F.array_intersect("keys", "o_keys")) == F.col("key"))
+    )
+    return x.join(y, (F.col("key") == F.col("o_key")) & met).select(F.col("node").alias("a"), F.col("o_node").alias("b"))
 
 
 def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -245,9 +266,11 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spent = centres.select("key", F.col("centre").alias("node"))
     rest = rows.join(spent, ["key", "node"], "left_anti").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rest = materialize(_apart(rest).select("key", "node", "n", "component"), "rest")
+    left = rest.groupBy("node").agg(F.first("n").alias("n"), F.first("component").alias("component"), F.collect_set("key").alias("keys"))
     own = _own_shingles(texts.join(rest.select(F.col("node").alias("rid")).distinct(), "rid"))
-    rest = materialize(rest.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0))), "rest")
-    more = confirmed(materialize(_possible(rest, percent).join(tested, ["a", "b"], "left_anti"), "pairs"))
+    left = left.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0))).join(reps.select("node", "sketch").dropDuplicates(["node"]), "node")
+    left = materialize(left, "left")
+    more = confirmed(materialize(_possible(rest.select("key", "node"), left, percent).join(tested, ["a", "b"], "left_anti"), "pairs"))
     if more.limit(1).count():
         components = connected(links.unionByName(more))
 
