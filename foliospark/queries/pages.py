@@ -153,3 +153,41 @@ def correction_apply(table):
     content = F.concat(F.lit("【替行:"), F.replace(first, F.lit("】"), F.lit("")), F.lit("】replaced / 【补行】"), F.replace("item", F.lit(" / "), F.lit(" ")))
     r = t.select("doc_id", corrections.apply_corrections(blocks, content).alias("r"))
     return r.select("doc_id", F.size("r.blocks").alias("n_blocks"), F.col("r.patched").alias("patched"), F.size("r.unmatched").alias("n_unmatched"))
+
+
+BLOCKS = """l AS (SELECT source AS book_id, doc_id AS local_page, text, unnest(range(0, len(p))) AS ord, unnest(p) AS x FROM (SELECT *, string_split(text, chr(10)) AS p FROM documents)),
+  b AS (SELECT *, length(x) BETWEEN 10 AND 60 AND length(regexp_replace(x, '[^A-Za-z]', '', 'g')) >= 2 AS is_title FROM l WHERE trim(x) <> ''),
+  g AS (SELECT d.source AS book_id, d.doc_id AS local_page, CASE WHEN contains(text, 'Licensed') THEN 'toc' WHEN n_chars < 100 THEN 'continuation' ELSE 'recipe' END AS kind,
+    coalesce((SELECT bool_or(is_title) FROM b WHERE b.local_page = d.doc_id), false) AS titled, trim(text) <> '' AS said FROM documents d),
+  e AS (SELECT book_id, local_page, ord, CASE WHEN is_title THEN local_page || ':' || ord END AS ev FROM b UNION ALL SELECT book_id, local_page, -1, CASE WHEN NOT titled AND kind = 'toc' THEN 'break' END FROM g),
+  s AS (SELECT *, last_value(ev IGNORE NULLS) OVER (PARTITION BY book_id ORDER BY local_page, ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS op FROM e),
+  j AS (SELECT g.*, NOT (NOT titled AND kind = 'toc') AND (titled OR (coalesce(s.op, 'break') <> 'break' AND (kind = 'continuation' OR said))) AS joins FROM g JOIN s ON s.local_page = g.local_page AND s.ord = -1)"""
+
+
+def _segmented(table):
+    d = table("documents")
+    lines = d.select(F.col("source").alias("book_id"), F.col("doc_id").alias("local_page"), F.posexplode(F.split("text", "\n")).alias("ord", "x"))
+    letters = F.regexp_replace("x", "[^A-Za-z]", "")
+    title = F.length("x").between(10, 60) & (F.length(letters) >= 2)
+    blocks = lines.select(
+        "book_id", "local_page", "ord", F.when(title, "title").otherwise("text").alias("block_type"),
+        F.when(title, F.concat(F.lit("（1）"), F.substring(letters, 1, 8))).otherwise(F.col("x")).alias("text"),
+    )
+    kind = F.when(F.col("text").contains("Licensed"), "toc").when(F.col("n_chars") < 100, "continuation").otherwise("recipe")
+    book = d.select(F.col("source").alias("book_id"), F.col("doc_id").alias("local_page"), F.col("text").alias("cleaned_text"), kind.alias("page_kind"))
+    return layout.segment(book, blocks)
+
+
+@query(
+    f"""WITH {BLOCKS} SELECT s.book_id, split_part(op, ':', 1)::BIGINT AS rec_page, split_part(op, ':', 2)::INT AS rec_at, count(*) AS n_blocks, count(DISTINCT s.local_page) AS n_pages, max(s.local_page) AS last_page
+    FROM s JOIN j ON j.local_page = s.local_page AND j.joins WHERE s.ord >= 0 AND coalesce(op, 'break') <> 'break' GROUP BY ALL"""
+)
+def segment_records(table):
+    records, _ = _segmented(table)
+    return records.groupBy("book_id", "rec_page", "rec_at").agg(F.count("*").alias("n_blocks"), F.countDistinct("local_page").alias("n_pages"), F.max("local_page").alias("last_page"))
+
+
+@query(f"WITH {BLOCKS} SELECT book_id, local_page, kind AS page_kind FROM j WHERE NOT joins")
+def segment_fallbacks(table):
+    _, fallbacks = _segmented(table)
+    return fallbacks.select("book_id", "local_page", "page_kind")
