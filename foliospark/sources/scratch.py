@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: list[tuple[SparkSession, str]] = []
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a local one only where none is set."""
@@ -17,7 +20,23 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written and read again: its lineage ends here, and a lost executor loses nothing."""
-    path = f"{scratch_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written and read again: its lineage ends here, and a lost executor loses nothing.
+
+    Results stay lazy and may read such a table at any later time, so tables go
+    when the driver's process ends.
+    """
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@atexit.register
+def _clean() -> None:
+    for spark, name in _made:
+        try:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+        except Exception:  # the JVM has ended before: nothing more to do
+            return
