@@ -8,47 +8,20 @@ with different texts stay apart and repeated rows share one result.
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliospark.sources.scratch import materialize, scratch_dir  # noqa: F401
+
 WORD_SPLIT = "[\\x20\\x09-\\x0D]+"
 NULL_ID = -(2**63)
 #: Texts are handled in slices of about this many bytes, whatever the size of an Arrow batch.
 SLICE_BYTES = 8 << 20
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; only where none is set, a local one."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    spark.conf.set("spark.checkpoint.dir", "file:///tmp/checkpoints/foliospark")
-    return "file:///tmp/checkpoints/foliospark"
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it again: lineage ends here and lost executors cost nothing."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(*tables: DataFrame) -> None:
-    """Deletes tables of ``materialize`` that no later step reads."""
-    for df in tables:
-        spark = df.sparkSession
-        for f in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            if f"{scratch_dir(spark).split(':', 1)[-1].lstrip('/')}/" in f:
-                path = spark._jvm.org.apache.hadoop.fs.Path(f)
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def keyed(df: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """Only (rid, rv, id, text) and ``more``: other columns of ``df``, whatever their names, stay out."""
     i, t = df[id_col].cast("long"), df[text_col].cast("string")
