@@ -168,11 +168,11 @@ def store_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         for batch in batches:
             for part in slices(batch):
                 out: list[list] = [[] for _ in names[1:]]
-                for i, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
+                for text in part.column("text").to_pylist():
                     samples, n = payload_of(text)
                     media = to_wav(samples)
                     digest = hashlib.sha256(media).hexdigest()
-                    page = f'<article><figure><audio src="sha256:{digest}"></audio><figcaption>{html.escape(f"document {i}, {n} bytes")}</figcaption></figure></article>'
+                    page = f'<article><figure><audio src="sha256:{digest}"></audio><figcaption>{html.escape(f"{n} bytes of text")}</figcaption></figure></article>'
                     for o, x in zip(out, (page, digest, n, media)):
                         o.append(x)
                 types = [pa.string(), pa.string(), pa.int64(), pa.binary()]

@@ -201,7 +201,7 @@ def test_media(spark, docs, empty):
         stored = media.to_wav(padded)
         assert (r.media_bytes, r.media_sha256) == (len(stored), sha(stored))
         assert r.feature == media.feature_of(np.frombuffer(padded, np.uint8))
-        assert r.caption == f"document {d.doc_id}, {len(raw)} bytes"
+        assert r.caption == f"{len(raw)} bytes of text"
     assert out.count() == docs.count()
     assert media.store_texts(empty).count() == 0
 
