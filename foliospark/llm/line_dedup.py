@@ -1,23 +1,28 @@
 """Line dedup by pairwise alignment.
 
-Lines with a word are hashed.  The *owner* of a line is the earliest document
-that holds it (smallest id); a later document is paired with the owners of its
-lines, so pairs never outnumber lines, and a line that a million documents
-share makes a million rows, not their squares.  A line's row carries its places
-in the owner, which is all an alignment needs: lines that the owner doesn't own
-are aligned with the owner they have.
-
-A pair is aligned if it shares a *rare* line: one in at most
+Lines with a word are hashed.  The *owner* of a line, or of a *run* of
+consecutive lines, is the earliest document that holds it (smallest id).  Owners
+only find the pairs: a later document is paired with the owners of its lines and
+of its runs of ``MIN_WORDS`` words, so pairs never outnumber lines and runs, and
+a line that a million documents share makes a million rows, not their squares.
+A pair is then aligned on all lines that the two share, whoever owns them.
+
+Runs are the shortest ones from each line on and back from each line, so that
+every line of a block of ``MIN_WORDS`` words lies in a run of that block, and
+the block's runs have owners also where its lines have owners elsewhere.
+
+A line brings a pair together if it is *rare*: in at most
 ``RARE_DOCS + RARE_SHARE * documents`` documents, or hardly more common than
 the later document's rarest line - so members of a group of copies find their
 first however large the group is, while a line that is common among otherwise
-unlike documents brings nobody together.
+unlike documents brings nobody together.  A run does if it has a rare line.
 
 Alignment is patience diff: lines that occur once on either side, in their
 longest increasing order, are anchors; before, between and behind anchors the
 same is done again, with equal ends matched first.  Runs of matches that are
 consecutive in both documents are blocks; blocks of at least ``MIN_WORDS``
-words are deleted from the later document.
+words are deleted from the later document.  ``n_blocks`` counts the stretches of
+consecutive lines that are deleted, from whichever partners.
 
 Blank lines stay.  Null and empty texts have no lines.  Rows that repeat id and
 text are one document and don't delete each other; repeated ids with different
@@ -27,7 +32,7 @@ texts are told apart by a hash of the text.  An empty table gives no rows.
 from __future__ import annotations
 
 import bisect
-from collections import Counter, defaultdict
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -118,32 +123,129 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def _removed(matches: list[dict], kinds: int, docs: int, min_words: int) -> tuple[set[int], int]:
-    """Places (among lines with words) of one document to delete, and the number of blocks."""
-    rarest = 1 if len(matches) < kinds else min(m["df"] for m in matches)
-    limit = max(RARE_DOCS + RARE_SHARE * docs, RARER * rarest)
-    by_owner = defaultdict(list)
-    for m in matches:
-        by_owner[m["owner"]["rid"], m["owner"]["rv"]].append(m)
+def runs_of(at: list[int], words: list[int], least: int) -> set[tuple[int, int]]:
+    """(first, last) of the shortest runs of consecutive places with ``least`` words, from each place on and back from it."""
+    out, first = set(), 0
+    while first < len(at):
+        end = first + 1
+        while end < len(at) and at[end] == at[end - 1] + 1:
+            end += 1
+        j, total = first, 0  # words of first..j-1
+        for i in range(first, end):
+            while j < end and total < least:
+                total += words[j]
+                j += 1
+            if total < least:
+                break
+            out.add((i, j - 1))
+            total -= words[i]
+        i, total = first, 0  # words of i..j
+        for j in range(first, end):
+            total += words[j]
+            while total - words[i] >= least:
+                total -= words[i]
+                i += 1
+            if total >= least:
+                out.add((i, j))
+        first = end
+    return out
+
+
+def _in_runs(rows: list[tuple], least: int) -> dict[tuple, tuple[int, int]]:
+    """The runs of (place, line, words) rows, by their lines: first and last index of one of each."""
+    spans = runs_of([x[0] for x in rows], [x[2] for x in rows], least)
+    return {tuple(x[1] for x in rows[i : j + 1]): (i, j) for i, j in sorted(spans, reverse=True)}
+
+
+def blocks_of(a: list[tuple], b: list[tuple], min_words: int) -> set[int]:
+    """Places of ``a`` in blocks that it shares with ``b``; both are (place, line, words) in order.
+
+    Only lines in runs that both sides have are aligned, for others can be in no
+    block and would only stand in the way.  What an alignment leaves, as blocks
+    in another order, is aligned again until no run is left that both have.
+    """
     gone: set[int] = set()
-    blocks = 0
-    for shared in by_owner.values():
-        if all(m["df"] > limit for m in shared):
-            continue
-        a = sorted((p, k) for k, m in enumerate(shared) for p in m["at"])
-        b = sorted((p, k) for k, m in enumerate(shared) for p in m["owner"]["at"])
-        pairs = [(a[i][0], b[j][0], a[i][1]) for i, j in patience([k for _, k in a], [k for _, k in b])]
+    while True:
+        own, other = _in_runs(a, min_words), _in_runs(b, min_words)
+        both = own.keys() & other.keys()
+        if not both:
+            return gone
+        lines = {x for run in both for x in run}
+        left, right = [x for x in a if x[1] in lines], [x for x in b if x[1] in lines]
+        pairs = [(left[i], right[j]) for i, j in patience([x[1] for x in left], [x[1] for x in right])]
+        used: list[tuple] = []
         start = 0
         for i in range(1, len(pairs) + 1):
-            if i == len(pairs) or pairs[i][0] != pairs[i - 1][0] + 1 or pairs[i][1] != pairs[i - 1][1] + 1:
-                if sum(shared[k]["words"] for _, _, k in pairs[start:i]) >= min_words:
-                    gone.update(p for p, _, _ in pairs[start:i])
-                    blocks += 1
-                start = i
-    return gone, blocks
+            if i < len(pairs) and all(x[0] == y[0] + 1 for x, y in zip(pairs[i], pairs[i - 1])):
+                continue
+            if sum(x[2] for x, _ in pairs[start:i]) >= min_words:
+                used += pairs[start:i]
+            start = i
+        if not used:
+            (i, j), (k, _) = min((own[run], other[run]) for run in both)
+            used = list(zip(a[i : j + 1], b[k:]))
+        spent, taken = {x[0] for x, _ in used}, {y[0] for _, y in used}
+        gone |= spent
+        a, b = [x for x in a if x[0] not in spent], [x for x in b if x[0] not in taken]
+
+
+def _shared(docs: int):
+    """A document's lines that others have too, in order, and which of them are rare."""
+    names = ["rid", "rv", "at", "h", "words", "rare", "orid", "orv"]
+
+    def run(batches):
+        for batch in batches:
+            out: list[list] = [[] for _ in names[2:]]
+            for kinds, matches in zip(batch.column("kinds").to_pylist(), batch.column("matches").to_pylist()):
+                rarest = 1 if len(matches) < kinds else min(m["df"] for m in matches)
+                limit = max(RARE_DOCS + RARE_SHARE * docs, RARER * rarest)
+                rows = sorted((p, m["h"], m["words"], m["df"] <= limit, m["orid"], m["orv"]) for m in matches for p in m["at"])
+                for o, x in zip(out, zip(*rows)):
+                    o.append(list(x))
+            types = [pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("rv"), *(pa.array(o, pa.list_(t)) for o, t in zip(out, types))], names)
+
+    return run, "rid long, rv int, at array<int>, h array<long>, words array<int>, rare array<boolean>, orid array<long>, orv array<int>"
+
 
+def _keys(min_words: int):
+    """Rows of runs (key, and whether the run brings pairs together), and of rare lines with their owner (no key)."""
+    names = ["rid", "rv", "key", "joins", "orid", "orv"]
 
-def _cut(keep: list[str], docs: int, min_words: int):
+    def run(batches):
+        import xxhash
+
+        for batch in batches:
+            rows = []
+            cols = [batch.column(c).to_pylist() for c in ("rid", "rv", "at", "h", "words", "rare", "orid", "orv")]
+            for rid, rv, at, h, words, rare, orid, orv in zip(*cols):
+                rows += {(rid, rv, None, True, o, v) for r, o, v in zip(rare, orid, orv) if r and (o, v) != (rid, rv)}
+                raw, seen = np.array(h, np.int64), np.cumsum([0, *rare])
+                keys: dict = {}
+                for i, j in runs_of(at, words, min_words):
+                    if i < j:  # a line alone has its owner
+                        key = xxhash.xxh3_64_intdigest(raw[i : j + 1].tobytes())
+                        keys[key] = keys.get(key, False) or bool(seen[j + 1] > seen[i])
+                rows += [(rid, rv, key - (1 << 63), joins, None, None) for key, joins in keys.items()]
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
+
+    return run, "rid long, rv int, key long, joins boolean, orid long, orv int"
+
+
+def _align(min_words: int):
+    names = ["rid", "rv", "gone"]
+
+    def run(batches):
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("at", "h", "words", "o_at", "o_h", "o_words")]
+            gone = [sorted(blocks_of(list(zip(a, h, w)), list(zip(p, q, v)), min_words)) for a, h, w, p, q, v in zip(*cols)]
+            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("rv"), pa.array(gone, pa.list_(pa.int32()))], names)
+
+    return run, "rid long, rv int, gone array<int>"
+
+
+def _cut(keep: list[str]):
     names = [*keep, "n_lines", "n_removed", "n_blocks", "kept_text"]
 
     def run(batches):
@@ -154,9 +256,8 @@ def _cut(keep: list[str], docs: int, min_words: int):
             out: list[list] = [[], [], [], []]
             for row in range(batch.num_rows):
                 lines = un.decompress(batch.column("z")[row].as_py()).decode().split("\n")
-                matches, gone, blocks = batch.column("matches")[row].as_py(), set(), 0
-                if matches:
-                    gone, blocks = _removed(matches, batch.column("kinds")[row].as_py(), docs, min_words)
+                gone = set(batch.column("gone")[row].as_py() or ())
+                blocks = sum(p - 1 not in gone for p in gone)
                 kept, k = [], 0
                 for line in lines:
                     full = bool(line.encode().split())
@@ -171,15 +272,36 @@ def _cut(keep: list[str], docs: int, min_words: int):
     return run, "n_lines long, n_removed long, n_blocks long, kept_text string"
 
 
-def line_matches(docs: DataFrame) -> DataFrame:
-    """(rid, rv, kinds, matches): of each later document, the lines that an earlier one owns."""
+def line_pairs(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
+    """The shared lines of each document, and the pairs (rid, rv, orid, orv) of later and earlier documents to align."""
     run, schema = _lines()
     rows = materialize(docs.select("rid", "rv", "text").mapInArrow(run, schema), "lines")
-    owners = rows.groupBy("h").agg(F.count("*").alias("df"), F.min(F.struct("rid", "rv", "at")).alias("owner"))
-    owners = materialize(owners.filter("df > 1"), "owners")
-    later = rows.join(owners, "h").filter("rid != owner.rid or rv != owner.rv")
+    owners = rows.groupBy("h").agg(F.count("*").alias("df"), F.min(F.struct("rid", "rv")).alias("o"))
+    owners = materialize(owners.filter("df > 1").select("h", "df", F.col("o.rid").alias("orid"), F.col("o.rv").alias("orv")), "owners")
     # a set, for repeated rows; distinct rows by h would keep the join's partitions and so keep a hot line in one task
-    return later.groupBy("rid", "rv").agg(F.first("kinds").alias("kinds"), F.collect_set(F.struct("h", "at", "words", "df", "owner")).alias("matches"))
+    held = F.collect_set(F.struct("h", "at", "words", "df", "orid", "orv")).alias("matches")
+    held = rows.join(owners, "h").groupBy("rid", "rv").agg(F.first("kinds").alias("kinds"), held)
+    run, schema = _shared(docs.count())
+    shared = materialize(held.mapInArrow(run, schema), "shared")
+    run, schema = _keys(min_words)
+    keys = materialize(shared.mapInArrow(run, schema), "keys")
+    runs = keys.filter("key is not null").select("key", "rid", "rv", "joins")
+    first = runs.groupBy("key").agg(F.min(F.struct("rid", "rv")).alias("o"), F.max("joins").alias("any"), F.count("*").alias("c")).filter("c > 1 and any")
+    first = materialize(first.select("key", F.col("o.rid").alias("orid"), F.col("o.rv").alias("orv")), "runs")
+    by_run = runs.filter("joins").join(first, "key").filter("rid != orid or rv != orv").select("rid", "rv", "orid", "orv")
+    pairs = keys.filter("key is null").select("rid", "rv", "orid", "orv").union(by_run).distinct()
+    return shared, materialize(pairs, "pairs")
+
+
+def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(rid, rv, gone): places, among lines with words, that go from a document."""
+    shared, pairs = line_pairs(docs, min_words)
+    lines = shared.select("rid", "rv", "at", "h", "words")
+    earlier = lines.select(*(F.col(c).alias(f"o{c}" if c in ("rid", "rv") else f"o_{c}") for c in lines.columns))
+    run, schema = _align(min_words)
+    both = pairs.join(earlier, ["orid", "orv"]).join(lines, ["rid", "rv"])
+    aligned = materialize(both.mapInArrow(run, schema).filter("size(gone) > 0"), "aligned")
+    return aligned.groupBy("rid", "rv").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
 
 
 def dedup_lines(
@@ -187,11 +309,11 @@ def dedup_lines(
 ) -> DataFrame:
     """(id, *keep, n_lines, n_removed, n_blocks, kept_text) of every row."""
     docs = keyed(df, id_col, text_col, *keep)
-    matches = materialize(line_matches(docs), "matches")
+    gone = materialize(removed_lines(docs, min_words), "gone")
     names = ["id", *keep]
     fields = {f.name: f.dataType.simpleString() for f in docs.schema}
-    run, schema = _cut(names, docs.count(), min_words)
-    joined = compress_text(docs, "rid", "rv", *names).join(matches, ["rid", "rv"], "left").select(*names, "z", "kinds", "matches")
+    run, schema = _cut(names)
+    joined = compress_text(docs, "rid", "rv", *names).join(gone, ["rid", "rv"], "left").select(*names, "z", "gone")
     return joined.mapInArrow(run, ", ".join(f"`{n}` {fields[n]}" for n in names) + ", " + schema)
 
 

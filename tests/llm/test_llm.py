@@ -423,3 +423,63 @@ def test_entry_has_all():
     names = entry.queries()
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
     assert json.dumps(sorted(entry.oracle_sql()))
+
+
+def whole_lines(rows):
+    """Pairs of whole documents, one by one, without owners: a pair is aligned if a block of it has a rare line."""
+    keys = sorted({(r.doc_id, r.text or "") for r in rows})
+    lines = {k: [x for x in k[1].split("\n") if words(x)] for k in keys}
+    df = Counter(x for r in rows for x in set(lines[r.doc_id, r.text or ""]))
+    out = {}
+    for n, k in enumerate(keys):
+        limit = max(line_dedup.RARE_DOCS + line_dedup.RARE_SHARE * len(rows), line_dedup.RARER * min((df[x] for x in lines[k]), default=1))
+        gone = set()
+        for o in keys[:n]:
+            a, b = ([(i, x, len(words(x))) for i, x in enumerate(lines[d])] for d in (k, o))
+            at = line_dedup.blocks_of(a, b, line_dedup.MIN_WORDS)
+            if any(df[lines[k][i]] <= limit for i in at):
+                gone |= at
+        out[k] = (len(lines[k]), len(gone), gone)
+    return out
+
+
+def test_line_dedup_whole_pairs(spark):
+    """Copies whose lines have different first owners go whole."""
+    r = random.Random(8)
+    say = lambda n: " ".join("u%d" % r.randrange(5000) for _ in range(n))
+    pool = [say(r.randint(4, 9)) for _ in range(40)]
+    texts = ["\n".join([say(12), x, say(12)]) for x in pool]  # each line of the pool has an owner of its own
+    for k in range(0, 40, 5):
+        texts += ["\n".join([*pool[k : k + 5], say(11)])] * 2  # a document of fragments and its exact copy
+        texts += ["\n".join([say(12), *pool[k : k + 5]])]  # and one that shares only the fragments with it
+    df = spark.createDataFrame(rows_of(texts), SCHEMA)
+    want = whole_lines(df.collect())
+    got = {r.id: (r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(df).collect()}
+    assert got == {i: (n, m) for (i, _), (n, m, _) in want.items()}
+    for i in range(40, len(texts), 3):
+        assert got[i] == (6, 0) and got[i + 1] == (6, 6) and got[i + 2] == (6, 5)
+
+
+def test_runs():
+    r = random.Random(4)
+    for _ in range(100):
+        n = r.randrange(1, 14)
+        w, at, p = [r.randint(1, 14) for _ in range(n)], [], 0
+        for _ in range(n):
+            p += r.choice((1, 1, 1, 2))
+            at.append(p)
+        got = line_dedup.runs_of(at, w, 10)
+        assert all(sum(w[i : j + 1]) >= 10 and at[j] - at[i] == j - i for i, j in got)
+        for i in range(n):
+            for j in range(i, n):  # every line of a block is in a run of the block
+                if at[j] - at[i] == j - i and sum(w[i : j + 1]) >= 10:
+                    assert {k for a, b in got if i <= a and b <= j for k in range(a, b + 1)} == set(range(i, j + 1))
+
+
+def test_blocks_in_another_order():
+    a, b, c, d = (0, "p", 11), (1, "q", 9), (2, "r", 6), (3, "s", 6)
+    here = [a, b, c, d]
+    assert line_dedup.blocks_of(here, [(0, "r", 6), (1, "s", 6), (5, "q", 9), (7, "p", 11)], 10) == {0, 2, 3}
+    assert line_dedup.blocks_of(here, [(0, "q", 9), (2, "p", 11)], 10) == {0}
+    assert line_dedup.blocks_of([(0, "p", 11), (1, "p", 11)], [(4, "p", 11)], 10) in ({0}, {1})
+    assert line_dedup.blocks_of(here, [(0, "s", 6), (1, "r", 6)], 10) == set()
