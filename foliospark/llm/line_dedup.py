@@ -15,7 +15,9 @@ A line brings a pair together if it is *rare*: in at most
 ``RARE_DOCS + RARE_SHARE * documents`` documents, or hardly more common than
 the later document's rarest line - so members of a group of copies find their
 first however large the group is, while a line that is common among otherwise
-unlike documents brings nobody together.  A run does if it has a rare line.
+unlike documents brings nobody together.  A run does if it has a rare line, and
+a run of ``RUN_WORDS`` words does however frequent its lines are, so a long
+passage goes from all documents but its earliest holder.
 
 Alignment is patience diff: lines that occur once on either side, in their
 longest increasing order, are anchors; before, between and behind anchors the
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 
 from foliospark.llm.common import compress_text, keyed, materialize, slices
 
-MIN_WORDS, RARE_DOCS, RARE_SHARE, RARER = 10, 10, 0.01, 10
+MIN_WORDS, RUN_WORDS, RARE_DOCS, RARE_SHARE, RARER = 10, 50, 10, 0.01, 10
 
 
 def _lines():
@@ -222,10 +224,11 @@ def _keys(min_words: int):
                 rows += {(rid, rv, None, True, o, v) for r, o, v in zip(rare, orid, orv) if r and (o, v) != (rid, rv)}
                 raw, seen = np.array(h, np.int64), np.cumsum([0, *rare])
                 keys: dict = {}
-                for i, j in runs_of(at, words, min_words):
-                    if i < j:  # a line alone has its owner
+                long = runs_of(at, words, max(RUN_WORDS, min_words))
+                for i, j in runs_of(at, words, min_words) | long:
+                    if i < j or (i, j) in long:  # a shorter line alone has its owner
                         key = xxhash.xxh3_64_intdigest(raw[i : j + 1].tobytes())
-                        keys[key] = keys.get(key, False) or bool(seen[j + 1] > seen[i])
+                        keys[key] = keys.get(key, False) or (i, j) in long or bool(seen[j + 1] > seen[i])
                 rows += [(rid, rv, key - (1 << 63), joins, None, None) for key, joins in keys.items()]
             types = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
@@ -313,7 +316,8 @@ def dedup_lines(
     names = ["id", *keep]
     fields = {f.name: f.dataType.simpleString() for f in docs.schema}
     run, schema = _cut(names)
-    joined = compress_text(docs, "rid", "rv", *names).join(gone, ["rid", "rv"], "left").select(*names, "z", "gone")
+    # by a merge at any size: what is to go grows with the input
+    joined = compress_text(docs, "rid", "rv", *names).join(gone.hint("merge"), ["rid", "rv"], "left").select(*names, "z", "gone")
     return joined.mapInArrow(run, ", ".join(f"`{n}` {fields[n]}" for n in names) + ", " + schema)
 
 

@@ -483,3 +483,14 @@ def test_blocks_in_another_order():
     assert line_dedup.blocks_of(here, [(0, "q", 9), (2, "p", 11)], 10) == {0}
     assert line_dedup.blocks_of([(0, "p", 11), (1, "p", 11)], [(4, "p", 11)], 10) in ({0}, {1})
     assert line_dedup.blocks_of(here, [(0, "s", 6), (1, "r", 6)], 10) == set()
+
+
+def test_line_dedup_frequent_passage(spark):
+    """A passage of 50 words goes however many documents share it; a frequent line alone brings nobody together."""
+    r = random.Random(12)
+    say = lambda n: " ".join("z%d" % r.randrange(9000) for _ in range(n))
+    passage, line, long = [say(18) for _ in range(3)], say(14), say(60)
+    texts = ["\n".join([say(12), *passage, say(12)]) for _ in range(30)]
+    texts += ["\n".join([say(12), line, say(12)]) for _ in range(30)] + ["\n".join([say(12), long]) for _ in range(30)]
+    got = {r.id: r.n_removed for r in line_dedup.dedup_lines(spark.createDataFrame(rows_of(texts), SCHEMA)).collect()}
+    assert got == {i: 0 if i % 30 == 0 else (3, 0, 1)[i // 30] for i in range(90)}
