@@ -29,7 +29,7 @@ from foliospark.llm.common import WORD_SPLIT, keyed, materialize, n_words_of
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 HAS_WORD = "[^\\x20\\x09-\\x0D]"
-LEAST_DOCS, LINE_SHARE, KEEP_SHARE = 20, 0.2, 0.5
+LEAST_DOCS, LINE_SHARE, KEEP_SHARE = 20, 0.001, 0.5
 
 
 def let(value: Column, body) -> Column:

@@ -494,3 +494,13 @@ def test_line_dedup_frequent_passage(spark):
     texts += ["\n".join([say(12), line, say(12)]) for _ in range(30)] + ["\n".join([say(12), long]) for _ in range(30)]
     got = {r.id: r.n_removed for r in line_dedup.dedup_lines(spark.createDataFrame(rows_of(texts), SCHEMA)).collect()}
     assert got == {i: 0 if i % 30 == 0 else (3, 0, 1)[i // 30] for i in range(90)}
+
+
+def test_quality_rules_limit(spark):
+    """A line of 21 texts is above the limit of a host of 300 texts; one of 20 is not."""
+    letters = str.maketrans("0123456789", "abcdefghij")
+    say = lambda i: " ".join(("p%d_%d" % (i, k)).translate(letters) for k in range(50))
+    texts = [say(i) + ("\nof twenty-one texts" if i < 21 else "\nof twenty texts alone" if i < 41 else "") for i in range(300)]
+    df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = {r.id: r.removed_words for r in quality_rules.apply_quality_rules(df).collect()}
+    assert got == {i: 3 if i < 21 else 0 for i in range(300)}
