@@ -25,11 +25,11 @@ def _of_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    verdict = apply_quality_rules(docs).filter("kept").select("rid", "rv").distinct()
-    i, t = docs["doc_id"].cast("long"), docs["text"]
-    near = (F.coalesce(i, F.lit(-(2**63))) == verdict["rid"]) & (F.hash(i, t) == verdict["rv"])
-    return docs.join(verdict, near, "left_semi")
+    """Documents that the quality rules reject go, and so do frequent lines of the others."""
+    rest = [c for c in docs.columns if c not in ("text", "n_chars")]
+    out = apply_quality_rules(docs.withColumn("_row", F.struct(*rest)), keep=("_row",)).filter("kept")
+    text = F.col("kept_text")
+    return out.select(*(F.col("_row")[c].alias(c) for c in rest), text.alias("text"), F.length(text).cast("long").alias("n_chars")).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

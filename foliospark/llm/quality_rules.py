@@ -6,7 +6,7 @@ trimmed, lower-cased, inner blanks to one, digits to 0) and hashed; for each
 host the distinct documents that hold a line are counted - equal texts of one
 host count once, so copies of a clean text do not make its lines boilerplate.
 A line in more than ``max(least_docs, line_share * documents of the host)`` of
-them is removed; a document is depleted, and rejected, when fewer than
+them is removed from the text that is returned; a document is depleted, and rejected, when fewer than
 ``keep_share`` of its words are left.
 
 The frequent lines of a host number fewer than its average lines a document
@@ -95,23 +95,31 @@ def with_base(df: DataFrame, text_col: str = "text") -> DataFrame:
     ).withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def frequent_line_words(docs: DataFrame, least_docs: int, line_share: float) -> DataFrame:
-    """(rid, rv, removed_words) of the rows of (rid, rv, host, text) that have lines to remove.
+def frequent_lines(docs: DataFrame, least_docs: int, line_share: float) -> DataFrame:
+    """(rid, rv, removed_words, at) of the rows of (rid, rv, host, text) that have lines to remove, ``at`` being their places.
 
     Lines are counted by occurrence first, with map-side sums; only the few
     that pass are counted exactly, by distinct text.
     """
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(HAS_WORD))
-    hashed = F.transform(lines, lambda x: F.struct(F.xxhash64(normalised(x)).alias("h"), n_words_of(x).alias("w")))
-    each = docs.select("rid", "rv", F.xxhash64("host").alias("host"), F.xxhash64("text").alias("content"), F.posexplode(hashed).alias("i", "l"))
-    each = materialize(each.select("rid", "rv", "host", "content", "i", "l.h", "l.w"), "lines")
+    lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("i")))
+    lines = F.filter(lines, lambda l: l["x"].rlike(HAS_WORD))
+    hashed = F.transform(lines, lambda l: F.struct(F.xxhash64(normalised(l["x"])).alias("h"), n_words_of(l["x"]).alias("w"), l["i"].alias("i")))
+    each = docs.select("rid", "rv", F.xxhash64("host").alias("host"), F.xxhash64("text").alias("content"), F.explode(hashed).alias("l"))
+    each = materialize(each.select("rid", "rv", "host", "content", "l.i", "l.h", "l.w"), "lines")
     limit = each.select("host", "content").distinct().groupBy("host").agg(F.greatest(F.lit(float(least_docs)), line_share * F.count("*")).alias("limit"))
     often = each.groupBy("host", "h").agg(F.count("*").alias("c")).filter(F.col("c") > least_docs)
     often = often.join(limit, "host").filter("c > limit").select("host", "h", "limit")
     held = materialize(each.join(often, ["host", "h"]), "held")
     above = held.select("host", "h", "content", "limit").distinct().groupBy("host", "h").agg((F.count("*") > F.first("limit")).alias("above"))
     gone = held.join(above.filter("above"), ["host", "h"]).select("rid", "rv", "h", "i", "w").distinct()
-    return gone.groupBy("rid", "rv").agg(F.sum("w").alias("removed_words"))
+    return gone.groupBy("rid", "rv").agg(F.sum("w").alias("removed_words"), F.collect_list("i").alias("at"))
+
+
+def without_lines(text: Column, at: Column) -> Column:
+    """``text`` without the lines at the places ``at``; null places leave it as it is."""
+    kept = lambda x: F.array_except(F.sequence(F.lit(0), F.size(x) - 1), at)
+    cut = let(F.split(text, "\n"), lambda x: F.array_join(F.transform(kept(x), lambda i: F.get(x, i)), "\n"))
+    return F.when(at.isNull(), text).otherwise(cut)
 
 
 def apply_quality_rules(
@@ -122,21 +130,23 @@ def apply_quality_rules(
     least_docs: int = LEAST_DOCS,
     line_share: float = LINE_SHARE,
     keep_share: float = KEEP_SHARE,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(rid, rv, id, n_words .. base_failed, removed_words, kept): the verdict on every row."""
-    docs = keyed(df.withColumn("_host", F.col(host_col).cast("string")), id_col, text_col, "_host")
+    """(rid, rv, id, *keep, n_words .. base_failed, removed_words, kept, kept_text): the verdict on every row, and its text without frequent lines."""
+    docs = keyed(df.withColumn("_host", F.col(host_col).cast("string")), id_col, text_col, "_host", *keep)
     docs = docs.withColumnRenamed("_host", "host")
-    gone = frequent_line_words(docs, least_docs, line_share)
-    base = with_base(docs).drop("text", "host")
+    gone = frequent_lines(docs.select("rid", "rv", "host", "text"), least_docs, line_share)
+    base = with_base(docs).drop("host")
     out = base.join(gone, ["rid", "rv"], "left")
     removed = F.coalesce("removed_words", F.lit(0)).cast("long")
     kept = ~F.col("base_failed") & (F.col("n_words") - removed >= keep_share * F.col("n_words"))
-    return out.select(*base.columns, removed.alias("removed_words"), kept.alias("kept"))
+    text = without_lines(F.col("text"), F.col("at")).alias("kept_text")
+    return out.select(*(c for c in base.columns if c != "text"), removed.alias("removed_words"), kept.alias("kept"), text)
 
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return apply_quality_rules(docs).withColumnRenamed("id", "doc_id").drop("rid", "rv")
+    return apply_quality_rules(docs).withColumnRenamed("id", "doc_id").drop("rid", "rv", "kept_text")
 
 
 ORACLE_SQL = f"""

@@ -504,3 +504,20 @@ def test_quality_rules_limit(spark):
     df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
     got = {r.id: r.removed_words for r in quality_rules.apply_quality_rules(df).collect()}
     assert got == {i: 3 if i < 21 else 0 for i in range(300)}
+
+
+def test_quality_rules_cut_lines(spark):
+    """Lines above the limit are out of the returned text, and out of what the pipeline passes on."""
+    import corpus_pipeline
+
+    letters = str.maketrans("0123456789", "abcdefghij")  # digits are alike to the rule
+    say = lambda i, n: " ".join(("q%d_%d" % (i, k)).translate(letters) for k in range(n))
+    texts = ["%s\n\n Share  this page %d\n%s\nshare this page 0\n" % (say(i, 40), i % 10, say(i + 1000, 40)) for i in range(25)]
+    texts += [say(i + 2000, 60) + "\n\n" for i in range(5)]
+    df = spark.createDataFrame([(i, t, "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, source string, n_chars long")
+    want = {i: (8, "%s\n\n%s\n" % (say(i, 40), say(i + 1000, 40))) if i < 25 else (0, texts[i]) for i in range(30)}
+    got = quality_rules.apply_quality_rules(df, least_docs=20, line_share=0.0)
+    assert {r.id: (r.removed_words, r.kept_text) for r in got.collect()} == want
+    out = corpus_pipeline.quality_rules(spark, df, "")
+    assert out.columns == df.columns
+    assert {r.doc_id: (r.text, r.n_chars) for r in out.collect()} == {i: (t, len(t)) for i, (_, t) in want.items()}
