@@ -17,6 +17,8 @@ from foliospark.llm.mixing import mix_sources, repeat_rows
 from foliospark.llm.near_dedup import near_components
 from foliospark.llm.quality_rules import apply_quality_rules
 
+NEAR_PERCENT = 80
+
 
 def _of_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is among ``keys``; a null id is an id like others."""
@@ -41,8 +43,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    return _of_rows(docs, near_components(docs).filter("kept"))
+    """One document of each group of near duplicates, of a similarity of ``NEAR_PERCENT`` and more, stays."""
+    return _of_rows(docs, near_components(docs, percent=NEAR_PERCENT).filter("kept"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,9 +5,10 @@ shingle.  Shingles are 64-bit hashes.
 
 Signature.  Shingles fall into ``BUCKETS`` buckets by hash; of each bucket's
 smallest value only the number of leading zeros and ``MANTISSA`` following
-bits are stored.  Registers are banded by eight: a pair at 0.85 misses all
-forty bands with probability (1 - 0.85**8)**40, three in a million; in small
-sets one differing shingle spoils one band at most.
+bits are stored.  Registers are banded by as many rows as let a pair at the
+threshold miss all bands with a probability of ``MISS`` at most: at 0.85 forty
+bands of eight, (1 - 0.85**8)**40, and at 0.80 fifty-three of six; in small sets
+one differing shingle spoils one band at most.
 
 Candidates.  Documents with equal sets are one node.  A band key with several
 nodes elects a *centre*, the node whose keys are shared most, and only pairs
@@ -42,12 +43,18 @@ from pyspark.sql import functions as F
 from foliospark.llm.common import BASES, NULL_ID, Rolling, compress_text, keyed, materialize, mix, signed, slices, word_hashes
 
 SHINGLE, PERCENT = 5, 85
-BANDS, ROWS, MANTISSA = 40, 8, 26
-BUCKETS = BANDS * ROWS
+BUCKETS, MANTISSA, MISS = 320, 26, 3e-6
 _EMPTY = np.uint64(1 << 63)
 #: Of the sketch: longs a bit plane, and planes of mantissa bits.
 _WORDS, _PLANES = BUCKETS // 64, 4
-_FACTORS = mix(np.arange(1, ROWS + 1, dtype=np.uint64) * np.uint64(BASES[0])) | np.uint64(1)
+
+
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows a band, as many rows as ``MISS`` allows at a similarity of ``percent``."""
+    for rows in range(16, 0, -1):
+        if (1 - (percent / 100) ** rows) ** (BUCKETS // rows) <= MISS:
+            return BUCKETS // rows, rows
+    raise ValueError(f"{BUCKETS} registers are too few for a similarity of {percent} %")
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -74,10 +81,12 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     return np.where(least == np.uint64(2**64 - 1), _EMPTY, (zeros << np.uint64(MANTISSA)) | mantissa)
 
 
-def band_keys(regs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def band_keys(regs: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all bands, and which of them have a register that is not empty."""
-    banded = regs.reshape(len(regs), BANDS, ROWS)
-    keys = mix((mix(banded) * _FACTORS).sum(axis=2, dtype=np.uint64) + mix(np.arange(1, BANDS + 1, dtype=np.uint64)))
+    bands, rows = banding(percent)
+    factors = mix(np.arange(1, rows + 1, dtype=np.uint64) * np.uint64(BASES[0])) | np.uint64(1)
+    banded = regs[:, : bands * rows].reshape(len(regs), bands, rows)
+    keys = mix((mix(banded) * factors).sum(axis=2, dtype=np.uint64) + mix(np.arange(1, bands + 1, dtype=np.uint64)))
     return keys, (banded != _EMPTY).any(axis=2)
 
 
@@ -97,7 +106,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n: int, m: int) -> float:
     return (equal - chance) / (1 - chance)
 
 
-def _signatures():
+def _signatures(percent: int):
     names = ["rid", "rv", "id", "n_shingles", "d1", "d2", "bands", "sketch"]
 
     def run(batches):
@@ -105,7 +114,7 @@ def _signatures():
             for part in slices(batch):
                 sets = shingle_sets(part.column("text"))
                 regs = registers(sets)
-                keys, valid = band_keys(regs)
+                keys, valid = band_keys(regs, percent)
                 sums = lambda base: pa.array([int(mix(s ^ np.uint64(base)).sum(dtype=np.uint64).view(np.int64)) for s in sets], pa.int64())
                 offsets = np.concatenate([[0], np.cumsum(valid.sum(axis=1))]).astype(np.int32)
                 bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(keys[valid])))
@@ -241,7 +250,7 @@ def _possible(rest: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
     docs = keyed(df, id_col, text_col)
-    run, schema = _signatures()
+    run, schema = _signatures(percent)
     signed_docs = materialize(docs.mapInArrow(run, schema), "signatures")
     nodes = signed_docs.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min(F.struct("rid", "rv")).alias("m"))
     nodes = materialize(nodes.select("d1", "d2", F.col("m.rid").alias("node"), F.col("m.rv").alias("node_rv")), "nodes")

@@ -521,3 +521,26 @@ def test_quality_rules_cut_lines(spark):
     out = corpus_pipeline.quality_rules(spark, df, "")
     assert out.columns == df.columns
     assert {r.doc_id: (r.text, r.n_chars) for r in out.collect()} == {i: (t, len(t)) for i, (_, t) in want.items()}
+
+
+def test_banding():
+    assert near_dedup.banding(85) == (40, 8)
+    for percent in range(5, 101):
+        bands, rows = near_dedup.banding(percent)
+        assert bands * rows <= near_dedup.BUCKETS and (1 - (percent / 100) ** rows) ** bands <= near_dedup.MISS
+    with pytest.raises(ValueError):
+        near_dedup.banding(2)
+
+
+def test_near_stage_takes_80(spark):
+    """A pair between 0.80 and 0.85 goes in the pipeline's stage, one below 0.80 stays."""
+    import corpus_pipeline
+
+    say = lambda i: ["n%d_%d" % (i, k) for k in range(204)]
+    change = lambda w, at: " ".join("changed" if k in at else x for k, x in enumerate(w))
+    texts = [" ".join(say(0)), change(say(0), {20, 60, 100, 140}), " ".join(say(1)), change(say(1), {20, 60, 100, 140, 180})]
+    for a, b, low, high in ((0, 1, 0.80, 0.85), (2, 3, 0.75, 0.80)):
+        s, t = shingles(texts[a]), shingles(texts[b])
+        assert low < len(s & t) / len(s | t) < high
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == {0, 2, 3}
