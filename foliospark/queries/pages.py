@@ -134,9 +134,10 @@ def column_repair(table):
 
 
 def _paired(table):
-    """Documents, each with one benchmark item that its id points to."""
-    items = table("benchmark").select(F.col("item_id").alias("k"), F.col("text").alias("item"))
-    return table("documents").withColumn("k", F.pmod("doc_id", F.lit(40))).join(items, "k")
+    """Documents and benchmark items by their ids, modulo the smaller table's ids: all of both take part."""
+    docs, items = table("documents"), table("benchmark").select("item_id", F.col("text").alias("item"))
+    n = min((t.agg(F.max(i)).first()[0] or 0) + 1 for t, i in ((docs, "doc_id"), (items, "item_id")))
+    return docs.withColumn("k", F.pmod("doc_id", F.lit(n))).join(items.withColumn("k", F.pmod("item_id", F.lit(n))), "k")
 
 
 @query()

@@ -208,3 +208,16 @@ def test_vocabulary_is_a_parameter(spark):
     v = replace(DEFAULT, headers=(("ingredients", ("Stuff",)),))
     row = spark.createDataFrame([("Stuff: x",)], "t string").select(pages.section_header(F.col("t"), v).alias("h")).first().h
     assert tuple(row) == ("ingredients", "x")
+
+
+def test_paired_takes_all_items(spark):
+    from foliospark.queries import pages
+
+    for n_docs, n_items in ((130, 60), (30, 60)):
+        tables = {
+            "documents": spark.range(n_docs).selectExpr("id AS doc_id", "'t' AS text"),
+            "benchmark": spark.range(n_items).selectExpr("id AS item_id", "concat('item ', id) AS text"),
+        }
+        rows = pages._paired(tables.get).collect()
+        assert {r["item"] for r in rows} == {f"item {i}" for i in range(n_items)} and {r.doc_id for r in rows} == set(range(n_docs))
+        assert len(rows) == max(n_docs, n_items)
