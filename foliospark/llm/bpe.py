@@ -2,16 +2,19 @@
 
 Encoding.  Text is split by the tokenizer's pattern.  Pieces that are a token
 are looked up; the others become rows (word, position, token) of single bytes.
-A recursive query joins neighbouring tokens with the merge table, contracts
-each word's leftmost pair of least rank, and passes a word on until no pair of
-it merges.  The merge table holds every split of every token into two tokens,
-derived from the rank file when a worker starts.  Each distinct piece is
-encoded once and kept in a bounded cache.  A contraction costs a pass over the
-word, so pieces beyond ``LONG`` bytes are merged by a heap instead, with equal
-results.
+A recursive query joins neighbouring tokens with the merge table and contracts
+the pair of least rank in each word, from left to right: every place of it in
+one round, of overlapping places every other one.  That equals one leftmost
+contraction after another, unless the new token forms a pair of a lower rank
+with a neighbour; tokens that can (*loud* ones, found in the merge table) are
+contracted at the leftmost place only.  A word leaves when no pair of it merges.
+Pieces of all lengths go this way; a long one takes about as many rounds as it
+has different merges.  The merge table holds every split of every token into
+two tokens, derived from the rank file when a worker starts.  Each distinct
+piece is encoded once and kept in a bounded cache.
 
 Decoding.  Rows (document, position, token) join the vocabulary; an aggregation
-ordered by position puts the bytes together.
+ordered by position puts the bytes together, a character up to U+00FF a byte.
 
 Null or empty texts have no tokens and decode to no bytes; repeated rows are
 each encoded; columns are named by the caller and no other column is read.
@@ -20,7 +23,6 @@ each encoded; columns are named by the caller and no other column is read.
 from __future__ import annotations
 
 import base64
-import heapq
 from itertools import chain
 
 import numpy as np
@@ -28,26 +30,31 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from foliospark.llm.common import slices
+from foliospark.llm.common import mapped, quoted, slices
 
-LONG, CACHED = 2048, 200_000
-#: Tokens that one decoding query takes.
-DECODED = 1 << 20
+CACHED, SLICE = 150_000, 1 << 19
+#: Bytes of new pieces that one query encodes, and tokens that one query decodes; a longer piece or document takes a query alone.
+ENCODED, DECODED = 1 << 18, 1 << 17
 
+# ranks are doubled, odd for loud ones; hits are places of a word's best pair, ``nth`` is a hit's number in its run of overlapping ones
 _MERGE = """
 WITH RECURSIVE s(w, pos, tok, ended) AS (
   SELECT w, pos, tok, false FROM fresh
   UNION ALL (
-    WITH t AS MATERIALIZED (
-      SELECT w, pos, tok, CASE WHEN lead(w) OVER o = w THEN lead(tok) OVER o END AS after, CASE WHEN lag(w) OVER o = w THEN lag(pos) OVER o END AS before
+    WITH p AS (
+      SELECT w, pos, tok, row_number() OVER o AS n, CASE WHEN lead(w) OVER o = w THEN (tok::BIGINT << 20) | lead(tok) OVER o END AS pair
       FROM s WHERE NOT ended WINDOW o AS (ORDER BY w, pos)),
-    best AS (SELECT w, min((k::BIGINT << 20) | pos) AS b FROM t JOIN merges ON pair = (tok::BIGINT << 20) | after GROUP BY w)
-    SELECT t.w, t.pos, CASE WHEN t.pos = (b & 1048575) THEN (b >> 20)::INTEGER ELSE tok END, b IS NULL
-    FROM t LEFT JOIN best ON t.w = best.w WHERE b IS NULL OR before IS NULL OR before <> (b & 1048575)))
+    t AS MATERIALIZED (SELECT w, pos, tok, n, k FROM p LEFT JOIN merges USING (pair)),
+    best AS MATERIALIZED (SELECT w, min(k) AS b FROM t GROUP BY w),
+    hits AS (SELECT t.w, n, b, n - row_number() OVER (ORDER BY n) AS run, min(n) OVER (PARTITION BY t.w) AS leftmost FROM t JOIN best ON t.w = best.w AND k = b),
+    used AS MATERIALIZED (
+      SELECT n, b FROM (SELECT n, b, leftmost, row_number() OVER (PARTITION BY run ORDER BY n) AS nth FROM hits) WHERE (nth & 1) = 1 AND ((b & 1) = 0 OR n = leftmost))
+    SELECT t.w, t.pos, CASE WHEN u.b IS NULL THEN t.tok ELSE u.b >> 1 END, best.b IS NULL
+    FROM t JOIN best ON t.w = best.w LEFT JOIN used u ON t.n = u.n LEFT JOIN used v ON t.n = v.n + 1 WHERE v.n IS NULL))
 SELECT w, list(tok ORDER BY pos) AS ids FROM s WHERE ended GROUP BY w ORDER BY w"""
 
 _DECODE = """
-SELECT d, string_agg(hex, '' ORDER BY i) AS hex
+SELECT d, string_agg(said, '' ORDER BY i) AS said
 FROM (SELECT d, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM coded) JOIN vocabulary USING (id) GROUP BY d"""
 
 
@@ -69,79 +76,67 @@ class Codec:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
         self.split = regex.compile(pattern).findall
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
         pairs: dict[int, int] = {}
+        loud: set[int] = set()
         for token, rank in self.ranks.items():
             for i in range(1, len(token)):
                 left, right = self.ranks.get(token[:i]), self.ranks.get(token[i:])
                 if left is not None and right is not None:
                     pairs[(left << 20) | right] = rank
-        self.pairs = pairs
+                    loud.update(x for x in (left, right) if x > rank)
         self.of_byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
-        self._table("m", pair=pa.array(pairs, pa.int64()), k=pa.array(pairs.values(), pa.int32()))
-        self._table("v", id=pa.array(self.ranks.values(), pa.int32()), hex=pa.array([t.hex() for t in self.ranks]))
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
+        self._table("m", pair=pa.array(pairs, pa.int64()), k=pa.array([2 * r + (r in loud) for r in pairs.values()], pa.int32()))
+        self._table("v", id=pa.array(self.ranks.values(), pa.int32()), said=pa.array([t.decode("latin-1") for t in self.ranks]))
         self.db.execute("CREATE TABLE merges AS FROM m; CREATE TABLE vocabulary AS FROM v")
+        self.db.unregister("m")
+        self.db.unregister("v")
 
     def _table(self, name: str, **columns) -> None:
         self.db.register(name, pa.table(columns))
 
-    def _long(self, piece: bytes) -> np.ndarray:
-        """The same contractions with a heap of pairs and links between neighbours."""
-        ids = [int(self.of_byte[b]) for b in piece]
-        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
-        pair = lambda i: self.pairs.get((ids[i] << 20) | ids[after[i]]) if after[i] < len(ids) else None
-        heap = [(r, i) for i in range(len(ids)) if (r := pair(i)) is not None]
-        heapq.heapify(heap)
-        while heap:
-            rank, i = heapq.heappop(heap)
-            if ids[i] < 0 or pair(i) != rank:
-                continue
-            gone = after[i]
-            ids[i], ids[gone], after[i] = rank, -1, after[gone]
-            if after[i] < len(ids):
-                before[after[i]] = i
-            for j in (i, before[i]):
-                if j >= 0 and (r := pair(j)) is not None:
-                    heapq.heappush(heap, (r, j))
-        return np.array([x for x in ids if x >= 0], np.int32)
+    def _contract(self, part: list[tuple[str, bytes]]) -> None:
+        n = np.array([len(b) for _, b in part])
+        of = np.repeat(np.arange(len(part), dtype=np.int32), n)
+        tok = self.of_byte[np.frombuffer(b"".join(b for _, b in part), np.uint8)]
+        self._table("fresh", w=pa.array(of), pos=pa.array((np.arange(len(of)) - (np.cumsum(n) - n)[of]).astype(np.int32)), tok=pa.array(tok))
+        ids = self.db.sql(_MERGE).to_arrow_table().column("ids").combine_chunks()
+        flat, off = ids.values.to_numpy().astype(np.int32).tobytes(), (4 * ids.offsets.to_numpy().astype(np.int64)).tolist()
+        self.known.update((p, flat[a:b]) for (p, _), a, b in zip(part, off[:-1], off[1:]))
 
     def _learn(self, pieces: list[str]) -> None:
         """Ids of pieces that are not known yet."""
         if len(self.known) > CACHED:
             self.known.clear()
-        fresh = []
+        part, size = [], 0
         for p in pieces:
             if p not in self.known:
                 b = p.encode()
                 if (rank := self.ranks.get(b)) is not None:
-                    self.known[p] = np.array([rank], np.int32)
-                elif len(b) > LONG:
-                    self.known[p] = self._long(b)
-                else:
-                    fresh.append((p, b))
-        for at in range(0, len(fresh), 50_000):
-            part = fresh[at : at + 50_000]
-            n = np.array([len(b) for _, b in part])
-            of = np.repeat(np.arange(len(part), dtype=np.int32), n)
-            tok = self.of_byte[np.frombuffer(b"".join(b for _, b in part), np.uint8)]
-            self._table("fresh", w=pa.array(of), pos=pa.array((np.arange(len(of)) - (np.cumsum(n) - n)[of]).astype(np.int32)), tok=pa.array(tok))
-            ids = self.db.sql(_MERGE).to_arrow_table().column("ids").combine_chunks()
-            flat, off = ids.values.to_numpy(), ids.offsets.to_numpy()
-            self.known.update((p, flat[a:b].copy()) for (p, _), a, b in zip(part, off[:-1], off[1:]))
+                    self.known[p] = rank.to_bytes(4, "little")
+                    continue
+                if part and size + len(b) > ENCODED:
+                    self._contract(part)
+                    part, size = [], 0
+                part.append((p, b))
+                size += len(b)
+        if part:
+            self._contract(part)
 
     def encode(self, texts: pa.Array) -> pa.LargeListArray:
         pieces = [self.split(t) if t else [] for t in texts.to_pylist()]
         counts = np.array([len(p) for p in pieces], np.int64)
         coded = pa.array(chain.from_iterable(pieces), pa.large_string()).dictionary_encode()
+        del pieces
         distinct = coded.dictionary.to_pylist()
         self._learn(distinct)
         missing = [p for p in distinct if p not in self.known]  # only if the cache was emptied meanwhile
         if missing:
             self._learn(missing)
         ids = [self.known[p] for p in distinct]
-        size = np.array([len(x) for x in ids], np.int64)
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+        size = np.array([len(x) // 4 for x in ids], np.int64)
+        flat = np.frombuffer(b"".join(ids), np.int32)
         index = coded.indices.to_numpy().astype(np.int64)
         n = size[index]
         ends = np.cumsum(n)
@@ -158,8 +153,8 @@ class Codec:
             if b > a:
                 self._table("coded", d=pa.array(np.arange(a, b, dtype=np.int64)), ids=ids.slice(a, b - a))
                 got = self.db.sql(_DECODE).to_arrow_table()
-                for d, h in zip(got.column("d").to_pylist(), got.column("hex").to_pylist()):
-                    out[d] = bytes.fromhex(h)
+                for d, said in zip(got.column("d").to_pylist(), got.column("said")):
+                    out[d] = said.as_py().encode("latin-1")
         return out
 
 
@@ -169,20 +164,19 @@ def _vocabulary(path: str | None, pattern: str | None) -> tuple[str, str]:
     return path or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN
 
 
-def _map(df: DataFrame, text: str, extra: list[tuple[str, str]], make, path, pattern) -> DataFrame:
-    """``df`` with columns that ``make(codec, batch)`` gives, a few megabytes of rows at a time."""
+def _map(df: DataFrame, text: str, keep: list[str], extra: list[tuple[str, str]], make, path, pattern) -> DataFrame:
+    """``keep`` of ``df`` with columns that ``make(codec, batch)`` gives, a few megabytes of rows at a time."""
     path, pattern = _vocabulary(path, pattern)
-    names = [*df.columns, *(n for n, _ in extra)]
+    names = [*keep, *(n for n, _ in extra)]
 
     def run(batches):
         codec = Codec.get(path, pattern)
         for batch in batches:
-            for part in slices(batch, text) if text else [batch]:
-                yield pa.RecordBatch.from_arrays([*part.columns, *make(codec, part)], names)
+            for part in slices(batch, text, SLICE) if text else [batch]:
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in keep), *make(codec, part)], names)
+        codec.known.clear()  # what an idle worker keeps is the vocabulary
 
-    quoted = lambda n: "`" + n.replace("`", "``") + "`"
-    schema = ", ".join([*(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema), *(f"{quoted(n)} {t}" for n, t in extra)])
-    return df.mapInArrow(run, schema)
+    return mapped(df, run, ", ".join(f"{quoted(n)} {t}" for n, t in extra), keep)
 
 
 def _lists(ids: pa.Array) -> pa.Array:
@@ -191,12 +185,12 @@ def _lists(ids: pa.Array) -> pa.Array:
 
 def encode(df: DataFrame, text_col: str = "text", ids_col: str = "ids", path: str | None = None, pattern: str | None = None) -> DataFrame:
     """``df`` and the token ids of a text column."""
-    return _map(df, text_col, [(ids_col, "array<int>")], lambda codec, part: [_lists(codec.encode(part.column(text_col)))], path, pattern)
+    return _map(df, text_col, df.columns, [(ids_col, "array<int>")], lambda codec, part: [_lists(codec.encode(part.column(text_col)))], path, pattern)
 
 
 def decode(df: DataFrame, ids_col: str = "ids", bytes_col: str = "decoded", path: str | None = None, pattern: str | None = None) -> DataFrame:
     """``df`` and the bytes that a column of token ids stands for; a null list has none."""
-    return _map(df, "", [(bytes_col, "binary")], lambda codec, part: [pa.array(codec.decode(part.column(ids_col)), pa.binary())], path, pattern)
+    return _map(df, "", df.columns, [(bytes_col, "binary")], lambda codec, part: [pa.array(codec.decode(part.column(ids_col)), pa.binary())], path, pattern)
 
 
 def round_trip(df: DataFrame, text_col: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -218,7 +212,7 @@ def round_trip(df: DataFrame, text_col: str = "text", path: str | None = None, p
         ]
 
     columns = [("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
-    return _map(df, text_col, columns, digests, path, pattern).drop(text_col)
+    return _map(df, text_col, [c for c in df.columns if c != text_col], columns, digests, path, pattern)
 
 
 def op8_bpe(spark, sf_dir: str) -> DataFrame:

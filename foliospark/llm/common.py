@@ -1,33 +1,83 @@
 """Helpers that the training-data operators share.
 
 Words are maximal runs of characters other than U+0020 and U+0009-U+000D.
-Rows are told apart inside an operator by ``(rid, rv)``: the integer id (null
-becomes the smallest long) and a 32-bit hash of id and text, so repeated ids
-with different texts stay apart and repeated rows share one result.
+Rows are told apart inside an operator by the 128 bits ``(rid, rv)``: the
+integer id (null becomes the smallest long) and a 64-bit hash of the text and
+of whether there is an id, so repeated ids with different texts stay apart, a
+null id never is the smallest long's, and repeated rows share one result.
+
+Python stages get small Arrow batches, work on slices of texts and give memory
+back when a task ends, for idle workers stay beside a JVM that needs it.
 """
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
-from foliospark.sources.scratch import materialize, scratch_dir  # noqa: F401
+from foliospark.sources.scratch import materialize, release, scratch_dir, scratch_path  # noqa: F401
 
 WORD_SPLIT = "[\\x20\\x09-\\x0D]+"
 NULL_ID = -(2**63)
 #: Texts are handled in slices of about this many bytes, whatever the size of an Arrow batch.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
+#: Rows and bytes of an Arrow batch; sessions with larger batches are set to these.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
 
+def small_batches(df: DataFrame) -> None:
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = int(conf.get(key).rstrip("b"))
+        if now <= 0 or now > most:
+            conf.set(key, str(most))
 
-def keyed(df: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
+
+def keyed(df: DataFrame, id_col: str, text_col: str, *more: str | Column) -> DataFrame:
     """Only (rid, rv, id, text) and ``more``: other columns of ``df``, whatever their names, stay out."""
-    i, t = df[id_col].cast("long"), df[text_col].cast("string")
-    return df.select(
-        F.coalesce(i, F.lit(NULL_ID)).alias("rid"), F.hash(i, t).alias("rv"), i.alias("id"), F.coalesce(t, F.lit("")).alias("text"), *(df[c] for c in more)
-    )
+    small_batches(df)
+    i, t = df[id_col].cast("long"), F.coalesce(df[text_col].cast("string"), F.lit(""))
+    more = [df[quoted(c)] if isinstance(c, str) else c for c in more]
+    return df.select(F.coalesce(i, F.lit(NULL_ID)).alias("rid"), F.xxhash64(i.isNull(), t).alias("rv"), i.alias("id"), t.alias("text"), *more)
+
+
+def with_row(df: DataFrame, *apart: str) -> DataFrame:
+    """``apart`` and one struct ``row`` of all other columns, so that no name of theirs meets one of an operator's."""
+    rest = [df[quoted(c)].alias(c) for c in df.columns if c not in apart]
+    return df.select(*(df[quoted(c)] for c in apart), (F.struct(*rest) if rest else F.struct(F.lit(None).cast("string").alias("none"))).alias("row"))
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def trim() -> None:
+    """Gives freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def mapped(df: DataFrame, run, fields: str, keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """``run`` over the Arrow batches of ``df``; the result's columns are ``keep`` of ``df`` and then ``fields``."""
+    small_batches(df)
+    schema = StructType([StructField(f.name, f.dataType) for f in (df.schema[c] for c in keep)] + _parse_datatype_string(fields).fields)
+
+    def all_batches(batches):
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return df.mapInArrow(all_batches, schema)
 
 
 def words_of(text: Column) -> Column:
@@ -56,10 +106,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text"):
-    """Parts of a batch with about SLICE_BYTES of text each, at least one row."""
+def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES):
+    """Parts of a batch with about ``most`` bytes of text each, at least one row."""
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    part = np.cumsum(size) // SLICE_BYTES
+    part = np.cumsum(size) // most
     cuts = np.flatnonzero(np.diff(part)) + 1
     for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
         if b > a:
@@ -114,14 +164,23 @@ def signed(x: np.ndarray) -> np.ndarray:
 def compress_text(df: DataFrame, *keep: str) -> DataFrame:
     """``text`` becomes zstd bytes ``z``: what a shuffle has to carry."""
     names = list(keep)
-    fields = {f.name: f.dataType.simpleString() for f in df.schema}
 
     def run(batches):
         import zstandard
 
         c = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            z = [c.compress((t.as_py() or "").encode()) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(z, pa.binary())], [*names, "z"])
+            for part in slices(batch):
+                z = [c.compress((t.as_py() or "").encode()) for t in part.column("text")]
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(z, pa.binary())], [*names, "z"])
+
+    return mapped(df.select(*map(quoted, names), "text"), run, "z binary", names)
+
+
+def unpacked(batch: pa.RecordBatch, column: str = "z"):
+    """The rows of a batch one by one, with the text of their zstd bytes."""
+    import zstandard
 
-    return df.select(*names, "text").mapInArrow(run, ", ".join(f"{n} {fields[n]}" for n in names) + ", z binary")
+    un = zstandard.ZstdDecompressor()
+    for row, z in enumerate(batch.column(column)):
+        yield row, un.decompress(z.as_buffer())
