@@ -3,10 +3,11 @@
 Per document: word, symbol, repeated-line and repeated-window counts, all
 linear or n log n in the text.  Across documents: lines are normalised (edges
 trimmed, lower-cased, inner blanks to one, digits to 0) and hashed; for each
-host the distinct documents that hold a line are counted - equal texts of one
-host count once, so copies of a clean text do not make its lines boilerplate.
-A line in more than ``max(least_docs, line_share * documents of the host)`` of
-them is removed from the text that is returned; a document is depleted, and rejected, when fewer than
+host the distinct documents that hold a line are counted.  A line in more than
+``max(least_docs, line_share * documents of the host)`` of them, which are more
+than ``least_docs`` different texts - copies of one clean text don't make its
+lines boilerplate - is removed from the text that is returned; a document is
+depleted, and rejected, when fewer than
 ``keep_share`` of its words are left.
 
 The frequent lines of a host number fewer than its average lines a document
@@ -24,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import WORD_SPLIT, keyed, materialize, n_words_of
+from foliospark.llm.common import WORD_SPLIT, keyed, materialize, n_words_of, quoted, release
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -99,20 +100,24 @@ def frequent_lines(docs: DataFrame, least_docs: int, line_share: float) -> DataF
     """(rid, rv, removed_words, at) of the rows of (rid, rv, host, text) that have lines to remove, ``at`` being their places.
 
     Lines are counted by occurrence first, with map-side sums; only the few
-    that pass are counted exactly, by distinct text.
+    that pass are counted exactly, by distinct document and text.
     """
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("i")))
     lines = F.filter(lines, lambda l: l["x"].rlike(HAS_WORD))
     hashed = F.transform(lines, lambda l: F.struct(F.xxhash64(normalised(l["x"])).alias("h"), n_words_of(l["x"]).alias("w"), l["i"].alias("i")))
     each = docs.select("rid", "rv", F.xxhash64("host").alias("host"), F.xxhash64("text").alias("content"), F.explode(hashed).alias("l"))
     each = materialize(each.select("rid", "rv", "host", "content", "l.i", "l.h", "l.w"), "lines")
-    limit = each.select("host", "content").distinct().groupBy("host").agg(F.greatest(F.lit(float(least_docs)), line_share * F.count("*")).alias("limit"))
+    limit = each.select("host", "rid", "rv").distinct().groupBy("host").agg(F.greatest(F.lit(float(least_docs)), line_share * F.count("*")).alias("limit"))
     often = each.groupBy("host", "h").agg(F.count("*").alias("c")).filter(F.col("c") > least_docs)
     often = often.join(limit, "host").filter("c > limit").select("host", "h", "limit")
     held = materialize(each.join(often, ["host", "h"]), "held")
-    above = held.select("host", "h", "content", "limit").distinct().groupBy("host", "h").agg((F.count("*") > F.first("limit")).alias("above"))
+    release(each)
+    by_text = held.select("host", "h", "rid", "rv", "content", "limit").distinct().groupBy("host", "h", "content").agg(F.count("*").alias("n"), F.first("limit").alias("limit"))
+    above = by_text.groupBy("host", "h").agg(((F.sum("n") > F.first("limit")) & (F.count("*") > least_docs)).alias("above"))
     gone = held.join(above.filter("above"), ["host", "h"]).select("rid", "rv", "h", "i", "w").distinct()
-    return gone.groupBy("rid", "rv").agg(F.sum("w").alias("removed_words"), F.collect_list("i").alias("at"))
+    gone = materialize(gone.groupBy("rid", "rv").agg(F.sum("w").alias("removed_words"), F.collect_list("i").alias("at")), "gone")
+    release(held)
+    return gone
 
 
 def without_lines(text: Column, at: Column) -> Column:
@@ -133,8 +138,7 @@ def apply_quality_rules(
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """(rid, rv, id, *keep, n_words .. base_failed, removed_words, kept, kept_text): the verdict on every row, and its text without frequent lines."""
-    docs = keyed(df.withColumn("_host", F.col(host_col).cast("string")), id_col, text_col, "_host", *keep)
-    docs = docs.withColumnRenamed("_host", "host")
+    docs = keyed(df, id_col, text_col, df[quoted(host_col)].cast("string").alias("host"), *keep)
     gone = frequent_lines(docs.select("rid", "rv", "host", "text"), least_docs, line_share)
     base = with_base(docs).drop("host")
     out = base.join(gone, ["rid", "rv"], "left")
@@ -163,8 +167,8 @@ line AS (
   SELECT doc_id, t, host, len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) AS n,
     regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(x, '^[\\x20\\x09-\\x0D]+', ''), '[\\x20\\x09-\\x0D]+$', '')), '[\\x20\\x09-\\x0D]+', ' ', 'g'), '[0-9]', '0', 'g') AS norm
   FROM (SELECT doc_id, t, host, unnest(l) AS x FROM b)),
-lim AS (SELECT host, greatest({LEAST_DOCS}, {LINE_SHARE} * count(DISTINCT t)) AS lim FROM line GROUP BY host),
-freq AS (SELECT line.host, norm FROM line JOIN lim USING (host) GROUP BY line.host, norm HAVING count(DISTINCT t) > max(lim)),
+lim AS (SELECT host, greatest({LEAST_DOCS}, {LINE_SHARE} * count(DISTINCT doc_id)) AS lim FROM line GROUP BY host),
+freq AS (SELECT line.host, norm FROM line JOIN lim USING (host) GROUP BY line.host, norm HAVING count(DISTINCT doc_id) > max(lim) AND count(DISTINCT t) > {LEAST_DOCS}),
 gone AS (SELECT doc_id, sum(n)::BIGINT AS n FROM line JOIN freq USING (host, norm) GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
   (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words,
