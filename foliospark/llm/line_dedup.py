@@ -11,9 +11,9 @@ Runs are the shortest ones from each line on and back from each line, so that
 every line of a block of ``MIN_WORDS`` words lies in a run of that block, and
 the block's runs have owners also where its lines have owners elsewhere.
 
-A line brings a pair together if it is *rare*: in at most
-``RARE_DOCS + RARE_SHARE * documents`` documents, or hardly more common than
-the later document's rarest line - so members of a group of copies find their
+A line brings a pair together if it is *rare*: in at most ``RARE_DOCS``
+documents, however large the table is, or hardly more common than the later
+document's rarest line - so members of a group of copies find their
 first however large the group is, while a line that is common among otherwise
 unlike documents brings nobody together.  A run does if it has a rare line, and
 a run of ``RUN_WORDS`` words does however frequent its lines are, so a long
@@ -41,9 +41,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import compress_text, keyed, materialize, slices
+from foliospark.llm.common import SLICE_BYTES, compress_text, keyed, mapped, materialize, quoted, release, slices, unpacked
 
-MIN_WORDS, RUN_WORDS, RARE_DOCS, RARE_SHARE, RARER = 10, 50, 10, 0.01, 10
+MIN_WORDS, RUN_WORDS, RARE_DOCS, RARER = 10, 50, 100, 10
 
 
 def _lines():
@@ -81,7 +81,7 @@ def _lines():
                     names,
                 )
 
-    return run, "h long, rid long, rv int, kinds int, words int, at array<int>"
+    return run, "h long, rid long, rv long, kinds int, words int, at array<int>"
 
 
 def patience(a: list, b: list) -> list[tuple[int, int]]:
@@ -191,7 +191,7 @@ def blocks_of(a: list[tuple], b: list[tuple], min_words: int) -> set[int]:
         a, b = [x for x in a if x[0] not in spent], [x for x in b if x[0] not in taken]
 
 
-def _shared(docs: int):
+def _shared():
     """A document's lines that others have too, in order, and which of them are rare."""
     names = ["rid", "rv", "at", "h", "words", "rare", "orid", "orv"]
 
@@ -200,14 +200,14 @@ def _shared(docs: int):
             out: list[list] = [[] for _ in names[2:]]
             for kinds, matches in zip(batch.column("kinds").to_pylist(), batch.column("matches").to_pylist()):
                 rarest = 1 if len(matches) < kinds else min(m["df"] for m in matches)
-                limit = max(RARE_DOCS + RARE_SHARE * docs, RARER * rarest)
+                limit = max(RARE_DOCS, RARER * rarest)
                 rows = sorted((p, m["h"], m["words"], m["df"] <= limit, m["orid"], m["orv"]) for m in matches for p in m["at"])
                 for o, x in zip(out, zip(*rows)):
                     o.append(list(x))
-            types = [pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32()]
+            types = [pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("rv"), *(pa.array(o, pa.list_(t)) for o, t in zip(out, types))], names)
 
-    return run, "rid long, rv int, at array<int>, h array<long>, words array<int>, rare array<boolean>, orid array<long>, orv array<int>"
+    return run, "rid long, rv long, at array<int>, h array<long>, words array<int>, rare array<boolean>, orid array<long>, orv array<long>"
 
 
 def _keys(min_words: int):
@@ -230,10 +230,10 @@ def _keys(min_words: int):
                         key = xxhash.xxh3_64_intdigest(raw[i : j + 1].tobytes())
                         keys[key] = keys.get(key, False) or (i, j) in long or bool(seen[j + 1] > seen[i])
                 rows += [(rid, rv, key - (1 << 63), joins, None, None) for key, joins in keys.items()]
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int32()]
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
 
-    return run, "rid long, rv int, key long, joins boolean, orid long, orv int"
+    return run, "rid long, rv long, key long, joins boolean, orid long, orv long"
 
 
 def _align(min_words: int):
@@ -245,55 +245,64 @@ def _align(min_words: int):
             gone = [sorted(blocks_of(list(zip(a, h, w)), list(zip(p, q, v)), min_words)) for a, h, w, p, q, v in zip(*cols)]
             yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("rv"), pa.array(gone, pa.list_(pa.int32()))], names)
 
-    return run, "rid long, rv int, gone array<int>"
+    return run, "rid long, rv long, gone array<int>"
 
 
 def _cut(keep: list[str]):
     names = [*keep, "n_lines", "n_removed", "n_blocks", "kept_text"]
 
     def run(batches):
-        import zstandard
-
-        un = zstandard.ZstdDecompressor()
         for batch in batches:
             out: list[list] = [[], [], [], []]
-            for row in range(batch.num_rows):
-                lines = un.decompress(batch.column("z")[row].as_py()).decode().split("\n")
+            done = size = 0
+
+            def part(upto: int):
+                types = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
+                some = batch.slice(done, upto - done)
+                made = pa.RecordBatch.from_arrays([*(some.column(c) for c in keep), *(pa.array(o, t) for o, t in zip(out, types))], names)
+                for o in out:
+                    o.clear()
+                return made
+
+            for row, text in unpacked(batch):
                 gone = set(batch.column("gone")[row].as_py() or ())
                 blocks = sum(p - 1 not in gone for p in gone)
                 kept, k = [], 0
-                for line in lines:
-                    full = bool(line.encode().split())
+                for line in text.split(b"\n"):
+                    full = bool(line.split())
                     if not (full and k in gone):
                         kept.append(line)
                     k += full
-                for o, x in zip(out, (k, len(gone), blocks, "\n".join(kept))):
+                for o, x in zip(out, (k, len(gone), blocks, b"\n".join(kept).decode())):
                     o.append(x)
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array(o, t) for o, t in zip(out, types))], names)
+                size += len(text)
+                if size > SLICE_BYTES:
+                    yield part(row + 1)
+                    done, size = row + 1, 0
+            if done < batch.num_rows:
+                yield part(batch.num_rows)
 
     return run, "n_lines long, n_removed long, n_blocks long, kept_text string"
 
 
 def line_pairs(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
     """The shared lines of each document, and the pairs (rid, rv, orid, orv) of later and earlier documents to align."""
-    run, schema = _lines()
-    rows = materialize(docs.select("rid", "rv", "text").mapInArrow(run, schema), "lines")
+    rows = materialize(mapped(docs.select("rid", "rv", "text"), *_lines()), "lines")
     owners = rows.groupBy("h").agg(F.count("*").alias("df"), F.min(F.struct("rid", "rv")).alias("o"))
     owners = materialize(owners.filter("df > 1").select("h", "df", F.col("o.rid").alias("orid"), F.col("o.rv").alias("orv")), "owners")
     # a set, for repeated rows; distinct rows by h would keep the join's partitions and so keep a hot line in one task
     held = F.collect_set(F.struct("h", "at", "words", "df", "orid", "orv")).alias("matches")
     held = rows.join(owners, "h").groupBy("rid", "rv").agg(F.first("kinds").alias("kinds"), held)
-    run, schema = _shared(docs.count())
-    shared = materialize(held.mapInArrow(run, schema), "shared")
-    run, schema = _keys(min_words)
-    keys = materialize(shared.mapInArrow(run, schema), "keys")
+    shared = materialize(mapped(held, *_shared()), "shared")
+    release(rows, owners)
+    keys = materialize(mapped(shared, *_keys(min_words)), "keys")
     runs = keys.filter("key is not null").select("key", "rid", "rv", "joins")
     first = runs.groupBy("key").agg(F.min(F.struct("rid", "rv")).alias("o"), F.max("joins").alias("any"), F.count("*").alias("c")).filter("c > 1 and any")
     first = materialize(first.select("key", F.col("o.rid").alias("orid"), F.col("o.rv").alias("orv")), "runs")
     by_run = runs.filter("joins").join(first, "key").filter("rid != orid or rv != orv").select("rid", "rv", "orid", "orv")
-    pairs = keys.filter("key is null").select("rid", "rv", "orid", "orv").union(by_run).distinct()
-    return shared, materialize(pairs, "pairs")
+    pairs = materialize(keys.filter("key is null").select("rid", "rv", "orid", "orv").union(by_run).distinct(), "pairs")
+    release(keys, first)
+    return shared, pairs
 
 
 def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -301,24 +310,25 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     shared, pairs = line_pairs(docs, min_words)
     lines = shared.select("rid", "rv", "at", "h", "words")
     earlier = lines.select(*(F.col(c).alias(f"o{c}" if c in ("rid", "rv") else f"o_{c}") for c in lines.columns))
-    run, schema = _align(min_words)
     both = pairs.join(earlier, ["orid", "orv"]).join(lines, ["rid", "rv"])
-    aligned = materialize(both.mapInArrow(run, schema).filter("size(gone) > 0"), "aligned")
-    return aligned.groupBy("rid", "rv").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+    aligned = materialize(mapped(both, *_align(min_words)).filter("size(gone) > 0"), "aligned")
+    release(shared, pairs)
+    gone = materialize(aligned.groupBy("rid", "rv").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone")), "gone")
+    release(aligned)
+    return gone
 
 
 def dedup_lines(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """(id, *keep, n_lines, n_removed, n_blocks, kept_text) of every row."""
+    """(id, *keep, n_lines, n_removed, n_blocks, kept_text) of every row; ``keep`` may not be named like these or the helpers."""
     docs = keyed(df, id_col, text_col, *keep)
-    gone = materialize(removed_lines(docs, min_words), "gone")
+    gone = removed_lines(docs, min_words)
     names = ["id", *keep]
-    fields = {f.name: f.dataType.simpleString() for f in docs.schema}
-    run, schema = _cut(names)
+    run, fields = _cut(names)
     # by a merge at any size: what is to go grows with the input
-    joined = compress_text(docs, "rid", "rv", *names).join(gone.hint("merge"), ["rid", "rv"], "left").select(*names, "z", "gone")
-    return joined.mapInArrow(run, ", ".join(f"`{n}` {fields[n]}" for n in names) + ", " + schema)
+    joined = compress_text(docs, "rid", "rv", *names).join(gone.hint("merge"), ["rid", "rv"], "left").select(*map(quoted, names), "z", "gone")
+    return mapped(joined, run, fields, names)
 
 
 def op3_line_dedup(spark, sf_dir: str) -> DataFrame:
