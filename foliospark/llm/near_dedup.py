@@ -19,16 +19,18 @@ its key, which passes a pair on only if a link is possible and only in the
 first key the two share.  Possible means: sizes allow it; so do the shingles
 that no other left node has, which can be in no intersection; and the packed
 registers (occupancy and four mantissa bits) agree in at least the threshold
-less five standard deviations.  What leaves the join so are the links and
+less a slack that a link exceeds once in ``1 / DOUBT`` pairs (Hoeffding).  What leaves the join so are the links and
 their close misses, not a group's pairs.  No cap on partners, buckets or pairs.
 
 Verification.  A pair's registers give a Jaccard estimate corrected for
-accidental collisions; pairs far below the threshold stop there, all others
-are confirmed on their whole sets.
-
-Documents without words link with nothing.  Null texts are empty; a null id is
-an id of its own; rows that repeat an id are one node; an empty table gives no
-rows; other columns are ignored.
+accidental collisions; pairs below the threshold less the same slack stop there,
+all others are confirmed on their whole sets.
+
+Documents without words link with nothing.  Null texts are empty.  A repeated id
+with different texts, or a null one, is a node for each text, so no link is lost
+or lent to another text; a component's id is its smallest id that is not null,
+and null if it has none.  Repeated rows share one result; an empty table gives
+no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,10 +42,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import BASES, NULL_ID, Rolling, compress_text, keyed, materialize, mix, signed, slices, word_hashes
+from foliospark.llm.common import BASES, SLICE_BYTES, Rolling, compress_text, keyed, mapped, materialize, mix, quoted, release, signed, slices, unpacked, with_row, word_hashes
 
 SHINGLE, PERCENT = 5, 85
-BUCKETS, MANTISSA, MISS = 320, 26, 3e-6
+BUCKETS, MANTISSA, MISS, DOUBT = 320, 26, 3e-6, 1e-9
 _EMPTY = np.uint64(1 << 63)
 #: Of the sketch: longs a bit plane, and planes of mantissa bits.
 _WORDS, _PLANES = BUCKETS // 64, 4
@@ -123,45 +125,56 @@ def _signatures(percent: int):
                 sizes = pa.array([len(s) for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names[:3]), sizes, sums(BASES[1]), sums(BASES[2]), bands, sketch], names)
 
-    return run, "rid long, rv int, id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch array<long>"
+    return run, "rid long, rv long, id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch array<long>"
+
+
+def slack(used):
+    """How far a link's registers fall below the threshold once in ``1 / DOUBT`` times at most, in registers: for columns and numbers."""
+    root = F.sqrt if not isinstance(used, int) else math.sqrt
+    return root(used * (-math.log(DOUBT) / 2))
+
+
+def _sets_of(texts: dict, percent: int):
+    """(set, registers) of each node, a slice of texts at a time."""
+    some, size, out = [], 0, {}
+    for node, text in [*texts.items(), (None, b"")]:
+        if some and (node is None or size > SLICE_BYTES):
+            sets = shingle_sets(pa.array([x.decode() for _, x in some], pa.string()))
+            out.update(zip((k for k, _ in some), zip(sets, registers(sets))))
+            some, size = [], 0
+        some.append((node, text))
+        size += len(text)
+    return out
 
 
 def _confirm(percent: int):
-    def run(batches):
-        import zstandard
+    """Of the rows (a, b, za, zb) the linked (a, b), some hundred pairs at a time."""
+
+    def linked(x, y) -> bool:
+        (s, r), (t, q) = x, y
+        if 100 * min(len(s), len(t)) < percent * max(len(s), len(t)):
+            return False
+        used = int(((r != _EMPTY) | (q != _EMPTY)).sum())
+        if estimate(r, q, len(s), len(t)) * used < percent / 100 * used - slack(used):
+            return False
+        common = len(np.intersect1d(s, t, assume_unique=True))
+        return 100 * common >= percent * (len(s) + len(t) - common)
 
-        un = zstandard.ZstdDecompressor()
-        for batch in batches:
-            seen: dict = {}
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            fresh: dict = {}
-            for k, side in ((a, "za"), (b, "zb")):
-                for i, node in enumerate(k):
-                    if node not in fresh:
-                        fresh[node] = (side, i)
-            order = list(fresh)
-            texts = [un.decompress(batch.column(fresh[x][0])[fresh[x][1]].as_py()).decode() for x in order]
-            done = 0
-            while done < len(order):
-                size, stop = 0, done
-                while stop < len(order) and (stop == done or size < (8 << 20)):
-                    size += len(texts[stop])
-                    stop += 1
-                sets = shingle_sets(pa.array(texts[done:stop], pa.string()))
-                regs = registers(sets)
-                seen.update((x, (s, r)) for x, s, r in zip(order[done:stop], sets, regs))
-                done = stop
-            keep = np.zeros(batch.num_rows, bool)
-            spread = 5 * math.sqrt(percent / 100 * (1 - percent / 100) / 50)
-            for i, (x, y) in enumerate(zip(a, b)):
-                (s, r), (t, q) = seen[x], seen[y]
-                used = int(((r != _EMPTY) | (q != _EMPTY)).sum())
-                if used >= 50 and estimate(r, q, len(s), len(t)) < percent / 100 - spread:
-                    continue
-                common = len(np.intersect1d(s, t, assume_unique=True))
-                keep[i] = 100 * common >= percent * (len(s) + len(t) - common)
-            mask = pa.array(keep)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
+    def run(batches):
+        for whole in batches:
+            for batch in (whole.slice(i, 200) for i in range(0, whole.num_rows, 200)):
+                a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+                texts = {}
+                for nodes, side in ((a, "za"), (b, "zb")):
+                    first = {}
+                    for i, node in enumerate(nodes):
+                        if node not in texts:
+                            first.setdefault(node, i)
+                    own = batch.column(side).take(pa.array(first.values(), pa.int32()))
+                    texts |= {node: text for node, (_, text) in zip(first, unpacked(pa.RecordBatch.from_arrays([own], ["z"])))}
+                seen = _sets_of(texts, percent)
+                mask = pa.array([linked(seen[x], seen[y]) for x, y in zip(a, b)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
 
     return run, "a long, b long"
 
@@ -180,9 +193,12 @@ def connected(links: DataFrame) -> DataFrame:
         root = labels.select(F.col("node").alias("c"), F.col("component").alias("up"))
         new = step.join(root, "c", "left").select("node", "was", F.least("c", "up").alias("component"))
         new = materialize(new, "labels")
+        release(labels)
         if new.filter("was != component").limit(1).count() == 0:
+            release(both)
             return new.select("node", "component")
-        labels = new.select("node", "component")
+        labels = new.drop("was")
+        labels._scratch = new._scratch
 
 
 def _star(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -204,16 +220,13 @@ def _own_shingles(texts: DataFrame) -> DataFrame:
     """(node, own): how many shingles of a node no other node of the table has."""
 
     def run(batches):
-        import zstandard
-
-        un = zstandard.ZstdDecompressor()
         for batch in batches:
-            for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
-                sets = shingle_sets(pa.array([un.decompress(z.as_py()).decode() for z in part.column("z")], pa.string()))
-                of = np.repeat(part.column("rid").to_numpy(), [len(x) for x in sets])
+            for part in (batch.slice(i, 200) for i in range(0, batch.num_rows, 200)):
+                sets = shingle_sets(pa.array([text.decode() for _, text in unpacked(part)], pa.string()))
+                of = np.repeat(part.column("node").to_numpy(), [len(x) for x in sets])
                 yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(sets))), pa.array(of)], ["h", "node"])
 
-    rows = texts.select("rid", "z").mapInArrow(run, "h long, node long")
+    rows = mapped(texts.select("node", "z"), run, "h long, node long")
     alone = rows.groupBy("h").agg(F.count("*").alias("c"), F.min("node").alias("node")).filter("c = 1")
     return alone.groupBy("node").agg(F.count("*").alias("own"))
 
@@ -241,32 +254,46 @@ def _possible(rest: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         & (F.col("component") != F.col("o_component"))
         & (100 * F.least(n, on) >= percent * F.greatest(n, on))
         & (100 * most >= percent * (n + on - most))
-        & (equal + 5 * F.sqrt(share * (1 - share) * used) >= share * used)
+        & (equal + slack(used) >= share * used)
         & (F.array_min(F.array_intersect("keys", "o_keys")) == F.col("key"))
     )
     return x.join(y, (F.col("key") == F.col("o_key")) & met).select(F.col("node").alias("a"), F.col("o_node").alias("b"))
 
 
-def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row."""
+def _nodes(signed_docs: DataFrame) -> DataFrame:
+    """(d1, d2, node, rid, rv, no_id): one node a content, with its first row; rows without an id come last.
+
+    The node's number is that row's id, or a negative hash of the content where
+    several contents have that id or there is none.
+    """
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "rid", "rv")).alias("m")
+    kinds = materialize(signed_docs.filter("n_shingles > 0").groupBy("d1", "d2").agg(first).select("d1", "d2", "m.*"), "kinds")
+    several = materialize(kinds.groupBy("rid").agg(F.count("*").alias("c"), F.max("no_id").alias("any")).filter("c > 1 or any").select("rid", F.lit(True).alias("several")), "several")
+    own = F.when(F.col("several"), F.xxhash64("d1", "d2").bitwiseOR(F.lit(-(2**63)))).otherwise(F.col("rid"))
+    nodes = materialize(kinds.join(several, "rid", "left").select("d1", "d2", own.alias("node"), "rid", "rv", "no_id"), "nodes")
+    release(kinds, several)
+    return nodes
+
+
+def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """(rid, rv, id, n_shingles, class, component_id) of every row; ``class`` numbers the components, null without words."""
     docs = keyed(df, id_col, text_col)
-    run, schema = _signatures(percent)
-    signed_docs = materialize(docs.mapInArrow(run, schema), "signatures")
-    nodes = signed_docs.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min(F.struct("rid", "rv")).alias("m"))
-    nodes = materialize(nodes.select("d1", "d2", F.col("m.rid").alias("node"), F.col("m.rv").alias("node_rv")), "nodes")
-    reps = signed_docs.join(nodes, ["d1", "d2"]).filter("rid = node and rv = node_rv")
-    rows = reps.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    signed_docs = materialize(mapped(docs, *_signatures(percent)), "signatures")
+    nodes = _nodes(signed_docs)
+    reps = signed_docs.select("rid", "rv", "d1", "d2", "n_shingles", "bands", "sketch").join(nodes, ["d1", "d2", "rid", "rv"])
+    reps = materialize(reps.select("node", F.col("n_shingles").alias("n"), "bands", "sketch").dropDuplicates(["node"]), "reps")
+    rows = reps.select("node", "n", F.explode("bands").alias("key"))
     shared = materialize(rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1"), "keys")
-    rows = materialize(rows.join(shared, "key"), "bands")
-    popular = materialize(rows.groupBy("node").agg(F.sum("c").alias("popular")), "nodes")
-    rows = materialize(rows.drop("c").join(popular, "node"), "popular")
-    wanted = popular.select(F.col("node").alias("rid")).join(nodes.select(F.col("node").alias("rid"), F.col("node_rv").alias("rv")), "rid")
-    texts = materialize(compress_text(docs, "rid", "rv").join(wanted, ["rid", "rv"]).select("rid", "z").dropDuplicates(["rid"]), "texts")
+    counted = materialize(rows.join(shared, "key"), "bands")
+    popular = materialize(counted.groupBy("node").agg(F.sum("c").alias("popular")), "popular")
+    rows = materialize(counted.drop("c").join(popular, "node"), "rows")
+    wanted = popular.select("node").join(nodes.select("node", "rid", "rv"), "node")
+    texts = materialize(compress_text(docs, "rid", "rv").join(wanted, ["rid", "rv"]).select("node", "z").dropDuplicates(["node"]), "texts")
+    release(shared, counted, popular)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        run, schema = _confirm(percent)
-        with_b = pairs.join(texts.select(F.col("rid").alias("b"), F.col("z").alias("zb")), "b")
-        return materialize(with_b.join(texts.select(F.col("rid").alias("a"), F.col("z").alias("za")), "a").mapInArrow(run, schema), "confirmed")
+        with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("z").alias("zb")), "b")
+        return materialize(mapped(with_b.join(texts.select(F.col("node").alias("a"), F.col("z").alias("za")), "a"), *_confirm(percent)), "confirmed")
 
     centres, tested = _star(rows, percent)
     tested = materialize(tested, "pairs")
@@ -275,18 +302,48 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spent = centres.select("key", F.col("centre").alias("node"))
     rest = rows.join(spent, ["key", "node"], "left_anti").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rest = materialize(_apart(rest).select("key", "node", "n", "component"), "rest")
+    release(rows)
     left = rest.groupBy("node").agg(F.first("n").alias("n"), F.first("component").alias("component"), F.collect_set("key").alias("keys"))
-    own = _own_shingles(texts.join(rest.select(F.col("node").alias("rid")).distinct(), "rid"))
-    left = left.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0))).join(reps.select("node", "sketch").dropDuplicates(["node"]), "node")
+    own = _own_shingles(texts.join(rest.select("node").distinct(), "node"))
+    left = left.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0))).join(reps.select("node", "sketch"), "node")
     left = materialize(left, "left")
-    more = confirmed(materialize(_possible(rest.select("key", "node"), left, percent).join(tested, ["a", "b"], "left_anti"), "pairs"))
+    more = materialize(_possible(rest.select("key", "node"), left, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
+    release(reps, rest, left, tested, centres)
+    more = confirmed(more)
+    release(texts)
     if more.limit(1).count():
         components = connected(links.unionByName(more))
+    release(links, more)
+
+    linked = nodes.join(components, "node").select("d1", "d2", "component", F.struct("no_id", "rid").alias("own"))
+    least = linked.groupBy("component").agg(F.min("own").alias("least"))
+    linked = linked.join(materialize(least, "least"), "component").select("d1", "d2", "component", "least")
+    of_class = nodes.join(linked, ["d1", "d2"], "left")
+    least = F.coalesce("least", F.struct("no_id", "rid"))
+    of_class = of_class.select("d1", "d2", F.coalesce("component", "node").alias("class"), F.when(~least["no_id"], least["rid"]).alias("component_id"))
+    of_class = materialize(of_class, "classes")
+    out = signed_docs.select("rid", "rv", "id", "n_shingles", "d1", "d2").join(of_class, ["d1", "d2"], "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
+    return out.select("rid", "rv", "id", "n_shingles", "class", component.alias("component_id"))
+
 
-    of_class = nodes.join(components, "node", "left").select("d1", "d2", F.coalesce("component", "node").alias("component"))
-    out = signed_docs.select("id", "rid", "n_shingles", "d1", "d2").join(of_class, ["d1", "d2"], "left")
-    own = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("rid"))
-    return out.select(F.col("id").alias("doc_id"), "n_shingles", F.nullif(own, F.lit(NULL_ID)).alias("component_id"), (own == F.col("rid")).alias("kept"))
+def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row."""
+    kept = F.col("id").eqNullSafe(F.col("component_id"))
+    return near_classes(df, id_col, text_col, percent).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", kept.alias("kept"))
+
+
+def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row of each class, that of its smallest id, with all columns of ``df``; rows without words stay, a repeated one once."""
+    apart = with_row(df, id_col, text_col)
+    rows = near_classes(df, id_col, text_col, percent)
+    order = F.struct(F.col("id").isNull().alias("no_id"), "rid", "rv")
+    first = rows.filter("class is not null").groupBy("class").agg(F.min(order).alias("m")).select("m.rid", "m.rv")
+    first = materialize(first.unionByName(rows.filter("class is null").select("rid", "rv").distinct()), "first")
+    docs = keyed(apart, id_col, text_col, apart[quoted(id_col)].alias("own_id"), apart[quoted(text_col)].alias("own_text"), "row").drop("text")
+    docs = docs.join(first.hint("merge"), ["rid", "rv"], "left_semi").dropDuplicates(["rid", "rv"])
+    own = {id_col: F.col("own_id"), text_col: F.col("own_text")}
+    return docs.select(*(own.get(c, F.col("row")[c]).alias(c) for c in df.columns))
 
 
 def op7_near_dedup(spark, sf_dir: str) -> DataFrame:
