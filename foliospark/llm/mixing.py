@@ -14,8 +14,9 @@ which one is cut, and only the cut slot is sorted.  A source with a third of
 all rows is thus spread over all tasks.
 
 Null or wordless texts have size 0 and are never taken; a null source is a
-source of its own, the last; repeated rows count each for itself and get the
-same copies; an empty table gives an empty mix.  Other columns are ignored.
+source of its own, the last; rows without an id are drawn by their text.
+Repeated rows each count and get the same copies: rows of one id and size are
+drawn together.  An empty table gives an empty mix.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import n_words_of
+from foliospark.llm.common import keyed, materialize, n_words_of, quoted, with_row
 
 WEIGHTS, MAX_EPOCHS, SEED = (5, 2, 1), 3, "mix-1"
 
@@ -45,9 +46,10 @@ def water_fill(totals: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS)
         F.coalesce(F.sum("weight").over(before), F.lit(0)).alias("weight_before"),
         F.row_number().over(order).alias("place"),
     )
-    left, weight_left = F.col("whole") - max_epochs * F.col("size_before"), F.col("weights") - F.col("weight_before")
-    sized = sized.select("*", left.alias("left"), weight_left.alias("weight_left"))
-    free = F.col("left") * F.col("weight") <= max_epochs * F.col("source_size") * F.col("weight_left")
+    wide = lambda c: F.col(c).cast("decimal(20,0)")  # noqa: E731  products of sizes and weights are wider than a long
+    left, weight_left = wide("whole") - max_epochs * wide("size_before"), F.col("weights") - F.col("weight_before")
+    sized = sized.select("*", left.cast("decimal(20,0)").alias("left"), weight_left.alias("weight_left"))
+    free = wide("left") * F.col("weight") <= max_epochs * wide("source_size") * F.col("weight_left")
     first = F.min(F.when(free, F.struct("place", "left", "weight_left"))).over(everything)
     rest = sized.withColumn("first", first)
     share = (F.col("first.left") * F.col("weight")).cast("double") / F.col("first.weight_left").cast("double")
@@ -71,10 +73,11 @@ def mix_sources(
     max_epochs: int = MAX_EPOCHS,
     seed: str = SEED,
 ) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies): how often the mix takes each row."""
-    docs = df.select(df[id_col].cast("long").alias("doc_id"), df[source_col].cast("string").alias("source"), n_words_of(df[text_col]).alias("size"))
-    lot = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    docs = docs.withColumn("lot", lot).withColumn("slot", F.substring("lot", 1, 3))
+    """(rid, rv, id, source, size, source_size, target, copies): how often the mix takes each row."""
+    docs = keyed(df, id_col, text_col, df[quoted(source_col)].cast("string").alias("source"))
+    lot = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.concat(F.lit("null:"), F.md5("text")))))
+    docs = docs.select("rid", "rv", "id", "source", n_words_of(F.col("text")).alias("size"), lot.alias("lot"))
+    docs = materialize(docs.withColumn("slot", F.substring("lot", 1, 3)), "sizes")  # texts are read once
     slots = docs.groupBy("source", "slot").agg(F.sum("size").alias("slot_size"))
     totals = slots.groupBy("source").agg(F.sum("slot_size").alias("source_size"))
     plan = water_fill(totals, weights, max_epochs)
@@ -86,32 +89,41 @@ def mix_sources(
     slots = slots.join(same, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     state = F.when(F.col("before") >= F.col("wanted"), "out").when(F.col("before") + F.col("slot_size") <= F.col("wanted"), "in").otherwise("cut")
     slots = slots.select(F.col("source").alias("s"), F.col("slot").alias("k"), "source_size", "target", "whole", "wanted", "before", state.alias("state"))
+    slots = materialize(slots, "slots")
     placed = docs.join(slots, F.col("source").eqNullSafe(F.col("s")) & (F.col("slot") == F.col("k"))).drop("s", "k")
-    columns = ["doc_id", "source", "size", "source_size", "target"]
+    columns = ["rid", "rv", "id", "source", "size", "source_size", "target"]
     sure = placed.filter("state != 'cut'").select(*columns, (F.col("whole") + F.when(F.col("state") == "in", 1).otherwise(0)).alias("copies"))
-    inside = Window.partitionBy("source", "slot").orderBy("lot", "size").rowsBetween(Window.unboundedPreceding, -1)
-    cut = placed.filter("state = 'cut'").withColumn("ahead", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    inside, alike = Window.partitionBy("source", "slot").orderBy("lot", "size"), Window.partitionBy("source", "slot", "lot", "size")
+    cut = placed.filter("state = 'cut'").withColumn("drawn", F.sum("size").over(alike))
+    cut = cut.withColumn("ahead", F.col("before") + F.sum("size").over(inside) - F.col("drawn"))  # a range: equal rows are summed together
     # a document is taken while more than half of it still fits
-    cut = cut.select(*columns, (F.col("whole") + F.when(2 * (F.col("wanted") - F.col("ahead")) > F.col("size"), 1).otherwise(0)).alias("copies"))
+    cut = cut.select(*columns, (F.col("whole") + F.when(2 * (F.col("wanted") - F.col("ahead")) > F.col("drawn"), 1).otherwise(0)).alias("copies"))
     return sure.unionByName(cut)
 
 
-def repeat_rows(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The mix itself: rows of ``docs``, each as often as ``mixed`` says, with their own columns only."""
-    copies = mixed.select(F.col("doc_id").alias("_id"), "copies").filter("copies > 0").groupBy("_id").agg(F.max("copies").alias("_copies"))
-    joined = docs.join(copies, docs[id_col].cast("long").eqNullSafe(F.col("_id")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies").cast("long")))).drop("_id", "_copies", "_copy")
+def mix_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """The mix itself: rows of ``df``, each as often as the mix takes it, with their own columns only."""
+    copies = mix_sources(df, id_col, text_col, source_col, **how).filter("copies > 0")
+    copies = materialize(copies.groupBy("rid", "rv", "source").agg(F.max("copies").alias("copies")), "mix")
+    apart = with_row(df, id_col, text_col, source_col)
+    own = {id_col: "own_id", text_col: "own_text", source_col: "own_source"}
+    docs = keyed(apart, id_col, text_col, *(apart[quoted(c)].alias(n) for c, n in own.items()), "row").drop("text", "id")
+    docs = docs.withColumn("source", F.col("own_source").cast("string"))
+    on = (docs["rid"] == copies["rid"]) & (docs["rv"] == copies["rv"]) & docs["source"].eqNullSafe(copies["source"])
+    mixed = docs.join(copies, on).select(docs["row"], *own.values(), "copies")
+    mixed = mixed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies").cast("long"))))
+    return mixed.select(*((F.col(own[c]) if c in own else F.col("row")[c]).alias(c) for c in df.columns))
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:
     mixed = mix_sources(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
 ORACLE_SQL = f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
-    md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')) AS lot FROM documents),
+    md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, '')))) AS lot FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT source, source_size, ([5, 2, 1])[((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1] AS weight FROM s),
 fill AS (
