@@ -11,45 +11,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.llm.bpe import round_trip
-from foliospark.llm.common import materialize
+from foliospark.llm.common import materialize, with_row
 from foliospark.llm.line_dedup import dedup_lines
-from foliospark.llm.mixing import mix_sources, repeat_rows
-from foliospark.llm.near_dedup import near_components
+from foliospark.llm.mixing import mix_rows
+from foliospark.llm.near_dedup import drop_near_copies
 from foliospark.llm.quality_rules import apply_quality_rules
 
 NEAR_PERCENT = 80
 
 
-def _of_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is among ``keys``; a null id is an id like others."""
-    ids = keys.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+def _again(out: DataFrame, columns: list[str]) -> DataFrame:
+    """(id, row, new_text) with the columns of documents; n_chars, if there is one, is the new text's."""
+    new = {"doc_id": F.col("id"), "text": F.col("new_text"), "n_chars": F.length("new_text").cast("long")}
+    return out.select(*(new.get(c, F.col("row")[c]).alias(c) for c in columns))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go, and so do frequent lines of the others."""
-    rest = [c for c in docs.columns if c not in ("text", "n_chars")]
-    out = apply_quality_rules(docs.withColumn("_row", F.struct(*rest)), keep=("_row",)).filter("kept")
-    text = F.col("kept_text")
-    return out.select(*(F.col("_row")[c].alias(c) for c in rest), text.alias("text"), F.length(text).cast("long").alias("n_chars")).select(*docs.columns)
+    rows = with_row(docs, "doc_id", "text", "source").withColumn("row", F.struct("row.*", "source"))
+    out = apply_quality_rules(rows, keep=("row",)).filter("kept")
+    return _again(out.withColumnRenamed("kept_text", "new_text"), docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Blocks that an earlier document has go; so does a document of which nothing is left."""
-    keep = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    out = dedup_lines(docs, keep=keep).withColumnRenamed("id", "doc_id").withColumnRenamed("kept_text", "text")
-    out = out.filter("n_removed = 0 or n_removed < n_lines").withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
+    out = dedup_lines(with_row(docs, "doc_id", "text"), keep=("row",)).filter("n_removed = 0 or n_removed < n_lines")
+    return _again(out.withColumnRenamed("kept_text", "new_text"), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, of a similarity of ``NEAR_PERCENT`` and more, stays."""
-    return _of_rows(docs, near_components(docs, percent=NEAR_PERCENT).filter("kept"))
+    return drop_near_copies(docs, percent=NEAR_PERCENT)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    return repeat_rows(docs, materialize(mix_sources(docs), "mix")).select(*docs.columns)
+    return mix_rows(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
