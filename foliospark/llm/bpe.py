@@ -23,6 +23,8 @@ each encoded; columns are named by the caller and no other column is read.
 from __future__ import annotations
 
 import base64
+import os
+import tempfile
 from itertools import chain
 
 import numpy as np
@@ -35,23 +37,25 @@ from foliospark.llm.common import mapped, quoted, slices
 CACHED, SLICE = 150_000, 1 << 19
 #: Bytes of new pieces that one query encodes, and tokens that one query decodes; a longer piece or document takes a query alone.
 ENCODED, DECODED = 1 << 18, 1 << 17
+#: A query keeps the rows of all its rounds; words that take more go on in the next one.
+ROUNDS = 32
 
 # ranks are doubled, odd for loud ones; hits are places of a word's best pair, ``nth`` is a hit's number in its run of overlapping ones
 _MERGE = """
-WITH RECURSIVE s(w, pos, tok, ended) AS (
-  SELECT w, pos, tok, false FROM fresh
+WITH RECURSIVE s(w, pos, tok, ended, r) AS (
+  SELECT w, pos, tok, false, 0 FROM fresh
   UNION ALL (
     WITH p AS (
-      SELECT w, pos, tok, row_number() OVER o AS n, CASE WHEN lead(w) OVER o = w THEN (tok::BIGINT << 20) | lead(tok) OVER o END AS pair
-      FROM s WHERE NOT ended WINDOW o AS (ORDER BY w, pos)),
-    t AS MATERIALIZED (SELECT w, pos, tok, n, k FROM p LEFT JOIN merges USING (pair)),
+      SELECT w, pos, tok, r, row_number() OVER o AS n, CASE WHEN lead(w) OVER o = w THEN (tok::BIGINT << 20) | lead(tok) OVER o END AS pair
+      FROM s WHERE NOT ended AND r < {rounds} WINDOW o AS (ORDER BY w, pos)),
+    t AS MATERIALIZED (SELECT w, pos, tok, r, n, k FROM p LEFT JOIN merges USING (pair)),
     best AS MATERIALIZED (SELECT w, min(k) AS b FROM t GROUP BY w),
     hits AS (SELECT t.w, n, b, n - row_number() OVER (ORDER BY n) AS run, min(n) OVER (PARTITION BY t.w) AS leftmost FROM t JOIN best ON t.w = best.w AND k = b),
     used AS MATERIALIZED (
       SELECT n, b FROM (SELECT n, b, leftmost, row_number() OVER (PARTITION BY run ORDER BY n) AS nth FROM hits) WHERE (nth & 1) = 1 AND ((b & 1) = 0 OR n = leftmost))
-    SELECT t.w, t.pos, CASE WHEN u.b IS NULL THEN t.tok ELSE u.b >> 1 END, best.b IS NULL
+    SELECT t.w, t.pos, CASE WHEN u.b IS NULL THEN t.tok ELSE u.b >> 1 END, best.b IS NULL, r + 1
     FROM t JOIN best ON t.w = best.w LEFT JOIN used u ON t.n = u.n LEFT JOIN used v ON t.n = v.n + 1 WHERE v.n IS NULL))
-SELECT w, list(tok ORDER BY pos) AS ids FROM s WHERE ended GROUP BY w ORDER BY w"""
+SELECT w, list(tok ORDER BY pos) AS ids, bool_and(ended) AS ended FROM s WHERE ended OR r = {rounds} GROUP BY w ORDER BY w"""
 
 _DECODE = """
 SELECT d, string_agg(said, '' ORDER BY i) AS said
@@ -86,7 +90,7 @@ class Codec:
                     pairs[(left << 20) | right] = rank
                     loud.update(x for x in (left, right) if x > rank)
         self.of_byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": f"{tempfile.gettempdir()}/duckdb-{os.getpid()}"})
         self._table("m", pair=pa.array(pairs, pa.int64()), k=pa.array([2 * r + (r in loud) for r in pairs.values()], pa.int32()))
         self._table("v", id=pa.array(self.ranks.values(), pa.int32()), said=pa.array([t.decode("latin-1") for t in self.ranks]))
         self.db.execute("CREATE TABLE merges AS FROM m; CREATE TABLE vocabulary AS FROM v")
@@ -97,13 +101,19 @@ class Codec:
         self.db.register(name, pa.table(columns))
 
     def _contract(self, part: list[tuple[str, bytes]]) -> None:
+        words = [p for p, _ in part]
         n = np.array([len(b) for _, b in part])
-        of = np.repeat(np.arange(len(part), dtype=np.int32), n)
         tok = self.of_byte[np.frombuffer(b"".join(b for _, b in part), np.uint8)]
-        self._table("fresh", w=pa.array(of), pos=pa.array((np.arange(len(of)) - (np.cumsum(n) - n)[of]).astype(np.int32)), tok=pa.array(tok))
-        ids = self.db.sql(_MERGE).to_arrow_table().column("ids").combine_chunks()
-        flat, off = ids.values.to_numpy().astype(np.int32).tobytes(), (4 * ids.offsets.to_numpy().astype(np.int64)).tolist()
-        self.known.update((p, flat[a:b]) for (p, _), a, b in zip(part, off[:-1], off[1:]))
+        while words:
+            of = np.repeat(np.arange(len(words), dtype=np.int32), n)
+            self._table("fresh", w=pa.array(of), pos=pa.array((np.arange(len(of)) - (np.cumsum(n) - n)[of]).astype(np.int32)), tok=pa.array(tok))
+            got = self.db.sql(_MERGE.replace("{rounds}", str(ROUNDS))).to_arrow_table()
+            ids, ended = got.column("ids").combine_chunks(), got.column("ended").to_numpy()
+            flat, off = ids.values.to_numpy().astype(np.int32), ids.offsets.to_numpy().astype(np.int64)
+            self.known.update((words[k], flat[off[k] : off[k + 1]].tobytes()) for k in np.flatnonzero(ended))
+            rest = np.flatnonzero(~ended)
+            words, n = [words[k] for k in rest], np.diff(off)[rest]
+            tok = np.concatenate([flat[off[k] : off[k + 1]] for k in rest]) if len(rest) else flat[:0]
 
     def _learn(self, pieces: list[str]) -> None:
         """Ids of pieces that are not known yet."""
