@@ -2,11 +2,14 @@
 
 From each rule's regular expression a Boolean trigram query is derived: an AND
 of ORs of ANDs over three-character strings of the lower-cased text that every
-match must hold.  The index keeps postings (trigram, row) for the trigrams
-that any rule mentions.  A row's postings are intersected by or-ing one bit a
-trigram and testing the query's masks; rows that pass are candidates of the
-rule and only they are verified with the expression itself.  A rule without
-mandatory trigrams scans every text.  Lower-casing can only add candidates.
+match must hold.  The index is keyed by trigram: of each block of about
+``BLOCK_ROWS`` rows it has one sorted posting list a trigram that any rule
+mentions.  A rule's candidates are the intersections and unions of posting lists
+that its query says, block by block, and only their texts are verified with the
+expression itself.  What is found goes back by row to narrow rows, so whole texts
+are shuffled for candidates only, and only where these are too many for Spark's
+own broadcast limit.  A rule without mandatory trigrams scans every text where it
+is read.  Lower-casing can only add candidates.
 
 Matches are leftmost and non-overlapping for each rule; a match whose group is
 shorter than ``least`` is dropped after matching, so it still takes its text.
@@ -18,12 +21,13 @@ ignored.
 from __future__ import annotations
 
 import re
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import keyed
+from foliospark.llm.common import keyed, materialize, release
 from foliospark.llm.quality_rules import let
 
 
@@ -121,7 +125,14 @@ def trigram_query(pattern: str) -> list[frozenset[frozenset[str]]]:
     return query
 
 
+#: Rows of a block: what bounds a posting list.
+BLOCK_ROWS = 4096
+_ROW = "struct<rid:bigint,rv:bigint>"
+
+
 class Index(NamedTuple):
+    """The queries of rules, and the trigrams they mention."""
+
     grams: tuple[str, ...]
     queries: dict[str, list]
 
@@ -130,41 +141,32 @@ class Index(NamedTuple):
         queries = {r.kind: trigram_query(r.pattern) for r in rules}
         return cls(tuple(sorted({g for q in queries.values() for some in q for every in some for g in every})), queries)
 
-    @property
-    def longs(self) -> int:
-        return max(1, -(-len(self.grams) // 62))
-
-    def passes(self, kind: str) -> Column:
-        """The rule's query on the bits of a row's postings."""
-        out = F.lit(True)
-        for some in self.queries[kind]:
-            either = F.lit(False)
-            for every in some:
-                both = F.lit(True)
-                for k in range(self.longs):
-                    mask = sum(1 << (self.grams.index(g) % 62) for g in every if self.grams.index(g) // 62 == k)
-                    if mask:
-                        both = both & (F.col(f"m{k}").bitwiseAND(F.lit(mask)) == mask)
-                either = either | both
-            out = out & either
-        return out
+    def candidates(self, kind: str, lists: Column) -> Column:
+        """Rows of a block that pass the rule's query; ``lists`` maps trigrams to posting lists."""
+        of = lambda g: F.coalesce(F.element_at(lists, F.lit(self.grams.index(g))), F.array().cast(f"array<{_ROW}>"))
+        both = lambda every: reduce(F.array_intersect, [of(g) for g in sorted(every)])
+        return reduce(F.array_intersect, [reduce(F.array_union, map(both, some)) for some in self.queries[kind]])
 
 
 def postings(docs: DataFrame, index: Index) -> DataFrame:
-    """(gram, rid, rv): which rows hold which of the index's trigrams."""
+    """(block, gram, rows): the posting list of each trigram in each block of rows."""
+    blocks = docs.count() // BLOCK_ROWS + 1
     low = docs.select("rid", "rv", F.lower("text").alias("low"))
     held = F.array_compact(F.array(*(F.when(F.contains("low", F.lit(g)), F.lit(k)) for k, g in enumerate(index.grams))))
-    return low.select("rid", "rv", F.explode(held).alias("gram"))
+    rows = low.select(F.pmod(F.xxhash64("rid", "rv"), F.lit(blocks)).alias("block"), F.struct("rid", "rv").alias("row"), F.explode(held).alias("gram"))
+    return rows.groupBy("block", "gram").agg(F.sort_array(F.collect_set("row")).alias("rows"))
 
 
 def candidates(docs: DataFrame, rules, index: Index) -> DataFrame:
     """(rid, rv, kinds): the indexed rules whose trigram query a row passes."""
-    bit = F.expr("shiftleft(1L, gram % 62)")
-    masks = postings(docs, index).groupBy("rid", "rv").agg(
-        *(F.bit_or(F.when(F.floor(F.col("gram") / 62) == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"m{k}") for k in range(index.longs))
-    )
-    kinds = F.array_compact(F.array(*(F.when(index.passes(r.kind), F.lit(r.kind)) for r in rules if index.queries[r.kind])))
-    return masks.select("rid", "rv", kinds.alias("kinds")).filter(F.size("kinds") > 0)
+    lists = materialize(postings(docs, index), "postings")
+    blocks = lists.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("gram", "rows"))).alias("lists"))
+    named = lambda kind: lambda x: F.struct(x.alias("row"), F.lit(kind).alias("kind"))
+    found = [F.transform(index.candidates(r.kind, F.col("lists")), named(r.kind)) for r in rules if index.queries[r.kind]]
+    rows = blocks.select(F.explode(F.flatten(F.array(*found))).alias("x")).select("x.row.*", "x.kind")
+    out = materialize(rows.groupBy("rid", "rv").agg(F.collect_set("kind").alias("kinds")), "candidates")
+    release(lists)
+    return out
 
 
 # --- verification -----------------------------------------------------------
@@ -201,18 +203,35 @@ def matches(text: Column, rule: Rule, place: int) -> Column:
     return let(steps, whole)
 
 
+_FOUND = "array<struct<start:int,place:int,end:int>>"
+
+
+def _found(text: Column, rules, chosen, sure: Column | None = None) -> list[Column]:
+    """The matches of the rules at the places ``chosen``, where ``sure`` names a rule and its expression is in the text."""
+    out = []
+    for place in chosen:
+        there = text.rlike(rules[place].pattern)
+        if sure is not None:
+            there = F.array_contains(sure, rules[place].kind) & there
+        out.append(F.when(there, matches(text, rules[place], place)).otherwise(F.array().cast(_FOUND)))
+    return out
+
+
 def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=RULES) -> DataFrame:
-    """(id, text, found): ``found`` has (start, place in ``rules``, end) of every span, in that order."""
+    """(id, found) of every row: ``found`` has (start, place in ``rules``, end) of every span, in that order."""
     docs, index = keyed(df, id_col, text_col), Index.of(rules)
-    joined = docs.join(candidates(docs, rules, index), ["rid", "rv"], "left")
-    none = F.array().cast("array<struct<start:int,place:int,end:int>>")
-    found = []
-    for place, rule in enumerate(rules):
-        sure = F.col("text").rlike(rule.pattern)
-        if index.queries[rule.kind]:
-            sure = F.coalesce(F.array_contains("kinds", rule.kind), F.lit(False)) & sure
-        found.append(F.when(sure, matches(F.col("text"), rule, place)).otherwise(none))
-    return joined.select("id", "text", F.sort_array(F.concat(*found)).alias("found"))
+    indexed = [k for k, r in enumerate(rules) if index.queries[r.kind]]
+    whole = [k for k in range(len(rules)) if k not in indexed]
+    out = docs.select("rid", "rv", "id", F.concat(F.array().cast(_FOUND), *_found(F.col("text"), rules, whole)).alias("everywhere"))
+    if indexed:
+        some = docs.join(candidates(docs, rules, index), ["rid", "rv"])
+        some = some.select("rid", "rv", F.concat(*_found(F.col("text"), rules, indexed, F.col("kinds"))).alias("verified")).filter(F.size("verified") > 0)
+        some = materialize(some.dropDuplicates(["rid", "rv"]), "verified")
+        out = out.join(some, ["rid", "rv"], "left")
+        everything = F.concat("everywhere", F.coalesce("verified", F.array().cast(_FOUND)))
+    else:
+        everything = F.col("everywhere")
+    return out.select("id", F.sort_array(everything).alias("found"))
 
 
 def spans_text(found: Column, rules=RULES) -> Column:
