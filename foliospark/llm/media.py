@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import materialize, slices
+from foliospark.llm.common import mapped, materialize, quoted, slices
 
 BLOCK, RATE = 64, 8000
 SEQUENCE = "array<struct<pos:int,kind:string,text:string,ref:string,caption:string>>"
@@ -37,13 +37,23 @@ _MEDIA, _SKIPPED, _VOID = {"img", "audio", "video", "source"}, {"script", "style
 _BLOCKS = {"p", "div", "li", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "section", "article", "figure", "br", "ul", "ol", "table", "blockquote"}
 
 
+class _Figure:
+    """Where the media of an open figure are, and its captions."""
+
+    def __init__(self):
+        self.media: list[int] = []
+        self.captions: list[str] = []
+
+
 class _Parser(HTMLParser):
+    """Text goes to the open caption or else to the running text; whatever is open at the end, or around what ends, is closed with it."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.items: list[list] = []
         self.text: list[str] = []
         self.skipped = 0
-        self.figure: list[int] | None = None
+        self.figures: list[_Figure] = []
         self.caption: list[str] | None = None
 
     def _flush(self) -> None:
@@ -52,24 +62,42 @@ class _Parser(HTMLParser):
         if said:
             self.items.append(["text", said, None, None])
 
+    def _close_caption(self) -> None:
+        if self.caption is not None:
+            if said := " ".join("".join(self.caption).split()):
+                self.figures[-1].captions.append(said)
+            self.caption = None
+
+    def _close_figure(self) -> None:
+        self._close_caption()
+        self._flush()
+        figure = self.figures.pop()
+        if said := " ".join(figure.captions):
+            for k in figure.media:
+                self.items[k][3] = said
+            if not figure.media:  # a caption of nothing is text
+                self.items.append(["text", said, None, None])
+
     def handle_starttag(self, tag, attrs):
         if tag in _SKIPPED:
             self.skipped += 1
         elif tag == "figure":
+            self._close_caption()
             self._flush()
-            self.figure = []
-        elif tag == "figcaption" and self.figure is not None:
+            self.figures.append(_Figure())
+        elif tag == "figcaption" and self.figures:
+            self._close_caption()
             self._flush()
             self.caption = []
         elif tag in _MEDIA:
             own = dict(attrs)
             if own.get("src"):
                 self._flush()
-                if self.figure is not None:
-                    self.figure.append(len(self.items))
+                if self.figures:
+                    self.figures[-1].media.append(len(self.items))
                 self.items.append(["media", None, own["src"], own.get("alt")])
         elif tag in _BLOCKS:
-            self._flush()
+            self._break()
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -79,27 +107,26 @@ class _Parser(HTMLParser):
     def handle_endtag(self, tag):
         if tag in _SKIPPED:
             self.skipped = max(0, self.skipped - 1)
-        elif tag == "figcaption" and self.caption is not None:
-            said = " ".join("".join(self.caption).split())
-            for k in self.figure or []:
-                self.items[k][3] = said or self.items[k][3]
-            if said and not self.figure:  # the caption stands before what it describes
-                self.figure_caption = said
-            self.caption = None
-        elif tag == "figure":
-            self._flush()
-            if (early := self.__dict__.pop("figure_caption", None)) is not None:
-                for k in self.figure or []:
-                    self.items[k][3] = early
-            self.figure = None
+        elif tag == "figcaption":
+            self._close_caption()
+        elif tag == "figure" and self.figures:
+            self._close_figure()
         elif tag in _BLOCKS:
+            self._break()
+
+    def _break(self) -> None:
+        if self.caption is None:
             self._flush()
+        else:
+            self.caption.append(" ")
 
     def handle_data(self, data):
         if not self.skipped:
             (self.text if self.caption is None else self.caption).append(data)
 
     def result(self) -> list[dict]:
+        while self.figures:
+            self._close_figure()
         self._flush()
         return [dict(zip(("pos", "kind", "text", "ref", "caption"), (k, *x))) for k, x in enumerate(self.items)]
 
@@ -118,7 +145,6 @@ _ITEMS = pa.list_(pa.struct([("pos", pa.int32()), ("kind", pa.string()), ("text"
 def with_sequence(df: DataFrame, html_col: str = "html", out: str = "sequence") -> DataFrame:
     """``df`` and the interleaved sequence of an HTML column."""
     names = [*df.columns, out]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", `{out}` {SEQUENCE}"
 
     def run(batches):
         for batch in batches:
@@ -126,7 +152,7 @@ def with_sequence(df: DataFrame, html_col: str = "html", out: str = "sequence")
                 items = pa.array([parse_html(x) for x in part.column(html_col).to_pylist()], _ITEMS)
                 yield pa.RecordBatch.from_arrays([*part.columns, items], names)
 
-    return df.mapInArrow(run, schema)
+    return mapped(df, run, f"{quoted(out)} {SEQUENCE}", df.columns)
 
 
 # --- the store --------------------------------------------------------------
@@ -161,10 +187,14 @@ def feature_of(samples: np.ndarray) -> str:
 
 
 def store_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Written rows (id, html, digest, n_bytes, media): a page that refers to the text's stored form, and that form."""
+    """Written rows (row, id, html, digest, n_bytes, media): a page that refers to the text's stored form, and that form.
+
+    ``row`` numbers the rows as they are written, so repeated rows stay apart.
+    """
     names = ["id", "html", "digest", "n_bytes", "media"]
 
     def run(batches):
+        types = [pa.string(), pa.string(), pa.int64(), pa.binary()]
         for batch in batches:
             for part in slices(batch):
                 out: list[list] = [[] for _ in names[1:]]
@@ -172,21 +202,26 @@ def store_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                     samples, n = payload_of(text)
                     media = to_wav(samples)
                     digest = hashlib.sha256(media).hexdigest()
-                    page = f'<article><figure><audio src="sha256:{digest}"></audio><figcaption>{html.escape(f"{n} bytes of text")}</figcaption></figure></article>'
+                    said = html.escape(f"{n} bytes of text")
+                    page = f'<article><h1>Stored text</h1><figure><audio src="sha256:{digest}"></audio><figcaption>{said}</figcaption></figure><p>End</p></article>'
                     for o, x in zip(out, (page, digest, n, media)):
                         o.append(x)
-                types = [pa.string(), pa.string(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array(o, t) for o, t in zip(out, types))], names)
 
     docs = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"))
-    return materialize(docs.mapInArrow(run, "id long, html string, digest string, n_bytes long, media binary"), "media")
+    stored = mapped(docs, run, "html string, digest string, n_bytes long, media binary", ["id"])
+    return materialize(stored.withColumn("row", F.monotonically_increasing_id()), "media")
+
+
+FEATURES = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
 
 
 def media_features(store: DataFrame) -> DataFrame:
     """One row a digest, computed from the stored bytes read back."""
-    names = ["digest", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    names = ["digest", *FEATURES]
 
     def run(batches):
+        types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         for batch in batches:
             out: list[list] = [[] for _ in names]
             for digest, stored in zip(batch.column("digest"), batch.column("media")):
@@ -198,12 +233,11 @@ def media_features(store: DataFrame) -> DataFrame:
                 )
                 for o, x in zip(out, values):
                     o.append(x)
-            types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, types)], names)
 
-    schema = "digest string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    rows = store.select("digest", "media").mapInArrow(run, schema)
-    return materialize(rows.groupBy("digest").agg(*(F.first(c).alias(c) for c in names[1:])), "features")
+    fields = "digest string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    rows = mapped(store.select("digest", "media"), run, fields)
+    return materialize(rows.groupBy("digest").agg(*(F.first(c).alias(c) for c in FEATURES)), "features")
 
 
 def resolve_media(sequences: DataFrame, features: DataFrame, row_cols: list[str], column: str = "sequence") -> DataFrame:
@@ -224,7 +258,25 @@ def interleave(sequences: DataFrame, resolved: DataFrame, row_cols: list[str], v
 
 
 def op5_media(spark, sf_dir: str) -> DataFrame:
+    """Each text stored and referred to from a page; the page's sequence with what its reference resolves to."""
+    store = store_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    key = ["row", "id", "n_bytes"]
+    sequences = with_sequence(store.select(*key, "html")).drop("html")
+    resolved = materialize(resolve_media(sequences, media_features(store), key), "resolved")
+    whole = interleave(sequences, resolved, key, FEATURES)
+    media = F.element_at(F.filter("sequence", lambda x: x["item"]["kind"] == "media"), 1)
+    return whole.select(F.col("id").alias("doc_id"), "n_bytes", media.alias("m"), F.size("sequence").alias("n_items")).select(
+        "doc_id", "n_bytes", *(F.col("m.value")[c].alias(c) for c in FEATURES), F.col("m.pos").alias("pos"), F.col("m.item.caption").alias("caption"), "n_items"
+    )
+
+
+def page_sequences(spark, sf_dir: str) -> DataFrame:
+    """The interleaved sequence of every web page: its items in order, references resolved where a stored text has their digest."""
     store = store_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    sequences = with_sequence(store.select("id", "n_bytes", "html"))
-    out = resolve_media(sequences, media_features(store), ["id", "n_bytes"])
-    return out.select(F.col("id").alias("doc_id"), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "pos", "caption")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html")
+    sequences = materialize(with_sequence(pages).drop("html"), "sequences")
+    resolved = resolve_media(sequences, media_features(store), ["page_id"])
+    whole = interleave(sequences, resolved, ["page_id"], FEATURES)
+    texts = F.transform(F.filter("sequence", lambda x: x["item"]["kind"] == "text"), lambda x: x["item"]["text"])
+    items = F.size(F.filter("sequence", lambda x: x["item"].isNotNull()))
+    return whole.select("page_id", items.cast("long").alias("n_items"), F.size(texts).cast("long").alias("n_texts"), F.sha2(F.array_join(texts, "\n"), 256).alias("text_sha256"))

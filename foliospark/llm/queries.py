@@ -11,6 +11,7 @@ QUERIES = {
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_mixing": mixing.op4_mixing,
     "op5_media": media.op5_media,
+    "page_sequences": media.page_sequences,
     "op6_packing": packing.op6_packing,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_bpe": bpe.op8_bpe,

@@ -178,23 +178,69 @@ def test_mixing(spark, docs, empty):
     assert len({(r.id, r.rv, r.copies) for r in got}) == len({(r.id, r.rv) for r in got})  # the same copies for repeated rows
 
 
-def test_media(spark, docs, empty):
-    store = media.store_texts(docs)
-    out = media.resolve_media(media.with_sequence(store.select("id", "n_bytes", "html")), media.media_features(store), ["id", "n_bytes"])
-    rows = {(r.id, r.n_bytes): r for r in out.collect()}
+def wav(samples):
+    """A mono WAV of 8-bit samples, by the standard library."""
+    import io
+    import wave
+
+    out = io.BytesIO()
+    with wave.open(out, "wb") as w:
+        w.setnchannels(1)
+        w.setsampwidth(1)
+        w.setframerate(8000)
+        w.writeframes(samples)
+    return out.getvalue()
+
+
+def test_media(spark, docs, empty, tmp_path):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = Counter(tuple(r) for r in media.op5_media(spark, str(tmp_path)).collect())
+    want = Counter()
     for d in docs.collect():
         raw = (d.text or "").encode()
         padded = raw + b"\0" * ((-len(raw)) % 64 or (0 if raw else 64))
-        r = rows[d.doc_id, len(raw)]
-        assert (r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(padded), sha(padded), zlib.crc32(padded[-64:]))
-        stored = media.to_wav(padded)
-        assert (r.media_bytes, r.media_sha256) == (len(stored), sha(stored))
-        assert r.feature == media.feature_of(np.frombuffer(padded, np.uint8))
-        assert r.caption == f"{len(raw)} bytes of text"
-    assert out.count() == docs.count()
+        stored = wav(padded)
+        x = list(padded)
+        feature = f"sum={sum(x)};energy={sum(v * v for v in x)};steps={sum(abs(a - b) for a, b in zip(x, x[1:]))};peak={max(x)};levels={len(set(x))}"
+        want[d.doc_id, len(raw), len(padded), sha(padded), zlib.crc32(padded[-64:]), len(stored), sha(stored), feature, 1, f"{len(raw)} bytes of text", 3] += 1
+    assert rows == want
     assert media.store_texts(empty).count() == 0
 
 
+def test_no_text_is_lost():
+    """Whatever is closed or not, each word outside of scripts comes out once, and references stay in order."""
+    r = random.Random(7)
+    for _ in range(300):
+        page, said, refs = [], [], []
+        for k in range(r.randint(1, 25)):
+            tag = r.choice(["<p>", "</p>", "<figure>", "</figure>", "<figcaption>", "</figcaption>", "<b>", "</b>", "<div>", "</div>", "<br/>", "img", "word", "word", "word"])
+            if tag == "word":
+                said.append(f"w{k}")
+                tag = f" w{k} "
+            elif tag == "img":
+                refs.append(f"r{k}")
+                tag = f'<img src="r{k}">'
+            page.append(tag)
+        items = media.parse_html("".join(page))
+        assert [i["ref"] for i in items if i["kind"] == "media"] == refs
+        got = [w for i in items if i["kind"] == "text" for w in i["text"].split()]
+        caught = {w for i in items for w in (i["caption"] or "").split()}
+        assert len(got) == len(set(got)) and not caught & set(got)
+        assert set(got) | caught == set(said), "".join(page)
+    items = media.parse_html('<figure><img src="a"><figcaption>two words</figure><p>after')
+    assert [(i["kind"], i["text"], i["caption"]) for i in items] == [("media", None, "two words"), ("text", "after", None)]
+
+
+def test_page_sequences(spark, tmp_path):
+    spark.createDataFrame([(1, "x")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    digest = sha(wav(b"x" + b"\0" * 63))
+    page = f'<h1>A</h1><figure><img src="sha256:{digest}"><figcaption>B</figcaption></figure>C<script>D</script><p>E'
+    pages = [(1, page), (2, None), (3, ""), (4, "plain")]
+    spark.createDataFrame(pages, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.n_items, r.n_texts, r.text_sha256) for r in media.page_sequences(spark, str(tmp_path)).collect()}
+    assert got == {1: (4, 3, sha(b"A\nC\nE")), 2: (0, 0, sha(b"")), 3: (0, 0, sha(b"")), 4: (1, 1, sha(b"plain"))}
+
+
 def test_sequences(spark):
     page = '<p>One <b>two</b><script>var t="</p>";</script><figure><figcaption>A &amp; B</figcaption><img src="sha256:x" alt="z"></figure>three<img src=q alt=w><p>four'
     items = media.parse_html(page)
