@@ -261,33 +261,54 @@ def test_sequences(spark):
 
 def test_best_fit():
     r = random.Random(1)
-    for _ in range(50):
-        sizes = [r.randint(1, 16) for _ in range(r.randint(0, 40))]
-        rows = packing.best_fit_decreasing(sizes, 16)
-        assert sorted(i for row in rows for i in row) == list(range(len(sizes)))
-        assert all(sum(sizes[i] for i in row) <= 16 for row in rows)
+    for _ in range(200):
+        length = r.choice((7, 16, 40))
+        counts = Counter(r.randint(1, length) for _ in range(r.randint(0, 120)))
+        plan, total = packing.best_fit_plan(counts, length)
+        rows: dict = {}
+        for size, steps in plan.items():
+            ends = [s.rank for s in steps[1:]] + [counts[size]]
+            assert [s.rank for s in steps][:1] == [0]
+            for s, end in zip(steps, ends):
+                for k in range(end - s.rank):
+                    rows.setdefault(s.row + k // s.each, []).append((s.used + k % s.each * size, size))
+        assert sorted(rows) == list(range(total))
+        for own in rows.values():  # pieces stand one behind another
+            at = 0
+            for used, size in sorted(own):
+                assert used == at
+                at += size
+            assert at <= length
         room: list[int] = []
-        for n in sorted(sizes, reverse=True):  # the plain way takes as many rows
+        for n in sorted(counts.elements(), reverse=True):  # the plain way, piece by piece, leaves the same rooms
             fit = [(c, k) for k, c in enumerate(room) if c >= n]
             if fit:
                 room[min(fit)[1]] -= n
             else:
-                room.append(16 - n)
-        assert len(room) == len(rows)
+                room.append(length - n)
+        assert sorted(room) == sorted(length - sum(s for _, s in own) for own in rows.values())
 
 
-def test_packing(spark, empty):
+def test_packing(spark, empty, tmp_path):
     texts = corpus()
     df = spark.createDataFrame(rows_of(texts), SCHEMA)
-    packed = packing.pack_tokens(df, length=64, pool=500)
+    packed = packing.pack_tokens(df, length=64)
     ids = {r.doc_id: r.ids for r in packing.unpack_tokens(packed).collect()}
     decoded = bpe.decode(spark.createDataFrame([(k, v) for k, v in ids.items()], "id long, ids array<int>")).collect()
     assert {r.id: bytes(r.decoded) for r in decoded} == {i: (t or "").encode() for i, t in enumerate(texts)}
-    for r in packed.collect():
+    rows = packed.collect()
+    for r in rows:
         at = np.frombuffer(bytes(r.positions), "<u2")
         assert len(r.ids) == 128 and r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.n_tokens and r.resets == r.cu_seqlens[:-1]
         for a, b in zip(r.cu_seqlens, r.cu_seqlens[1:]):
             assert list(at[a:b]) == list(range(b - a))
+    sizes = Counter(b - a for r in rows for a, b in zip(r.cu_seqlens, r.cu_seqlens[1:]))
+    assert len(rows) == packing.best_fit_plan(sizes, 64)[1] and sorted(r.row_no for r in rows) == list(range(len(rows)))
+    assert {tuple(map(str, r)) for r in rows} == {tuple(map(str, r)) for r in packing.pack_tokens(df.repartition(3), length=64).collect()}
+    files = packing.save_matrices(packed, f"file://{tmp_path}/matrices").collect()
+    assert sum(f.n_rows for f in files) == len(rows)
+    saved = [bytes(x) for f in files for x in np.load(f"{tmp_path}/matrices/{f.file}.ids.npy")]
+    assert sorted(saved) == sorted(bytes(r.ids) for r in rows)
     assert packing.pack_tokens(empty).count() == 0
 
 
