@@ -3,11 +3,13 @@
 A change row is signed: an insert adds a document's count, a delete takes it
 away, a revised count takes the old one away and adds the new one.  A batch is
 summed to one small delta and committed as a folder of its own: the delta is
-written aside first and then renamed to ``batch=<id>``, which a file system
-does for one writer only.  A batch that is committed already - by an earlier
-run, another driver, or the same one after it lost its answer - changes
+written aside first and then renamed to ``batch=<id>``, which a file system with
+atomic renames does for one writer only; on an object store without them the
+folder needs one writer at a time.  A batch that is committed already - by an
+earlier run, another driver, or the same one after it lost its answer - changes
 nothing.  Totals are the sum of all committed deltas, so they cost the deltas
-and never the documents.
+and never the documents; ``compact`` sums old deltas to one and keeps their
+names, so that a late second delivery still changes nothing.
 
 Sums are pre-aggregated by Spark before the shuffle, so a hot source costs one
 row a task.  Null texts count 0 tokens; null sources and languages are groups
@@ -19,14 +21,13 @@ from __future__ import annotations
 
 import re
 import uuid
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import n_words_of, scratch_dir, slices
+from foliospark.llm.common import mapped, materialize, n_words_of, quoted, release, scratch_path, slices
 from foliospark.llm.packing import tokenizer
 
 KEYS = ["source", "lang", "tokenizer"]
@@ -40,18 +41,17 @@ def count_tokens(df: DataFrame, text_col: str, out: str, path: str | None = None
     import public_tokenizers
 
     path, pattern = path or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN
-    keep = [f for f in df.schema if f.name != text_col]
-    names = [*(f.name for f in keep), out]
+    keep = [c for c in df.columns if c != text_col]
+    names = [*keep, out]
 
     def run(batches):
         encode = tokenizer(path, pattern)
         for batch in batches:
             for part in slices(batch, text_col):
                 n = [len(encode.encode_to_numpy(t or "", disallowed_special=())) for t in part.column(text_col).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in keep), pa.array(np.array(n, np.int64))], names)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(np.array(n, np.int64))], names)
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep), f"`{out}` long"])
-    return df.mapInArrow(run, schema)
+    return mapped(df, run, f"{quoted(out)} long", keep)
 
 
 def inserted(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
@@ -84,54 +84,91 @@ class Rollup:
         self._fs = path(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
         self._fs.mkdirs(path(self.folder))
 
+    def _names(self, folder: str, kind: str) -> list[str]:
+        names = (s.getPath().getName() for s in self._fs.listStatus(self._path(folder)))
+        return sorted(n.partition("=")[2] for n in names if n.startswith(f"{kind}="))
+
+    def _snapshot(self) -> str | None:
+        """The folder of the newest compaction: its sums, and the batches in them."""
+        found = self._names(self.folder, "snapshot")
+        return f"{self.folder}/snapshot={found[-1]}" if found else None
+
+    def _merged(self) -> list[str]:
+        last = self._snapshot()
+        return [r.batch for r in self.spark.read.schema("batch string").parquet(f"{last}/batches").collect()] if last else []
+
     def batches(self) -> list[str]:
         """Names of the committed batches; they are few, one a commit."""
-        names = (s.getPath().getName() for s in self._fs.listStatus(self._path(self.folder)))
-        return sorted(n.partition("=")[2] for n in names if n.startswith("batch="))
+        return sorted({*self._names(self.folder, "batch"), *self._merged()})
+
+    def _commit(self, aside: str, final: str) -> bool:
+        """Renames what was written aside; False if another writer came first."""
+        to = self._path(final)
+        if not self._fs.exists(to) and self._fs.rename(self._path(aside), to):
+            inside = self._path(f"{final}/{aside.rpartition('/')[2]}")
+            if not self._fs.exists(inside):
+                return True
+            self._fs.delete(inside, True)  # the rename went below the other writer's folder
+            return False
+        self._fs.delete(self._path(aside), True)
+        return False
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Adds a batch's sums; False, and no change, if that batch is committed already."""
         if not re.fullmatch(r"[A-Za-z0-9._-]+", batch):
             raise ValueError("a batch name is letters, digits, dots, dashes and underscores")
-        final = self._path(f"{self.folder}/batch={batch}")
-        if self._fs.exists(final):
+        final = f"{self.folder}/batch={batch}"
+        if self._fs.exists(self._path(final)) or batch in self._merged():
             return False
         aside = f"{self.folder}/_aside-{uuid.uuid4().hex}"
         delta = changes.groupBy(*KEYS).agg(F.sum("sign").cast("long").alias("docs"), F.sum("tokens").cast("long").alias("tokens"))
-        delta.coalesce(1).write.parquet(aside)  # sums only: one row a group
-        if not self._fs.exists(final) and self._fs.rename(self._path(aside), final):
-            inside = self._path(f"{self.folder}/batch={batch}/{aside.rpartition('/')[2]}")
-            if not self._fs.exists(inside):
-                return True
-            self._fs.delete(inside, True)  # another writer came first and the rename went below its folder
-            return False
-        self._fs.delete(self._path(aside), True)
-        return False
+        delta.write.parquet(aside)
+        return self._commit(aside, final)
+
+    def _rows(self) -> DataFrame:
+        """The rows of the newest compaction and of all batches that are not in it, each kind read as one folder."""
+        last, merged = self._snapshot(), self._merged()
+        rows = self.spark.createDataFrame([], DELTA)
+        if last:
+            rows = rows.union(self.spark.read.schema(DELTA).parquet(f"{last}/sums"))
+        if set(self._names(self.folder, "batch")) - set(merged):
+            deltas = self.spark.read.schema(f"{DELTA}, batch string").option("basePath", self.folder).parquet(f"{self.folder}/batch=*")
+            rows = rows.union(deltas.filter(~F.col("batch").isin(merged) if merged else F.lit(True)).drop("batch"))
+        return rows
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, docs, tokens) over all commits; groups without documents are gone."""
-        parts = [self.spark.read.schema(DELTA).parquet(f"{self.folder}/batch={b}") for b in self.batches()]
-        rows = reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], DELTA)
-        sums = rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+        sums = self._rows().groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         return sums.filter("docs != 0 or tokens != 0")
 
+    def compact(self) -> bool:
+        """Sums all deltas so far to one snapshot; totals and names of batches stay.  One caller at a time."""
+        names, found = self.batches(), self._names(self.folder, "snapshot")
+        aside = f"{self.folder}/_aside-{uuid.uuid4().hex}"
+        self.totals().write.parquet(f"{aside}/sums")
+        self.spark.createDataFrame([(n,) for n in names], "batch string").coalesce(1).write.parquet(f"{aside}/batches")
+        if not self._commit(aside, f"{self.folder}/snapshot={int(found[-1] if found else 0) + 1:012d}"):
+            return False
+        for name in self._names(self.folder, "batch"):
+            if name in names:
+                self._fs.delete(self._path(f"{self.folder}/batch={name}"), True)
+        return True
+
 
 def op10_token_counts(spark, sf_dir: str) -> DataFrame:
     """All documents come with their word count, are revised to their token count, and later copies of a text leave again."""
     read = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    words = read.select("source", "lang", F.lit(DRAFT).alias("tokenizer"), n_words_of(F.col("text")).alias("tokens"))
-    rollup = Rollup(spark, f"{scratch_dir(spark)}/rollup-{uuid.uuid4().hex}")
-    rollup.commit("0001-insert", inserted(words))
     both = read.select("doc_id", "source", "lang", "text", F.sha2("text", 256).alias("content"), n_words_of(F.col("text")).alias("words"))
-    counted = count_tokens(both, "text", "tokens")
-    folder = f"{rollup.folder}/_counted"
-    counted.write.parquet(folder)
-    counted = spark.read.schema(counted.schema).parquet(folder).withColumn("tokenizer", F.lit(VERSION))
+    table = materialize(count_tokens(both, "text", "tokens"), "counted")
+    counted = table.withColumn("tokenizer", F.lit(VERSION))
+    rollup = Rollup(spark, scratch_path(spark, "rollup"))
+    rollup.commit("0001-insert", inserted(counted.withColumn("tokenizer", F.lit(DRAFT)), "words"))
     rollup.commit("0002-revise", revised(counted, "words", "tokens", DRAFT))
     rollup.commit("0002-revise", revised(counted, "words", "tokens", DRAFT))  # delivered twice, counted once
     first = counted.groupBy("content").agg(F.min("doc_id").alias("first"), F.count("*").alias("c")).filter("c > 1")
-    first.select("content", "first").write.parquet(f"{rollup.folder}/_first")
-    first = spark.read.parquet(f"{rollup.folder}/_first")
+    first = materialize(first.select("content", "first"), "first")
     copies = counted.join(first, "content").filter("doc_id > first")
     rollup.commit("0003-delete", deleted(copies))
+    rollup.compact()
+    release(first, table)
     return rollup.totals()

@@ -454,24 +454,36 @@ def test_rollup(spark, docs, tmp_path):
     assert {r.source for r in store.totals().collect()} == {"a", "b"}
     assert store.commit("b5", token_counts.deleted(gone.limit(0)))
     assert token_counts.Rollup(spark, f"file://{tmp_path}/rollup").batches() == ["b1", "b2", "b3", "b4", "b5"]
+    before = sorted(map(str, store.totals().collect()))
+    for late in ("b6", "b7"):
+        assert store.compact() and sorted(map(str, store.totals().collect())) == before
+        assert not store.commit("b2", token_counts.inserted(v1))  # a second delivery after the compaction
+        assert store.commit(late, token_counts.deleted(gone.limit(0)))
+    assert token_counts.Rollup(spark, f"file://{tmp_path}/rollup").batches() == ["b1", "b2", "b3", "b4", "b5", "b6", "b7"]
     with pytest.raises(ValueError):
         store.commit("../x", token_counts.inserted(v1))
 
 
 def test_token_counts_query(spark, tmp_path):
-    import tiktoken  # noqa: F401
+    import public_tokenizers
+    import tiktoken
 
-    texts = corpus()
-    rows = rows_of(texts)
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    import base64
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(t): int(r) for t, r in (x.split() for x in f if x.strip())}
+    encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rows = rows_of(corpus())
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
-    codec = bpe.Codec.get(*bpe._vocabulary(None, None))
-    seen, want = set(), Counter()
+    seen, want = set(), {}
     for r in rows:
-        if r[1] is None or r[1] not in seen:
-            want[r[2], r[3]] += len(codec.encode(__import__("pyarrow").array([r[1]]))[0])
+        if r[1] is None or r[1] not in seen:  # texts that are null are no copies of each other
+            docs, tokens = want.get((r[2], r[3]), (0, 0))
+            want[r[2], r[3]] = (docs + 1, tokens + len(encoding.encode_ordinary(r[1] or "")))
             seen.add(r[1])
-    got = {(r.source, r.lang): r.tokens for r in token_counts.op10_token_counts(spark, str(tmp_path)).collect()}
-    assert got == {k: v for k, v in want.items()}
+    got = {(r.source, r.lang): (r.docs, r.tokens) for r in token_counts.op10_token_counts(spark, str(tmp_path)).collect()}
+    assert got == want
 
 
 def test_entry_has_all():
@@ -602,3 +614,57 @@ def test_near_stage_takes_80(spark):
         assert low < len(s & t) / len(s | t) < high
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == {0, 2, 3}
+
+
+def test_near_dedup_finds_planted_pairs(spark):
+    """Of three thousand planted pairs the hundreds between 0.85 and 0.90 are linked, and so are all above."""
+    r = random.Random(17)
+    texts, linked = [], 0
+    for k in range(3000):
+        n = r.randint(60, 160)
+        base = [f"b{k}_{i}" for i in range(n)]
+        copy = list(base)
+        for i in range(r.randint(1, 3)):
+            copy[r.randrange(n)] = f"c{k}_{i}"
+        texts += [" ".join(base), " ".join(copy)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in near_dedup.near_components(df).collect()}
+    for k in range(3000):
+        a, b = shingles(texts[2 * k]), shingles(texts[2 * k + 1])
+        link = 100 * len(a & b) >= 85 * len(a | b)
+        linked += link and 100 * len(a & b) < 90 * len(a | b)
+        assert (got[2 * k], got[2 * k + 1]) == ((2 * k, 2 * k) if link else (2 * k, 2 * k + 1))
+    assert linked > 500
+
+
+def test_near_dedup_ids(spark):
+    """A repeated or null id with different texts is a node for each text: no link is lost or lent."""
+    r = random.Random(19)
+    say = lambda n: " ".join("h%d" % r.randrange(20000) for _ in range(n))
+    a, b = say(90), say(90)
+    for one in (1, None):
+        df = spark.createDataFrame([(one, a), (one, b), (7, a + " x"), (9, b + " y"), (-(2**63), "q " * 8)], "doc_id long, text string")
+        got = {(x.doc_id, x.n_shingles): (x.component_id, x.kept) for x in near_dedup.near_components(df).collect()}
+        low = 1 if one else 7
+        assert got[7, 87] == (low, not one) and got[9, 87] == (1 if one else 9, not one)
+        assert got[-(2**63), 1] == (-(2**63), True)
+
+
+def test_row_keys(spark):
+    """Null ids with different texts, and the smallest id, are told apart by 64 bits of content."""
+    df = spark.createDataFrame([(None, "a"), (-(2**63), "a"), (None, "b"), (None, None), (3, "a"), (3, "a")], "doc_id long, text string")
+    assert common.keyed(df, "doc_id", "text").select("rid", "rv").distinct().count() == 5
+
+
+def test_long_pieces(spark):
+    """Pieces far beyond a word go the same way as all others."""
+    import tiktoken
+
+    codec = bpe.Codec.get(*bpe._vocabulary(None, None))
+    encoding = tiktoken.Encoding("own", pat_str=bpe._vocabulary(None, None)[1], mergeable_ranks=codec.ranks, special_tokens={})
+    r = random.Random(23)
+    texts = ["a" * 30001, "=-" * 6000, "aaab" * 3000, "".join(r.choice("abcd") for _ in range(6000)), "".join(r.choice("01") for _ in range(5000)), "ab" * 999 + "a" * 2500]
+    import pyarrow as pa
+
+    for t, ids in zip(texts, codec.encode(pa.array(texts))):
+        assert ids.as_py() == encoding.encode_ordinary(t)
