@@ -20,7 +20,6 @@ from pyspark.sql.types import StringType
 from foliospark.functions.vocabulary import DEFAULT, Vocabulary
 
 SPACE = "[\\s\\x1c-\\x1f\\x85\\p{Z}]"
-CJK_NUMERALS = "一二三四五六七八九十百〇零"
 OPEN, CLOSE = "（(", "）)"
 
 
@@ -120,13 +119,19 @@ def apply_rules(c: Column, rules: list[Replacement]) -> Column:
 
 # --- titles ---------------------------------------------------------------------
 
-#: （12）, 12 or the Latin letters that a scan makes of such numbers, in brackets.
-ENUMERATOR = f"^(?:[（(]\\s*[{CJK_NUMERALS}\\d]+\\s*[）)]|[（(]\\s*[A-Za-z]{{1,3}}\\s*[）)]|[{CJK_NUMERALS}]+\\s*[）)])\\s*"
+# The forms of an enumerator, what no title holds, and its lengths.
+ENUMERATOR = "^(?:[（(]?[一二三四五六七八九十百零〇0-9]+[）)]|[（(][A-Za-z][A-Za-z .·]*[）)])\\s*"
+TITLE_MARKS = "[。．，,；;：:！!？?…“”\"']"
+TITLE_AMOUNT = "[〇零一二三四五六七八九十百半]+[钱两斤克]"
+STEP_NUMBER = "(?:\\p{Nd}+|[一二三四五六七八九十]+)[.、]"
+SHORTEST, LONGEST = 2, 14
+
+_WIDE = "[\\u4e00-\\u9fff（()）、]"
 
 
 def _bare_name(t: Column) -> Column:
-    t = F.regexp_replace(F.regexp_replace(t, ENUMERATOR, ""), " +(?=[\\u4e00-\\u9fff（()）、])|(?<=[\\u4e00-\\u9fff（()）、]) +", "")
-    return strip(t, "：: ")
+    """Of a normalised text: no enumerator, no blanks beside wide characters."""
+    return F.btrim(F.regexp_replace(F.regexp_replace(t, ENUMERATOR, ""), f"\\s+(?={_WIDE})|(?<={_WIDE})\\s+", ""), F.lit("：: "))
 
 
 def strip_enumerator(c: Column) -> Column:
@@ -137,32 +142,35 @@ def _occurrences(c: Column, chars: str) -> Column:
     return reduce(lambda n, x: n + F.length(c) - F.length(F.replace(c, F.lit(x), F.lit(""))), chars, F.lit(0))
 
 
-def plausible_title(c: Column, shortest: int = 2, longest: int = 14, v: Vocabulary = DEFAULT) -> Column:
-    """Whether a stripped text can name a record."""
-    amount = f"[{v.numerals}\\d]+[{v.units}]"
-    return (
-        F.length(c).between(shortest, longest)
-        & ~c.rlike("[\\n。，；！？,;!?：:]")
-        & ~c.rlike(amount)
-        & (_occurrences(c, OPEN) == _occurrences(c, CLOSE))
-        & ~c.endswith(v.category_suffix)
-        & ~c.rlike("|".join(map(re.escape, v.section_words)))
-    )
+def plausible_title(c: Column, shortest: int = SHORTEST, longest: int = LONGEST, v: Vocabulary = DEFAULT) -> Column:
+    """Whether a text, without its enumerator, can name a record."""
+
+    def good(t: Column) -> Column:
+        return (
+            F.length(t).between(shortest, longest)
+            & ~t.rlike(f"\\n|{TITLE_MARKS}|{TITLE_AMOUNT}")
+            & (_occurrences(t, OPEN) == _occurrences(t, CLOSE))
+            & ~t.endswith(v.category_suffix)
+            & ~t.rlike("|".join(map(re.escape, v.title_words)))
+        )
+
+    return let(strip_enumerator(c), good)
 
 
 def loose_title(c: Column) -> Column:
     """An enumerator with a name behind it, nothing else asked."""
-    return normalize_text(c).rlike(ENUMERATOR + "\\S")
+    return F.btrim(normalize_text(c), F.lit("：: ")).rlike(ENUMERATOR + ".")
 
 
 def record_title(c: Column, v: Vocabulary = DEFAULT) -> Column:
-    """Whether a title block opens a record."""
+    """Whether a title block opens a record: an enumerator, and behind it a line that is neither a section nor anything but a name."""
     words = "|".join(map(re.escape, v.section_words))
 
     def good(t: Column) -> Column:
-        kept = lambda bare: ~bare.endswith(v.category_suffix) & ~bare.isin(v.contents, *v.corpus_names)
-        name = lambda n: ~n.rlike(f"^(?:{words})") & plausible_title(n, v=v)
-        return t.rlike(ENUMERATOR + "\\S") & ~t.rlike("[：:]\\s*$") & let(F.replace(t, F.lit(" "), F.lit("")), kept) & let(_bare_name(t), name)
+        whole = F.btrim(t, F.lit("：: "))
+        other = whole.endswith(v.category_suffix) | whole.contains(v.contents) | whole.isin(*v.corpus_names)
+        name = F.btrim(F.regexp_extract(whole, ENUMERATOR + "(.+)", 1), F.lit("：: "))
+        return ~other & ~t.rlike("[：:]\\s*$") & let(name, lambda n: ~n.rlike(f"^(?:{words})") & plausible_title(n, v=v))
 
     return F.coalesce(let(normalize_text(c), good), F.lit(False))
 
@@ -213,10 +221,9 @@ def one_char_apart(a: Column, b: Column) -> Column:
 
 
 def numbered_steps(c: Column) -> Column:
-    """array<string>: split before step numbers at the start of a line or sentence; the text itself where there are none."""
-    parts = F.split(normalize_text(c), f"(?<=^|[\\n。；; ])(?=(?:\\d+|[{CJK_NUMERALS}]+)[.、])")
-    parts = F.filter(F.transform(parts, lambda x: strip(x)), lambda x: x != "")
-    return F.when(F.size(parts) > 0, parts).otherwise(F.array(normalize_text(c)))
+    """array<string>: cut before the mark or blank that a step number follows; a blank text has no steps."""
+    parts = F.split(normalize_text(c), f"(?=(?:^|[\\n。；; ]){STEP_NUMBER})")
+    return F.filter(F.transform(parts, lambda x: F.btrim(x, F.lit(" \n"))), lambda x: x != "")
 
 
 def split_tokens(c: Column, separator: str = " / ") -> Column:

@@ -18,6 +18,7 @@ class Vocabulary:
     item_labels: tuple[str, ...]
     seasoning_labels: tuple[str, ...]
     section_words: tuple[str, ...]
+    title_words: tuple[str, ...]
     headers: tuple[tuple[str, tuple[str, ...]], ...]
     contents: str
     category_suffix: str
@@ -41,6 +42,7 @@ DEFAULT = Vocabulary(
     item_labels=("主料", "配料", "原料", "用料"),
     seasoning_labels=("调料", "佐料", "辅料"),
     section_words=("用料", "原料", "材料", "配料", "主料", "调料", "作法", "制法", "做法", "方法", "制作", "特点", "说明", "附注", "注意", "备注"),
+    title_words=("原料", "用料", "材料", "主料", "配料", "调料", "佐料", "辅料", "制法", "作法", "做法", "方法", "制作", "特点", "说明", "附注", "目录"),
     headers=(
         ("ingredients", ("原材料", "原料", "用料")),
         ("steps", ("制作方法", "制法", "作法", "方法", "制作")),
@@ -54,5 +56,6 @@ DEFAULT = Vocabulary(
     glue="共各和与及或",
     number_names=("八角", "五花肉", "五花猪肉", "五花牛肉", "五花羊肉", "五香粉", "五香面", "三鲜", "千张", "百合", "十三香", "八宝", "四季豆", "一级羊肉"),
     bad_single=("角", "麻", "分", "子", "头", "皮", "水", "色"),
+    generic=("主料", "配料", "调料", "原料", "用料", "适量", "少许", "各适量", "净", "各", "适当", "实耗", "实用", "约", "共", "料", "汁"),
     prose_words=("制法", "特点", "做法"),
 )

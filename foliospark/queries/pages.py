@@ -10,7 +10,7 @@ from foliospark.queries.registry import query
 
 #: A vocabulary for the driver's invented prose.
 LATIN = Vocabulary(
-    numerals="0123456789", units="g", sizes="", vague=("some",), item_labels=("item",), seasoning_labels=("spice",), section_words=("zzz",),
+    numerals="0123456789", units="g", sizes="", vague=("some",), item_labels=("item",), seasoning_labels=("spice",), section_words=("zzz",), title_words=("zzz",),
     headers=(("ingredients", ("The", "Der", "La")), ("steps", ("And", "Und", "Et")), ("tips", ("Of", "Von", "De"))), contents="Licensed", category_suffix=".",
 )
 

@@ -185,7 +185,7 @@ def rule_evidence(table):
 
 
 AFFIXES = Vocabulary(
-    numerals="", units="", sizes="", vague=(), item_labels=(), seasoning_labels=(), section_words=(), headers=(), contents="", category_suffix="",
+    numerals="", units="", sizes="", vague=(), item_labels=(), seasoning_labels=(), section_words=(), title_words=(), headers=(), contents="", category_suffix="",
     prefixes=("th", "er", "on", "in"), suffixes=("ed", "tion", "es", "er"),
 )
 WORDS = "SELECT DISTINCT unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]{3,9}'))) AS w FROM documents WHERE lang = 'en'"

@@ -103,32 +103,45 @@ def table_row_texts(table):
     return rows.select("page_id", F.array_join("r", "|").alias("row_texts"))
 
 
-STEPPED = "'1. ' || replace(text, chr(10), chr(10) || '2. ')"
+STEPPED = "'1. ' || replace(text, chr(10), chr(10) || '2. ') || '。三、' || source"
 
 
 @query(
     rf"""WITH t AS (SELECT doc_id, {norm_sql(STEPPED)} AS n FROM documents),
-    s AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(n, '(^|[\n。；; ])(([0-9]+|[一二三四五六七八九十百〇零]+)[.、])', '\1' || chr(1) || '\2', 'g'), chr(1)),
-      lambda x: regexp_replace(regexp_replace(x, '^{WS}+', ''), '{WS}+$', '')), lambda x: x <> '') AS l FROM t)
+    s AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(n, '(^|[\n。；; ])((?:\p{{Nd}}+|[一二三四五六七八九十]+)[.、])', chr(1) || '\1\2', 'g'), chr(1)),
+      lambda x: trim(x, ' ' || chr(10))), lambda x: x <> '') AS l FROM t)
     SELECT doc_id, unnest(range(1, len(l) + 1)) AS step_no, unnest(l) AS step FROM s"""
 )
 def numbered_steps(table):
-    text = F.concat(F.lit("1. "), F.replace("text", F.lit("\n"), F.lit("\n2. ")))
+    text = F.concat(F.lit("1. "), F.replace("text", F.lit("\n"), F.lit("\n2. ")), F.lit("。三、"), "source")
     return table("documents").select("doc_id", F.posexplode(T.numbered_steps(text)).alias("p", "step")).select("doc_id", (F.col("p") + 1).cast("long").alias("step_no"), "step")
 
 
-H1 = rf"list_extract(list_transform(regexp_extract_all({NO_SCRIPT}, '(?is)<(?:h1)\b[^>]*>(.*?)</(?:h1)\s*>', 1), lambda y: {cell_sql('y')}), 1)"
+# titles made from every part's name and number, in each form that the rules tell apart
+TITLES = ("（一二〇）八块鸡", "（Ab c·D）明月", "（一〇 Ab）明月", "35）两头烧", "（3）糖 醋 “鱼”", "（四）佐料鸡", "（五）猪肉 三两", "（六）凉菜类", "(七）干 馍：", "（八）用料", "（九）烧饼（又名油饼", "三一）镇川", "八块鸡", "（十）汤\n第二行", "（十一）目录", "")
+_ENUM = "^(?:[（(]?[一二三四五六七八九十百零〇0-9]+[）)]|[（(][A-Za-z][A-Za-z .·]*[）)])[ \n]*"
+_BARE = f"trim(regexp_replace(regexp_replace(regexp_replace({{t}}, '{_ENUM}', ''), '[ \n]+([一-鿿（()）、])', '\\1', 'g'), '([一-鿿（()）、])[ \n]+', '\\1', 'g'), '：: ')"
+_PLAUSIBLE = (
+    "(length({b}) BETWEEN 2 AND 14 AND NOT regexp_matches({b}, '[\n。．，,；;：:！!？?…“”\"'']') AND NOT regexp_matches({b}, '[〇零一二三四五六七八九十百半]+[钱两斤克]')"
+    " AND length(regexp_replace({b}, '[^（(]', '', 'g')) = length(regexp_replace({b}, '[^)）]', '', 'g')) AND NOT ends_with({b}, '类')"
+    " AND NOT regexp_matches({b}, '原料|用料|材料|主料|配料|调料|佐料|辅料|制法|作法|做法|方法|制作|特点|说明|附注|目录'))"
+)
+_TITLE = f"{norm_sql('(CASE p_partkey % ' + str(len(TITLES)) + ' ' + ' '.join(f'WHEN {k} THEN {chr(39)}{t}{chr(39)}' for k, t in enumerate(TITLES)) + ' END) || CASE WHEN p_size > 40 THEN substr(p_name, 1, 4) ELSE chr(32) END')}"
 
 
 @query(
-    rf"""SELECT page_id, h1, coalesce(length(h1) BETWEEN 2 AND 60 AND NOT regexp_matches(h1, '[\n。，；！？,;!?：:]') AND NOT regexp_matches(h1, '[〇零一二三四五六七八九十百半两几0-9]+[钱两斤分个只片粒条张朵克根块付副枚棵把碗匙勺撮厘段头]')
-      AND length(regexp_replace(h1, '[^（(]', '', 'g')) = length(regexp_replace(h1, '[^)）]', '', 'g')) AND NOT ends_with(h1, '类')
-      AND NOT regexp_matches(h1, '用料|原料|材料|配料|主料|调料|作法|制法|做法|方法|制作|特点|说明|附注|注意|备注'), false) AS plausible FROM (SELECT page_id, {H1} AS h1 FROM pages)"""
+    f"""WITH t AS (SELECT p_partkey, {_TITLE} AS t FROM part), w AS (SELECT p_partkey, t, trim(t, '：: ') AS w FROM t),
+    r AS (SELECT p_partkey, t, w, {_BARE.format(t="t")} AS bare, trim(regexp_extract(w, '{_ENUM}([^\n]+)', 1), '：: ') AS rest FROM w),
+    n AS (SELECT *, {_BARE.format(t="rest")} AS name FROM r)
+    SELECT p_partkey, bare, {_PLAUSIBLE.format(b="bare")} AS plausible, regexp_matches(w, '{_ENUM}[^\n]') AS loose,
+      (rest <> '' AND NOT ends_with(w, '类') AND NOT contains(w, '目录') AND NOT regexp_matches(t, '[：:][ \n]*$')
+        AND NOT regexp_matches(rest, '^(?:用料|原料|材料|配料|主料|调料|作法|制法|做法|方法|制作|特点|说明|附注|注意|备注)') AND {_PLAUSIBLE.format(b="name")}) AS is_title FROM n"""
 )
 def plausible_title(table):
-    h1 = F.get(F.transform(T.elements(T.without_scripts(F.col("html")), "h1"), lambda x: T.cell_text(x)), F.lit(0))
-    t = table("pages").select("page_id", h1.alias("h1"))
-    return t.select("page_id", "h1", F.coalesce(T.plausible_title(F.col("h1"), 2, 60), F.lit(False)).alias("plausible"))
+    made = F.element_at(F.array(*map(F.lit, TITLES)), (F.col("p_partkey") % len(TITLES) + 1).cast("int"))
+    t = F.concat(made, F.when(F.col("p_size") > 40, F.substring("p_name", 1, 4)).otherwise(" "))
+    rows = table("part").select("p_partkey", t.alias("t"))
+    return rows.select("p_partkey", T.strip_enumerator(F.col("t")).alias("bare"), T.plausible_title(F.col("t")).alias("plausible"), T.loose_title(F.col("t")).alias("loose"), T.record_title(F.col("t")).alias("is_title"))
 
 
 @query(r"""SELECT p_partkey, replace(regexp_replace(replace(n, '(red)', ''), '^[、·. -]+|[、·. -]+$', '', 'g'), '()', '') AS core, regexp_replace(regexp_replace(n, '[(][^()]*[)]', '', 'g'), '[、—·,，/ -]', '', 'g') AS folded

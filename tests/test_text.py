@@ -38,14 +38,19 @@ def test_filename(spark, given, want):
 
 @pytest.mark.parametrize(
     ("given", "want"),
-    [("（一二）红烧 肉", True), ("(12) 清炖鸡", True), ("红烧肉", False), ("（一）用料", False), ("（三）凉菜类", False), ("（1）干馍：", False), ("目录", False), ("（二）鸡蛋 三个", False), (None, False)],
+    [("（一二）红烧 肉", True), ("(12) 清炖鸡", True), ("红烧肉", False), ("（一）用料", False), ("（三）凉菜类", False), ("（1）干馍：", False), ("目录", False), ("（二）鸡蛋 三两", False), (None, False)]
+    + [("（Ab Cdef Ghi）明月红松鸡", True), ("（一一〇）酱爆鸡丁", True), ("（35）石子馍", True), ("三一）干炉馍", True), ("（八）八块鸡", True), ("（九）两头烧", True)]
+    + [("（Abc）", False), ("（Abc）一、原料：", False), ("（Abc）净猪肉 三两", False), ("（一一〇 Abc）明月红松鸡", False), ("Abc）明月", False), ("（三）糖醋“鱼”", False), ("（三）佐料鸡", False), ("（三）书目录", False)],
 )
 def test_record_title(spark, given, want):
     assert one(spark, given, T.record_title) is want
 
 
 def test_titles(spark):
-    assert one(spark, "（一二）红烧 肉：", T.strip_enumerator) == "红烧肉"
+    for given, want in (("（一二）红烧 肉：", "红烧肉"), ("（Ab Cdef）明月 鸡", "明月鸡"), ("12）馍", "馍"), ("三一）馍", "馍"), ("（一a）馍", "（一a）馍"), ("12 馍", "12馍")):
+        assert one(spark, given, T.strip_enumerator) == want
+    for given, want in (("八块鸡", True), ("两头烧", True), ("糖醋“鱼”", False), ("佐料鸡", False), ("鸡", False), ("（二）鸡", False), ("螺旋油饼（原名金钱油饼）", True), ("净肉三两", False), ("净肉（三", False)):
+        assert one(spark, given, T.plausible_title, "string") is want, given
     assert one(spark, "红烧肉（附汤）", T.core_title) == "红烧肉"
     assert one(spark, "豆腐（清素）", T.strip_notes) == "豆腐"
     assert one(spark, "a(b)", T.fullwidth_parens) == "a（b）"
@@ -63,7 +68,8 @@ def test_rules(spark):
 
 
 def test_lists(spark):
-    assert one(spark, "1. 切。2. 炒；三、装", T.numbered_steps) == ["1. 切。", "2. 炒；", "三、装"]
+    assert one(spark, "1. 切。2. 炒；三、装", T.numbered_steps) == ["1. 切", "。2. 炒", "；三、装"]
+    assert one(spark, "1、切\n2、炒 百、x 零、y", T.numbered_steps) == ["1、切", "2、炒 百、x 零、y"] and one(spark, " ", T.numbered_steps) == []
     assert one(spark, "切 炒", T.numbered_steps) == ["切 炒"]
     assert one(spark, ["a ", "", "b"], T.bullets, "array<string>") == "- a\n- b\n"
     assert one(spark, [], T.bullets, "array<string>") == "- 无\n"
