@@ -3,13 +3,14 @@
 Encoding.  Text is split by the tokenizer's pattern.  Pieces that are a token
 are looked up; the others become rows (word, position, token) of single bytes.
 A recursive query joins neighbouring tokens with the merge table and contracts
-the pair of least rank in each word, from left to right: every place of it in
-one round, of overlapping places every other one.  That equals one leftmost
-contraction after another, unless the new token forms a pair of a lower rank
-with a neighbour; tokens that can (*loud* ones, found in the merge table) are
-contracted at the leftmost place only.  A word leaves when no pair of it merges.
-Pieces of all lengths go this way; a long one takes about as many rounds as it
-has different merges.  The merge table holds every split of every token into
+the leftmost pair of least rank in each word, round by round; a word leaves when
+no pair of it merges.  A query keeps the rows of all its rounds, so it ends after
+``ROUNDS``; words that are not ready go on in a recursive query that contracts
+every place of the pair in one round, of overlapping places every other one.
+That equals one leftmost contraction after another, unless the new token forms
+a pair of a lower rank with a neighbour; tokens that can (*loud* ones, found in
+the merge table) are contracted at the leftmost place only.  So a piece of any
+length takes about as many rounds as it has different merges.  The merge table holds every split of every token into
 two tokens, derived from the rank file when a worker starts.  Each distinct
 piece is encoded once and kept in a bounded cache.
 
@@ -25,7 +26,7 @@ from __future__ import annotations
 import base64
 import os
 import tempfile
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +35,27 @@ from pyspark.sql import DataFrame
 
 from foliospark.llm.common import mapped, quoted, slices
 
-CACHED, SLICE = 150_000, 1 << 19
+CACHED = 400_000
 #: Bytes of new pieces that one query encodes, and tokens that one query decodes; a longer piece or document takes a query alone.
-ENCODED, DECODED = 1 << 18, 1 << 17
+ENCODED, DECODED = 1 << 19, 1 << 18
 #: A query keeps the rows of all its rounds; words that take more go on in the next one.
-ROUNDS = 32
+ROUNDS = 24
 
-# ranks are doubled, odd for loud ones; hits are places of a word's best pair, ``nth`` is a hit's number in its run of overlapping ones
+# one contraction a word and round; ranks are doubled, odd ones are loud
 _MERGE = """
+WITH RECURSIVE s(w, pos, tok, ended, r) AS (
+  SELECT w, pos, tok, false, 0 FROM fresh
+  UNION ALL (
+    WITH t AS MATERIALIZED (
+      SELECT w, pos, tok, r, CASE WHEN lead(w) OVER o = w THEN lead(tok) OVER o END AS after, CASE WHEN lag(w) OVER o = w THEN lag(pos) OVER o END AS before
+      FROM s WHERE NOT ended AND r < {rounds} WINDOW o AS (ORDER BY w, pos)),
+    best AS (SELECT w, min((k::BIGINT << 24) | pos) AS b FROM t JOIN merges ON pair = (tok::BIGINT << 20) | after GROUP BY w)
+    SELECT t.w, t.pos, CASE WHEN t.pos = (b & 16777215) THEN (b >> 25)::INTEGER ELSE tok END, b IS NULL, r + 1
+    FROM t LEFT JOIN best ON t.w = best.w WHERE b IS NULL OR before IS NULL OR before <> (b & 16777215)))
+SELECT w, list(tok ORDER BY pos) AS ids, bool_and(ended) AS ended FROM s WHERE ended OR r = {rounds} GROUP BY w ORDER BY w"""
+
+# every place of a quiet pair in a round: ranks are doubled, odd for loud ones; hits are places of a word's best pair, ``nth`` is a hit's number in its run of overlapping ones
+_MERGE_ALL = """
 WITH RECURSIVE s(w, pos, tok, ended, r) AS (
   SELECT w, pos, tok, false, 0 FROM fresh
   UNION ALL (
@@ -104,10 +118,12 @@ class Codec:
         words = [p for p, _ in part]
         n = np.array([len(b) for _, b in part])
         tok = self.of_byte[np.frombuffer(b"".join(b for _, b in part), np.uint8)]
+        merge = _MERGE
         while words:
             of = np.repeat(np.arange(len(words), dtype=np.int32), n)
             self._table("fresh", w=pa.array(of), pos=pa.array((np.arange(len(of)) - (np.cumsum(n) - n)[of]).astype(np.int32)), tok=pa.array(tok))
-            got = self.db.sql(_MERGE.replace("{rounds}", str(ROUNDS))).to_arrow_table()
+            got = self.db.sql(merge.replace("{rounds}", str(ROUNDS))).to_arrow_table()
+            merge = _MERGE_ALL
             ids, ended = got.column("ids").combine_chunks(), got.column("ended").to_numpy()
             flat, off = ids.values.to_numpy().astype(np.int32), ids.offsets.to_numpy().astype(np.int64)
             self.known.update((words[k], flat[off[k] : off[k + 1]].tobytes()) for k in np.flatnonzero(ended))
@@ -117,8 +133,9 @@ class Codec:
 
     def _learn(self, pieces: list[str]) -> None:
         """Ids of pieces that are not known yet."""
-        if len(self.known) > CACHED:
-            self.known.clear()
+        if len(self.known) > CACHED:  # the oldest half goes
+            for p in list(islice(self.known, CACHED // 2)):
+                del self.known[p]
         part, size = [], 0
         for p in pieces:
             if p not in self.known:
@@ -182,9 +199,8 @@ def _map(df: DataFrame, text: str, keep: list[str], extra: list[tuple[str, str]]
     def run(batches):
         codec = Codec.get(path, pattern)
         for batch in batches:
-            for part in slices(batch, text, SLICE) if text else [batch]:
+            for part in slices(batch, text) if text else [batch]:
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in keep), *make(codec, part)], names)
-        codec.known.clear()  # what an idle worker keeps is the vocabulary
 
     return mapped(df, run, ", ".join(f"{quoted(n)} {t}" for n, t in extra), keep)
 
