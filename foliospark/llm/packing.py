@@ -12,7 +12,7 @@ capacities 0 to ``length``, which knows below which node a row is open.
 A piece is then placed by its number among the pieces of its size: the pieces of
 a size in a slot (a hash of document and place) are numbered, after those of
 all slots before.  Every piece so knows its row, and a shuffle by row brings a
-row's pieces together, ``length`` tokens at most.  The result doesn't depend on
+row's pieces together, ``length`` tokens at most; on the way ids are zstd bytes.  The result doesn't depend on
 how the table is split.
 
 A packed row has its ids as a matrix row of ``length`` little-endian 16- or
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import keyed, mapped, materialize, release, slices
+from foliospark.llm.common import keyed, mapped, materialize, slices
 
 LENGTH, END_ID = 2048, 50256
 #: Pieces of a slot, about.
@@ -140,7 +140,9 @@ def _pieces(path: str, pattern: str, length: int, end_id: int):
     kind, names = _width(end_id), ["rid", "rv", "id", "at", "n", "ids"]
 
     def run(batches):
-        encode = tokenizer(path, pattern)
+        import zstandard
+
+        encode, pack = tokenizer(path, pattern), zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             for part in slices(batch):
                 rows, at, own = [], [], []
@@ -153,7 +155,7 @@ def _pieces(path: str, pattern: str, length: int, end_id: int):
                 of = pa.array(rows, pa.int32())
                 sizes = pa.array([len(x) for x in own], pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c).take(of) for c in names[:3]), pa.array(at, pa.int32()), sizes, pa.array([x.tobytes() for x in own], pa.binary())], names
+                    [*(part.column(c).take(of) for c in names[:3]), pa.array(at, pa.int32()), sizes, pa.array([pack(x.tobytes()) for x in own], pa.binary())], names
                 )
 
     return run, "rid long, rv long, id long, at int, n int, ids binary"
@@ -182,13 +184,17 @@ def _assembled(length: int, end_id: int):
     types = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
 
     def run(batches):
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out: list[list] = [[] for _ in names]
             for row_no, pieces in zip(batch.column("row_no").to_pylist(), batch.column("pieces").to_pylist()):
-                n = [len(p["ids"]) // kind.itemsize for p in pieces]
+                own = [np.frombuffer(unpack(p["ids"]), kind) for p in pieces]
+                n = [len(x) for x in own]
                 ends = np.cumsum(n)
                 ids, at = np.full(length, end_id, kind), np.zeros(length, kind)
-                ids[: ends[-1]] = np.frombuffer(b"".join(p["ids"] for p in pieces), kind)
+                ids[: ends[-1]] = np.concatenate(own)
                 at[: ends[-1]] = np.concatenate([np.arange(k) for k in n])
                 values = (row_no, int(ends[-1]), ids.tobytes(), [0, *ends.tolist()], [0, *ends[:-1].tolist()], at.tobytes(), [p["id"] for p in pieces], [p["at"] for p in pieces])
                 for o, x in zip(out, values):
@@ -222,9 +228,7 @@ def pack_tokens(
     numbered = slotted.withColumn("k", F.row_number().over(Window.partitionBy("n", "slot").orderBy("rid", "rv", "at")))
     ranked = numbered.join(sums, ["n", "slot"]).select("n", (F.col("before") + F.col("k") - 1).alias("rank"), "id", "at", "ids")
     rows = mapped(ranked, *_placed(plan)).groupBy("row_no").agg(F.sort_array(F.collect_list(F.struct("used", "id", "at", "ids"))).alias("pieces"))
-    packed = materialize(mapped(rows, *_assembled(length, end_id)), "packed")
-    release(pieces, sums)
-    return packed
+    return mapped(rows, *_assembled(length, end_id))
 
 
 def save_matrices(packed: DataFrame, folder: str, end_id: int = END_ID) -> DataFrame:
