@@ -13,6 +13,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliospark.functions import text as T
+from foliospark.functions.vocabulary import DEFAULT, Vocabulary
+
 THRESHOLD = 0.6
 FULL, FIRST = "【整页】", "【补行】"
 _REPLACE = re.compile("^【替行[:：](?P<anchor>[^】]+)】(?P<text>.*)$", re.S)
@@ -28,11 +31,19 @@ def similarity(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b).ratio()
 
 
-def closest(blocks: list[str], line: str, skip=frozenset()) -> tuple[int, float]:
-    """The block most like a line; of equal ones the first; (-1, 0.0) if none has anything of it."""
+def closest(blocks: list[str], line: str, skip=frozenset(), matcher: SequenceMatcher | None = None) -> tuple[int, float]:
+    """The block most like a line; of equal ones the first; (-1, 0.0) if none has anything of it.
+
+    The line is indexed once (``matcher`` has it already), and a block whose
+    upper bounds are not above the best so far is not compared.
+    """
+    matcher = matcher or SequenceMatcher(None, "", line)
     best, top = -1, 0.0
     for i, b in enumerate(blocks):
-        if i not in skip and (r := similarity(b, line)) > top:
+        if i in skip:
+            continue
+        matcher.set_seq1(b)
+        if matcher.real_quick_ratio() > top and matcher.quick_ratio() > top and (r := matcher.ratio()) > top:
             best, top = i, r
     return best, top
 
@@ -88,18 +99,52 @@ def patch(blocks: list[dict], content: str, is_title=lambda t: False, kind_of=la
 RESULT = "struct<blocks:array<struct<block_type:string,text:string>>,patched:int,unmatched:array<string>>"
 
 
-def apply_corrections(blocks: Column, content: Column, title_pattern: str = r"^[（(][^（()）]+[）)]\s*\S", category: str = "类", threshold: float = THRESHOLD) -> Column:
+_BLANK = " \n"
+
+
+def _bare(t: str) -> str:
+    wide = "[\u4e00-\u9fff（()）、]"
+    return re.sub(f"(?<={wide})\\s+|\\s+(?={wide})", "", re.sub(T.ENUMERATOR, "", t, count=1)).strip("：: ")
+
+
+def opens_record(text: str, v: Vocabulary = DEFAULT) -> bool:
+    """``functions.text.record_title`` for one text in Python."""
+    whole = (t := _clean(text)).strip("：: ")
+    found = re.match(f"{T.ENUMERATOR}(.+)", whole)
+    if not found or whole.endswith(v.category_suffix) or v.contents in whole or whole in v.corpus_names or t.rstrip(_BLANK).endswith(("：", ":")):
+        return False
+    name = found[1].strip("：: ")
+    bare = _bare(_clean(name))
+    same = sum(bare.count(c) for c in T.OPEN) == sum(bare.count(c) for c in T.CLOSE)
+    plain = not re.search(f"\n|{T.TITLE_MARKS}|{T.TITLE_AMOUNT}", bare) and not any(w in bare for w in v.title_words)
+    return not name.startswith(v.section_words) and T.SHORTEST <= len(bare) <= T.LONGEST and plain and same and not bare.endswith(v.category_suffix)
+
+
+_ENTRY = re.compile(r"[（(]\s*\d+\s*[)）]\s*$")
+
+
+def is_title(text: str, v: Vocabulary = DEFAULT) -> bool:
+    """Whether a corrected text makes its block a title: a record's, and no contents entry."""
+    return not _ENTRY.search(text) and opens_record(text, v)
+
+
+def block_kind(text: str, v: Vocabulary = DEFAULT) -> str:
+    """title or text: categories and the word for contents are titles, contents entries are not, record titles are."""
+    said = _clean(text).strip("：: ")
+    if said.endswith(v.category_suffix) or said == v.contents:
+        return "title"
+    return "title" if is_title(said, v) else "text"
+
+
+def apply_corrections(blocks: Column, content: Column, threshold: float = THRESHOLD, v: Vocabulary = DEFAULT) -> Column:
     """RESULT of patching array<struct<block_type, text>> with a correction; a null correction changes nothing."""
-    title, entry = re.compile(title_pattern), re.compile(r"[（(]\s*[\d一二三四五六七八九十百〇]+\s*[)）]\s*$")
 
     @F.pandas_udf(RESULT)
     def run(b: pd.Series, c: pd.Series) -> pd.DataFrame:
-        is_title = lambda t: bool(title.match(t)) and not entry.search(t)
-        kind_of = lambda t: "title" if t.endswith(category) or is_title(t) else "text"
         rows = []
         for own, said in zip(b, c):
             own = [dict(x) for x in own] if own is not None else []
-            rows.append((own, 0, []) if not said else patch(own, said, is_title, kind_of, threshold))
+            rows.append((own, 0, []) if not said else patch(own, said, lambda t: is_title(t, v), lambda t: block_kind(t, v), threshold))
         return pd.DataFrame({"blocks": [r[0] for r in rows], "patched": [r[1] for r in rows], "unmatched": [r[2] for r in rows]})
 
     return run(blocks, content)
@@ -110,7 +155,8 @@ def best_match(lines: Column, target: Column) -> Column:
 
     @F.pandas_udf("struct<at:int,ratio:double>")
     def run(a: pd.Series, t: pd.Series) -> pd.DataFrame:
-        rows = [closest([x or "" for x in own] if own is not None else [], said or "") for own, said in zip(a, t)]
+        matchers = {said: SequenceMatcher(None, "", said or "") for said in t.unique()}
+        rows = [closest([x or "" for x in own] if own is not None else [], said or "", matcher=matchers[said]) for own, said in zip(a, t)]
         return pd.DataFrame({"at": [r[0] for r in rows], "ratio": [r[1] for r in rows]})
 
     return run(lines, target)

@@ -30,28 +30,15 @@ def residuals(word: Column, v: Vocabulary = DEFAULT) -> Column:
     Cut places reachable from the left times cut places reachable from the
     right; ``prefix_only`` where some way cuts nothing on the right.
     """
-
-    def cuts(parts, left: bool) -> Column:
-        longest = max(map(len, parts), default=0)
-        start = F.transform(F.sequence(F.lit(0), F.length(word)), lambda i: i == 0)
-
-        def step(reached, i):
-            here = F.lit(False)
-            for n in range(1, longest + 1):
-                own = [p for p in parts if len(p) == n]
-                if own:
-                    text = F.substring(word, i - n + 1, F.lit(n)) if left else F.substring(word, F.length(word) - i + 1, F.lit(n))
-                    here = here | ((i >= n) & F.coalesce(F.get(reached, i - n), F.lit(False)) & text.isin(*own))
-            return F.concat(F.slice(reached, F.lit(1), i), F.array(here), F.slice(reached, i + 2, F.length(word)))
-
-        reached = F.aggregate(F.sequence(F.lit(1), F.length(word)), start, step)
-        return let(reached, lambda r: F.filter(F.sequence(F.lit(0), F.length(word)), lambda i: F.get(r, i)))
-
+    n = F.length(word)
+    some = lambda parts: "^(?:" + "|".join(map(re.escape, parts)) + ")*$" if parts else "^$"
+    left = F.filter(F.sequence(F.lit(0), n), lambda i: F.substring(word, F.lit(1), i).rlike(some(v.prefixes)))
+    right = F.filter(F.sequence(F.lit(0), n), lambda j: F.substring(word, n - j + 1, j).rlike(some(v.suffixes)))
     # ``let`` computes each list of cuts once, not once for each element that a lambda sees
-    both = lambda left, right: F.flatten(F.transform(left, lambda i: F.transform(right, lambda j: F.struct(i.alias("i"), j.alias("j")))))
-    pairs = let(cuts(v.prefixes, True), lambda left: let(cuts(v.suffixes, False), lambda right: both(left, right)))
-    proper = F.filter(pairs, lambda p: (p["i"] + p["j"] > 0) & (p["i"] + p["j"] < F.length(word)))
-    return F.transform(proper, lambda p: F.struct(F.substring(word, p["i"] + 1, F.length(word) - p["i"] - p["j"]).alias("r"), (p["j"] == 0).alias("prefix_only")))
+    both = lambda l, r: F.flatten(F.transform(l, lambda i: F.transform(r, lambda j: F.struct(i.alias("i"), j.alias("j")))))
+    pairs = let(left, lambda l: let(right, lambda r: both(l, r)))
+    proper = F.filter(pairs, lambda p: (p["i"] + p["j"] > 0) & (p["i"] + p["j"] < n))
+    return F.transform(proper, lambda p: F.struct(F.substring(word, p["i"] + 1, n - p["i"] - p["j"]).alias("r"), (p["j"] == 0).alias("prefix_only")))
 
 
 def base_forms(forms: DataFrame, v: Vocabulary = DEFAULT, black: tuple[str, ...] = (), atomic: tuple[str, ...] = ()) -> DataFrame:
@@ -59,8 +46,8 @@ def base_forms(forms: DataFrame, v: Vocabulary = DEFAULT, black: tuple[str, ...]
 
     Usable is what is a form, or has two characters or more and is left over
     in two forms or more by prefixes alone.  Each round doubles the steps
-    taken, so a word of n characters needs log n rounds; how many depends on
-    the longest form alone.
+    taken and the last one changes nothing, so a word that is cut n times needs
+    about log n rounds.
     """
     f = materialize(forms.select("form").distinct(), "forms")
     r = f.filter(F.length("form") > 1).select("form", F.explode(residuals(F.col("form"), v)).alias("x")).select("form", "x.*")
@@ -72,11 +59,13 @@ def base_forms(forms: DataFrame, v: Vocabulary = DEFAULT, black: tuple[str, ...]
     usable = usable.filter(~F.col("form").isin(*atomic or ("",)))
     best = usable.groupBy("form").agg(F.max(F.struct(F.length("r").alias("n"), F.col("r"))).alias("m")).select("form", F.col("m.r").alias("to"))
     step = materialize(f.join(best, "form", "left").select("form", F.coalesce("to", "form").alias("base")), "steps")
-    longest = f.agg(F.max(F.length("form"))).first()[0] or 1
-    for _ in range(max(1, (longest - 1).bit_length())):
-        onward = step.select(F.col("form").alias("base"), F.col("base").alias("next"))
-        step = materialize(step.join(onward, "base", "left").select("form", F.coalesce("next", "base").alias("base")), "steps")
-    return step
+    while True:
+        onward = step.select(F.col("form").alias("was"), F.col("base").alias("next"))
+        step = materialize(step.join(onward, F.col("base") == F.col("was"), "left").select("form", F.col("base").alias("was"), F.coalesce("next", "base").alias("base")), "steps")
+        more = step.filter("was != base").limit(1).count()
+        step = step.select("form", "base")
+        if not more:
+            return step
 
 
 def form_index(postings_: DataFrame, bases: DataFrame, record: str) -> DataFrame:

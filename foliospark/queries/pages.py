@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from foliospark.functions.vocabulary import Vocabulary
@@ -14,6 +16,8 @@ LATIN = Vocabulary(
     headers=(("ingredients", ("The", "Der", "La")), ("steps", ("And", "Und", "Et")), ("tips", ("Of", "Von", "De"))), contents="Licensed", category_suffix=".",
 )
 
+PLAIN = replace(LATIN, category_suffix="\n")
+
 PAGE = r"""page AS (SELECT doc_id, text AS t, length(text) AS n, list_filter(string_split(text, chr(10)), lambda x: length(x) BETWEEN 1 AND 30) AS names,
   (contains(text, 'The') OR contains(text, 'Der') OR contains(text, 'La')) AS items, (contains(text, 'And') OR contains(text, 'Und') OR contains(text, 'Et')) AS steps FROM documents),
 flag AS (SELECT *, (len(list_filter(names, lambda x: regexp_replace(x, '\s', '', 'g') = 'Licensed')) > 0 OR (contains(t, 'Licensed') AND contains(t, '…'))) AS toc FROM page),
@@ -62,16 +66,20 @@ def suspicious_patterns(table):
 LINES = "line AS (SELECT doc_id, unnest(range(0, len(l))) AS ord, unnest(l) AS x FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))"
 
 
+_HEADS = r"CASE WHEN regexp_matches(t, '^(The|Der|La)([：:；;。，,．.、·…！!？?\s]|$)') THEN 'ingredients' WHEN regexp_matches(t, '^(And|Und|Et)([：:；;。，,．.、·…！!？?\s]|$)') THEN 'steps' WHEN regexp_matches(t, '^(Of|Von|De)([：:；;。，,．.、·…！!？?\s]|$)') THEN 'tips' END"
+
+
 @query(
-    rf"""WITH {LINES}, h AS (SELECT *, CASE WHEN regexp_matches(trim(x), '^(The|Der|La)([：:；;。，,．.、·…！!？?\s]|$)') THEN 'ingredients'
-      WHEN regexp_matches(trim(x), '^(And|Und|Et)([：:；;。，,．.、·…！!？?\s]|$)') THEN 'steps' WHEN regexp_matches(trim(x), '^(Of|Von|De)([：:；;。，,．.、·…！!？?\s]|$)') THEN 'tips' END AS head FROM line),
-    f AS (SELECT *, coalesce(last_value(head IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'other') AS section FROM h)
-    SELECT doc_id, section, count(*) AS n_lines, sum(length(x))::BIGINT AS n_chars FROM f GROUP BY doc_id, section"""
+    rf"""WITH {LINES}, n AS (SELECT doc_id, ord, trim(regexp_replace(x, '[\s\x1c-\x1f\x{{85}}\p{{Z}}]+', ' ', 'g')) AS t FROM line), h AS (SELECT *, {_HEADS} AS head FROM n WHERE t <> ''),
+    f AS (SELECT *, coalesce(last_value(head IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'other') AS section,
+      CASE WHEN head IS NULL THEN t ELSE regexp_replace(t, '^(The|Der|La|And|Und|Et|Of|Von|De)([：:；;。，,．.、·…！!？?\s]+|$)', '') END AS said FROM h)
+    SELECT doc_id, section, count(*) AS n_lines, sum(length(said))::BIGINT AS n_chars FROM f WHERE said <> '' GROUP BY doc_id, section"""
 )
 def sections_route(table):
-    lines = table("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("ord", "x"))
-    t = layout.fill_forward(lines, ["doc_id"], ["ord"], pages.section_header(F.col("x"), LATIN)["section"], "section")
-    return t.groupBy("doc_id", F.coalesce("section", F.lit("other")).alias("section")).agg(F.count("*").alias("n_lines"), F.sum(F.length("x")).alias("n_chars"))
+    """Every document as a record whose blocks are its lines; the vocabulary has no titles and no numbers here."""
+    lines = table("documents").select(F.lit("d").alias("book_id"), F.col("doc_id").alias("rec_page"), F.lit(-1).alias("rec_at"), F.lit(1).alias("local_page"), F.posexplode(F.split("text", "\n")).alias("ord", "text"))
+    t = layout.route_sections(lines, PLAIN)
+    return t.groupBy(F.col("rec_page").alias("doc_id"), "section").agg(F.count("*").alias("n_lines"), F.sum(F.length("text")).alias("n_chars"))
 
 
 @query(
@@ -85,18 +93,6 @@ def region_mask_carry(table):
     return t.select("conv_id", "turn", F.coalesce("state", F.lit("off")).alias("state"))
 
 
-@query(
-    rf"""WITH {LINES}, l AS (SELECT *, nullif(regexp_extract(x, '^([A-Z][a-z]+) ', 1), '') AS label FROM line),
-    g AS (SELECT *, coalesce(last_value(label IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'none') AS grp FROM l)
-    SELECT doc_id, grp, count(*) AS n_lines FROM g GROUP BY doc_id, grp"""
-)
-def group_label_inherit(table):
-    lines = table("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("ord", "x"))
-    label = F.nullif(F.regexp_extract("x", "^([A-Z][a-z]+) ", 1), F.lit(""))
-    t = layout.fill_forward(lines, ["doc_id"], ["ord"], label, "grp")
-    return t.groupBy("doc_id", F.coalesce("grp", F.lit("none")).alias("grp")).agg(F.count("*").alias("n_lines"))
-
-
 @query(
     rf"""WITH {LINES}, s AS (SELECT *, last_value(CASE WHEN contains(x, '%%%') THEN 1 WHEN contains(x, 'Licensed') THEN 0 END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS r FROM line)
     SELECT doc_id, count(*) AS n, string_agg(ord, ',' ORDER BY ord) AS places FROM s WHERE r = 1 AND regexp_matches(x, '[&#]') GROUP BY doc_id"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from foliospark.functions.vocabulary import Vocabulary
 from foliospark.operators import indexes, relate, review
 from foliospark.queries.registry import query
+from foliospark.sources import io
 
 
 @query("SELECT o_orderkey, coalesce(c_name, 'nobody') AS c_name, coalesce(c_mktsegment, 'none') AS c_mktsegment FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey")
@@ -52,13 +53,17 @@ def exact_then_folded(table):
     return relate.exact_then_folded(left, right, "name", "p_partkey", ["p_brand"]).select("k", "p_partkey", "matched_by")
 
 
+LETTERS = r"\p{L}{4,}"
+
+
 @query(
-    """WITH n AS (SELECT DISTINCT regexp_extract(lower(text), '[a-z]{4,}') AS w FROM documents), m AS (SELECT DISTINCT p_name, unnest(string_split(p_name, ' ')) AS w FROM part), v AS (SELECT DISTINCT w FROM n WHERE w <> '' UNION SELECT w FROM m)
-    SELECT a.w AS word, b.w AS other FROM v a JOIN v b ON length(a.w) = length(b.w) AND hamming(a.w, b.w) = 1"""
+    rf"""WITH v AS (SELECT DISTINCT unnest(list_distinct(regexp_extract_all(lower(text), '{LETTERS}'))) AS w FROM documents UNION SELECT DISTINCT unnest(string_split(p_name, ' ')) FROM part),
+    m AS (SELECT w, unnest(range(1, length(w) + 1)) AS i FROM v), k AS (SELECT w, i, substr(w, 1, i - 1) || chr(1) || substr(w, i + 1) AS b FROM m)
+    SELECT x.w AS word, y.w AS other FROM k x JOIN k y ON x.b = y.b AND x.i = y.i AND x.w <> y.w"""
 )
 def one_char_alias(table):
-    first = table("documents").select(F.regexp_extract(F.lower("text"), "[a-z]{4,}", 0).alias("word")).filter("word != ''")
-    words = first.union(table("part").select(F.explode(F.split("p_name", " ")).alias("word"))).distinct().withColumn("g", F.lit(0))
+    words = table("documents").select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(LETTERS), 0))).alias("word"))
+    words = words.union(table("part").select(F.explode(F.split("p_name", " ")).alias("word"))).distinct().withColumn("g", F.lit(0))
     return relate.one_char_pairs(words, words, "word", ["g"]).select("word", "other")
 
 
@@ -188,7 +193,8 @@ AFFIXES = Vocabulary(
     numerals="", units="", sizes="", vague=(), item_labels=(), seasoning_labels=(), section_words=(), title_words=(), headers=(), contents="", category_suffix="",
     prefixes=("th", "er", "on", "in"), suffixes=("ed", "tion", "es", "er"),
 )
-WORDS = "SELECT DISTINCT unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]{3,9}'))) AS w FROM documents WHERE lang = 'en'"
+WORD = r"\p{L}{3,}"
+WORDS = f"SELECT DISTINCT unnest(list_distinct(regexp_extract_all(lower(text), '{WORD}'))) AS w FROM documents"
 CUTS = """pre(w, i) AS (SELECT w, 0 FROM f UNION SELECT w, i + length(p) FROM pre, (VALUES ('th'), ('er'), ('on'), ('in')) v(p) WHERE substr(w, i + 1, length(p)) = p AND i + length(p) < length(w)),
     suf(w, j) AS (SELECT w, 0 FROM f UNION SELECT w, j + length(s) FROM suf, (VALUES ('ed'), ('tion'), ('es'), ('er')) v(s) WHERE length(w) - j - length(s) > 0 AND substr(w, length(w) - j - length(s) + 1, length(s)) = s),
     res AS (SELECT w, substr(w, i + 1, length(w) - i - j) AS r, bool_or(j = 0) AS po FROM pre JOIN suf USING (w) WHERE i + j > 0 AND i + j < length(w) GROUP BY ALL),
@@ -200,22 +206,22 @@ CUTS = """pre(w, i) AS (SELECT w, 0 FROM f UNION SELECT w, i + length(p) FROM pr
 
 
 def _words(table):
-    return F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,9}"), 0))
+    return F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0))
 
 
 @query(f"WITH RECURSIVE f AS ({WORDS}), {CUTS} SELECT form, base FROM bases")
 def base_forms(table):
-    d = table("documents").filter("lang = 'en'")
+    d = table("documents")
     return indexes.base_forms(d.select(F.explode(_words(table)).alias("form")), AFFIXES)
 
 
 @query(
-    f"""WITH RECURSIVE f AS ({WORDS}), {CUTS}, post AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]{{3,9}}'))) AS form FROM documents WHERE lang = 'en'),
+    f"""WITH RECURSIVE f AS ({WORDS}), {CUTS}, post AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '{WORD}'))) AS form FROM documents),
     j AS (SELECT base, form, doc_id FROM post JOIN bases USING (form)), v AS (SELECT base, form, count(DISTINCT doc_id) AS n FROM j GROUP BY ALL)
     SELECT base, (SELECT count(DISTINCT doc_id) FROM j WHERE j.base = v.base) AS n_records, count(*) AS n_forms, string_agg(form || ':' || n, ',' ORDER BY n DESC, form) AS variants FROM v GROUP BY base"""
 )
 def form_index(table):
-    d = table("documents").filter("lang = 'en'")
+    d = table("documents")
     p = indexes.postings(d, "doc_id", _words(table))
     return indexes.form_index(p, indexes.base_forms(p.select(F.col("term").alias("form")), AFFIXES), "doc_id")
 
@@ -242,7 +248,9 @@ def title_policy(table):
 
 
 @query(
-    """SELECT source, lang, count(*) AS n, sum(n_chars)::BIGINT AS n_chars FROM documents GROUP BY source, lang"""
+    """SELECT b.source AS book_id, (SELECT count(*) FROM documents d WHERE d.source = b.source) AS documents,
+    (SELECT count(*) FROM documents d JOIN labels l USING (doc_id) WHERE d.source = b.source AND l.toxic = 1) AS toxic FROM (SELECT DISTINCT source FROM documents) b"""
 )
 def counts_by_group(table):
-    return table("documents").groupBy("source", "lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("n_chars"))
+    d = table("documents").select(F.col("source").alias("book_id"), "doc_id")
+    return io.manifest(d.select("book_id").distinct(), (d, "documents"), (d.join(table("labels").filter("toxic = 1"), "doc_id"), "toxic"))

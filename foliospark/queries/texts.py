@@ -151,25 +151,42 @@ def title_keys(table):
     return table("part").select("p_partkey", T.core_title(n).alias("core"), T.fold_title(n).alias("folded"))
 
 
-@query(r"""SELECT doc_id, unnest(m) AS pair FROM (SELECT doc_id, list_transform(range(1, len(a) + 1), lambda i: a[i] || '=' || b[i]) AS m FROM (
-      SELECT doc_id, regexp_extract_all(text, '([A-Za-z]+),?([*$%&#]{3})', 1) AS a, regexp_extract_all(text, '([A-Za-z]+),?([*$%&#]{3})', 2) AS b FROM documents))""")
+#: An item line made from every part: a name spaced out, a counted and a vague amount, a note, a label in the middle.
+ITEMS = ("猪肉", "味 精", "八角", "活鲤鱼（一条）", "水木耳")
+_DIGIT, _ITEM = "substr('一二三四五六七八九', (p_size % 9 + 1)::INT, 1)", "list_extract(['猪肉', '味精', '八角', '活鲤鱼（一条）', '水木耳'], (p_partkey % 5 + 1)::INT)"
+
+
+def _line(table):
+    digit = F.element_at(F.array(*map(F.lit, "一二三四五六七八九")), F.col("p_size") % 9 + 1)
+    item = F.element_at(F.array(*map(F.lit, ITEMS)), (F.col("p_partkey") % 5 + 1).cast("int"))
+    return item, digit, table("part").select("p_partkey", "p_size", "p_brand", F.concat(item, F.lit(" "), digit, F.lit("斤盐少许葱 "), digit, F.lit("两。")).alias("line"))
+
+
+@query(f"SELECT p_partkey, unnest([{_ITEM} || ' ' || {_DIGIT} || '斤', '盐 少许', '葱 ' || {_DIGIT} || '两']) AS pair FROM part")
 def qty_pair_extract(table):
-    pair = F.lit("([A-Za-z]+),?([*$%&#]{3})")
-    found = F.zip_with(F.regexp_extract_all("text", pair, 1), F.regexp_extract_all("text", pair, 2), lambda a, b: F.concat(a, F.lit("="), b))
-    return table("documents").select("doc_id", F.explode(found).alias("pair"))
+    _, _, t = _line(table)
+    return t.select("p_partkey", F.explode(F.transform(parse_line(F.col("line"))["items"], lambda x: x["item"])).alias("pair"))
 
 
-STOP = ("the", "and", "of", "to", "in", "la", "de", "le", "der", "die", "und")
+@query(f"SELECT p_partkey, replace({_ITEM}, '（一条）', '') || '|盐|葱' AS terms FROM part")
+def term_extract(table):
+    item, digit, t = _line(table)
+    lines = F.array(F.concat(item, F.lit(" "), digit, F.lit("斤")), F.lit("盐 少许"), F.concat(F.lit("调料：葱 "), digit, F.lit("两 盐 一钱")), F.lit("料 二两 实耗 一两"), F.lit("先切。再炒 二分"))
+    return table("part").select("p_partkey", F.array_join(extract_terms(F.transform(lines, lambda x: T.normalize_text(x))), "|").alias("terms"))
 
 
 @query(
-    f"""SELECT doc_id, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ' ') AS terms, len(list_distinct(l))::BIGINT AS n_terms
-    FROM (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[a-z]+'), lambda x: length(x) BETWEEN 2 AND 12 AND x NOT IN {STOP}) AS l FROM documents)"""
+    """SELECT p_partkey, sub, coalesce(own, last_value(own IGNORE NULLS) OVER (PARTITION BY p_brand ORDER BY p_partkey, sub ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'ingredient') AS grp, item
+    FROM (SELECT p_partkey, p_brand, unnest([0, 1]) AS sub, unnest(CASE p_size % 4 WHEN 0 THEN ['seasoning', 'ingredient'] WHEN 1 THEN ['ingredient', 'ingredient'] ELSE [NULL, NULL] END) AS own,
+      unnest(CASE p_size % 4 WHEN 0 THEN ['调料：盐 一钱', '配料：面 二斤'] WHEN 1 THEN ['主料：肉 一斤', '葱 二两'] ELSE ['糖 一钱', '醋 二钱'] END) AS item FROM part)"""
 )
-def term_extract(table):
-    words = F.filter(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0), lambda x: F.length(x).between(2, 12) & ~x.isin(*STOP))
-    t = table("documents").select("doc_id", F.array_distinct(words).alias("t"))
-    return t.select("doc_id", F.array_join("t", " ").alias("terms"), F.size("t").cast("long").alias("n_terms"))
+def group_label_inherit(table):
+    from foliospark.operators import layout
+
+    n = F.col("p_size") % 4
+    text = F.when(n == 0, "调料：盐 一钱 配料：面 二斤").when(n == 1, "主料 肉 一斤 葱 二两").otherwise("糖 一钱 醋 二钱")
+    t = table("part").select("p_partkey", "p_brand", text.alias("text"))
+    return layout.inherit_groups(t, ["p_brand"], ["p_partkey"]).select("p_partkey", F.col("sub").cast("long").alias("sub"), "grp", "item")
 
 
 @query(
@@ -179,9 +196,9 @@ def ordered_distinct(table):
     return table("documents").select("doc_id", F.array_join(F.array_distinct(F.split("text", "\n")), "\n").alias("distinct_lines"))
 
 
-@query("SELECT term, count(*) AS n_docs, min(doc_id) AS first_doc, max(doc_id) AS last_doc FROM (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]+'))) AS term FROM documents) GROUP BY term")
+@query("SELECT term, count(*) AS n_docs, min(doc_id) AS first_doc, max(doc_id) AS last_doc FROM (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '\\p{L}+'))) AS term FROM documents) GROUP BY term")
 def inverted_index(table):
-    return indexes.inverted_index(table("documents"), "doc_id", F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0))
+    return indexes.inverted_index(table("documents"), "doc_id", F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0))
 
 
 @query("SELECT doc_id, sha256(text) AS sha256, strlen(text)::BIGINT AS n_bytes FROM documents")
@@ -204,11 +221,11 @@ def issue_links(table):
     return table("pages").select("page_id", T.issue_url("https://x.example/new", F.concat("url", F.lit(" a")), F.concat(F.lit("p "), F.col("page_id").cast("string"))).alias("link"))
 
 
-@query("""SELECT doc_id, source || ' ' || left(text, 600) AS blob FROM documents WHERE lang = 'en' AND contains(text, 'tion the')""")
+@query("""SELECT doc_id, source || ' ' || text AS blob FROM documents WHERE lang = 'en' AND contains(text, 'tion the')""")
 def search(table):
     rows = table("documents").select(F.col("doc_id").alias("u"), F.col("lang").alias("b"), F.col("source").alias("c"), F.col("text").alias("s"))
     found = indexes.search(rows, " tion the ", b="en")
-    return found.select(F.col("u").alias("doc_id"), T.search_blob(F.col("c"), T.excerpt(F.col("s"))).alias("blob"))
+    return found.select(F.col("u").alias("doc_id"), T.search_blob(F.col("c"), F.col("s")).alias("blob"))
 
 
 @query()
@@ -217,13 +234,15 @@ def linkify(table):
     return table("documents").select("doc_id", indexes.linkify(T.escape_html(F.col("text")), forms).alias("html"))
 
 
-@query()
+@query(
+    """SELECT p_partkey, '调料：酱油 ' || d || '钱' || CASE WHEN p_size % 2 = 0 THEN '|盐 少许|葱姜 适量' ELSE '（切丝）|葱姜 适量' END || '|配料：面粉 ' || d || '钱|面粉' AS items
+    FROM (SELECT p_partkey, p_size, substr('一二三四五六七八九', (p_size % 9 + 1)::INT, 1) AS d FROM part)"""
+)
 def residue_items(table):
     size, digits = F.col("p_size"), F.array(*map(F.lit, "一二三四五六七八九"))
     amount = F.concat(F.element_at(digits, size % 9 + 1), F.lit("钱"))
-    line = F.concat(F.lit("调料：酱油"), amount, F.when(size % 2 == 0, " 盐少许 ").otherwise("（切丝）"), F.lit("葱 姜 适量 配料：面粉"), amount, F.lit("。"))
-    items = F.transform(parse_line(line)["items"], lambda x: F.concat_ws(":", x["grp"], x["item"]))
-    return table("part").select("p_partkey", F.array_join(items, "|").alias("items"), F.array_join(extract_terms(F.array(line)), "|").alias("terms"))
+    line = F.concat(F.lit("调料：酱油"), amount, F.when(size % 2 == 0, " 盐少许 ").otherwise("（切丝）"), F.lit("葱 姜 适量 配料：面粉"), amount, F.lit("，面粉。"))
+    return table("part").select("p_partkey", F.array_join(F.transform(parse_line(line)["items"], lambda x: x["item"]), "|").alias("items"))
 
 
 CONTENTS = r"""list_transform(list_filter(list_transform(string_split(text, '.'), lambda x: trim(x)), lambda x: x <> ''), lambda x, i: x || ' … (' || i || ')')"""

@@ -66,11 +66,15 @@ def load_config(text: str) -> dict:
         return yaml.safe_load(text) or {}
 
 
-def annotations(spark: SparkSession, rows: list, key: str = "annotations") -> DataFrame:
-    """Annotations that have a book, a page, an anchor and a note; anything else is dropped, not an error."""
+def annotations(spark: SparkSession, text: str | list | dict, key: str = "annotations") -> DataFrame:
+    """Annotations that have a book, a page, an anchor and a note; anything else is dropped, and a text that can't be read has none."""
     schema = "book_id string, local_page int, anchor string, note string, slug string"
-    rows = rows.get(key, []) if isinstance(rows, dict) else rows
-    good = [r for r in rows or [] if isinstance(r, dict) and all(r.get(k) not in (None, "") for k in ("book_id", "local_page", "anchor", "note"))]
+    try:
+        found = load_config(text) if isinstance(text, str) else text
+    except Exception:  # whatever reads the text says so in its own way
+        found = {}
+    rows = (found.get(key) or []) if isinstance(found, dict) else found
+    good = [r for r in rows if isinstance(r, dict) and all(r.get(k) for k in ("book_id", "local_page", "anchor", "note"))]
     return spark.createDataFrame([(str(r["book_id"]), int(r["local_page"]), str(r["anchor"]), str(r["note"]), r.get("slug")) for r in good], schema)
 
 
@@ -84,37 +88,78 @@ def nested_lists(payload: Column, item: str = "string") -> Column:
 
 # --- Markdown ----------------------------------------------------------------------------
 
-_BULLET = "^\\s*[-*]\\s+([^:：]+)[:：]\\s*(.*)$"
+# The keys that review files use, with the ones that stand for them; the first present counts.
+REVIEW_KEYS = {
+    "confidence": ("置信度", "confidence"),
+    "reasons": ("reasons",),
+    "title_candidates_raw": ("标题候选", "title_candidates"),
+    "rendered_page_path": ("image_path", "rendered_page_path"),
+    "current_recipe_candidates_raw": ("菜谱候选", "current_recipe_candidates"),
+    "current_fallback_candidates_raw": ("回退候选", "current_fallback_candidates"),
+    "content_preview": ("content_preview",),
+    "notes": ("notes",),
+    "correct_content": ("正确内容", "????"),
+    "confirm_mark": ("确认勾", "???"),
+}
+CONFIRMED = "[x]"
+_PAGE_HEAD = "(\\S+-\\d+)\\s+p\\.(\\d+)"
 
 
 def bullet_map(lines: Column) -> Column:
-    """map<string,string> of ``- key: value`` lines: split at the first colon, keys lower-case with underscores, the last of a key holds."""
-    hits = F.filter(lines, lambda x: x.rlike(_BULLET))
-    key = lambda x: F.regexp_replace(F.lower(T.strip(F.regexp_extract(x, _BULLET, 1))), "[\\s_-]+", "_")
-    pairs = F.transform(hits, lambda x: F.struct(key(x).alias("key"), T.strip(F.regexp_extract(x, _BULLET, 2)).alias("value")))
+    """map<string,string> of ``- key: value`` lines, split at the first colon; of a key that stands again the last value holds."""
+    hits = F.filter(lines, lambda x: x.startswith("- ") & F.substring(x, 3, 1 << 30).contains(":"))
+    key = lambda x: T.normalize_text(F.substring_index(F.substring(x, 3, 1 << 30), ":", 1))
+    value = lambda x: T.strip(F.regexp_replace(x, "^- [^:]*:", ""))
+    pairs = F.transform(hits, lambda x: F.struct(key(x).alias("key"), value(x).alias("value")))
     last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"]))
     return F.map_from_entries(last)
 
 
-def _row(book: Column, page: Column, m: Column) -> list[Column]:
-    get = lambda k: F.coalesce(F.element_at(m, k), F.lit(""))
-    done = F.lower(get("confirmed")).isin("true", "yes", "x", "[x]", "1", "是", "已确认")
-    return [book.alias("book_id"), page.cast("int").alias("local_page"), done.alias("confirmed"), get("correct_content").alias("correct_content"), get("note").alias("note"), m.alias("fields")]
+def _review(files: DataFrame, book: Column, page: Column, lines: Column, **other: Column) -> DataFrame:
+    """One row a review entry; keys that are missing are empty texts."""
+    t = files.select("path", book.alias("book_id"), F.coalesce(page.cast("int"), F.lit(0)).alias("local_page"), bullet_map(lines).alias("m"))
+    get = lambda keys: F.coalesce(*(F.element_at("m", k) for k in keys), F.lit(""))
+    values = {name: other.get(name, get(keys)) for name, keys in REVIEW_KEYS.items()}
+    return t.select("path", "book_id", "local_page", *(c.alias(n) for n, c in values.items())).withColumn("confirmed", F.lower("confirm_mark").contains(CONFIRMED))
+
+
+def _lines(body: Column) -> Column:
+    return F.transform(F.split(F.regexp_replace(body, "\\r\\n?", "\n"), "\n"), lambda x: F.regexp_replace(x, f"{T.SPACE}+$", ""))
+
 
+def read_review_queue(files: DataFrame) -> DataFrame:
+    """Entries of files (path, value) with many ``## <book> p.<n>`` sections; what stands before the first one is not read."""
+    heading = f"^##\\s+{_PAGE_HEAD}\\s*$"
+    lines = _lines(F.col("value"))
+    starts = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(heading), i)), lambda i: i.isNotNull())
+    t = files.select("path", lines.alias("lines"), starts.alias("starts"))
+    t = t.select("path", "lines", "starts", F.posexplode("starts").alias("k", "at"))
+    end = F.coalesce(F.get("starts", F.col("k") + 1), F.size("lines"))
+    t = t.select("path", F.get("lines", F.col("at")).alias("head"), F.slice("lines", F.col("at") + 2, end - F.col("at") - 1).alias("body"))
+    return _review(t, F.regexp_extract("head", heading, 1), F.regexp_extract("head", heading, 2), F.col("body"))
 
-def read_confirmations(files: DataFrame) -> DataFrame:
-    """Files with one ``# book p.n`` page, or with many ``## book p.n`` sections."""
-    heading = "^(#{1,2})\\s+(\\S+)\\s+p\\.?(\\d+)"
-    text = F.regexp_replace("value", "\\r\\n?", "\n")
-    parts = F.split(text, "(?m)^(?=#{1,2}\\s+\\S+\\s+p\\.?\\d+)")
-    rows = files.select("path", F.posexplode(F.filter(parts, lambda p: p.rlike(heading))).alias("part", "body"))
-    lines = F.split("body", "\n")
-    return rows.select("path", *_row(F.regexp_extract("body", heading, 2), F.regexp_extract("body", heading, 3), bullet_map(lines)))
+
+def read_page_reviews(files: DataFrame) -> DataFrame:
+    """One entry a file (path, value): its page is the first ``# <book> p.<n>`` line's, its bullets stand anywhere; without such a line the book is empty."""
+    heading = f"^#\\s+{_PAGE_HEAD}\\s*$"
+    t = files.select("path", _lines(F.col("value")).alias("lines"))
+    first = F.get(F.filter(F.transform("lines", lambda x: T.strip(x)), lambda x: x.rlike(heading)), F.lit(0))
+    t = t.select("path", "lines", F.coalesce(first, F.lit("")).alias("head"))
+    return _review(t, F.regexp_extract("head", heading, 1), F.nullif(F.regexp_extract("head", heading, 2), F.lit("")), F.col("lines"), content_preview=F.lit(""))
+
+
+def read_confirmations(spark: SparkSession, path: str) -> DataFrame:
+    """Review entries of a folder of page files ``*/p*.md``, or of one queue file."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory():
+        files = spark.read.text(f"{path.rstrip('/')}/*/p*.md", wholetext=True)
+        return read_page_reviews(files.select(F.col("_metadata.file_path").alias("path"), "value"))
+    return read_review_queue(spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value"))
 
 
 def merged_confirmations(in_file: DataFrame, queue: DataFrame) -> DataFrame:
     """A page's own file overrides the queue where it is confirmed or says something."""
-    cols = ["book_id", "local_page", "confirmed", "correct_content", "note"]
+    cols = ["book_id", "local_page", "confirmed", "correct_content", "notes"]
     own = in_file.filter(F.col("confirmed") | (F.trim("correct_content") != "")).select(*cols)
     return override_union((queue.select(*cols), 1), (own, 2), keys=["book_id", "local_page"])
 
@@ -168,6 +213,25 @@ def write_files(files: DataFrame, folder: str, name: str = "file_name", body: st
     fs.delete(path(aside), True)
 
 
+def write_json(df: DataFrame, path: str) -> None:
+    """One JSON object a row and line; what was there is replaced."""
+    df.write.mode("overwrite").json(path)
+
+
+def json_document(df: DataFrame, *order: str) -> DataFrame:
+    """(value): all rows as one indented JSON array, for a small report."""
+    rows = F.sort_array(F.collect_list(F.struct(*(F.col(c) for c in order), F.to_json(F.struct(*df.columns)).alias("_json"))))
+    one = df.agg(F.transform(rows, lambda x: x["_json"]).alias("rows"))
+    return one.select(F.when(F.size("rows") == 0, "[]").otherwise(F.concat(F.lit("[\n  "), F.array_join("rows", ",\n  "), F.lit("\n]"))).alias("value"))
+
+
+def write_yaml(df: DataFrame, path: str) -> None:
+    """Each row as a YAML list entry: scalars as JSON writes them, which YAML reads; what was there is replaced."""
+    said = [F.concat(F.lit("- " if i == 0 else "  "), F.lit(f"{c}: "), F.coalesce(F.regexp_extract(F.to_json(F.struct(F.col(c).alias("x"))), '^\\{"x":(.*)\\}$', 1), F.lit("null"))) for i, c in enumerate(df.columns)]
+    shown = [F.when(F.col(c).isNull(), F.lit(("- " if i == 0 else "  ") + f"{c}: null")).otherwise(x) for i, (c, x) in enumerate(zip(df.columns, said))]
+    df.select(F.concat_ws("\n", *shown).alias("value")).write.mode("overwrite").text(path)
+
+
 def stale_files(existing: DataFrame, expected: DataFrame, name: str = "file_name") -> DataFrame:
     return existing.join(expected.select(name), name, "left_anti")
 
@@ -202,6 +266,11 @@ def file_hashes(df: DataFrame, key: str, body: str) -> DataFrame:
     return df.select(key, F.sha2(F.col(body), 256).alias("sha256"), F.octet_length(body).cast("long").alias("n_bytes"))
 
 
+def shrunk(pages: int, size: int, most_bytes: int, margin: float = 0.97) -> int:
+    """How many pages to try next for a part that came out too large: by the ratio of sizes, at least one fewer, at least one."""
+    return max(1, min(pages - 1, int(pages * most_bytes / size * margin)))
+
+
 def split_ranges(sizes: DataFrame, group: list[str], page: str, size: str, most_pages: int = 200, most_bytes: int = 100 << 20) -> DataFrame:
     """Adds part: greedy packing of a document's pages, in order, into parts with limits.  A fold over one document's page sizes."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sizes.schema) + ", part int"

@@ -76,7 +76,7 @@ def test_build_and_triage(spark):
     r = {x.title: x for x in made.records.collect()}
     assert set(r) == {"红烧肉", "清炖鸡", "炒青菜"}
     assert r["红烧肉"].ingredients == ["主料：猪肉 一斤"] and r["红烧肉"].seasonings == ["调料：盐 二钱", "葱 一两"]
-    assert r["红烧肉"].steps == ["1. 切。", "2. 炒。"] and r["红烧肉"].tips == ["好"] and r["红烧肉"].local_pages == [2, 3]
+    assert r["红烧肉"].steps == ["1. 切", "。2. 炒。"] and r["红烧肉"].tips == ["好"] and r["红烧肉"].local_pages == [2, 3]
     assert r["清炖鸡"].ingredients == ["鸡 一只"] and r["清炖鸡"].steps == ["煮熟"]  # the ingredients' head is implied
     assert r["炒青菜"].local_pages == [1, 3] and r["炒青菜"].steps == ["又一步"] or r["炒青菜"].steps
     assert sorted((x.book_id, x.local_page, x.status) for x in made.fallbacks.collect())[:2] == [("b", 1, "toc"), ("b", 4, "category")]
@@ -156,17 +156,32 @@ def test_sources(spark, tmp_path):
     files = io.whole_files(spark, f"file://{tmp_path}/in", "*.json")
     rows = io.read_layout(files, F.lit("b")).collect()
     assert [(r.local_page, r.raw_text, r.title_candidates, r.block_types, r.ocr_engine) for r in rows] == [(1, "ab\n1 2\nc\nT", ["T"], ["table", "text", "title"], "e")]
-    (tmp_path / "in/p0001.md").write_text("# b p0001\n- Confirmed: yes\n- note: x: y\n- note: z\n- correct_content: a / b\n")
-    (tmp_path / "in/q.md").write_text("## b p0001\n- confirmed: yes\n- correct content: old\n\n## b p2\n- confirmed: no\n")
-    c = io.read_confirmations(io.whole_files(spark, f"file://{tmp_path}/in", "*.md"))
-    got = {(r.path[-8:], r.local_page): r for r in c.collect()}
-    assert got["p0001.md", 1].correct_content == "a / b" and got["p0001.md", 1].note == "z" and got["p0001.md", 1].confirmed
-    own, queue = c.filter(F.col("path").endswith("p0001.md")), c.filter(F.col("path").endswith("q.md"))
-    assert {r.local_page: r.correct_content for r in io.merged_confirmations(own, queue).collect()} == {1: "a / b", 2: ""}
+    (tmp_path / "review/sx-2").mkdir(parents=True)
+    (tmp_path / "review/sx-2/p0009.md").write_text("# sx-2 p.9\n\n## 校对记录\n- notes: 内容正确\n- 正确内容: a / b\n- 确认勾: [X]\n- 置信度: low\n- notes: z: y \n* 正确内容: no\n")
+    (tmp_path / "review/sx-2/p0010.md").write_text("- notes: x\n")
+    (tmp_path / "review/sx-2/other.md").write_text("# sx-2 p.11\n")
+    own = io.read_confirmations(spark, f"file://{tmp_path}/review")
+    got = {(r.book_id, r.local_page): (r.notes, r.correct_content, r.confirmed, r.confidence) for r in own.collect()}
+    assert got == {("sx-2", 9): ("z: y", "a / b", True, "low"), ("", 0): ("x", "", False, "")}
+    queue = "# Queue\n- notes: before\n\n## sx-2 p.3\n- confidence: low\n- 正确内容: 目录 / 猪牛羊肉类\n- 确认勾: [x]\n## sx-2 p.9 \n- 正确内容: old\n- 确认勾: [ ]\n## sx-2 9\n- notes: n\n- plain\n## sx-3 p.1\n"
+    (tmp_path / "queue.md").write_text(queue)
+    rows = io.read_confirmations(spark, f"file://{tmp_path}/queue.md")
+    assert {(r.book_id, r.local_page): (r.notes, r.correct_content, r.confirmed) for r in rows.collect()} == {
+        ("sx-2", 3): ("", "目录 / 猪牛羊肉类", True), ("sx-2", 9): ("n", "old", False), ("sx-3", 1): ("", "", False),
+    }
+    assert {(r.book_id, r.local_page): r.correct_content for r in io.merged_confirmations(own, rows).collect()} == {("sx-2", 3): "目录 / 猪牛羊肉类", ("sx-2", 9): "a / b", ("sx-3", 1): ""}
     notes = spark.createDataFrame([("n.md", "---\ntitle: \"T\"\nbook_id: b\n---\n\n## 页面文本\n\nl1\n无\n l2\n\n## x\n\nno\n"), ("bad.md", "plain")], "path string, value string")
     n = io.read_notes(notes, "页面文本").collect()
     assert len(n) == 1 and n[0].meta["title"] == "T" and n[0].body == ["l1", "l2"]
     assert io.annotations(spark, {"annotations": [{"book_id": "b", "local_page": 1, "anchor": "a", "note": "n"}, {"book_id": "b"}, "x"]}).count() == 1
+    assert io.annotations(spark, "a: [b\n  c").count() == 0 and io.annotations(spark, '{"annotations": null}').count() == 0
+    small = spark.createDataFrame([(1, "x\"y"), (2, None)], "k int, t string")
+    assert small.transform(lambda d: io.json_document(d, "k")).first().value == '[\n  {"k":1,"t":"x\\"y"},\n  {"k":2}\n]'
+    io.write_json(small, f"file://{tmp_path}/rows")
+    assert spark.read.json(f"file://{tmp_path}/rows").count() == 2
+    io.write_yaml(small.coalesce(1), f"file://{tmp_path}/yaml")
+    assert sorted(x.value for x in spark.read.text(f"file://{tmp_path}/yaml").collect()) == ["  t: \"x\\\"y\"", "  t: null", "- k: 1", "- k: 2"]
+    assert io.shrunk(200, 200, 100) == 97 and io.shrunk(2, 1000, 1) == 1 and io.shrunk(10, 101, 100) == 9
     assert io.load_config("") == {} and io.load_config('{"a": 1}') == {"a": 1}
     made = spark.createDataFrame([("a.md", "x\ny"), ("b.md", "z")], "file_name string, body string")
     io.write_files(made, f"file://{tmp_path}/out")
