@@ -33,47 +33,47 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from foliospark.llm.common import mapped, quoted, slices
+from foliospark.llm.common import gathered, mapped, quoted, slices
 
-CACHED = 400_000
+#: Bytes of text encoded at once, and pieces that are kept.
+TEXT, CACHED = 4 << 20, 400_000
 #: Bytes of new pieces that one query encodes, and tokens that one query decodes; a longer piece or document takes a query alone.
 ENCODED, DECODED = 1 << 19, 1 << 18
 #: A query keeps the rows of all its rounds; words that take more go on in the next one.
 ROUNDS = 24
 
-# one contraction a word and round; ranks are doubled, odd ones are loud
-_MERGE = """
-WITH RECURSIVE s(w, pos, tok, ended, r) AS (
-  SELECT w, pos, tok, false, 0 FROM fresh
-  UNION ALL (
+# a row's key is its word and position in one number; ranks are doubled, odd ones are loud
+_FIRST = """
+WITH RECURSIVE s(g, tok, ended, r) AS (
+  SELECT g, tok, false, 0 FROM fresh
+  UNION ALL ("""
+_LAST = """))
+SELECT g >> 24 AS w, list(tok ORDER BY g) AS ids, bool_and(ended) AS ended FROM s WHERE ended OR r = {rounds} GROUP BY g >> 24 ORDER BY w"""
+
+# one contraction a word and round
+_MERGE = f"""{_FIRST}
     WITH t AS MATERIALIZED (
-      SELECT w, pos, tok, r, CASE WHEN lead(w) OVER o = w THEN lead(tok) OVER o END AS after, CASE WHEN lag(w) OVER o = w THEN lag(pos) OVER o END AS before
-      FROM s WHERE NOT ended AND r < {rounds} WINDOW o AS (ORDER BY w, pos)),
-    best AS (SELECT w, min((k::BIGINT << 24) | pos) AS b FROM t JOIN merges ON pair = (tok::BIGINT << 20) | after GROUP BY w)
-    SELECT t.w, t.pos, CASE WHEN t.pos = (b & 16777215) THEN (b >> 25)::INTEGER ELSE tok END, b IS NULL, r + 1
-    FROM t LEFT JOIN best ON t.w = best.w WHERE b IS NULL OR before IS NULL OR before <> (b & 16777215)))
-SELECT w, list(tok ORDER BY pos) AS ids, bool_and(ended) AS ended FROM s WHERE ended OR r = {rounds} GROUP BY w ORDER BY w"""
-
-# every place of a quiet pair in a round: ranks are doubled, odd for loud ones; hits are places of a word's best pair, ``nth`` is a hit's number in its run of overlapping ones
-_MERGE_ALL = """
-WITH RECURSIVE s(w, pos, tok, ended, r) AS (
-  SELECT w, pos, tok, false, 0 FROM fresh
-  UNION ALL (
+      SELECT g, tok, r, (tok::BIGINT << 20) | lead(tok) OVER o AS pair, lead(g) OVER o AS after FROM s WHERE NOT ended AND r < {{rounds}} WINDOW o AS (ORDER BY g)),
+    best AS MATERIALIZED (
+      SELECT g >> 24 AS w, min((k::BIGINT << 24) | (g & 16777215)) AS b, arg_min(after, (k::BIGINT << 24) | (g & 16777215)) AS gone
+      FROM t JOIN merges USING (pair) WHERE after >> 24 = g >> 24 GROUP BY g >> 24)
+    SELECT g, CASE WHEN (g & 16777215) = (b & 16777215) THEN (b >> 25)::INTEGER ELSE tok END, b IS NULL, r + 1
+    FROM t LEFT JOIN best ON g >> 24 = w WHERE b IS NULL OR g <> gone{_LAST}"""
+
+# every place of a quiet pair in a round: hits are places of a word's best pair, ``nth`` is a hit's number in its run of overlapping ones
+_MERGE_ALL = f"""{_FIRST}
     WITH p AS (
-      SELECT w, pos, tok, r, row_number() OVER o AS n, CASE WHEN lead(w) OVER o = w THEN (tok::BIGINT << 20) | lead(tok) OVER o END AS pair
-      FROM s WHERE NOT ended AND r < {rounds} WINDOW o AS (ORDER BY w, pos)),
-    t AS MATERIALIZED (SELECT w, pos, tok, r, n, k FROM p LEFT JOIN merges USING (pair)),
-    best AS MATERIALIZED (SELECT w, min(k) AS b FROM t GROUP BY w),
-    hits AS (SELECT t.w, n, b, n - row_number() OVER (ORDER BY n) AS run, min(n) OVER (PARTITION BY t.w) AS leftmost FROM t JOIN best ON t.w = best.w AND k = b),
+      SELECT g, tok, r, row_number() OVER o AS n, CASE WHEN lead(g) OVER o >> 24 = g >> 24 THEN (tok::BIGINT << 20) | lead(tok) OVER o END AS pair
+      FROM s WHERE NOT ended AND r < {{rounds}} WINDOW o AS (ORDER BY g)),
+    t AS MATERIALIZED (SELECT g, tok, r, n, k FROM p LEFT JOIN merges USING (pair)),
+    best AS MATERIALIZED (SELECT g >> 24 AS w, min(k) AS b FROM t GROUP BY g >> 24),
+    hits AS (SELECT w, n, b, n - row_number() OVER (ORDER BY n) AS run, min(n) OVER (PARTITION BY w) AS leftmost FROM t JOIN best ON t.g >> 24 = w AND k = b),
     used AS MATERIALIZED (
       SELECT n, b FROM (SELECT n, b, leftmost, row_number() OVER (PARTITION BY run ORDER BY n) AS nth FROM hits) WHERE (nth & 1) = 1 AND ((b & 1) = 0 OR n = leftmost))
-    SELECT t.w, t.pos, CASE WHEN u.b IS NULL THEN t.tok ELSE u.b >> 1 END, best.b IS NULL, r + 1
-    FROM t JOIN best ON t.w = best.w LEFT JOIN used u ON t.n = u.n LEFT JOIN used v ON t.n = v.n + 1 WHERE v.n IS NULL))
-SELECT w, list(tok ORDER BY pos) AS ids, bool_and(ended) AS ended FROM s WHERE ended OR r = {rounds} GROUP BY w ORDER BY w"""
+    SELECT t.g, CASE WHEN u.b IS NULL THEN t.tok ELSE u.b >> 1 END, best.b IS NULL, r + 1
+    FROM t JOIN best ON t.g >> 24 = w LEFT JOIN used u ON t.n = u.n LEFT JOIN used v ON t.n = v.n + 1 WHERE v.n IS NULL{_LAST}"""
 
-_DECODE = """
-SELECT d, string_agg(said, '' ORDER BY i) AS said
-FROM (SELECT d, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM coded) JOIN vocabulary USING (id) GROUP BY d"""
+_DECODE = "SELECT d, array_to_string(list(said ORDER BY i), '') AS said FROM coded JOIN vocabulary USING (id) GROUP BY d"
 
 
 class Codec:
@@ -120,13 +120,14 @@ class Codec:
         tok = self.of_byte[np.frombuffer(b"".join(b for _, b in part), np.uint8)]
         merge = _MERGE
         while words:
-            of = np.repeat(np.arange(len(words), dtype=np.int32), n)
-            self._table("fresh", w=pa.array(of), pos=pa.array((np.arange(len(of)) - (np.cumsum(n) - n)[of]).astype(np.int32)), tok=pa.array(tok))
+            of = np.repeat(np.arange(len(words)), n)
+            self._table("fresh", g=pa.array((of << 24) | (np.arange(len(of)) - (np.cumsum(n) - n)[of])), tok=pa.array(tok))
             got = self.db.sql(merge.replace("{rounds}", str(ROUNDS))).to_arrow_table()
             merge = _MERGE_ALL
             ids, ended = got.column("ids").combine_chunks(), got.column("ended").to_numpy()
             flat, off = ids.values.to_numpy().astype(np.int32), ids.offsets.to_numpy().astype(np.int64)
-            self.known.update((words[k], flat[off[k] : off[k + 1]].tobytes()) for k in np.flatnonzero(ended))
+            data, at = flat.tobytes(), (4 * off).tolist()
+            self.known.update((p, data[i:j]) for p, i, j, done in zip(words, at[:-1], at[1:], ended.tolist()) if done)
             rest = np.flatnonzero(~ended)
             words, n = [words[k] for k in rest], np.diff(off)[rest]
             tok = np.concatenate([flat[off[k] : off[k + 1]] for k in rest]) if len(rest) else flat[:0]
@@ -178,7 +179,8 @@ class Codec:
         cuts = np.flatnonzero(np.diff(part)) + 1
         for a, b in zip([0, *cuts], [*cuts, len(ids)]):
             if b > a:
-                self._table("coded", d=pa.array(np.arange(a, b, dtype=np.int64)), ids=ids.slice(a, b - a))
+                some = ids.slice(a, b - a).flatten()
+                self._table("coded", d=pa.array(np.repeat(np.arange(a, b), n[a:b])), i=pa.array(np.arange(len(some))), id=some)
                 got = self.db.sql(_DECODE).to_arrow_table()
                 for d, said in zip(got.column("d").to_pylist(), got.column("said")):
                     out[d] = said.as_py().encode("latin-1")
@@ -198,8 +200,8 @@ def _map(df: DataFrame, text: str, keep: list[str], extra: list[tuple[str, str]]
 
     def run(batches):
         codec = Codec.get(path, pattern)
-        for batch in batches:
-            for part in slices(batch, text) if text else [batch]:
+        for batch in gathered(batches, text, TEXT) if text else batches:
+            for part in slices(batch, text, TEXT) if text else [batch]:
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in keep), *make(codec, part)], names)
 
     return mapped(df, run, ", ".join(f"{quoted(n)} {t}" for n, t in extra), keep)

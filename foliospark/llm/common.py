@@ -116,6 +116,19 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES)
             yield batch.slice(a, b - a)
 
 
+def gathered(batches, column: str, most: int):
+    """Small batches as larger ones with ``most`` bytes of text or a little more."""
+    some, size = [], 0
+    for batch in batches:
+        some.append(batch)
+        size += batch.column(column).nbytes
+        if size >= most:
+            yield pa.Table.from_batches(some).combine_chunks().to_batches()[0]
+            some, size = [], 0
+    if size or some:
+        yield from pa.Table.from_batches(some).combine_chunks().to_batches()
+
+
 def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words in order, and where each text's words begin (one more entry than texts)."""
     import xxhash
