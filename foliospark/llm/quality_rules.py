@@ -114,9 +114,10 @@ def frequent_lines(docs: DataFrame, least_docs: int, line_share: float) -> DataF
     release(each)
     by_text = held.select("host", "h", "rid", "rv", "content", "limit").distinct().groupBy("host", "h", "content").agg(F.count("*").alias("n"), F.first("limit").alias("limit"))
     above = by_text.groupBy("host", "h").agg(((F.sum("n") > F.first("limit")) & (F.count("*") > least_docs)).alias("above"))
-    gone = held.join(above.filter("above"), ["host", "h"]).select("rid", "rv", "h", "i", "w").distinct()
+    above = materialize(above.filter("above").select("host", "h"), "above")  # a join below its own aggregate could not be split where a line is hot
+    gone = held.join(above, ["host", "h"]).select("rid", "rv", "h", "i", "w").distinct()
     gone = materialize(gone.groupBy("rid", "rv").agg(F.sum("w").alias("removed_words"), F.collect_list("i").alias("at")), "gone")
-    release(held)
+    release(held, above)
     return gone
 
 
