@@ -203,11 +203,15 @@ def canonical_text(c: Column) -> Column:
     return F.replace(nfkc(normalize_text(c)), F.lit("／"), F.lit("/"))
 
 
+# Fixed value: the enumerators of contents entries; numerals of the script count only in brackets or before a mark, for titles begin with them.
+ENTRY_NUMBER = "^(?:[（(]\\s*[一二三四五六七八九十百千零〇\\d]+\\s*[)）]|[一二三四五六七八九十百千零〇]+\\s*[、.]|\\d+\\s*[、.]?)\\s*"
+
+
 def canonical_title(c: Column, rules: list[Replacement] = ()) -> Column:
-    t = F.regexp_replace(canonical_text(c), ENUMERATOR, "")
-    t = F.regexp_replace(F.regexp_replace(t, "[.·…]+$", ""), f"{SPACE}+", "")
+    t = F.regexp_replace(canonical_text(c), ENTRY_NUMBER, "")
+    t = F.replace(F.regexp_replace(t, "[.·…]+$", ""), F.lit(" "), F.lit(""))
     t = strip(fullwidth_parens(apply_rules(t, list(rules))), ".-· ")
-    return F.when(_occurrences(t, "（") != _occurrences(t, "）"), strip(t, "（）")).otherwise(t)
+    return F.when(_occurrences(t, OPEN) != _occurrences(t, CLOSE), strip(strip(t, "（）()"), ".-· ")).otherwise(t)
 
 
 def one_char_apart(a: Column, b: Column) -> Column:

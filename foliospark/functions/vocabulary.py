@@ -22,6 +22,7 @@ class Vocabulary:
     headers: tuple[tuple[str, tuple[str, ...]], ...]
     contents: str
     category_suffix: str
+    page_words: tuple[tuple[str, tuple[str, ...]], ...] = ()
     corpus_names: tuple[str, ...] = ()
     allowed_notes: tuple[str, ...] = ()
     prefixes: tuple[str, ...] = ()
@@ -50,6 +51,13 @@ DEFAULT = Vocabulary(
     ),
     contents="目录",
     category_suffix="类",
+    page_words=(
+        ("ingredients", ("原料", "用料", "配料", "主料")),
+        ("seasonings", ("调料", "佐料", "辅料")),
+        ("steps", ("制法", "作法", "制作", "方法")),
+        ("tips", ("特点", "提示", "说明", "附注", "注")),
+    ),
+    corpus_names=("陕西菜谱",),
     allowed_notes=("清素",),
     prefixes=("水发", "净", "水", "熟", "生", "鲜", "干"),
     suffixes=("片", "丝", "米", "丁", "块", "条", "末"),

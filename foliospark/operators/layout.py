@@ -57,7 +57,7 @@ def extract_blocks(raw: Column) -> Column:
     def flat(type_, b):
         spans = F.flatten(F.transform(F.coalesce(b["lines"], F.array().cast(SPANS)), lambda x: x["spans"]))
         said = T.normalize_text(F.array_join(F.transform(spans, lambda s: F.coalesce(s["content"], F.lit(""))), ""))
-        rows = F.flatten(F.transform(F.filter(spans, lambda s: s["html"].isNotNull()), lambda s: T.table_rows(s["html"])))
+        rows = F.flatten(F.transform(F.filter(spans, lambda s: s["html"].isNotNull()), lambda s: T.table_rows(s["html"], decode=lambda c: c)))
         block = lambda kind, text: F.struct(kind.alias("block_type"), text.alias("text"), b["bbox"].alias("bbox"), b["index"].alias("index"))
         own = F.filter(F.array(block(type_, said)), lambda x: x["text"] != "")
         return F.concat(own, F.transform(rows, lambda r: block(F.lit("table"), r)))
@@ -69,6 +69,32 @@ def extract_blocks(raw: Column) -> Column:
     return F.flatten(F.transform(raw, one))
 
 
+def unescape_tables(blocks: Column) -> Column:
+    """``blocks`` with all HTML entities of table rows decoded; rows that are blank then are left out.
+
+    Only pages that have an ampersand in a table row go through the Arrow UDF.
+    """
+
+    @F.pandas_udf("array<struct<block_type:string,text:string,bbox:array<double>,index:int>>")
+    def run(s: pd.Series) -> pd.Series:
+        import html
+
+        def one(own):
+            if own is None:
+                return None
+            said = [dict(b) for b in own]
+            for b in said:
+                b["bbox"] = None if b["bbox"] is None else list(b["bbox"])
+                if b["block_type"] == "table":
+                    b["text"] = " ".join(html.unescape(b["text"]).split())
+            return [b for b in said if b["text"]]
+
+        return s.map(one)
+
+    held = F.exists(blocks, lambda b: (b["block_type"] == "table") & b["text"].contains("&"))
+    return F.coalesce(run(F.when(held, blocks)), blocks)
+
+
 def explode_blocks(pages: DataFrame, keys: list[str], blocks: str = "text_blocks") -> DataFrame:
     """One row a block with its place ``ord``; place and page are kept to every sink."""
     return pages.select(*keys, F.posexplode(blocks).alias("ord", "b")).select(*keys, "ord", "b.*")
@@ -133,6 +159,7 @@ def inherit_groups(lines: DataFrame, group: list[str], order: list, first: str =
 
 
 _IMPLIED_HEAD = "^[二2]\\s*[、，,．.。:：]\\s*([\\u4e00-\\u9fff]{1,4}?)[：:。.]?$"
+# Fixed value: a garbled line that a scan makes of a numbered header.
 _GARBLED = "^(?:[（(]\\s*[一二三四五六七八九十\\d]+\\s*[）)]|[一二三四五六七八九十]\\s*[、，,．.。:：])\\s*\\S{0,4}[：:。.]?$"
 _NUMBER = "^\\s*(\\d+)\\s*[.、．]"
 

@@ -33,18 +33,21 @@ def _any(c: Column, words) -> Column:
 
 
 def with_structure(
-    pages: DataFrame, raw: str = "raw_text", titles: str = "title_candidates", page_no: str = "local_page", v: Vocabulary = DEFAULT
+    pages: DataFrame, raw: str = "raw_text", titles: str = "title_candidates", page_no: str = "local_page", cleaned: str | None = None, v: Vocabulary = DEFAULT
 ) -> DataFrame:
-    """Adds has_<section>_header, is_toc, is_front_matter and is_category_page."""
-    t, names = F.col(raw), F.col(titles)
-    bare = F.transform(names, lambda x: F.regexp_replace(x, T.SPACE, ""))
-    toc = F.exists(bare, lambda x: x == v.contents) | (t.contains(v.contents) & t.contains("…"))
-    category = ~toc & (F.size(names) > 0) & F.forall(bare, lambda x: x.endswith(v.category_suffix) | x.endswith(v.contents)) & (F.length(t) <= 40)
+    """Adds has_<section>_header, is_toc, is_front_matter and is_category_page.
+
+    Header words and contents are looked for anywhere in the raw text, lengths
+    are the ``cleaned`` text's.
+    """
+    t, n, names = F.col(raw), F.length(cleaned or raw), F.transform(titles, lambda x: F.btrim(T.normalize_text(x), F.lit("：: ")))
+    toc = F.exists(names, lambda x: F.replace(x, F.lit(" "), F.lit("")) == v.contents) | (t.contains(v.contents) & t.contains("…"))
+    category = ~toc & (F.size(titles) > 0) & F.forall(names, lambda x: x.endswith(v.category_suffix) | x.endswith(v.contents)) & (n <= 40)
     return pages.select(
         "*",
-        *(_any(t, words).alias(f"has_{section}_header") for section, words in v.headers),
+        *(_any(t, words).alias(f"has_{section}_header") for section, words in (v.page_words or v.headers)),
         toc.alias("is_toc"),
-        ((F.col(page_no) <= 2) & (F.length(t) <= 20)).alias("is_front_matter"),
+        ((F.col(page_no) <= 2) & (n <= 20)).alias("is_front_matter"),
         category.alias("is_category_page"),
     )
 
@@ -93,7 +96,7 @@ def normalize_pages(pages: DataFrame, rules: list[T.Replacement] = (), v: Vocabu
     blocks = F.transform("text_blocks", lambda b: b.withField("text", clean(b["text"])))
     p = pages.withColumn("cleaned_text", clean(F.col("raw_text"))).withColumn("text_blocks", blocks)
     titles = F.transform(F.filter("text_blocks", lambda b: (b["block_type"] == "title") & (b["text"] != "")), lambda b: b["text"])
-    p = with_structure(p.withColumn("title_candidates", titles), v=v)
+    p = with_structure(p.withColumn("title_candidates", titles), cleaned="cleaned_text", v=v)
     p = p.withColumn("record_titles", F.filter("title_candidates", lambda x: T.loose_title(x)))
     names, t = F.col("record_titles"), F.col("cleaned_text")
     steps, items = F.col("has_steps_header"), F.col("has_ingredients_header")
@@ -106,6 +109,7 @@ def normalize_pages(pages: DataFrame, rules: list[T.Replacement] = (), v: Vocabu
     )
 
 
+# The numbers a section header may have before it, and the marks behind it.
 _ENUM = "^(?:[（(]\\s*[一二三四五六七八九十\\d]+\\s*[）)]|[一二三四五六七八九十]\\s*[、，,．.。:：]?)\\s*"
 _TAIL = "[：:；;。，,．.、·…！!？?\\s]"
 

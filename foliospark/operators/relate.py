@@ -70,27 +70,48 @@ def one_char_pairs(left: DataFrame, right: DataFrame, key: str, within: list[str
     return a.join(b, [*within, "_b"]).filter(F.col(key) != F.col("other")).drop("_b")
 
 
-def contents_aliases(entries: DataFrame, records: DataFrame, appended: str = "（附") -> DataFrame:
+def contents_aliases(entries: DataFrame, records: DataFrame, named: DataFrame | None = None, appended: str = "[（(]\\s*附") -> DataFrame:
     """(book_id, rec_id, alias): contents titles that name exactly one record in other words.
 
-    A pair is one character apart, or has the same core title - not for
-    entries with an appended dish.  Of several records the one whose pages hold
-    the entry's page wins if it is the only one.
-    ``entries``: book_id, title, local_page; ``records``: book_id, rec_id, title, local_pages.
+    ``named`` (book_id, local_page, alias, title) says for some entries which
+    record they mean, and then nothing else counts for them.  Other pairs are
+    one character apart, or have the same core title - not for entries with an
+    appended dish.  Of several records those whose pages hold the entry's page
+    win; the one that is left, if it is one, gets the alias.
+    ``entries``: book_id, title, local_page; ``records``: book_id, rec_id, title, local_pages, and aliases where they have them.
     """
-    e = entries.select("book_id", "title", "local_page").distinct()
+    e = entries.select("book_id", T.strip(T.fullwidth_parens(F.col("title")), "、·-—. ").alias("title"), "local_page").filter("title != ''").distinct()
     known = records.select("book_id", "title")
+    if "aliases" in records.columns:
+        known = known.union(records.select("book_id", F.explode("aliases").alias("title"))).distinct()
     e = e.join(known, ["book_id", "title"], "left_anti")
-    near = one_char_pairs(e, records.select("book_id", "title", "rec_id", "local_pages"), "title", ["book_id"])
-    core = e.filter(~F.col("title").contains(appended)).withColumn("_core", T.core_title(F.col("title"))).filter("_core != ''")
-    same = core.join(records.select("book_id", F.col("title").alias("other"), "rec_id", "local_pages", T.core_title(F.col("title")).alias("_core")), ["book_id", "_core"]).drop("_core")
+    own = records.select("book_id", "title", "rec_id", "local_pages")
+    told = None
+    if named is not None:
+        names = named.select("book_id", "local_page", F.col("alias").alias("title"), F.col("title").alias("_named"))
+        said = e.join(names, ["book_id", "local_page", "title"])
+        e = e.join(names, ["book_id", "local_page", "title"], "left_anti")
+        one = own.groupBy("book_id", "title").agg(F.count("*").alias("_n"), F.first("rec_id").alias("rec_id")).filter("_n = 1")
+        told = said.join(one.select("book_id", F.col("title").alias("_named"), "rec_id"), ["book_id", "_named"]).select("book_id", "rec_id", F.col("title").alias("alias"))
+    near = one_char_pairs(e, own, "title", ["book_id"])
+    core = e.filter(~F.col("title").rlike(appended)).withColumn("_core", T.core_title(F.col("title"))).filter("_core != ''")
+    same = core.join(own.select("book_id", F.col("title").alias("other"), "rec_id", "local_pages", T.core_title(F.col("title")).alias("_core")), ["book_id", "_core"]).drop("_core")
     pairs = near.select("book_id", "title", "local_page", "rec_id", "local_pages").unionByName(same.select("book_id", "title", "local_page", "rec_id", "local_pages"))
     pairs = pairs.dropDuplicates(["book_id", "title", "local_page", "rec_id"])
     w = Window.partitionBy("book_id", "title", "local_page")
     on_page = F.coalesce(F.array_contains("local_pages", F.col("local_page")), F.lit(False))
     pairs = pairs.withColumn("_n", F.count("*").over(w)).withColumn("_here", F.sum(on_page.cast("int")).over(w))
     sure = (F.col("_n") == 1) | ((F.col("_here") == 1) & on_page)
-    return pairs.filter(sure).select("book_id", "rec_id", F.col("title").alias("alias")).distinct()
+    found = pairs.filter(sure).select("book_id", "rec_id", F.col("title").alias("alias"))
+    return (found if told is None else found.union(told)).distinct()
+
+
+def manual_aliases(records: DataFrame, given: DataFrame) -> DataFrame:
+    """Adds the aliases that ``given`` (book_id, local_page, title, alias) has for a record, by its title and first page."""
+    own = given.groupBy("book_id", F.col("local_page").alias("_first"), "title").agg(F.sort_array(F.collect_set("alias")).alias("_given"))
+    r = records.withColumn("_first", F.array_min("local_pages")).join(own, ["book_id", "_first", "title"], "left")
+    more = F.concat("aliases", F.transform(F.coalesce("_given", F.array().cast("array<string>")), T.fullwidth_parens))
+    return r.withColumn("aliases", F.array_distinct(F.filter(more, lambda x: (x != "") & (x != F.col("title"))))).select(*records.columns)
 
 
 def title_policy(records: DataFrame, title: str = "title", aliases: str = "aliases") -> DataFrame:

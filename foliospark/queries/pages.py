@@ -28,7 +28,7 @@ kind AS (SELECT *, CASE WHEN toc THEN 'toc' WHEN doc_id <= 2 AND n <= 20 THEN 'f
 
 def _structured(table):
     titles = F.filter(F.split("text", "\n"), lambda x: F.length(x).between(1, 30))
-    return pages.with_structure(table("documents").withColumn("names", titles), "text", "names", "doc_id", LATIN)
+    return pages.with_structure(table("documents").withColumn("names", titles), "text", "names", "doc_id", v=LATIN)
 
 
 def _kind():

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
-from foliospark.operators.layout import RAW_BLOCK, extract_blocks
+from foliospark.operators.layout import RAW_BLOCK, extract_blocks, unescape_tables
 from foliospark.operators.relate import override_union
 
 PAGE = f"array<struct<page_idx:int,page_size:array<double>,para_blocks:array<{RAW_BLOCK}>>>"
@@ -41,6 +41,7 @@ def read_layout(files: DataFrame, book: Column) -> DataFrame:
     pages = F.coalesce(page_container(F.col("value")), F.raise_error(F.concat(F.lit("no page container in "), F.col("path"))).cast("string"))
     p = files.select(book.alias("book_id"), engine.alias("ocr_engine"), F.explode(F.from_json(pages, PAGE)).alias("p"))
     p = p.select("book_id", "ocr_engine", (F.col("p.page_idx") + 1).alias("local_page"), "p.page_size", extract_blocks(F.col("p.para_blocks")).alias("text_blocks"))
+    p = p.withColumn("text_blocks", unescape_tables(F.col("text_blocks")))
     raw = F.array_join(F.transform("text_blocks", lambda b: b["text"]), "\n")
     p = p.withColumn("raw_text", raw)
     return p.select(

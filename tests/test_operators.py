@@ -86,7 +86,7 @@ def test_build_and_triage(spark):
     got = {(x.book_id, x.local_page): x for x in rows.collect()}
     assert got["b", 1].bucket == "safe_to_skip" and got["c", 1].n_placeholders == 1
     assert {(x.title, x.local_page, x.category) for x in anchors.collect()} == {("红烧肉", 2, "热菜类"), ("清炖鸡", 3, "热菜类"), ("没有菜", 10, "热菜类")}
-    assert [(x.local_page, x.value) for x in titles.collect()] == [(5, "（九）糖醋鱼")]
+    assert [(x.local_page, x.value) for x in titles.collect()] == [(5, "糖醋鱼")]
     again = build(corpus(spark), said, contents=anchors.select("book_id", "title", "local_page"))
     assert again.records.count() >= 3
 
@@ -142,7 +142,7 @@ def test_group_fixes(spark):
 
 
 def test_review_parts(spark):
-    assert spark.createDataFrame([("（九）糖醋鱼 / x",), ("红烧肉(12)",), ("（九）用料",)], "c string").select(review.title_override(F.col("c")).alias("t")).collect()[0].t == "（九）糖醋鱼"
+    assert spark.createDataFrame([("（九）糖醋鱼 / x",), ("红烧肉(12)",), ("（九）用料",)], "c string").select(review.title_override(F.col("c")).alias("t")).collect()[0].t == "糖醋鱼"
     p = spark.createDataFrame([("a", 1, True, False), ("a", 2, False, False), ("a", 3, False, True), ("b", 1, True, True)], "book_id string, local_page int, confirmed boolean, corrected boolean")
     assert sorted(tuple(map(str, x)) for x in review.progress(p).collect()) == [("None", "4", "2", "2", ""), ("a", "3", "1", "1", "p0002-p0003"), ("b", "1", "1", "1", "")]
 
@@ -236,3 +236,58 @@ def test_paired_takes_all_items(spark):
         rows = pages._paired(tables.get).collect()
         assert {r["item"] for r in rows} == {f"item {i}" for i in range(n_items)} and {r.doc_id for r in rows} == set(range(n_docs))
         assert len(rows) == max(n_docs, n_items)
+
+
+def test_annotate(spark):
+    """Notes go to the first place in reading order, once; of one place the first; a mark may part another anchor."""
+    from foliospark.operators import site
+
+    rows = [["a b", "b c & d"], ["c b"]]
+    df = spark.createDataFrame([(rows, ["c", "b", "x", "a b", "b"]), (None, None)], "s array<array<string>>, a array<string>")
+    got = [r.x for r in df.select(site.annotate(F.col("s"), F.col("a"), "[{n}]").alias("x")).collect()]
+    assert got[0].matched == [3, 1, 4, 0] and got[0].rows == [["a b[3][2][1]", "b c[4] & d"], ["c b"]]
+    assert got[1].rows == [] and got[1].matched == []
+    records = spark.createDataFrame([("b", "s1", [1, 2], ["salt"], [], ["cut <b>"], []), ("b", "s2", [2], ["salt"], [], ["x"], [])], "book_id string, slug string, local_pages array<int>, " + ", ".join(f"{c} array<string>" for c in site.SECTIONS))
+    notes = io.annotations(spark, [{"book_id": "b", "local_page": 2, "anchor": "salt", "note": "n"}, {"book_id": "b", "local_page": 9, "anchor": "x", "note": "n", "slug": "s2"}, {"book_id": "b", "local_page": 1, "anchor": "<b>", "note": "n"}, {"book_id": "b", "local_page": 1, "anchor": "zz", "note": "n"}])
+    done, left = site.annotated(records, notes)
+    html = {r.slug: [x for part in r.html for x in part] for r in done.collect()}
+    assert html["s1"][0].startswith("salt<sup") and html["s1"][1].startswith("cut &lt;b&gt;<sup") and html["s2"] == ["salt", html["s2"][1]] and ">1</a>" in html["s2"][1]
+    assert [r.anchor for r in left.collect()] == ["zz"]
+
+
+def test_learning_outputs(spark, tmp_path):
+    rows = [("sx-2", 3, "括号改成英文", "x", True), ("sx-2", 9, "去除多余空格", "", True), ("sx-3", 1, "内容正确", "", False)]
+    c = spark.createDataFrame(rows, "book_id string, local_page int, notes string, correct_content string, confirmed boolean")
+    review.write_learning(c, f"file://{tmp_path}/learn")
+    assert spark.read.json(f"file://{tmp_path}/learn/confirmation_records").count() == 2
+    assert {r.rule for r in spark.read.json(f"file://{tmp_path}/learn/learned_confirmation_rules").collect()} == {"normalize_brackets_to_ascii", "remove_spurious_inner_spaces"}
+    said = "\n".join(p.read_text() for p in sorted((tmp_path / "learn/learned_confirmation_rules_md").glob("part-*")))
+    assert "- Confirmed entries read: 2\n- Total queue entries parsed: 3" in said and "- sx-2 p.9: notes=去除多余空格 | correct_content=无" in said
+    assert said.index("## Learned Rules") < said.index("normalize_brackets_to_ascii: 1 pages") < said.index("## Confirmed Pages") < said.index("- sx-2 p.3")
+
+
+def test_corrected_kinds():
+    kinds = {"凉菜类": "title", "目录": "title", "（一）红烧肉": "title", "（一）红烧肉（12）": "text", "糖醋鱼": "text", "（二）用料": "text", "（三）八块鸡": "title"}
+    assert {t: corrections.block_kind(t) for t in kinds} == kinds
+    assert corrections.is_title("（Abc d）明月鸡") and not corrections.is_title("（四）净肉三两")
+
+
+def test_closest_by_bounds():
+    import random
+    from difflib import SequenceMatcher
+
+    r = random.Random(4)
+    for _ in range(200):
+        blocks = ["".join(r.choice("abcd ") for _ in range(r.randint(0, 14))) for _ in range(8)]
+        line = "".join(r.choice("abcd ") for _ in range(r.randint(0, 14)))
+        ratios = [SequenceMatcher(None, b, line).ratio() for b in blocks]
+        best = max(ratios)
+        assert corrections.closest(blocks, line) == ((ratios.index(best), best) if best > 0 else (-1, 0.0))
+
+
+def test_entities_in_tables(spark):
+    b = "block_type string, text string, bbox array<double>, index int"
+    rows = [([("table", "a &eacute;&nbsp;b", [1.0], 2), ("table", "&nbsp;", None, None), ("text", "&amp;", None, 1)],), ([("text", "&lt;", None, None)],), (None,)]
+    df = spark.createDataFrame(rows, f"x array<struct<{b.replace(' ', ':').replace(',:', ',')}>>")
+    got = [r.y and [(x.block_type, x.text) for x in r.y] for r in df.select(layout.unescape_tables(F.col("x")).alias("y")).collect()]
+    assert got == [[("table", "a é b"), ("text", "&amp;")], [("text", "&lt;")], None]
