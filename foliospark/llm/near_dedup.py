@@ -14,10 +14,12 @@ Candidates.  Documents with equal sets are one node.  A band key with several
 nodes elects a *centre*, the node whose keys are shared most, and only pairs
 (node, centre) are formed: rows grow with nodes, not with the squares of
 groups.  Verified links are joined into components.  What a bucket then has
-left - nodes of several components - is compared among itself by the join on
-its key, which passes a pair on only if a link is possible and only in the
-first key the two share.  Possible means: sizes allow it; so do the shingles
-that no other left node has, which can be in no intersection; and the packed
+left - nodes of several components - is first peeled: a node with too many
+shingles that no other left node has links with nobody and goes, which leaves
+others with more such shingles, and so on.  The rest is compared among itself by
+the join on its key, which passes a pair on only if a link is possible and only
+in the first key the two share.  Possible means: sizes allow it; so do the
+shingles that no other left node has; and the packed
 registers (occupancy and four mantissa bits) agree in at least the threshold
 less a slack that a link exceeds once in ``1 / DOUBT`` pairs (Hoeffding).  What leaves the join so are the links and
 their close misses, not a group's pairs.  No cap on partners, buckets or pairs.
@@ -216,8 +218,8 @@ def _apart(rows: DataFrame) -> DataFrame:
     return rows.join(materialize(mixed.select("key"), "mixed"), "key")
 
 
-def _own_shingles(texts: DataFrame) -> DataFrame:
-    """(node, own): how many shingles of a node no other node of the table has."""
+def _shingles(texts: DataFrame) -> DataFrame:
+    """(h, node): the sets of the nodes (node, z), a row a shingle."""
 
     def run(batches):
         for batch in batches:
@@ -226,9 +228,33 @@ def _own_shingles(texts: DataFrame) -> DataFrame:
                 of = np.repeat(part.column("node").to_numpy(), [len(x) for x in sets])
                 yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(sets))), pa.array(of)], ["h", "node"])
 
-    rows = mapped(texts.select("node", "z"), run, "h long, node long")
-    alone = rows.groupBy("h").agg(F.count("*").alias("c"), F.min("node").alias("node")).filter("c = 1")
-    return alone.groupBy("node").agg(F.count("*").alias("own"))
+    return mapped(texts.select("node", "z"), run, "h long, node long")
+
+
+def _able(rest: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (key, node, n, component) that can still link, and (node, own): how many shingles no other such node has.
+
+    A node's own shingles are in no intersection, so one with too many of them
+    links with nobody and goes, and with it what others shared with it alone:
+    again and again, until hardly a node goes.  Keys that are left with one
+    component go too.
+    """
+    rows = materialize(_shingles(texts.join(rest.select("node").distinct(), "node")), "shingles")
+    before = rest.select("node").distinct().count()
+    while True:
+        nodes = rest.groupBy("node").agg(F.first("n").alias("n"))
+        alone = rows.groupBy("h").agg(F.count("*").alias("c"), F.min("node").alias("node")).filter("c = 1").groupBy("node").agg(F.count("*").alias("own"))
+        nodes = nodes.join(alone, "node", "left").select("node", "n", F.coalesce("own", F.lit(0)).alias("own"))
+        nodes = materialize(nodes.filter(100 * (F.col("n") - F.col("own")) >= percent * F.col("n")).select("node", "own"), "able")
+        kept = materialize(_apart(rest.join(nodes.select("node"), "node").select(*rest.columns)), "kept")
+        release(rest)
+        now = kept.select("node").distinct().count()
+        if now >= 0.9 * before:
+            release(rows)
+            return kept, nodes
+        left = materialize(rows.join(kept.select("node").distinct(), "node").select("h", "node"), "shingles")
+        release(rows, nodes)
+        rows, rest, before = left, kept, now
 
 
 def _possible(rest: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -303,12 +329,12 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rest = rows.join(spent, ["key", "node"], "left_anti").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rest = materialize(_apart(rest).select("key", "node", "n", "component"), "rest")
     release(rows)
+    rest, own = _able(rest, texts, percent)
     left = rest.groupBy("node").agg(F.first("n").alias("n"), F.first("component").alias("component"), F.collect_set("key").alias("keys"))
-    own = _own_shingles(texts.join(rest.select("node").distinct(), "node"))
-    left = left.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0))).join(reps.select("node", "sketch"), "node")
+    left = left.join(own, "node").join(reps.select("node", "sketch"), "node")
     left = materialize(left, "left")
     more = materialize(_possible(rest.select("key", "node"), left, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
-    release(reps, rest, left, tested, centres)
+    release(reps, rest, own, left, tested, centres)
     more = confirmed(more)
     release(texts)
     if more.limit(1).count():
