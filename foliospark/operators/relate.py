@@ -127,16 +127,16 @@ def title_policy(records: DataFrame, title: str = "title", aliases: str = "alias
 def asof(left: DataFrame, right: DataFrame, by: list[str], at: str, value: str, default: str) -> DataFrame:
     """Adds ``value`` of the last right row at or before a left row: a union and one window fill, no range join.
 
-    Of right rows at one place the first by ``ord`` holds.
+    The fill runs over the distinct places of both sides, which join the whole
+    left rows again by equality.  Of right rows at one place the first by
+    ``ord`` holds.
     """
-    first = Window.partitionBy(*by, at).orderBy("ord")
-    r = right.withColumn("_r", F.row_number().over(first)).filter("_r = 1")
-    names = [c for c in left.columns if c not in (*by, at)]
-    a = left.select(*by, at, F.lit(1).alias("_side"), F.struct(*names).alias("_row"), F.lit(None).cast(right.schema[value].dataType).alias("_v"))
-    b = r.select(*by, at, F.lit(0).alias("_side"), F.lit(None).cast(a.schema["_row"].dataType).alias("_row"), F.col(value).alias("_v"))
+    places = left.select(*by, at).distinct().withColumn("_v", F.lit(None).cast(right.schema[value].dataType)).withColumn("_side", F.lit(1))
+    known = right.groupBy(*by, at).agg(F.min_by(F.struct(F.col(value).alias("v")), "ord").alias("_r"))
+    known = known.select(*by, at, F.col("_r.v").alias("_v"), F.lit(0).alias("_side"))
     w = Window.partitionBy(*by).orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = a.unionByName(b).withColumn("_f", F.last("_v", ignorenulls=True).over(w)).filter("_side = 1")
-    return out.select(*by, at, "_row.*", F.coalesce("_f", F.lit(default)).alias(value))
+    filled = places.unionByName(known).withColumn("_f", F.last("_v", ignorenulls=True).over(w)).filter("_side = 1").select(*by, at, "_f")
+    return left.join(filled, [*by, at], "left").select(*left.columns, F.coalesce("_f", F.lit(default)).alias(value))
 
 
 def claim_once(wanted: DataFrame, candidates: DataFrame, on: Column, claim: list[str], rank: list) -> DataFrame:

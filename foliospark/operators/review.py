@@ -92,36 +92,51 @@ def placeholder_lines(blocks: DataFrame, marks: str = "▢□", region: str = "i
 
 
 def triage(p: DataFrame) -> DataFrame:
-    """Adds reasons, severe and bucket (must_review, optional_sample, safe_to_skip).
-
-    ``p`` has page_kind, confidence, warnings, confirmed, n_records,
-    n_anchors, has_override and n_placeholders, as a star of left joins on
-    the page gives them.
+    """Adds reasons (what makes a page severe), notes, severe and bucket (must_review, optional_sample, safe_to_skip).
+
+    ``p`` has page_kind, confidence, warnings, confirmed, n_records, n_anchors,
+    has_override and n_placeholders, as a star of left joins on the page gives
+    them.  Several titles are no fault where the page is confirmed or two
+    records or two contents entries start on it; what only the layout leaves
+    open counts on unconfirmed pages; an unreadable character lifts a page that
+    could be skipped.
     """
     c = F.col
-    linked = c("n_records") > 0
-    severe = {
-        "failed": c("confidence") == "failed",
-        "unresolved page": (c("page_kind") == "unresolved") & ~linked,
-        "low confidence without record": (c("confidence") == "low") & ~linked & ~c("page_kind").isin("toc", "front_matter", "category"),
-        "several titles": F.array_contains("warnings", SAYS["titles"]),
-    }
-    mild = {
-        "medium confidence": c("confidence") == "medium",
-        "linked continuation": (c("page_kind") == "continuation") & linked,
-        "has contents anchors": c("n_anchors") > 0,
-        "has a title override": c("has_override"),
-        "unreadable characters": c("n_placeholders") > 0,
-    }
-    named = lambda d: [F.when(F.coalesce(x, F.lit(False)), F.lit(n)) for n, x in d.items()]
-    any_severe = F.coalesce(*[F.when(F.coalesce(x, F.lit(False)), F.lit(True)) for x in severe.values()], F.lit(False))
+    linked, several = c("n_records") > 0, F.array_contains("warnings", SAYS["titles"])
+    stable = c("confirmed") | (c("n_anchors") >= 2) | (c("n_records") >= 2)
+    grave = lambda w: w.startswith(SAYS["pattern"]) | w.isin(SAYS["sparse"], SAYS["empty"])
+    say = lambda when, text: F.when(F.coalesce(when, F.lit(False)), F.lit(text))
+    reasons = F.concat(
+        F.array(say(several & ~stable, "multiple title candidates without stable anchor evidence")),
+        F.filter("warnings", grave),
+        F.array(
+            say(c("confidence") == "failed", "failed confidence"),
+            say(~c("confirmed") & (c("page_kind") == "unresolved"), "unresolved page kind"),
+            say(~c("confirmed") & (c("page_kind") == "continuation") & ~linked, "continuation page not linked to a recipe candidate"),
+        ),
+    )
+    notes = F.concat(
+        F.array(
+            say(c("confirmed"), "confirmed by user review"),
+            say(c("n_placeholders") > 0, "unreadable-glyph placeholder in ingredient region"),
+            say(c("has_override"), "title override available"),
+            say(c("n_anchors") > 0, "confirmed toc starts on this page"),
+            say(c("n_records") >= 2, "recipe anchors detected on this page"),
+            say(several & stable, "multiple title candidates treated as a valid multi-anchor page"),
+        ),
+        F.filter("warnings", lambda w: ~grave(w) & (w != SAYS["titles"])),
+        F.array(say(~c("confirmed") & (c("page_kind") == "continuation") & linked, "continuation page already linked to recipe candidate")),
+    )
+    t = p.withColumn("reasons", F.array_compact(reasons)).withColumn("severe", F.size("reasons") > 0)
+    anchored = (c("n_records") >= 2) | (c("n_anchors") >= 1) | c("has_override")
+    medium = ~c("confirmed") & ~c("severe") & (c("confidence") == "medium")
     base = (
-        F.when(c("confirmed"), "safe_to_skip").when(any_severe, "must_review").when(c("confidence") == "medium", "optional_sample")
-        .when((c("page_kind") == "continuation") & linked, "optional_sample").when((c("confidence") == "high") & (c("n_anchors") > 0), "safe_to_skip")
-        .when(c("n_anchors") > 0, "optional_sample").otherwise("safe_to_skip")
+        F.when(c("confirmed"), "safe_to_skip").when(c("severe"), "must_review").when(medium, "optional_sample")
+        .when((c("page_kind") == "continuation") & linked, "optional_sample").when((c("confidence") == "high") & anchored, "safe_to_skip")
+        .when(anchored, "optional_sample").otherwise("safe_to_skip")
     )
     lifted = F.when((base == "safe_to_skip") & (c("n_placeholders") > 0), "optional_sample").otherwise(base)
-    return p.select("*", F.array_compact(F.array(*named(severe), *named(mild))).alias("reasons"), any_severe.alias("severe"), lifted.alias("bucket"))
+    return t.withColumn("notes", F.array_compact(F.concat(notes, F.array(say(medium, "medium confidence page"))))).withColumn("bucket", lifted)
 
 
 def progress(pages: DataFrame, by: str = "book_id", page: str = "local_page", confirmed: str = "confirmed", corrected: str = "corrected") -> DataFrame:

@@ -133,3 +133,38 @@ def table_counts(**tables: DataFrame) -> DataFrame:
     for n in each[1:]:
         rows = rows.unionByName(n)
     return rows.groupBy().agg(*(F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in tables))
+
+
+# --- pages ----------------------------------------------------------------------------
+
+
+def layout_page(title: Column, body: Column, root: str = "../") -> Column:
+    """A whole HTML page around a body."""
+    head = F.concat(F.lit('<!doctype html>\n<html lang="zh-CN">\n<head>\n<meta charset="utf-8">\n<title>'), T.escape_html(title), F.lit(f'</title>\n<link rel="stylesheet" href="{root}style.css">\n</head>\n<body>\n'))
+    return F.concat(head, body, F.lit("\n</body>\n</html>\n"))
+
+
+def html_list(rows: Column, ordered: bool = False) -> Column:
+    """A list of rows that are markup already; no rows are no list."""
+    tag = "ol" if ordered else "ul"
+    return F.when(F.size(rows) > 0, F.concat(F.lit(f"<{tag}>"), F.array_join(F.transform(rows, lambda x: F.concat(F.lit("<li>"), x, F.lit("</li>"))), ""), F.lit(f"</{tag}>"))).otherwise("")
+
+
+def record_page(title: Column, aliases: Column, place: Column, sections: dict[str, Column], ordered: tuple[str, ...] = ("做法",), before: Column | None = None, behind: Column | None = None) -> Column:
+    """A record's page: its title, other names and place, a list for each section that has rows, and links to its neighbours.
+
+    ``sections`` has arrays of rows that are escaped, annotated or linked markup already, by heading.
+    """
+    other = F.when(F.size(aliases) > 0, F.concat(F.lit('\n<p class="aliases">又作：'), F.array_join(F.transform(aliases, T.escape_html), "、"), F.lit("</p>"))).otherwise("")
+    parts = [F.when(F.size(rows) > 0, F.concat(F.lit(f"\n<section><h2>{head}</h2>"), html_list(rows, head in ordered), F.lit("</section>"))).otherwise("") for head, rows in sections.items()]
+    link = lambda c, mark: F.lit("") if c is None else F.when(c.isNotNull(), F.concat(F.lit(f'\n<a class="{mark}" href="'), T.escape_html(c), F.lit('.html"></a>'))).otherwise("")
+    body = F.concat(F.lit("<main>\n<h1>"), T.escape_html(title), F.lit("</h1>"), other, F.lit('\n<p class="place">'), T.escape_html(place), F.lit("</p>"), *parts, link(before, "prev"), link(behind, "next"), F.lit("\n</main>"))
+    return layout_page(title, body)
+
+
+def index_page(title: str, links: DataFrame, name: str = "name", href: str = "href", sub: str = "sub", order: str = "ord") -> DataFrame:
+    """(body): one page with a card for each row of ``links``, in order."""
+    card = F.concat(F.lit('<li class="card"><a href="'), T.escape_html(F.col(href)), F.lit('">'), T.escape_html(F.col(name)), F.lit('</a><div class="sub">'), T.escape_html(F.col(sub)), F.lit("</div></li>"))
+    rows = links.select(F.col(order).alias("o"), card.alias("card")).groupBy().agg(F.sort_array(F.collect_list(F.struct("o", "card"))).alias("x"))
+    body = F.concat(F.lit("<main>\n<h1>"), T.escape_html(F.lit(title)), F.lit('</h1>\n<ul class="grid">'), F.array_join(F.transform("x", lambda x: x["card"]), ""), F.lit("</ul>\n</main>"))
+    return rows.select(layout_page(F.lit(title), body, "").alias("body"))

@@ -124,33 +124,37 @@ def article_rest(table):
 
 TRIAGE = """t AS (SELECT d.doc_id, d.lang, CASE WHEN d.n_chars = 0 THEN 'failed' WHEN d.n_chars >= 2000 THEN 'high' WHEN d.n_chars >= 500 THEN 'medium' ELSE 'low' END AS confidence,
   CASE WHEN d.n_chars < 100 THEN 'unresolved' WHEN contains(d.text, 'Licensed') THEN 'continuation' ELSE 'recipe' END AS page_kind, coalesce(l.quality = 1, false) AS confirmed,
-  (l.toxic IS NOT NULL)::INT AS n_records, (c.conv_id IS NOT NULL)::INT AS n_anchors, contains(d.text, '###')::INT AS n_placeholders
-  FROM documents d LEFT JOIN labels l USING (doc_id) LEFT JOIN (SELECT DISTINCT conv_id FROM conversations) c ON c.conv_id = d.doc_id),
-s AS (SELECT *, (confidence = 'failed' OR (page_kind = 'unresolved' AND n_records = 0) OR (confidence = 'low' AND n_records = 0)) AS severe FROM t),
-b AS (SELECT *, CASE WHEN confirmed THEN 'safe_to_skip' WHEN severe THEN 'must_review' WHEN confidence = 'medium' THEN 'optional_sample' WHEN page_kind = 'continuation' AND n_records > 0 THEN 'optional_sample'
-  WHEN confidence = 'high' AND n_anchors > 0 THEN 'safe_to_skip' WHEN n_anchors > 0 THEN 'optional_sample' ELSE 'safe_to_skip' END AS b0 FROM s),
+  CASE WHEN l.toxic IS NULL THEN 0 ELSE 1 + doc_id % 2 END AS n_records, coalesce(c.n, 0) AS n_anchors, contains(d.text, '###')::INT AS n_placeholders, doc_id % 11 = 0 AS has_override,
+  doc_id % 3 = 0 AS several, d.n_chars < 60 AS sparse, contains(d.text, '$$$') AS odd
+  FROM documents d LEFT JOIN labels l USING (doc_id) LEFT JOIN (SELECT conv_id, least(count(*), 2) AS n FROM conversations GROUP BY conv_id) c ON c.conv_id = d.doc_id),
+s AS (SELECT *, list_filter([CASE WHEN several AND NOT (confirmed OR n_anchors >= 2 OR n_records >= 2) THEN 'multiple title candidates without stable anchor evidence' END, CASE WHEN sparse THEN 'very sparse text' END,
+  CASE WHEN odd THEN 'suspicious text pattern matched: x' END, CASE WHEN confidence = 'failed' THEN 'failed confidence' END, CASE WHEN NOT confirmed AND page_kind = 'unresolved' THEN 'unresolved page kind' END,
+  CASE WHEN NOT confirmed AND page_kind = 'continuation' AND n_records = 0 THEN 'continuation page not linked to a recipe candidate' END], lambda x: x IS NOT NULL) AS reasons, n_records >= 2 OR n_anchors >= 1 OR has_override AS anchored FROM t),
+b AS (SELECT *, len(reasons) > 0 AS severe, CASE WHEN confirmed THEN 'safe_to_skip' WHEN len(reasons) > 0 THEN 'must_review' WHEN confidence = 'medium' THEN 'optional_sample' WHEN page_kind = 'continuation' AND n_records > 0 THEN 'optional_sample'
+  WHEN confidence = 'high' AND anchored THEN 'safe_to_skip' WHEN anchored THEN 'optional_sample' ELSE 'safe_to_skip' END AS b0 FROM s),
 r AS (SELECT *, CASE WHEN b0 = 'safe_to_skip' AND n_placeholders > 0 THEN 'optional_sample' ELSE b0 END AS bucket FROM b)"""
 
 
 def _triaged(table):
     d = table("documents")
     n = F.col("n_chars")
-    turns = table("conversations").select(F.col("conv_id").alias("doc_id")).distinct().withColumn("there", F.lit(1))
+    turns = table("conversations").groupBy(F.col("conv_id").alias("doc_id")).agg(F.least(F.count("*"), F.lit(2)).alias("n"))
     t = relate.star(d, ["doc_id"], (table("labels"), "l"), (turns, "c"))
+    said = {"multiple recipe title candidates on one page": F.col("doc_id") % 3 == 0, "very sparse text": n < 60, "suspicious text pattern matched: x": F.col("text").contains("$$$"), "something else": n > 60}
     t = t.select(
         "doc_id", "lang",
         F.when(n == 0, "failed").when(n >= 2000, "high").when(n >= 500, "medium").otherwise("low").alias("confidence"),
         F.when(n < 100, "unresolved").when(F.col("text").contains("Licensed"), "continuation").otherwise("recipe").alias("page_kind"),
-        F.coalesce(F.col("l.quality") == 1, F.lit(False)).alias("confirmed"), F.col("l.toxic").isNotNull().cast("int").alias("n_records"),
-        F.col("c.there").isNotNull().cast("int").alias("n_anchors"), F.lit(False).alias("has_override"), F.col("text").contains("###").cast("int").alias("n_placeholders"),
-        F.array().cast("array<string>").alias("warnings"),
+        F.coalesce(F.col("l.quality") == 1, F.lit(False)).alias("confirmed"), F.when(F.col("l.toxic").isNull(), 0).otherwise(1 + F.col("doc_id") % 2).alias("n_records"),
+        F.coalesce("c.n", F.lit(0)).alias("n_anchors"), (F.col("doc_id") % 11 == 0).alias("has_override"), F.col("text").contains("###").cast("int").alias("n_placeholders"),
+        F.array_compact(F.array(*(F.when(c, w) for w, c in said.items()))).alias("warnings"),
     )
     return review.triage(t)
 
 
-@query(f"WITH {TRIAGE} SELECT doc_id, severe, bucket FROM r")
+@query(f"WITH {TRIAGE} SELECT doc_id, severe, bucket, array_to_string(reasons, '; ') AS reasons FROM r")
 def triage_buckets(table):
-    return _triaged(table).select("doc_id", "severe", "bucket")
+    return _triaged(table).select("doc_id", "severe", "bucket", F.array_join("reasons", "; ").alias("reasons"))
 
 
 @query(f"WITH {TRIAGE} SELECT lang, bucket, confidence, page_kind, count(*) AS n FROM r GROUP BY GROUPING SETS ((lang, bucket), (confidence), (page_kind))")

@@ -183,3 +183,19 @@ def first_pages(table):
 def site_counts(table):
     d, known = table("documents"), table("labels")
     return site.table_counts(records=d, pages=table("pages"), categories=d.select("source").distinct(), uncategorized=d.join(known, "doc_id", "left_anti"))
+
+
+@query(
+    """SELECT p_partkey, '<!doctype html>' || chr(10) || '<html lang="zh-CN">' || chr(10) || '<head>' || chr(10) || '<meta charset="utf-8">' || chr(10) || '<title>' || p_name || ' &amp; co</title>' || chr(10) || '<link rel="stylesheet" href="../style.css">'
+      || chr(10) || '</head>' || chr(10) || '<body>' || chr(10) || '<main>' || chr(10) || '<h1>' || p_name || ' &amp; co</h1>' || CASE WHEN p_size % 2 = 0 THEN chr(10) || '<p class="aliases">又作：' || p_brand || '、' || p_type || '</p>' ELSE '' END
+      || chr(10) || '<p class="place">第 ' || p_size || ' 页</p>' || chr(10) || '<section><h2>原料</h2><ul><li>' || split_part(p_name, ' ', 1) || '</li><li>' || split_part(p_name, ' ', 2) || '</li></ul></section>'
+      || CASE WHEN p_size > 25 THEN chr(10) || '<section><h2>做法</h2><ol><li>' || p_type || '</li></ol></section>' ELSE '' END || CASE WHEN p_partkey > 1 THEN chr(10) || '<a class="prev" href="' || (p_partkey - 1) || '.html"></a>' ELSE '' END
+      || chr(10) || '</main>' || chr(10) || '</body>' || chr(10) || '</html>' || chr(10) AS body FROM part"""
+)
+def record_pages(table):
+    n, none = F.col("p_size"), F.array().cast("array<string>")
+    names = F.when(n % 2 == 0, F.array("p_brand", "p_type")).otherwise(none)
+    sections = {"原料": F.transform(F.split("p_name", " "), T.escape_html), "做法": F.when(n > 25, F.array(T.escape_html(F.col("p_type")))).otherwise(none), "特点": none}
+    before = F.when(F.col("p_partkey") > 1, (F.col("p_partkey") - 1).cast("string"))
+    body = site.record_page(F.concat("p_name", F.lit(" & co")), names, T.page_range(F.array(n)), sections, before=before)
+    return table("part").select("p_partkey", body.alias("body"))

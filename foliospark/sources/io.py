@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -198,20 +200,43 @@ def render_fallback() -> Column:
 # --- sinks ------------------------------------------------------------------------------------
 
 
-def write_files(files: DataFrame, folder: str, name: str = "file_name", body: str = "body") -> None:
-    """One file a row, written by the executors through Hadoop's file systems: each name is a partition of a text write, then renamed."""
-    spark = files.sparkSession
-    aside = f"{folder.rstrip('/')}/_writing"
-    files.select(F.col(name).alias("_name"), F.col(body).alias("value")).write.mode("overwrite").partitionBy("_name").option("lineSep", "\n").text(aside)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(aside).getFileSystem(spark._jsc.hadoopConfiguration())
-    for part in fs.globStatus(path(f"{aside}/_name=*")):
-        own = part.getPath()
-        target = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(own.getName().partition("=")[2])
-        for f in fs.globStatus(path(f"{own.toString()}/part-*")):
-            fs.delete(path(f"{folder}/{target}"), False)
-            fs.rename(f.getPath(), path(f"{folder}/{target}"))
-    fs.delete(path(aside), True)
+def _each_file(files: DataFrame, folder: str, act) -> int:
+    """``act(store, folder, row)`` for every row, by the executors, through a file system that pyarrow opens from the folder's URI; how many there were."""
+
+    def run(batches):
+        from pyarrow import fs
+
+        store, top = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            rows = batch.to_pylist()
+            for row in rows:
+                act(store, top.rstrip("/"), row)
+            yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64())], ["n"])
+
+    return files.mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+
+
+def write_files(files: DataFrame, folder: str, name: str = "file_name", body: str = "body") -> int:
+    """One text file a row, with a line end, written aside by an executor and then moved, so that a task that runs again harms nothing.
+
+    ``folder`` is a URI that pyarrow opens on every executor; names may have folders.
+    """
+
+    def write(store, top, row):
+        target = f"{top}/{row['name']}"
+        store.create_dir(target.rpartition("/")[0], recursive=True)
+        aside = f"{target.rpartition('/')[0]}/.{target.rpartition('/')[2]}-{uuid.uuid4().hex}"
+        with store.open_output_stream(aside) as out:
+            out.write((row["body"] + "\n").encode())
+        store.move(aside, target)
+
+    return _each_file(files.select(F.col(name).alias("name"), F.coalesce(F.col(body), F.lit("")).alias("body")), folder, write)
+
+
+def list_files(spark: SparkSession, folder: str, glob: str = "*.md", name: str = "file_name") -> DataFrame:
+    """The names of a folder's files; their content is not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    return files.select(F.url_decode(F.substring_index("path", "/", -1)).alias(name))
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -237,17 +262,16 @@ def stale_files(existing: DataFrame, expected: DataFrame, name: str = "file_name
     return existing.join(expected.select(name), name, "left_anti")
 
 
-def prune(spark: SparkSession, folder: str, expected: DataFrame, glob: str = "*.md", name: str = "file_name") -> list[str]:
-    """Deletes files that are not expected; returns their names."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    there = [s.getPath().getName() for s in fs.globStatus(path(f"{folder}/{glob}")) or []]
-    if not there:
-        return []
-    gone = [r[0] for r in stale_files(spark.createDataFrame([(x,) for x in there], f"{name} string"), expected, name).collect()]
-    for x in gone:
-        fs.delete(path(f"{folder}/{x}"), False)
-    return sorted(gone)
+def prune(spark: SparkSession, folder: str, expected: DataFrame, glob: str = "*.md", name: str = "file_name") -> int:
+    """Executors delete the files that are not expected; how many those were."""
+    gone = stale_files(list_files(spark, folder, glob, name), expected, name).select(F.col(name).alias("name"))
+    return _each_file(gone, folder, lambda store, top, row: store.delete_file(f"{top}/{row['name']}"))
+
+
+def read_outputs(spark: SparkSession, path: str, books: list[str] | None = None, key: str = "book_id") -> DataFrame:
+    """What ``write_partitioned`` has written, of some books or of all; only their folders are read."""
+    rows = spark.read.parquet(path)
+    return rows.filter(F.col(key).isin(*books)) if books else rows
 
 
 def write_partitioned(df: DataFrame, path: str, key: str = "book_id") -> None:

@@ -184,10 +184,13 @@ def test_sources(spark, tmp_path):
     assert io.shrunk(200, 200, 100) == 97 and io.shrunk(2, 1000, 1) == 1 and io.shrunk(10, 101, 100) == 9
     assert io.load_config("") == {} and io.load_config('{"a": 1}') == {"a": 1}
     made = spark.createDataFrame([("a.md", "x\ny"), ("b.md", "z")], "file_name string, body string")
-    io.write_files(made, f"file://{tmp_path}/out")
-    assert (tmp_path / "out/a.md").read_text() == "x\ny\n"
-    assert io.prune(spark, f"file://{tmp_path}/out", made.filter("file_name = 'a.md'")) == ["b.md"]
-    assert io.prune(spark, f"file://{tmp_path}/out", made) == []
+    for _ in range(2):
+        assert io.write_files(made, f"file://{tmp_path}/out") == 2
+    assert (tmp_path / "out/a.md").read_text() == "x\ny\n" and len(list((tmp_path / "out").iterdir())) == 2
+    assert io.prune(spark, f"file://{tmp_path}/out", made.filter("file_name = 'a.md'")) == 1
+    assert io.prune(spark, f"file://{tmp_path}/out", made) == 0 and [x.name for x in (tmp_path / "out").iterdir()] == ["a.md"]
+    io.write_partitioned(made.withColumn("book_id", F.col("file_name")), f"file://{tmp_path}/kept")
+    assert io.read_outputs(spark, f"file://{tmp_path}/kept", ["a.md"]).count() == 1 and io.read_outputs(spark, f"file://{tmp_path}/kept").count() == 2
     over = spark.createDataFrame([('{"b": {"3": ["x", " ", "x"], "4": ["y"]}}',)], "j string").select(io.nested_lists(F.col("j")).alias("r")).first().r
     assert [tuple(x) for x in over] == [("b", 3, "x"), ("b", 4, "y")]
 
@@ -291,3 +294,33 @@ def test_entities_in_tables(spark):
     df = spark.createDataFrame(rows, f"x array<struct<{b.replace(' ', ':').replace(',:', ',')}>>")
     got = [r.y and [(x.block_type, x.text) for x in r.y] for r in df.select(layout.unescape_tables(F.col("x")).alias("y")).collect()]
     assert got == [[("table", "a é b"), ("text", "&amp;")], [("text", "&lt;")], None]
+
+
+def test_exports(spark, tmp_path):
+    from foliospark.plans import export
+    from foliospark.plans.process import triage as triage_pages
+
+    made = build(corpus(spark))
+    top = f"file://{tmp_path}/notes"
+    fallbacks = made.fallbacks
+    assert export.export_notes(made.records, fallbacks, top) == (made.records.count(), fallbacks.count(), 0)
+    names = sorted(p.name for p in (tmp_path / "notes/recipes").iterdir())
+    assert names[0].startswith("b-p0002-") and (tmp_path / "notes/recipes" / names[0]).read_text().startswith("---\ntitle:")
+    assert export.export_notes(made.records.filter("book_id = 'c'"), fallbacks, top)[2] == len(names) - 1
+    queue = spark.createDataFrame([("b", 2, "q", "from queue", "[x]", True), ("b", 3, "", "q3", "[x]", True)], "book_id string, local_page int, notes string, correct_content string, confirm_mark string, confirmed boolean")
+    own = spark.createDataFrame([("b", 2, "own", "", "[ ]", False), ("b", 3, "", "", "[ ]", False)], queue.schema)
+    pages_ = made.pages.withColumn("book_id", F.concat("book_id", F.lit("-1")))
+    on_books = lambda df: df.withColumn("book_id", F.concat("book_id", F.lit("-1")))
+    reviews = export.page_reviews(pages_, on_books(made.records), on_books(fallbacks), on_books(own), on_books(queue))
+    assert export.export_page_reviews(reviews, f"file://{tmp_path}/review") == made.pages.count()
+    back = {(r.book_id, r.local_page): (r.notes, r.correct_content, r.confirmed) for r in io.read_confirmations(spark, f"file://{tmp_path}/review").collect()}
+    assert back["b-1", 2] == ("own", "", False) and back["b-1", 3] == ("", "q3", True) and back["c-1", 1] == ("", "", False) and len(back) == made.pages.count()
+    assert "[b-1](./b-1/index.md)" in (tmp_path / "review/index.md").read_text() and "- 页数: 5" in (tmp_path / "review/b-1/index.md").read_text()
+    confirmed = spark.createDataFrame([("b", 1, True, "（九）糖醋鱼 / x", "", "[x]")], "book_id string, local_page int, confirmed boolean, correct_content string, notes string, confirm_mark string")
+    triaged, anchors, titles = triage_pages(made, confirmed)
+    counts = review.confirmation_counts(confirmed.join(made.pages.select("book_id", "local_page", "page_kind"), ["book_id", "local_page"]))
+    export.export_report(triaged, anchors, titles, counts, f"file://{tmp_path}/report")
+    said = (tmp_path / "report/review_priority.md").read_text()
+    assert f"- 总页数: {made.pages.count()}" in said and "- 已读取确认页: 1" in said and "- b: 必看" in said and said.index("## 必看页") < said.index("## 可抽查页")
+    related = {r.title: r.related for r in export.related_notes(made.records).collect()}
+    assert len(related["红烧肉"]) == 1 and "清炖鸡" in related["红烧肉"][0]
