@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from foliospark.llm.common import keyed, mapped, materialize, slices
 
 LENGTH, END_ID = 2048, 50256
-#: Pieces of a slot, about.
-SLOT_PIECES = 1 << 16
+#: Pieces of one size in a slot, about.
+SLOT_PIECES = 1 << 10
 
 
 class Capacities:
@@ -220,8 +220,8 @@ def pack_tokens(
     pieces = materialize(mapped(keyed(df, id_col, text_col), *_pieces(path, pattern, length, end_id)), "pieces")
     counts = {r.n: r.c for r in pieces.groupBy("n").agg(F.count("*").alias("c")).collect()}  # a row a size, ``length`` at most
     plan, _ = best_fit_plan(counts, length)
-    slots = sum(counts.values()) // SLOT_PIECES + 1
-    slotted = pieces.withColumn("slot", F.pmod(F.xxhash64("rid", "rv", "at"), F.lit(slots)))
+    slots = F.lit(np.array([counts.get(n, 0) // SLOT_PIECES + 1 for n in range(length + 1)], np.int64))  # a frequent size has more of them
+    slotted = pieces.withColumn("slot", F.pmod(F.xxhash64("rid", "rv", "at"), F.get(slots, F.col("n"))))
     sums = slotted.groupBy("n", "slot").agg(F.count("*").alias("c"))
     before = F.sum("c").over(Window.partitionBy("n").orderBy("slot")) - F.col("c")
     sums = materialize(sums.select("n", "slot", before.alias("before")), "slots")

@@ -289,7 +289,9 @@ def test_best_fit():
         assert sorted(room) == sorted(length - sum(s for _, s in own) for own in rows.values())
 
 
-def test_packing(spark, empty, tmp_path):
+@pytest.mark.parametrize("in_slot", [1, 1 << 10])
+def test_packing(spark, empty, tmp_path, monkeypatch, in_slot):
+    monkeypatch.setattr(packing, "SLOT_PIECES", in_slot)
     texts = corpus()
     df = spark.createDataFrame(rows_of(texts), SCHEMA)
     packed = packing.pack_tokens(df, length=64)
