@@ -203,6 +203,7 @@ def _map(df: DataFrame, text: str, keep: list[str], extra: list[tuple[str, str]]
         for batch in gathered(batches, text, TEXT) if text else batches:
             for part in slices(batch, text, TEXT) if text else [batch]:
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in keep), *make(codec, part)], names)
+        codec.known.clear()  # an idle worker keeps the vocabulary, not the pieces
 
     return mapped(df, run, ", ".join(f"{quoted(n)} {t}" for n, t in extra), keep)
 
