@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from foliospark.llm import bpe, line_dedup, media, mixing, near_dedup, packing, quality_rules, secret_scan, substring_dedup, token_counts
+from foliospark.llm import bpe, decontamination, hard_negatives, line_dedup, media, merkle, mixing, near_dedup, packing, quality_rules, secret_scan, substring_dedup, token_counts
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -17,10 +17,16 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_decontamination": decontamination.op11_decontamination,
+    "op12_merkle": merkle.op12_merkle,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {
     "op2_secret_scan": secret_scan.ORACLE_SQL,
     "op4_mixing": mixing.ORACLE_SQL,
     "op9_quality_rules": quality_rules.ORACLE_SQL,
+    "op11_decontamination": decontamination.ORACLE_SQL,
+    "op12_merkle": merkle.ORACLE_SQL,
+    "op13_hard_negatives": hard_negatives.ORACLE_SQL,
 }
