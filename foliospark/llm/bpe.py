@@ -5,14 +5,21 @@ are looked up; the others become rows (word, position, token) of single bytes.
 A recursive query joins neighbouring tokens with the merge table and contracts
 the leftmost pair of least rank in each word, round by round; a word leaves when
 no pair of it merges.  A query keeps the rows of all its rounds, so it ends after
-``ROUNDS``; words that are not ready go on in a recursive query that contracts
-every place of the pair in one round, of overlapping places every other one.
-That equals one leftmost contraction after another, unless the new token forms
-a pair of a lower rank with a neighbour; tokens that can (*loud* ones, found in
-the merge table) are contracted at the leftmost place only.  So a piece of any
-length takes about as many rounds as it has different merges.  The merge table holds every split of every token into
-two tokens, derived from the rank file when a worker starts.  Each distinct
-piece is encoded once and kept in a bounded cache.
+``ROUNDS``.  Words that are not ready, and words of more than ``SHORT`` bytes, go
+on one tape, with a barrier after each, and a second recursive query contracts in
+a round every place that no pair of a lower rank can reach.  A token only ever
+covers bytes that spell some token of the vocabulary, so the longest token that
+the text spells from each byte bounds what a place can meet before it is
+contracted: a place that has the least rank within that reach is contracted as
+the leftmost-least order would.  Of overlapping equal places every other one is
+taken, from the first on; a token that forms a pair of a lower rank than its own
+(a *loud* one, found in the merge table) is made only where no equal place is in
+reach on the left.  A reach is a few bytes in most texts and never more than the
+longest token, so rounds hardly grow with a word's length.  The tape is worked in
+chunks from the left: a place whose reach ends beyond the chunk waits, and what no
+waiting place can reach is final, so memory hardly grows with a word either.  The
+merge table holds every split of every token into two tokens, derived from the rank file when
+a worker starts.  Each distinct piece is encoded once and kept in a bounded cache.
 
 Decoding.  Rows (document, position, token) join the vocabulary; an aggregation
 ordered by position puts the bytes together, a character up to U+00FF a byte.
@@ -24,8 +31,6 @@ each encoded; columns are named by the caller and no other column is read.
 from __future__ import annotations
 
 import base64
-import os
-import tempfile
 from itertools import chain, islice
 
 import numpy as np
@@ -35,43 +40,49 @@ from pyspark.sql import DataFrame
 
 from foliospark.llm.common import gathered, mapped, quoted, slices
 
-#: Bytes of text encoded at once, and pieces that are kept.
-TEXT, CACHED = 4 << 20, 400_000
+#: Bytes of text encoded at once, and pieces and bytes of pieces that are kept.
+TEXT, CACHED, CACHED_BYTES = 4 << 20, 400_000, 64 << 20
 #: Bytes of new pieces that one query encodes, and tokens that one query decodes; a longer piece or document takes a query alone.
 ENCODED, DECODED = 1 << 19, 1 << 18
-#: A query keeps the rows of all its rounds; words that take more go on in the next one.
-ROUNDS = 24
+#: A query keeps the rows of all its rounds; words that take more, or have more bytes, go on the tape.
+ROUNDS, SHORT = 24, 256
+#: Tokens of a chunk of the tape, and rows that a query on it may keep.
+CHUNK, ROWS = 1 << 16, 1 << 20
+BARRIER = 256
 
 # a row's key is its word and position in one number; ranks are doubled, odd ones are loud
-_FIRST = """
+_MERGE = f"""
 WITH RECURSIVE s(g, tok, ended, r) AS (
   SELECT g, tok, false, 0 FROM fresh
-  UNION ALL ("""
-_LAST = """))
-SELECT g >> 24 AS w, list(tok ORDER BY g) AS ids, bool_and(ended) AS ended FROM s WHERE ended OR r = {rounds} GROUP BY g >> 24 ORDER BY w"""
-
-# one contraction a word and round
-_MERGE = f"""{_FIRST}
+  UNION ALL (
     WITH t AS MATERIALIZED (
-      SELECT g, tok, r, (tok::BIGINT << 20) | lead(tok) OVER o AS pair, lead(g) OVER o AS after FROM s WHERE NOT ended AND r < {{rounds}} WINDOW o AS (ORDER BY g)),
+      SELECT g, tok, r, (tok::BIGINT << 20) | lead(tok) OVER o AS pair, lead(g) OVER o AS after FROM s WHERE NOT ended AND r < {ROUNDS} WINDOW o AS (ORDER BY g)),
     best AS MATERIALIZED (
       SELECT g >> 24 AS w, min((k::BIGINT << 24) | (g & 16777215)) AS b, arg_min(after, (k::BIGINT << 24) | (g & 16777215)) AS gone
       FROM t JOIN merges USING (pair) WHERE after >> 24 = g >> 24 GROUP BY g >> 24)
     SELECT g, CASE WHEN (g & 16777215) = (b & 16777215) THEN (b >> 25)::INTEGER ELSE tok END, b IS NULL, r + 1
-    FROM t LEFT JOIN best ON g >> 24 = w WHERE b IS NULL OR g <> gone{_LAST}"""
-
-# every place of a quiet pair in a round: hits are places of a word's best pair, ``nth`` is a hit's number in its run of overlapping ones
-_MERGE_ALL = f"""{_FIRST}
+    FROM t LEFT JOIN best ON g >> 24 = w WHERE b IS NULL OR g <> gone))
+SELECT g >> 24 AS w, list(tok ORDER BY g) AS ids, bool_and(ended) AS ended FROM s WHERE ended OR r = {ROUNDS} GROUP BY g >> 24 ORDER BY w"""
+
+# rows are tokens by their first byte; (l, h) is what a place can meet whose second token starts there
+_TAPE = """
+WITH RECURSIVE s(pos, tok, l, h, r) AS (
+  SELECT pos, tok, l, h, 0 FROM fresh
+  UNION ALL (
     WITH p AS (
-      SELECT g, tok, r, row_number() OVER o AS n, CASE WHEN lead(g) OVER o >> 24 = g >> 24 THEN (tok::BIGINT << 20) | lead(tok) OVER o END AS pair
-      FROM s WHERE NOT ended AND r < {{rounds}} WINDOW o AS (ORDER BY g)),
-    t AS MATERIALIZED (SELECT g, tok, r, n, k FROM p LEFT JOIN merges USING (pair)),
-    best AS MATERIALIZED (SELECT g >> 24 AS w, min(k) AS b FROM t GROUP BY g >> 24),
-    hits AS (SELECT w, n, b, n - row_number() OVER (ORDER BY n) AS run, min(n) OVER (PARTITION BY w) AS leftmost FROM t JOIN best ON t.g >> 24 = w AND k = b),
+      SELECT pos, tok, l, h, r, row_number() OVER o AS n, tok::BIGINT * 1048576 + lead(tok) OVER o AS pair, lead(l) OVER o AS pl, lead(h) OVER o AS ph
+      FROM s WHERE r < {rounds} WINDOW o AS (ORDER BY pos)),
+    t AS MATERIALIZED (SELECT pos, tok, l, h, r, n, pl, ph, k FROM p LEFT JOIN merges USING (pair)),
+    live AS (
+      SELECT n, k, pl, lag(pos) OVER (PARTITION BY k ORDER BY n) AS same, n - row_number() OVER (PARTITION BY k ORDER BY n) AS run,
+        k = min(k) OVER (ORDER BY pos RANGE BETWEEN greatest(pos - pl, 0) PRECEDING AND greatest(ph - 1 - pos, 0) FOLLOWING) AND ph <= {size} AS hit
+      FROM t WHERE k IS NOT NULL),
     used AS MATERIALIZED (
-      SELECT n, b FROM (SELECT n, b, leftmost, row_number() OVER (PARTITION BY run ORDER BY n) AS nth FROM hits) WHERE (nth & 1) = 1 AND ((b & 1) = 0 OR n = leftmost))
-    SELECT t.g, CASE WHEN u.b IS NULL THEN t.tok ELSE u.b >> 1 END, best.b IS NULL, r + 1
-    FROM t JOIN best ON t.g >> 24 = w LEFT JOIN used u ON t.n = u.n LEFT JOIN used v ON t.n = v.n + 1 WHERE v.n IS NULL{_LAST}"""
+      SELECT n, k FROM (SELECT *, row_number() OVER u AS nth, count(*) FILTER (NOT hit) OVER u AS missed FROM live WINDOW u AS (PARTITION BY k, run ORDER BY n))
+      WHERE missed = 0 AND (nth & 1) = 1 AND ((k & 1) = 0 OR same IS NULL OR same < pl))
+    SELECT pos, CASE WHEN u.k IS NULL THEN tok ELSE u.k >> 1 END, l, h, r + 1
+    FROM t LEFT JOIN used u ON t.n = u.n LEFT JOIN used v ON t.n = v.n + 1 WHERE v.n IS NULL AND EXISTS (FROM used)))
+SELECT pos, tok, r FROM s WHERE r = (SELECT max(r) FROM s) ORDER BY pos"""
 
 _DECODE = "SELECT d, array_to_string(list(said ORDER BY i), '') AS said FROM coded JOIN vocabulary USING (id) GROUP BY d"
 
@@ -95,6 +106,7 @@ class Codec:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
         self.split = regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
+        self.held = 0
         pairs: dict[int, int] = {}
         loud: set[int] = set()
         for token, rank in self.ranks.items():
@@ -104,7 +116,12 @@ class Codec:
                     pairs[(left << 20) | right] = rank
                     loud.update(x for x in (left, right) if x > rank)
         self.of_byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": f"{tempfile.gettempdir()}/duckdb-{os.getpid()}"})
+        self.size = np.ones(max(self.ranks.values()) + 2, np.int64)  # bytes of a token; the last entry is the barrier's
+        self.size[list(self.ranks.values())] = [len(t) for t in self.ranks]
+        self.longest = int(self.size.max())
+        self.pairs = np.sort(np.fromiter(pairs, np.int64, len(pairs)))
+        self.edges = None
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         self._table("m", pair=pa.array(pairs, pa.int64()), k=pa.array([2 * r + (r in loud) for r in pairs.values()], pa.int32()))
         self._table("v", id=pa.array(self.ranks.values(), pa.int32()), said=pa.array([t.decode("latin-1") for t in self.ranks]))
         self.db.execute("CREATE TABLE merges AS FROM m; CREATE TABLE vocabulary AS FROM v")
@@ -115,34 +132,115 @@ class Codec:
         self.db.register(name, pa.table(columns))
 
     def _contract(self, part: list[tuple[str, bytes]]) -> None:
-        words = [p for p, _ in part]
-        n = np.array([len(b) for _, b in part])
-        tok = self.of_byte[np.frombuffer(b"".join(b for _, b in part), np.uint8)]
-        merge = _MERGE
-        while words:
-            of = np.repeat(np.arange(len(words)), n)
+        long = [(p, self.of_byte[np.frombuffer(b, np.uint8)]) for p, b in part if len(b) > SHORT]
+        part = [x for x in part if len(x[1]) <= SHORT]
+        if part:
+            n = np.array([len(b) for _, b in part])
+            tok = self.of_byte[np.frombuffer(b"".join(b for _, b in part), np.uint8)]
+            of = np.repeat(np.arange(len(part)), n)
             self._table("fresh", g=pa.array((of << 24) | (np.arange(len(of)) - (np.cumsum(n) - n)[of])), tok=pa.array(tok))
-            got = self.db.sql(merge.replace("{rounds}", str(ROUNDS))).to_arrow_table()
-            merge = _MERGE_ALL
-            ids, ended = got.column("ids").combine_chunks(), got.column("ended").to_numpy()
-            flat, off = ids.values.to_numpy().astype(np.int32), ids.offsets.to_numpy().astype(np.int64)
-            data, at = flat.tobytes(), (4 * off).tolist()
-            self.known.update((p, data[i:j]) for p, i, j, done in zip(words, at[:-1], at[1:], ended.tolist()) if done)
-            rest = np.flatnonzero(~ended)
-            words, n = [words[k] for k in rest], np.diff(off)[rest]
-            tok = np.concatenate([flat[off[k] : off[k + 1]] for k in rest]) if len(rest) else flat[:0]
+            got = self.db.sql(_MERGE).to_arrow_table()
+            ids, ended = got.column("ids").combine_chunks(), got.column("ended").to_numpy().tolist()
+            flat, off = ids.values.to_numpy().astype(np.int32), ids.offsets.to_numpy().tolist()
+            for (p, _), i, j, done in zip(part, off[:-1], off[1:], ended):
+                if done:
+                    self._keep(p, flat[i:j])
+                else:
+                    long.append((p, flat[i:j]))
+        if long:
+            for (p, _), ids in zip(long, self._tape([p for p, _ in long], [t for _, t in long])):
+                self._keep(p, ids)
+
+    def _keep(self, piece: str, ids: np.ndarray) -> None:
+        self.known[piece] = ids.tobytes()
+        self.held += len(piece) + 4 * len(ids)
+
+    def _mergeable(self, tok: np.ndarray) -> np.ndarray:
+        """Which tokens merge with the next one."""
+        pair = tok[:-1].astype(np.int64) * (1 << 20) + tok[1:]
+        at = np.searchsorted(self.pairs, pair)
+        return self.pairs[np.minimum(at, len(self.pairs) - 1)] == pair
+
+    def _tape(self, words: list[str], tokens: list[np.ndarray]) -> list[np.ndarray]:
+        """The ids of words from what has been contracted so far, from the left to the right."""
+        tok = np.concatenate([x for t in tokens for x in (t, np.array([-1], np.int32))]).astype(np.int32)
+        said = np.concatenate([x for w in words for x in (np.frombuffer(w.encode(), np.uint8).astype(np.uint16), np.array([BARRIER], np.uint16))])
+        out, rest, first = [], tok[:0], 0
+        for at in range(0, len(tok), CHUNK):
+            rest = np.concatenate([rest, tok[at : at + CHUNK]])
+            rest, done = self._chunk(rest, said, first, at + CHUNK >= len(tok))
+            out.append(rest[:done])
+            first += int(self.size[rest[:done]].sum())
+            rest = rest[done:]
+        tok = np.concatenate(out)
+        parts = np.split(tok, np.flatnonzero(tok == -1))
+        return [parts[0], *(x[1:] for x in parts[1:-1])]
+
+    def _chunk(self, tok: np.ndarray, said: np.ndarray, first: int, last: bool) -> tuple[np.ndarray, int]:
+        """Tokens from byte ``first`` of the tape on, contracted as far as their bytes tell, and how many of them nothing behind can change."""
+        end = first + int(self.size[tok].sum())
+        a = max(0, first - self.longest)
+        reach = self._reach(said[a : end + self.longest]) + a
+        if self._mergeable(tok).any():
+            pos = first + np.cumsum(self.size[tok]) - self.size[tok]
+            columns = {"pos": pos - first, "tok": tok, "l": np.searchsorted(reach, pos) + a - first, "h": reach[pos - a] - first}
+            more = True
+            while more:
+                rounds = max(1, min(64, ROWS // len(columns["tok"])))
+                self._table("fresh", **{n: pa.array(c) for n, c in columns.items()})
+                got = self.db.sql(_TAPE.replace("{rounds}", str(rounds)).replace("{size}", str(end - first))).to_arrow_table()
+                kept = got.column("pos").to_numpy()
+                at = np.searchsorted(columns["pos"], kept)
+                columns = {"pos": kept, "tok": got.column("tok").to_numpy().astype(np.int32), "l": columns["l"][at], "h": columns["h"][at]}
+                more = got.column("r")[0].as_py() == rounds
+            tok = columns["tok"]
+        if last:
+            return tok, len(tok)
+        ends = first + np.cumsum(self.size[tok])
+        live = np.flatnonzero(self._mergeable(tok))
+        border = min(end, int(ends[live[0]])) if len(live) else end
+        return tok, int(np.searchsorted(ends, np.searchsorted(reach, border) + a, "right"))
+
+    def _reach(self, said: np.ndarray) -> np.ndarray:
+        """For each byte the furthest end of a token that the bytes spell from it or from one before it."""
+        if self.edges is None:  # the tree of all tokens as (node, byte) -> node, numbered by first sight
+            number: dict[bytes, int] = {b"": 0}
+            for token in self.ranks:
+                for k in range(1, len(token) + 1):
+                    number.setdefault(token[:k], len(number))
+            steps = np.array([(number[t[:-1]] * 257 + t[-1], k) for t, k in number.items() if t], np.int64)
+            whole = np.zeros(len(number), bool)
+            whole[[number[t] for t in self.ranks]] = True
+            order = np.argsort(steps[:, 0])
+            self.edges = steps[order, 0], steps[order, 1], whole
+        keys, to, whole = self.edges
+        far = np.arange(1, len(said) + 1)
+        at, node = np.arange(len(said)), np.zeros(len(said), np.int64)
+        for depth in range(self.longest):
+            inside = at + depth < len(said)
+            at, node = at[inside], node[inside]
+            key = node * 257 + said[at + depth]
+            k = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            found = keys[k] == key
+            at, node = at[found], to[k[found]]
+            if not len(at):
+                break
+            done = at[whole[node]]
+            far[done] = done + depth + 1
+        return np.maximum.accumulate(far)
 
     def _learn(self, pieces: list[str]) -> None:
         """Ids of pieces that are not known yet."""
-        if len(self.known) > CACHED:  # the oldest half goes
-            for p in list(islice(self.known, CACHED // 2)):
-                del self.known[p]
+        if len(self.known) > CACHED or self.held > CACHED_BYTES:  # the oldest half goes
+            for p in list(islice(self.known, len(self.known) // 2 + 1)):
+                self.held -= len(p) + len(self.known.pop(p))
         part, size = [], 0
         for p in pieces:
             if p not in self.known:
                 b = p.encode()
                 if (rank := self.ranks.get(b)) is not None:
                     self.known[p] = rank.to_bytes(4, "little")
+                    self.held += len(p) + 4
                     continue
                 if part and size + len(b) > ENCODED:
                     self._contract(part)
@@ -204,6 +302,7 @@ def _map(df: DataFrame, text: str, keep: list[str], extra: list[tuple[str, str]]
             for part in slices(batch, text, TEXT) if text else [batch]:
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in keep), *make(codec, part)], names)
         codec.known.clear()  # an idle worker keeps the vocabulary, not the pieces
+        codec.held = 0
 
     return mapped(df, run, ", ".join(f"{quoted(n)} {t}" for n, t in extra), keep)
 
