@@ -4,18 +4,20 @@ Per document: word, symbol, repeated-line and repeated-window counts, all
 linear or n log n in the text.  Across documents: lines are normalised (edges
 trimmed, lower-cased, inner blanks to one, digits to 0) and hashed; for each
 host the distinct documents that hold a line are counted.  A line in more than
-``max(least_docs, line_share * documents of the host)`` of them, which are more
-than ``least_docs`` different texts - copies of one clean text don't make its
-lines boilerplate - is removed from the text that is returned; a document is
-depleted, and rejected, when fewer than
-``keep_share`` of its words are left.
+``max(least_docs, min(most_docs, line_share * documents of the host))`` of them,
+which are more than ``least_docs`` different texts - copies of one clean text
+don't make its lines boilerplate - is removed from the text that is returned; a
+document is depleted, and rejected, when fewer than ``keep_share`` of its words
+are left.  ``most_docs`` ends the share, so a line in that many documents is
+boilerplate on a host of any size.
 
 The frequent lines of a host number fewer than its average lines a document
 divided by ``line_share``; they are still broadcast only where Spark measures
 their size to be below its own limit, else joined by a shuffle on the line.
 
 Null text: no words, base_failed.  Null host: a host of its own.  Repeated
-rows share one result; no row is dropped.  Other columns are ignored.
+rows share one result; one id and text in two hosts lose each what their own
+host's limit takes; no row is dropped.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from foliospark.llm.common import WORD_SPLIT, keyed, materialize, n_words_of, qu
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 HAS_WORD = "[^\\x20\\x09-\\x0D]"
-LEAST_DOCS, LINE_SHARE, KEEP_SHARE = 20, 0.001, 0.5
+LEAST_DOCS, LINE_SHARE, MOST_DOCS, KEEP_SHARE = 20, 0.001, 1000, 0.5
 
 
 def let(value: Column, body) -> Column:
@@ -96,8 +98,8 @@ def with_base(df: DataFrame, text_col: str = "text") -> DataFrame:
     ).withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def frequent_lines(docs: DataFrame, least_docs: int, line_share: float) -> DataFrame:
-    """(rid, rv, removed_words, at) of the rows of (rid, rv, host, text) that have lines to remove, ``at`` being their places.
+def frequent_lines(docs: DataFrame, least_docs: int, line_share: float, most_docs: int) -> DataFrame:
+    """(rid, rv, host, removed_words, at) of the rows of (rid, rv, host, text) that have lines to remove, ``at`` being their places.
 
     Lines are counted by occurrence first, with map-side sums; only the few
     that pass are counted exactly, by distinct document and text.
@@ -105,18 +107,18 @@ def frequent_lines(docs: DataFrame, least_docs: int, line_share: float) -> DataF
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("i")))
     lines = F.filter(lines, lambda l: l["x"].rlike(HAS_WORD))
     hashed = F.transform(lines, lambda l: F.struct(F.xxhash64(normalised(l["x"])).alias("h"), n_words_of(l["x"]).alias("w"), l["i"].alias("i")))
-    each = docs.select("rid", "rv", F.xxhash64("host").alias("host"), F.xxhash64("text").alias("content"), F.explode(hashed).alias("l"))
+    each = docs.select("rid", "rv", "host", F.xxhash64("text").alias("content"), F.explode(hashed).alias("l"))
     each = materialize(each.select("rid", "rv", "host", "content", "l.i", "l.h", "l.w"), "lines")
-    limit = each.select("host", "rid", "rv").distinct().groupBy("host").agg(F.greatest(F.lit(float(least_docs)), line_share * F.count("*")).alias("limit"))
+    limit = each.select("host", "rid", "rv").distinct().groupBy("host").agg(F.greatest(F.lit(float(least_docs)), F.least(F.lit(float(most_docs)), line_share * F.count("*"))).alias("limit"))
     often = each.groupBy("host", "h").agg(F.count("*").alias("c")).filter(F.col("c") > least_docs)
-    often = often.join(limit, "host").filter("c > limit").select("host", "h", "limit")
+    often = materialize(often.join(limit, "host").filter("c > limit").select("host", "h", "limit"), "often")
     held = materialize(each.join(often, ["host", "h"]), "held")
-    release(each)
+    release(each, often)
     by_text = held.select("host", "h", "rid", "rv", "content", "limit").distinct().groupBy("host", "h", "content").agg(F.count("*").alias("n"), F.first("limit").alias("limit"))
     above = by_text.groupBy("host", "h").agg(((F.sum("n") > F.first("limit")) & (F.count("*") > least_docs)).alias("above"))
-    above = materialize(above.filter("above").select("host", "h"), "above")  # a join below its own aggregate could not be split where a line is hot
-    gone = held.join(above, ["host", "h"]).select("rid", "rv", "h", "i", "w").distinct()
-    gone = materialize(gone.groupBy("rid", "rv").agg(F.sum("w").alias("removed_words"), F.collect_list("i").alias("at")), "gone")
+    above = materialize(above.filter("above").select("host", "h"), "above")  # like ``often``: a join of an aggregate itself could not be split where a line is hot
+    gone = held.join(above, ["host", "h"]).select("rid", "rv", "host", "h", "i", "w").distinct()
+    gone = materialize(gone.groupBy("rid", "rv", "host").agg(F.sum("w").alias("removed_words"), F.collect_list("i").alias("at")), "gone")
     release(held, above)
     return gone
 
@@ -136,17 +138,18 @@ def apply_quality_rules(
     least_docs: int = LEAST_DOCS,
     line_share: float = LINE_SHARE,
     keep_share: float = KEEP_SHARE,
+    most_docs: int = MOST_DOCS,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """(rid, rv, id, *keep, n_words .. base_failed, removed_words, kept, kept_text): the verdict on every row, and its text without frequent lines."""
-    docs = keyed(df, id_col, text_col, df[quoted(host_col)].cast("string").alias("host"), *keep)
-    gone = frequent_lines(docs.select("rid", "rv", "host", "text"), least_docs, line_share)
-    base = with_base(docs).drop("host")
-    out = base.join(gone, ["rid", "rv"], "left")
+    docs = keyed(df, id_col, text_col, F.xxhash64(df[quoted(host_col)].isNull(), df[quoted(host_col)].cast("string")).alias("host"), *keep)
+    gone = frequent_lines(docs.select("rid", "rv", "host", "text"), least_docs, line_share, most_docs)
+    base = with_base(docs)
+    out = base.join(gone, ["rid", "rv", "host"], "left")
     removed = F.coalesce("removed_words", F.lit(0)).cast("long")
     kept = ~F.col("base_failed") & (F.col("n_words") - removed >= keep_share * F.col("n_words"))
     text = without_lines(F.col("text"), F.col("at")).alias("kept_text")
-    return out.select(*(c for c in base.columns if c != "text"), removed.alias("removed_words"), kept.alias("kept"), text)
+    return out.select(*(c for c in base.columns if c not in ("host", "text")), removed.alias("removed_words"), kept.alias("kept"), text)
 
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
@@ -168,7 +171,7 @@ line AS (
   SELECT doc_id, t, host, len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) AS n,
     regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(x, '^[\\x20\\x09-\\x0D]+', ''), '[\\x20\\x09-\\x0D]+$', '')), '[\\x20\\x09-\\x0D]+', ' ', 'g'), '[0-9]', '0', 'g') AS norm
   FROM (SELECT doc_id, t, host, unnest(l) AS x FROM b)),
-lim AS (SELECT host, greatest({LEAST_DOCS}, {LINE_SHARE} * count(DISTINCT doc_id)) AS lim FROM line GROUP BY host),
+lim AS (SELECT host, greatest({LEAST_DOCS}, least({MOST_DOCS}, {LINE_SHARE} * count(DISTINCT doc_id))) AS lim FROM line GROUP BY host),
 freq AS (SELECT line.host, norm FROM line JOIN lim USING (host) GROUP BY line.host, norm HAVING count(DISTINCT doc_id) > max(lim) AND count(DISTINCT t) > {LEAST_DOCS}),
 gone AS (SELECT doc_id, sum(n)::BIGINT AS n FROM line JOIN freq USING (host, norm) GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
