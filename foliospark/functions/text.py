@@ -191,8 +191,8 @@ def core_title(c: Column) -> Column:
 
 
 def fold_title(c: Column) -> Column:
-    """Loose join key: no notes, no separators.  Normalise with ``nfkc`` first where full-width forms occur."""
-    return F.regexp_replace(F.regexp_replace(c, "[（(][^（()）]*[）)]", ""), f"[、—\\-·,，/]|{SPACE}", "")
+    """Loose join key: NFKC, no notes, no separators, so that full and half width are alike."""
+    return F.regexp_replace(F.regexp_replace(nfkc(c), "[（(][^（()）]*[）)]", ""), f"[、—\\-·,，/]|{SPACE}", "")
 
 
 def strip_markers(c: Column) -> Column:
@@ -215,10 +215,9 @@ def canonical_title(c: Column, rules: list[Replacement] = ()) -> Column:
 
 
 def one_char_apart(a: Column, b: Column) -> Column:
-    """Equal length and exactly one position that differs."""
-    at = F.sequence(F.lit(1), F.length(a))
-    differ = F.aggregate(at, F.lit(0), lambda n, i: n + (F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1))).cast("int"))
-    return (F.length(a) == F.length(b)) & (F.length(a) > 0) & (differ == 1)
+    """Equal length and exactly one position that differs; linear in the length."""
+    same = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x == y)
+    return (F.length(a) == F.length(b)) & (F.length(a) > 0) & (F.size(F.filter(same, lambda x: ~F.coalesce(x, F.lit(False)))) == 1)
 
 
 # --- lists and markup -------------------------------------------------------------

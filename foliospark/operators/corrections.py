@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,19 +32,40 @@ def similarity(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b).ratio()
 
 
+def upper_bounds(blocks: list[str], line: str) -> np.ndarray:
+    """For each block the largest ratio that its characters allow: twice those it shares with the line over all of both."""
+    sizes = np.fromiter(map(len, blocks), np.int64, len(blocks))
+    points = lambda t: np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
+    own, n = np.unique(points(line), return_counts=True)
+    said = points("".join(blocks))
+    shared = np.zeros(len(blocks), np.int64)
+    if len(own) and len(said):
+        at = np.minimum(np.searchsorted(own, said), len(own) - 1)
+        hit = own[at] == said
+        of = np.repeat(np.arange(len(blocks)), sizes)[hit]
+        shared = np.minimum(np.bincount(of * len(own) + at[hit], minlength=len(blocks) * len(own)).reshape(len(blocks), -1), n).sum(1)
+    total = sizes + len(line)
+    return np.where(total > 0, 2.0 * shared / np.maximum(total, 1), 1.0)
+
+
 def closest(blocks: list[str], line: str, skip=frozenset(), matcher: SequenceMatcher | None = None) -> tuple[int, float]:
     """The block most like a line; of equal ones the first; (-1, 0.0) if none has anything of it.
 
-    The line is indexed once (``matcher`` has it already), and a block whose
-    upper bounds are not above the best so far is not compared.
+    The line is indexed once (``matcher`` has it already).  Blocks are compared
+    by falling upper bound, and those whose bound is below the best so far are
+    not.
     """
     matcher = matcher or SequenceMatcher(None, "", line)
+    bound = upper_bounds(blocks, line)
     best, top = -1, 0.0
-    for i, b in enumerate(blocks):
-        if i in skip:
+    for i in np.argsort(-bound, kind="stable").tolist():
+        if bound[i] < top or not bound[i]:
+            break
+        if i in skip or bound[i] == top and i > best:
             continue
-        matcher.set_seq1(b)
-        if matcher.real_quick_ratio() > top and matcher.quick_ratio() > top and (r := matcher.ratio()) > top:
+        matcher.set_seq1(blocks[i])
+        r = matcher.ratio()
+        if r > top or r == top > 0 and i < best:
             best, top = i, r
     return best, top
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,36 +100,7 @@ def grouped_counts(df: DataFrame, *sets: list[str]) -> DataFrame:
     return df.groupingSets([[F.col(c) for c in s] for s in sets], *(F.col(c) for c in cols)).agg(F.count("*").alias("n"))
 
 
-# --- links --------------------------------------------------------------------------
-
-
-def linkify(html: Column, forms: dict[str, str], template: str = '<a href="{href}">{text}</a>') -> Column:
-    """Links known forms in escaped HTML, longest first, outside of tags and of anchors.
-
-    ``forms`` is the dictionary of one site (form -> href); it is compiled once
-    a worker.
-    """
-    pattern = "|".join(re.escape(f) for f in sorted(forms, key=lambda f: (-len(f), f))) if forms else "(?!)"
-
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        known, tag = re.compile(pattern), re.compile(r"(<[^>]*>)")
-
-        def one(page):
-            if page is None:
-                return None
-            out, inside = [], 0
-            for k, part in enumerate(tag.split(page)):
-                if k % 2:
-                    inside += bool(re.match(r"<a[\s>]", part, re.I)) - bool(re.match(r"</a\s*>", part, re.I))
-                    out.append(part)
-                else:
-                    out.append(part if inside > 0 else known.sub(lambda m: template.format(href=forms[m[0]], text=m[0]), part))
-            return "".join(out)
-
-        return s.map(one)
-
-    return run(html)
+# --- search -------------------------------------------------------------------------
 
 
 def search(rows: DataFrame, term: str = "", **equal: str) -> DataFrame:

@@ -158,6 +158,7 @@ def inherit_groups(lines: DataFrame, group: list[str], order: list, first: str =
     return out.select(*lines.columns, "sub", F.coalesce("_i.grp", "_g").alias("grp"), "_i.item")
 
 
+# A numbered head that was read badly, and the number of a step.
 _IMPLIED_HEAD = "^[二2]\\s*[、，,．.。:：]\\s*([\\u4e00-\\u9fff]{1,4}?)[：:。.]?$"
 # Fixed value: a garbled line that a scan makes of a numbered header.
 _GARBLED = "^(?:[（(]\\s*[一二三四五六七八九十\\d]+\\s*[）)]|[一二三四五六七八九十]\\s*[、，,．.。:：])\\s*\\S{0,4}[：:。.]?$"
@@ -209,10 +210,12 @@ def _listed(row: Column, when: Column) -> Column:
     return F.transform(F.sort_array(F.collect_list(F.when(when, row))), lambda x: x["x"])
 
 
-def finalize_records(records: DataFrame, pages: DataFrame, v: Vocabulary = DEFAULT) -> DataFrame:
+def finalize_records(records: DataFrame, pages: DataFrame, v: Vocabulary = DEFAULT, fixes: DataFrame | None = None) -> DataFrame:
     """One row a record: title, pages, ingredients, seasonings, steps, tips, excerpt, confidence and status.
 
-    Ingredients keep repeats, for an amount may stand alone; steps and tips do not.
+    Ingredients keep repeats, for an amount may stand alone; steps and tips do
+    not.  ``fixes`` are those of ``apply_group_fixes``, on what the lines say
+    and not on what fills an empty list.
     """
     routed = materialize(route_sections(records, v), "routed")
     items = inherit_groups(routed.filter("section = 'ingredients'"), REC, ["k"], v=v)
@@ -236,6 +239,8 @@ def finalize_records(records: DataFrame, pages: DataFrame, v: Vocabulary = DEFAU
     out = own.join(parts, REC, "left").join(flags, REC, "left")
     none = F.array().cast("array<string>")
     out = out.select(*REC, "local_pages", "raw_excerpt", "title", "flagged", "warnings", *(F.coalesce(s, none).alias(s) for s in sections))
+    if fixes is not None:
+        out = apply_group_fixes(out, fixes)
     first = lambda n: F.slice("other", 1, n)
     out = out.withColumn("title", T.strip_enumerator(F.col("title")))
     out = out.withColumn("ingredients", F.when(F.size("ingredients") == 0, first(2)).otherwise(F.col("ingredients")))
@@ -281,27 +286,33 @@ def apply_group_fixes(records: DataFrame, fixes: DataFrame) -> DataFrame:
 # --- printed rows ----------------------------------------------------------------------
 
 
+def row_numbers(top: list[float], bottom: list[float]) -> list[int]:
+    """The printed row of each block of a page, in the order of their middles: one sweep that looks at the row's first block alone."""
+    out, no, first, last = [], 0, 0.0, 0.0
+    for a, b in zip(top, bottom):
+        low = min(b - a, last - first)
+        if not (no and low > 0 and 2 * (min(last, b) - max(first, a)) >= low):
+            no, first, last = no + 1, a, b
+        out.append(no)
+    return out
+
+
 def printed_rows(blocks: DataFrame, group: list[str], top: str = "y0", bottom: str = "y1", left: str = "x0", place: str = "ord") -> DataFrame:
     """Adds row_no and col_no.  A block joins the current row if it overlaps the row's first block by half the lower height.
 
-    The comparison is with the row's head, so it is a fold over the blocks of
-    one page, sorted by their middle; a page is one array, and its fold stays
-    in the JVM.
+    The comparison is with the row's head, so it is a sweep over the blocks of
+    one page by their middles, linear in their number; only edges go through it.
     """
-    block = F.struct(((F.col(top) + F.col(bottom)) / 2).alias("m"), F.col(place).alias("k"), F.col(top).alias("a"), F.col(bottom).alias("b"), F.struct(*blocks.columns).alias("row"))
-    kind = f"array<struct<row_no:int,row:{blocks.select(F.struct(*blocks.columns).alias('r')).schema['r'].dataType.simpleString()}>>"
-    start = F.struct(F.lit(0).alias("no"), F.lit(0.0).alias("a"), F.lit(0.0).alias("b"), F.array().cast(kind).alias("out"))
-
-    def step(acc, x):
-        a, b = x["a"].cast("double"), x["b"].cast("double")
-        low = F.least(b - a, acc["b"] - acc["a"])
-        same = (acc["no"] > 0) & (low > 0) & (2 * (F.least(acc["b"], b) - F.greatest(acc["a"], a)) >= low)
-        no = F.when(same, acc["no"]).otherwise(acc["no"] + 1)
-        out = F.concat(acc["out"], F.array(F.struct(no.alias("row_no"), x["row"].alias("row"))))
-        return F.struct(no.alias("no"), F.when(same, acc["a"]).otherwise(a).alias("a"), F.when(same, acc["b"]).otherwise(b).alias("b"), out.alias("out"))
-
-    page = blocks.groupBy(*group).agg(F.sort_array(F.collect_list(block)).alias("p"))
-    rows = page.select(F.explode(F.aggregate("p", start, step, lambda acc: acc["out"])).alias("x")).select("x.row.*", "x.row_no")
+    a, b = F.col(top).cast("double"), F.col(bottom).cast("double")
+    edges = F.sort_array(F.collect_list(F.struct(((a + b) / 2).alias("m"), F.col(place).alias("k"), a.alias("a"), b.alias("b"), F.struct(*blocks.columns).alias("row"))))
+
+    @F.pandas_udf("array<int>")
+    def swept(tops: pd.Series, bottoms: pd.Series) -> pd.Series:
+        return pd.Series([row_numbers(list(x), list(y)) for x, y in zip(tops, bottoms)])
+
+    page = blocks.groupBy(*group).agg(edges.alias("p"))
+    nos = swept(F.transform("p", lambda x: x["a"]), F.transform("p", lambda x: x["b"]))
+    rows = page.select(F.transform("p", lambda x: x["row"]).alias("row"), nos.alias("row_no")).select(F.explode(F.arrays_zip("row", "row_no")).alias("x")).select("x.row.*", "x.row_no")
     return rows.withColumn("col_no", F.row_number().over(Window.partitionBy(*group, "row_no").orderBy(left, place)))
 
 

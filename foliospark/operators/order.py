@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliospark.sources.scratch import materialize
+
 
 def neighbours(df: DataFrame, by: list[str], order: list, link: Column, out: str = "related") -> DataFrame:
     """Adds the links of the rows before and after, as far as there are any."""
@@ -92,3 +94,23 @@ def sessions(df: DataFrame, by: list[str], order: list, opens: Column, closes: C
     t = df.withColumn("_n", F.sum(opens.cast("int")).over(w))
     state = F.last(F.when(opens, F.lit(True)).when(closes, F.lit(False)), ignorenulls=True).over(w)
     return t.withColumn("session", F.when(F.coalesce(state, F.lit(False)), F.col("_n")).otherwise(F.lit(0)).cast("long")).drop("_n")
+
+
+def numbered(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """``df``, written, with ``place`` from 0 in its group by ``order``, nulls first, and the group's size ``n``.
+
+    Rows are partitioned by range of group and order and written once; a place
+    is a row's number in its partition plus the counts of those before it, so a
+    group of any size is spread over tasks.  Equal rows are dealt over them too.
+    """
+    df = df.withColumn("_nth", F.monotonically_increasing_id())
+    by = [F.col(c).asc_nulls_first() for c in (*group, *order, "_nth")]
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    dealt = df.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    dealt = materialize(dealt.withColumn("_part", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id()).withColumn("_of", F.xxhash64(*[F.struct(F.col(c).isNull(), c) for c in group], F.lit(0))), "numbered")
+    counts = dealt.groupBy("_of", "_part").agg(F.count("*").alias("_c"), F.min("_m").alias("_first"))
+    counts = materialize(counts, "counts")  # a row a partition and group
+    before = Window.partitionBy("_of").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = counts.select("_of", "_part", (F.coalesce(F.sum("_c").over(before), F.lit(0)) - F.col("_first")).alias("_shift"), F.sum("_c").over(Window.partitionBy("_of")).alias("n"))
+    out = dealt.join(shift, ["_of", "_part"]).withColumn("place", F.col("_m") + F.col("_shift"))
+    return out.drop("_nth", "_part", "_m", "_of", "_shift")

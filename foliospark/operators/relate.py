@@ -58,16 +58,37 @@ def exact_then_folded(left: DataFrame, right: DataFrame, key: str, value: str, w
     return j.select(*left.columns, F.coalesce("_exact", "_loose").alias(value), how.alias("matched_by"))
 
 
-def blanked(c: Column) -> Column:
-    """array<string>: the text with one position blanked, for every position: two texts share one iff they differ there at most."""
-    return F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.concat(F.lpad(i.cast("string"), 4, "0"), F.lit(":"), F.overlay(c, F.lit("\u0001"), i, F.lit(1))))
+def neighbour_keys(c: Column) -> Column:
+    """array<long>: for every position a hash of the text without the character there, and of the position.
+
+    A character and its position have one hash, and those of a text are
+    combined by exclusive or, so leaving a position out is one operation: n
+    numbers for n characters.
+    """
+    chars = F.split(c, "")
+    each = F.transform(chars, lambda x, i: F.xxhash64(x, i))
+    whole = lambda h: F.aggregate(h, F.size(h).cast("long"), lambda a, x: a.bitwiseXOR(x))
+    return T.let(each, lambda h: T.let(whole(h), lambda w: F.transform(h, lambda x, i: F.xxhash64(i, w.bitwiseXOR(x)))))
 
 
 def one_char_pairs(left: DataFrame, right: DataFrame, key: str, within: list[str]) -> DataFrame:
-    """Pairs whose keys differ in exactly one character: an equi-join on blanked keys, no nested loop."""
-    a = left.filter(F.length(key) > 0).select("*", F.explode(blanked(F.col(key))).alias("_b"))
-    b = right.filter(F.length(key) > 0).select(*within, F.col(key).alias("other"), *(c for c in right.columns if c not in (*within, key)), F.explode(blanked(F.col(key))).alias("_b"))
-    return a.join(b, [*within, "_b"]).filter(F.col(key) != F.col("other")).drop("_b")
+    """Pairs whose keys differ in exactly one character: an equi-join on hashes of the keys without one position.
+
+    The hashes travel with a key's own 64-bit hash; keys come back for the
+    pairs that were found, and are compared.  Each different key is hashed
+    once, however many rows have it.  Null and empty keys have no pairs.
+    """
+
+    def keys(df: DataFrame, name: str) -> DataFrame:
+        return df.filter(F.length(key) > 0).select(*within, F.col(key).alias(name), F.xxhash64(key).alias(f"_{name}")).distinct()
+
+    a, b = keys(left, "one"), keys(right, "two")
+    places = lambda df, name: df.select(*within, f"_{name}", F.explode(neighbour_keys(F.col(name))).alias("_b"))
+    near = places(a, "one").join(places(b, "two"), [*within, "_b"]).filter("_one != _two").select(*within, "_one", "_two").distinct()
+    pairs = near.join(a, [*within, "_one"]).join(b, [*within, "_two"]).filter(T.one_char_apart(F.col("one"), F.col("two")))
+    rows = right.select(*within, F.col(key).alias("two"), F.col(key).alias("other"), *(c for c in right.columns if c not in (*within, key)))
+    found = left.join(pairs.select(*within, F.col("one").alias(key), "two"), [*within, key])
+    return found.join(rows, [*within, "two"]).drop("two")
 
 
 def contents_aliases(entries: DataFrame, records: DataFrame, named: DataFrame | None = None, appended: str = "[（(]\\s*附") -> DataFrame:

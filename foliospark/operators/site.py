@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
+from foliospark.sources.scratch import materialize, release
 
 #: Sections of a record in reading order.
 SECTIONS = ("ingredients", "seasonings", "steps", "tips")
@@ -46,26 +47,54 @@ def annotate(sections: Column, anchors: Column, mark: str = '<sup class="fn"><a
     return run(sections, anchors)
 
 
-def annotated(records: DataFrame, notes: DataFrame, sections: tuple[str, ...] = SECTIONS) -> tuple[DataFrame, DataFrame]:
+def annotated(records: DataFrame, notes: DataFrame, sections: tuple[str, ...] = SECTIONS, then: DataFrame | None = None, then_sections: tuple[str, ...] = ("body",)) -> tuple[DataFrame, DataFrame]:
     """(book_id, slug, html, numbers) of records, and the notes that no record has taken.
 
-    A note names its record by slug or else by book and page, and the first such
-    record, by slug, that has its anchor takes it.  ``records``: book_id, slug,
-    local_pages and the sections; ``notes`` as ``sources.io.annotations`` gives them.
+    A note names its record by slug or else by book and page.  Records are asked
+    in the order of their slugs, and after them the rows of ``then`` (appendix
+    pages, say, with ``then_sections``); a note is taken by the first in which
+    its anchor is still whole once the marks of the notes before it are set, so
+    one whose anchor another mark parts goes on to the next.  Equal notes are
+    notes of their own.
+
+    What a record takes hangs on what those before it have taken, so all records
+    with candidates are asked again until nothing changes: as many rounds as the
+    longest chain of records that share notes, and one.
+    ``records``: book_id, slug, local_pages and the sections; ``notes`` as ``sources.io.annotations`` gives them.
     """
-    n = notes.withColumn("note_id", F.xxhash64(*notes.columns)).withColumn("_a", T.escape_html(F.col("anchor")))
-    rows = F.array(*(F.transform(F.filter(F.coalesce(c, F.array().cast("array<string>")), lambda x: F.trim(x) != ""), T.escape_html) for c in map(F.col, sections)))
-    r = records.select("book_id", "slug", "local_pages", rows.alias("rows"))
-    by_page = r.select("book_id", "slug", "rows", F.explode("local_pages").alias("local_page"))
-    own = n.filter("slug is null").drop("slug").join(by_page, ["book_id", "local_page"]).select("note_id", "_a", "book_id", "slug", "rows")
-    named = n.filter("slug is not null").drop("book_id").join(r, "slug").select("note_id", "_a", "book_id", "slug", "rows")
+    nth = F.row_number().over(Window.partitionBy(*notes.columns).orderBy(F.lit(1)))
+    n = materialize(notes.withColumn("_nth", nth).withColumn("note_id", F.xxhash64(*notes.columns, "_nth")).drop("_nth").withColumn("_a", T.escape_html(F.col("anchor"))), "notes")
+    lines = lambda names: F.array(*(F.transform(F.filter(F.coalesce(c, F.array().cast("array<string>")), lambda x: F.trim(x) != ""), T.escape_html) for c in map(F.col, names)))
+    r = records.select(F.lit(0).alias("kind"), "slug", "book_id", "local_pages", lines(sections).alias("rows"))
+    if then is not None:
+        r = r.unionByName(then.select(F.lit(1).alias("kind"), "slug", "book_id", "local_pages", lines(then_sections).alias("rows")))
+    on = ["kind", "slug", "book_id"]
+    by_page = r.select(*on, "rows", F.explode(F.array_distinct("local_pages")).alias("local_page"))
+    own = n.filter("slug is null").drop("slug").join(by_page, ["book_id", "local_page"]).select("note_id", "_a", *on, "rows")
+    named = n.filter("slug is not null").drop("book_id").join(r, "slug").select("note_id", "_a", *on, "rows")
     held = F.exists(F.flatten("rows"), lambda x: x.contains(F.col("_a")))
-    taken = own.unionByName(named).filter(held).groupBy("note_id").agg(F.min(F.struct("slug", "book_id", "_a")).alias("m")).select("note_id", "m.*")
-    per = taken.groupBy("book_id", "slug").agg(F.sort_array(F.collect_list(F.struct("note_id", "_a"))).alias("own"))
-    t = r.join(per, ["book_id", "slug"])
-    t = t.withColumn("x", annotate(F.col("rows"), F.transform("own", lambda o: o["_a"])))
-    done = t.select("book_id", "slug", F.col("x.rows").alias("html"), F.transform("x.matched", lambda k: F.get("own", k)["note_id"]).alias("numbers"))
-    return done, n.join(taken.select("note_id"), "note_id", "left_anti").drop("note_id", "_a")
+    pairs = materialize(own.unionByName(named).filter(held).select("note_id", "_a", *on).distinct(), "candidates")
+    rows = materialize(r.join(pairs.select(*on).distinct(), on), "asked")
+    place = F.struct(*on)
+    taken, before = None, None
+    while True:
+        left = pairs
+        if taken is not None:  # a note that an earlier record has is no candidate of later ones
+            first = taken.groupBy("note_id").agg(F.min("at").alias("first"))
+            left = pairs.join(first, "note_id", "left").filter(F.col("first").isNull() | (place <= F.col("first"))).drop("first")
+        per = left.groupBy(*on).agg(F.sort_array(F.collect_list(F.struct("note_id", "_a"))).alias("own"))
+        asked = rows.join(per, on).withColumn("x", annotate(F.col("rows"), F.transform("own", lambda o: o["_a"])))
+        asked = materialize(asked.select(*on, F.col("x.rows").alias("html"), F.transform("x.matched", lambda k: F.get("own", k)["note_id"]).alias("numbers")), "annotated")
+        now = asked.select(F.explode("numbers").alias("note_id"), place.alias("at"))
+        seen = now.agg(F.count("*"), F.sum(F.xxhash64("note_id", "at.kind", "at.slug", "at.book_id").cast("decimal(38,0)"))).first()
+        if taken is not None:
+            release(last)
+        if seen == before:
+            break
+        taken, last, before = now, asked, seen
+    release(pairs, rows)
+    done = asked.filter(F.size("numbers") > 0).select("book_id", "slug", "html", "numbers", "kind")
+    return (done if then is not None else done.drop("kind")), n.join(now.select("note_id").distinct(), "note_id", "left_anti").drop("note_id", "_a")
 
 
 # --- index pages --------------------------------------------------------------------

@@ -34,8 +34,16 @@ def build(
     contents: DataFrame | None = None,
     rules: list[T.Replacement] = (),
     v: Vocabulary = DEFAULT,
+    fixes: DataFrame | None = None,
+    named: DataFrame | None = None,
+    given: DataFrame | None = None,
 ) -> Build:
-    """Parsed pages to records: patch, clean, classify, mend, segment, parse, title - in this order, for block types need the patched text."""
+    """Parsed pages to records: patch, clean, classify, mend, segment, parse, title - in this order, for block types need the patched text.
+
+    Aliases come from overridden titles, then from ``contents`` (with ``named``
+    entries, see ``relate.contents_aliases``), then from those ``given`` by hand
+    (``relate.manual_aliases``); ``fixes`` move single items between a record's groups.
+    """
     p = parsed
     if confirmations is not None:
         c = corrections.load_corrections(confirmations)
@@ -48,7 +56,7 @@ def build(
     p = materialize(pages.normalize_pages(p.select("book_id", "local_page", "raw_text", "text_blocks"), rules, v), "pages")
     b = materialize(mend_columns(layout.explode_blocks(p, ["book_id", "local_page"]), v), "blocks")
     inside, outside = layout.segment(p, b.select("book_id", "local_page", "ord", "block_type", "text"), v)
-    records = layout.finalize_records(materialize(inside, "inside"), p, v).withColumn("aliases", F.array().cast("array<string>"))
+    records = layout.finalize_records(materialize(inside, "inside"), p, v, fixes).withColumn("aliases", F.array().cast("array<string>"))
     records = materialize(records, "records")
     queue = layout.review_items(records)
     if overrides is not None:
@@ -59,9 +67,11 @@ def build(
     records = relate.title_policy(records)
     if contents is not None:
         r = records.withColumn("rec_id", F.struct("rec_page", "rec_at"))
-        extra = relate.contents_aliases(contents, r).groupBy("book_id", "rec_id").agg(F.sort_array(F.collect_set("alias")).alias("more"))
+        extra = relate.contents_aliases(contents, r, named).groupBy("book_id", "rec_id").agg(F.sort_array(F.collect_set("alias")).alias("more"))
         r = r.join(extra, ["book_id", "rec_id"], "left")
         records = r.withColumn("aliases", F.array_distinct(F.concat("aliases", F.coalesce("more", F.array().cast("array<string>"))))).select(*records.columns)
+    if given is not None:
+        records = relate.manual_aliases(records, given)
     return Build(p, b, records, layout.fallback_rows(outside), queue)
 
 

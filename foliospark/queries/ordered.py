@@ -90,8 +90,18 @@ def first_category(table):
     return order.first_by_place(table("customer"), ["c_nationkey"], ["c_custkey"], "c_mktsegment")
 
 
-@query()
+@query(
+    """WITH RECURSIVE s AS (SELECT l_suppkey, l_orderkey * 8 + l_linenumber AS page, sum(trunc(l_extendedprice)::BIGINT)::BIGINT AS size FROM lineitem GROUP BY ALL),
+    b AS (SELECT l_suppkey, list(page ORDER BY page) AS pages, list_prepend(0::HUGEINT, list(total ORDER BY page)) AS sums, count(*) AS n FROM (SELECT *, sum(size) OVER (PARTITION BY l_suppkey ORDER BY page) AS total FROM s) GROUP BY l_suppkey),
+    w(l_suppkey, start, k, done) AS (
+      SELECT l_suppkey, 0::BIGINT, least(200, n)::BIGINT, false FROM b
+      UNION ALL
+      SELECT l_suppkey, CASE WHEN fits THEN start + k ELSE start END, CASE WHEN fits THEN least(200, n - start - k) ELSE greatest(1, least(k - 1, trunc((k * 1048576)::DOUBLE / size * 0.97)::BIGINT)) END, fits
+      FROM (SELECT w.l_suppkey, start, k, n, sums[start + k + 1] - sums[start + 1] AS size, k = 1 OR sums[start + k + 1] - sums[start + 1] <= 1048576 AS fits FROM w JOIN b USING (l_suppkey) WHERE start < n)),
+    c AS (SELECT l_suppkey, start, min(k) AS k FROM w WHERE k > 0 GROUP BY ALL)
+    SELECT l_suppkey, (row_number() OVER (PARTITION BY l_suppkey ORDER BY start))::INTEGER AS part, pages[start + 1] AS first_page, pages[start + k] AS last_page, k AS n_pages FROM c JOIN b USING (l_suppkey)"""
+)
 def page_packing(table):
-    sizes = table("lineitem").select("l_suppkey", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("page"), F.col("l_extendedprice").alias("size"))
+    sizes = table("lineitem").groupBy("l_suppkey", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("page")).agg(F.sum(F.col("l_extendedprice").cast("long")).alias("size"))
     parts = io.split_ranges(sizes, ["l_suppkey"], "page", "size", 200, 1 << 20)
     return parts.groupBy("l_suppkey", "part").agg(F.min("page").alias("first_page"), F.max("page").alias("last_page"), F.count("*").alias("n_pages"))

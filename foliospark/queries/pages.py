@@ -114,7 +114,16 @@ def _boxes(table):
     )
 
 
-@query()
+@query(
+    """WITH RECURSIVE b AS (SELECT l_orderkey, l_linenumber AS ord, l_linenumber::DOUBLE AS x0, l_quantity AS a, l_quantity + 100 * l_discount + 1 AS b, l_partkey FROM lineitem),
+    o AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY (a + b) / 2, ord, a, b, l_partkey) AS i FROM b),
+    f(l_orderkey, i, no, ra, rb) AS (
+      SELECT l_orderkey, i, 1, a, b FROM o WHERE i = 1
+      UNION ALL
+      SELECT l_orderkey, i, CASE WHEN same THEN no ELSE no + 1 END, CASE WHEN same THEN ra ELSE a END, CASE WHEN same THEN rb ELSE b END
+      FROM (SELECT o.l_orderkey, o.i, no, ra, rb, a, b, least(b - a, rb - ra) > 0 AND 2 * (least(rb, b) - greatest(ra, a)) >= least(b - a, rb - ra) AS same FROM f JOIN o ON o.l_orderkey = f.l_orderkey AND o.i = f.i + 1))
+    SELECT l_orderkey, ord, no AS row_no, row_number() OVER (PARTITION BY l_orderkey, no ORDER BY x0, ord) AS col_no FROM f JOIN o USING (l_orderkey, i)"""
+)
 def printed_rows(table):
     return layout.printed_rows(_boxes(table), ["l_orderkey"]).select("l_orderkey", "ord", "row_no", "col_no")
 

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
 from foliospark.functions.grammar import extract_terms, parse_line
-from foliospark.operators import indexes, pages
+from foliospark.operators import indexes, links, pages
+from foliospark.operators.postings import TrigramIndex
 from foliospark.queries.registry import query
 from foliospark.sources import io
+from foliospark.sources.scratch import scratch_path
 
 WS = r"[\s\x1c-\x1f\x{85}\p{Z}]"
 
@@ -228,10 +230,38 @@ def search(table):
     return found.select(F.col("u").alias("doc_id"), T.search_blob(F.col("c"), F.col("s")).alias("blob"))
 
 
+@query("""SELECT doc_id, lang, source FROM documents WHERE lang <> 'de' AND contains(text, 'tion the') UNION ALL SELECT doc_id, lang, source FROM documents WHERE lang = 'de' AND contains(text, 'tion the')
+    UNION ALL SELECT -doc_id, lang, source FROM documents WHERE lang = 'de' AND contains(text, 'sch')""")
+def search_index(table):
+    """The same search over a trigram index that takes all books at first, one of them again, and is read for two terms."""
+    rows = table("documents").select(F.col("doc_id").alias("u"), F.col("lang").alias("b"), F.col("source").alias("c"), F.col("text").alias("s"))
+    index = TrigramIndex(rows.sparkSession, scratch_path(rows.sparkSession, "index"))
+    index.put(rows.withColumn("s", F.when(F.col("b") == "de", F.reverse("s")).otherwise(F.col("s"))))
+    index.put(rows.filter("b = 'de'"))
+    found = index.search(" tion the ").select(F.col("u").alias("doc_id"), F.col("b").alias("lang"), F.col("c").alias("source"))
+    return found.unionByName(index.search("sch", b="de").select((-F.col("u")).alias("doc_id"), F.col("b").alias("lang"), F.col("c").alias("source")))
+
+
+FORMS = r"""SELECT DISTINCT x AS form FROM (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS x FROM (SELECT regexp_extract_all(text, '\p{L}{4,}') AS w FROM benchmark))"""
+
+
+@query(
+    rf"""SELECT doc_id, regexp_replace(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;'),
+    (SELECT '(' || string_agg(form, '|' ORDER BY length(form) DESC, form) || ')' FROM ({FORMS})), '<a href="#\1">\1</a>', 'g') AS html FROM documents"""
+)
+def link_dictionary(table):
+    """All words of four letters and more of the benchmark, and all pairs of neighbours, are the forms; the longest at a place is linked."""
+    words = F.regexp_extract_all("text", F.lit(r"\p{L}{4,}"), 0)
+    pairs = lambda w: F.transform(F.filter(F.sequence(F.lit(0), F.size(w)), lambda i: i < F.size(w) - 1), lambda i: F.concat(F.get(w, i), F.lit(" "), F.get(w, i + 1)))
+    forms = table("benchmark").select(F.explode(T.let(words, lambda w: F.concat(w, pairs(w)))).alias("form")).distinct()
+    link = F.concat(F.lit('<a href="#'), "form", F.lit('">'), "form", F.lit("</a>"))
+    return links.link_table(table("documents").select("doc_id", T.escape_html(F.col("text")).alias("html")), "html", forms.select("form", link.alias("link")))
+
+
 @query()
 def linkify(table):
     forms = {w: f"#{w}" for w in ("the", "theon", "tion", "reau", "sch", "licensed under")}
-    return table("documents").select("doc_id", indexes.linkify(T.escape_html(F.col("text")), forms).alias("html"))
+    return table("documents").select("doc_id", links.linkify(T.escape_html(F.col("text")), forms).alias("html"))
 
 
 @query(

@@ -8,16 +8,19 @@ from __future__ import annotations
 
 import json
 import re
-import uuid
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
 from foliospark.operators.layout import RAW_BLOCK, extract_blocks, unescape_tables
+from foliospark.operators.order import numbered
 from foliospark.operators.relate import override_union
+from foliospark.sources.files import save_files, seen_by
+from foliospark.sources.scratch import materialize, release
 
 PAGE = f"array<struct<page_idx:int,page_size:array<double>,para_blocks:array<{RAW_BLOCK}>>>"
 
@@ -216,21 +219,14 @@ def _each_file(files: DataFrame, folder: str, act) -> int:
     return files.mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
 
 
-def write_files(files: DataFrame, folder: str, name: str = "file_name", body: str = "body") -> int:
-    """One text file a row, with a line end, written aside by an executor and then moved, so that a task that runs again harms nothing.
+def write_files(files: DataFrame, folder: str, name: str = "file_name", body: str = "body", overwrite: bool = False) -> int:
+    """One text file a row, with a line end, by ``sources.files``: all become visible together; how many there were is observed on the way.
 
-    ``folder`` is a URI that pyarrow opens on every executor; names may have folders.
+    With ``overwrite`` the folder holds nothing else afterwards.
     """
-
-    def write(store, top, row):
-        target = f"{top}/{row['name']}"
-        store.create_dir(target.rpartition("/")[0], recursive=True)
-        aside = f"{target.rpartition('/')[0]}/.{target.rpartition('/')[2]}-{uuid.uuid4().hex}"
-        with store.open_output_stream(aside) as out:
-            out.write((row["body"] + "\n").encode())
-        store.move(aside, target)
-
-    return _each_file(files.select(F.col(name).alias("name"), F.coalesce(F.col(body), F.lit("")).alias("body")), folder, write)
+    seen = Observation()
+    save_files(files.observe(seen, F.count(F.lit(1)).alias("n")), folder, name, body, overwrite)
+    return seen_by(seen)
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*.md", name: str = "file_name") -> DataFrame:
@@ -296,18 +292,48 @@ def shrunk(pages: int, size: int, most_bytes: int, margin: float = 0.97) -> int:
     return max(1, min(pages - 1, int(pages * most_bytes / size * margin)))
 
 
+def part_lengths(own: list[int], behind: list[int], most_pages: int, most_bytes: int) -> list[int]:
+    """How many pages a part has that begins at each of ``own``: as many as may be, fewer as long as they are too large, one at least."""
+    sums = [0, *accumulate([*own, *behind])]
+    out = []
+    for start in range(len(own)):
+        n = min(most_pages, len(sums) - 1 - start)
+        while n > 1 and (size := sums[start + n] - sums[start]) > most_bytes:
+            n = shrunk(n, size, most_bytes)
+        out.append(n)
+    return out
+
+
 def split_ranges(sizes: DataFrame, group: list[str], page: str, size: str, most_pages: int = 200, most_bytes: int = 100 << 20) -> DataFrame:
-    """Adds part: greedy packing of a document's pages, in order, into parts with limits.  A fold over one document's page sizes."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sizes.schema) + ", part int"
-
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values(page, kind="stable")
-        part, n, total, out = 1, 0, 0, []
-        for b in p[size]:
-            if n and (n == most_pages or total + b > most_bytes):
-                part, n, total = part + 1, 0, 0
-            n, total = n + 1, total + b
-            out.append(part)
-        return p.assign(part=pd.Series(out, index=p.index, dtype="int32"))
-
-    return sizes.groupBy(*group).applyInPandas(run, schema)
+    """Adds part, from 1: a document's pages, in order, in parts within limits, for documents of any length.
+
+    From where each page on a part would have to end is found in blocks of
+    ``most_pages`` pages with the block behind.  Which pages do begin a part is
+    found by doubling: the parts that are known, and those that as many parts
+    further on begin, so that the rounds are the logarithm of the parts.
+    Groups and pages are not null; a null size counts 0.
+    """
+    t = numbered(sizes.withColumn("_size", F.coalesce(F.col(size).cast("long"), F.lit(0))), group, [page])
+    t = materialize(t.withColumn("_g", F.xxhash64(*group)), "pages")
+    block = F.floor(F.col("place") / most_pages)
+    listed = t.groupBy("_g", block.alias("b")).agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "_size"))), lambda x: x["_size"]).alias("own"))
+    behind = listed.select("_g", (F.col("b") - 1).alias("b"), F.col("own").alias("behind"))
+
+    @F.pandas_udf("array<int>")
+    def lengths(own: pd.Series, behind: pd.Series) -> pd.Series:
+        return pd.Series([part_lengths(list(a), [] if b is None else list(b), most_pages, most_bytes) for a, b in zip(own, behind)])
+
+    ends = listed.join(behind, ["_g", "b"], "left").select("_g", "b", F.posexplode(lengths("own", "behind")).alias("i", "n"))
+    place = (F.col("b") * most_pages + F.col("i")).cast("long")
+    step = materialize(ends.select("_g", place.alias("place"), "n", (place + F.col("n")).alias("to")), "steps")
+    jump = materialize(step.join(t.select("_g", F.col("place").alias("to")), ["_g", "to"]).select("_g", "place", "to"), "jumps")
+    starts = materialize(t.filter("place = 0").select("_g", "place"), "starts")
+    while jump.limit(1).count():
+        more = starts.join(jump, ["_g", "place"]).select("_g", F.col("to").alias("place"))
+        longer = materialize(starts.unionByName(more), "starts")
+        twice = materialize(jump.alias("a").join(jump.alias("b"), F.expr("a._g = b._g and a.to = b.place")).select("a._g", "a.place", "b.to"), "jumps")
+        release(starts, jump)
+        starts, jump = longer, twice
+    parts = numbered(starts.withColumnRenamed("place", "at"), ["_g"], ["at"]).select("_g", F.col("at").alias("place"), (F.col("place") + 1).cast("int").alias("part"))
+    held = parts.join(step, ["_g", "place"]).select("_g", "part", F.explode(F.sequence("place", F.col("to") - 1)).alias("place"))
+    return t.join(held, ["_g", "place"]).select(*sizes.columns, "part")

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from foliospark.functions.vocabulary import DEFAULT
-from foliospark.operators import corrections, indexes, layout, order, pages, relate, review
+from foliospark.operators import corrections, indexes, layout, links, order, pages, relate, review
 from foliospark.plans.process import build, triage
 from foliospark.sources import io
 from foliospark.streaming.incremental import import_stream, stream_folder
@@ -130,7 +130,7 @@ def test_base_forms(spark):
 
 def test_linkify(spark):
     df = spark.createDataFrame([('a <b title="cat">cat</b> <a href="x">cat</a> catfish',), (None,)], "h string")
-    got = [r.x for r in df.select(indexes.linkify(F.col("h"), {"cat": "1", "catfish": "2"}).alias("x")).collect()]
+    got = [r.x for r in df.select(links.linkify(F.col("h"), {"cat": "1", "catfish": "2"}).alias("x")).collect()]
     assert got == ['a <b title="cat"><a href="1">cat</a></b> <a href="x">cat</a> <a href="2">catfish</a>', None]
 
 
@@ -324,3 +324,29 @@ def test_exports(spark, tmp_path):
     assert f"- 总页数: {made.pages.count()}" in said and "- 已读取确认页: 1" in said and "- b: 必看" in said and said.index("## 必看页") < said.index("## 可抽查页")
     related = {r.title: r.related for r in export.related_notes(made.records).collect()}
     assert len(related["红烧肉"]) == 1 and "清炖鸡" in related["红烧肉"][0]
+
+
+def test_converge_runs_changed_books_only(spark, tmp_path):
+    """The first triage says something of one book; only that one is built again, and then nothing changes."""
+    from foliospark.plans.converge import converge
+
+    said = spark.createDataFrame([("b", 1, True, "热菜类 / 红烧肉…(1) / 清炖鸡(2) / 没有菜(9)"), ("c", 1, False, "y")], "book_id string, local_page int, confirmed boolean, correct_content string")
+    got = converge(corpus(spark), said, f"{tmp_path}/rounds")
+    assert got.books == [2, 1, 0] and got.settled
+    assert {r.book_id for r in spark.read.parquet(f"{tmp_path}/rounds/records/round=1").collect()} == {"b"}
+    assert {r.book_id for r in got.tables["records"].collect()} == {"b", "c"}
+    once = build(corpus(spark), said)
+    _, anchors, titles = triage(once, said)
+    again = build(corpus(spark), said, titles, anchors.select("book_id", "title", "local_page"))
+    of = lambda df: sorted((r.book_id, r.title, tuple(r.local_pages), tuple(r.aliases)) for r in df.collect())
+    assert of(got.tables["records"]) == of(again.records)
+
+
+def test_build_takes_fixes_and_given_aliases(spark):
+    fixes = spark.createDataFrame([("b", 2, "葱 一两", "ingredient", "主料：猪肉 一斤")], "book_id string, page int, item string, grp string, after string")
+    given = spark.createDataFrame([("b", 2, "红烧肉", "又名肉")], "book_id string, local_page int, title string, alias string")
+    contents = spark.createDataFrame([("b", "红烧内", 2), ("b", "清汤鸡", 3)], "book_id string, title string, local_page int")
+    named = spark.createDataFrame([("b", 3, "清汤鸡", "清炖鸡")], "book_id string, local_page int, alias string, title string")
+    r = {x.title: x for x in build(corpus(spark), contents=contents, fixes=fixes, named=named, given=given).records.collect()}
+    assert r["红烧肉"].ingredients == ["主料：猪肉 一斤", "葱 一两"] and r["红烧肉"].seasonings == ["调料：盐 二钱"]
+    assert r["红烧肉"].aliases == ["红烧内", "又名肉"] and r["清炖鸡"].aliases == ["清汤鸡"]
