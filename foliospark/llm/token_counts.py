@@ -8,8 +8,8 @@ atomic renames does for one writer only; on an object store without them the
 folder needs one writer at a time.  A batch that is committed already - by an
 earlier run, another driver, or the same one after it lost its answer - changes
 nothing.  Totals are the sum of all committed deltas, so they cost the deltas
-and never the documents; ``compact`` sums old deltas to one and keeps their
-names, so that a late second delivery still changes nothing.
+and never the documents; ``compact`` sums old deltas to one and leaves their
+folders empty, so that a late second delivery still changes nothing.
 
 Sums are pre-aggregated by Spark before the shuffle, so a hot source costs one
 row a task.  Null texts count 0 tokens; null sources and languages are groups
@@ -75,7 +75,13 @@ def revised(docs: DataFrame, old: str, new: str, old_version: str | None = None)
 
 
 class Rollup:
-    """The committed deltas in one shared folder."""
+    """The committed deltas in one shared folder.
+
+    ``batch=<id>`` is a batch's delta and, for ever, the mark that it is
+    committed: ``compact`` empties the folder but leaves it.  So a commit is one
+    rename, which a delivery that comes late, twice or beside a compaction
+    loses against the folder that is there; no list of names is read.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
@@ -84,22 +90,18 @@ class Rollup:
         self._fs = path(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
         self._fs.mkdirs(path(self.folder))
 
-    def _names(self, folder: str, kind: str) -> list[str]:
-        names = (s.getPath().getName() for s in self._fs.listStatus(self._path(folder)))
+    def _names(self, kind: str) -> list[str]:
+        names = (s.getPath().getName() for s in self._fs.listStatus(self._path(self.folder)))
         return sorted(n.partition("=")[2] for n in names if n.startswith(f"{kind}="))
 
     def _snapshot(self) -> str | None:
-        """The folder of the newest compaction: its sums, and the batches in them."""
-        found = self._names(self.folder, "snapshot")
+        """The folder of the newest compaction: its sums, and the batches that it has emptied or was about to."""
+        found = self._names("snapshot")
         return f"{self.folder}/snapshot={found[-1]}" if found else None
 
-    def _merged(self) -> list[str]:
-        last = self._snapshot()
-        return [r.batch for r in self.spark.read.schema("batch string").parquet(f"{last}/batches").collect()] if last else []
-
     def batches(self) -> list[str]:
-        """Names of the committed batches; they are few, one a commit."""
-        return sorted({*self._names(self.folder, "batch"), *self._merged()})
+        """Names of the committed batches."""
+        return self._names("batch")
 
     def _commit(self, aside: str, final: str) -> bool:
         """Renames what was written aside; False if another writer came first."""
@@ -118,45 +120,70 @@ class Rollup:
         if not re.fullmatch(r"[A-Za-z0-9._-]+", batch):
             raise ValueError("a batch name is letters, digits, dots, dashes and underscores")
         final = f"{self.folder}/batch={batch}"
-        if self._fs.exists(self._path(final)) or batch in self._merged():
+        if self._fs.exists(self._path(final)):
             return False
         aside = f"{self.folder}/_aside-{uuid.uuid4().hex}"
         delta = changes.groupBy(*KEYS).agg(F.sum("sign").cast("long").alias("docs"), F.sum("tokens").cast("long").alias("tokens"))
         delta.write.parquet(aside)
         return self._commit(aside, final)
 
-    def _rows(self) -> DataFrame:
-        """The rows of the newest compaction and of all batches that are not in it, each kind read as one folder."""
-        last, merged = self._snapshot(), self._merged()
-        rows = self.spark.createDataFrame([], DELTA)
-        if last:
-            rows = rows.union(self.spark.read.schema(DELTA).parquet(f"{last}/sums"))
-        if set(self._names(self.folder, "batch")) - set(merged):
-            deltas = self.spark.read.schema(f"{DELTA}, batch string").option("basePath", self.folder).parquet(f"{self.folder}/batch=*")
-            rows = rows.union(deltas.filter(~F.col("batch").isin(merged) if merged else F.lit(True)).drop("batch"))
-        return rows
+    def _deltas(self) -> DataFrame:
+        """The rows of all batches that the newest compaction does not have, with their batch."""
+        schema = f"{DELTA}, batch string"
+        if not self._names("batch"):
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).option("basePath", self.folder).parquet(f"{self.folder}/batch=*")
+        last = self._snapshot()
+        return rows.join(self.spark.read.schema("batch string").parquet(f"{last}/batches"), "batch", "left_anti").select(rows.columns) if last else rows
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, docs, tokens) over all commits; groups without documents are gone."""
-        sums = self._rows().groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+        rows, last = self._deltas().drop("batch"), self._snapshot()
+        if last:
+            rows = rows.unionByName(self.spark.read.schema(DELTA).parquet(f"{last}/sums"))
+        sums = rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         return sums.filter("docs != 0 or tokens != 0")
 
     def compact(self) -> bool:
-        """Sums all deltas so far to one snapshot; totals and names of batches stay.  One caller at a time."""
-        names, found = self.batches(), self._names(self.folder, "snapshot")
+        """Sums all deltas so far to one snapshot and empties their folders; one caller at a time, commits beside it are safe.
+
+        The snapshot says which batches are in it, so one that is cut off
+        before their folders are empty counts none of them twice.
+        """
+        found = self._names("snapshot")
+        rows, last = materialize(self._deltas(), "deltas"), self._snapshot()
         aside = f"{self.folder}/_aside-{uuid.uuid4().hex}"
-        self.totals().write.parquet(f"{aside}/sums")
-        self.spark.createDataFrame([(n,) for n in names], "batch string").coalesce(1).write.parquet(f"{aside}/batches")
+        sums = rows.drop("batch")
+        names = rows.select("batch").distinct()
+        if last:
+            sums = sums.unionByName(self.spark.read.schema(DELTA).parquet(f"{last}/sums"))
+            # batches of the last compaction whose folders it had no time to empty stay in the list
+            before = self.spark.read.schema("batch string").parquet(f"{last}/batches")
+            full = self.spark.read.schema(f"{DELTA}, batch string").option("basePath", self.folder).parquet(f"{self.folder}/batch=*").select("batch").distinct()
+            names = names.union(before.join(full, "batch", "left_semi"))
+        names = materialize(names, "names")
+        sums.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).filter("docs != 0 or tokens != 0").write.parquet(f"{aside}/sums")
+        names.write.parquet(f"{aside}/batches")
         if not self._commit(aside, f"{self.folder}/snapshot={int(found[-1] if found else 0) + 1:012d}"):
             return False
-        for name in self._names(self.folder, "batch"):
-            if name in names:
-                self._fs.delete(self._path(f"{self.folder}/batch={name}"), True)
+        self._empty(row["batch"] for row in names.toLocalIterator())
+        release(rows, names)
         return True
 
+    def _empty(self, batches) -> None:
+        """Deletes the files of batches; their folders stay."""
+        for batch in batches:
+            for file in self._fs.listStatus(self._path(f"{self.folder}/batch={batch}")):
+                if not file.getPath().getName().startswith("_"):
+                    self._fs.delete(file.getPath(), True)
+
 
 def op10_token_counts(spark, sf_dir: str) -> DataFrame:
-    """All documents come with their word count, are revised to their token count, and later copies of a text leave again."""
+    """All documents come with their word count, are revised to their token count, and later copies of a text leave again.
+
+    A text's rows of the smallest id stay.  Rows without an id leave where
+    another row of their text has one; where none has, they all stay.
+    """
     read = spark.read.parquet(f"{sf_dir}/documents.parquet")
     both = read.select("doc_id", "source", "lang", "text", F.sha2("text", 256).alias("content"), n_words_of(F.col("text")).alias("words"))
     table = materialize(count_tokens(both, "text", "tokens"), "counted")
@@ -167,7 +194,7 @@ def op10_token_counts(spark, sf_dir: str) -> DataFrame:
     rollup.commit("0002-revise", revised(counted, "words", "tokens", DRAFT))  # delivered twice, counted once
     first = counted.groupBy("content").agg(F.min("doc_id").alias("first"), F.count("*").alias("c")).filter("c > 1")
     first = materialize(first.select("content", "first"), "first")
-    copies = counted.join(first, "content").filter("doc_id > first")
+    copies = counted.join(first, "content").filter("doc_id > first or doc_id is null and first is not null")
     rollup.commit("0003-delete", deleted(copies))
     rollup.compact()
     release(first, table)
