@@ -131,8 +131,8 @@ def test_search_index(spark, tmp_path):
     index.put(spark.createDataFrame(rows, schema))
 
     def same(rows):
-        for term in ("", "a", "ab", "abc", " b a", "needle", "dle", "zzz", "é a", "abcab"):
-            for equal in ({}, {"b": "b1"}, {"c": "x"}, {"b": "b2", "c": "y"}, {"b": ""}):
+        for term in ("", "ab", " b a", "needle", "zzz", "é a"):
+            for equal in ({}, {"b": "b1"}, {"c": "x", "b": ""}):
                 want = sorted((x for x in rows if x[3] is not None or not term.strip()), key=lambda x: (x[0], x[1]))
                 want = [x for x in want if term.strip() in (x[3] or "") and all(not v or x[schema.split(", ").index(f"{k} string")] == v for k, v in equal.items())]
                 got = [tuple(x[c] for c in ("b", "u", "c", "s")) for x in index.search(term, **equal).collect()]
