@@ -76,7 +76,8 @@ def one_char_pairs(left: DataFrame, right: DataFrame, key: str, within: list[str
 
     The hashes travel with a key's own 64-bit hash; keys come back for the
     pairs that were found, and are compared.  Each different key is hashed
-    once, however many rows have it.  Null and empty keys have no pairs.
+    once, however many rows have it.  Null and empty keys have no pairs.  Joins
+    are by merge: a small file of keys that compress well is no small table.
     """
 
     def keys(df: DataFrame, name: str) -> DataFrame:
@@ -84,11 +85,11 @@ def one_char_pairs(left: DataFrame, right: DataFrame, key: str, within: list[str
 
     a, b = keys(left, "one"), keys(right, "two")
     places = lambda df, name: df.select(*within, f"_{name}", F.explode(neighbour_keys(F.col(name))).alias("_b"))
-    near = places(a, "one").join(places(b, "two"), [*within, "_b"]).filter("_one != _two").select(*within, "_one", "_two").distinct()
-    pairs = near.join(a, [*within, "_one"]).join(b, [*within, "_two"]).filter(T.one_char_apart(F.col("one"), F.col("two")))
+    near = places(a, "one").join(places(b, "two").hint("merge"), [*within, "_b"]).filter("_one != _two").select(*within, "_one", "_two").distinct()
+    pairs = near.join(a.hint("merge"), [*within, "_one"]).join(b.hint("merge"), [*within, "_two"]).filter(T.one_char_apart(F.col("one"), F.col("two")))
     rows = right.select(*within, F.col(key).alias("two"), F.col(key).alias("other"), *(c for c in right.columns if c not in (*within, key)))
-    found = left.join(pairs.select(*within, F.col("one").alias(key), "two"), [*within, key])
-    return found.join(rows, [*within, "two"]).drop("two")
+    found = left.join(pairs.select(*within, F.col("one").alias(key), "two").hint("merge"), [*within, key])
+    return found.join(rows.hint("merge"), [*within, "two"]).drop("two")
 
 
 def contents_aliases(entries: DataFrame, records: DataFrame, named: DataFrame | None = None, appended: str = "[（(]\\s*附") -> DataFrame:
@@ -98,25 +99,26 @@ def contents_aliases(entries: DataFrame, records: DataFrame, named: DataFrame |
     record they mean, and then nothing else counts for them.  Other pairs are
     one character apart, or have the same core title - not for entries with an
     appended dish.  Of several records those whose pages hold the entry's page
-    win; the one that is left, if it is one, gets the alias.
+    win; the one that is left, if it is one, gets the alias.  No side is sent to
+    all executors: each has as many rows as there are entries or records.
     ``entries``: book_id, title, local_page; ``records``: book_id, rec_id, title, local_pages, and aliases where they have them.
     """
     e = entries.select("book_id", T.strip(T.fullwidth_parens(F.col("title")), "、·-—. ").alias("title"), "local_page").filter("title != ''").distinct()
     known = records.select("book_id", "title")
     if "aliases" in records.columns:
         known = known.union(records.select("book_id", F.explode("aliases").alias("title"))).distinct()
-    e = e.join(known, ["book_id", "title"], "left_anti")
+    e = e.join(known.hint("merge"), ["book_id", "title"], "left_anti")
     own = records.select("book_id", "title", "rec_id", "local_pages")
     told = None
     if named is not None:
         names = named.select("book_id", "local_page", F.col("alias").alias("title"), F.col("title").alias("_named"))
-        said = e.join(names, ["book_id", "local_page", "title"])
-        e = e.join(names, ["book_id", "local_page", "title"], "left_anti")
+        said = e.join(names.hint("merge"), ["book_id", "local_page", "title"])
+        e = e.join(names.hint("merge"), ["book_id", "local_page", "title"], "left_anti")
         one = own.groupBy("book_id", "title").agg(F.count("*").alias("_n"), F.first("rec_id").alias("rec_id")).filter("_n = 1")
-        told = said.join(one.select("book_id", F.col("title").alias("_named"), "rec_id"), ["book_id", "_named"]).select("book_id", "rec_id", F.col("title").alias("alias"))
+        told = said.join(one.select("book_id", F.col("title").alias("_named"), "rec_id").hint("merge"), ["book_id", "_named"]).select("book_id", "rec_id", F.col("title").alias("alias"))
     near = one_char_pairs(e, own, "title", ["book_id"])
     core = e.filter(~F.col("title").rlike(appended)).withColumn("_core", T.core_title(F.col("title"))).filter("_core != ''")
-    same = core.join(own.select("book_id", F.col("title").alias("other"), "rec_id", "local_pages", T.core_title(F.col("title")).alias("_core")), ["book_id", "_core"]).drop("_core")
+    same = core.join(own.select("book_id", F.col("title").alias("other"), "rec_id", "local_pages", T.core_title(F.col("title")).alias("_core")).hint("merge"), ["book_id", "_core"]).drop("_core")
     pairs = near.select("book_id", "title", "local_page", "rec_id", "local_pages").unionByName(same.select("book_id", "title", "local_page", "rec_id", "local_pages"))
     pairs = pairs.dropDuplicates(["book_id", "title", "local_page", "rec_id"])
     w = Window.partitionBy("book_id", "title", "local_page")
@@ -130,7 +132,7 @@ def contents_aliases(entries: DataFrame, records: DataFrame, named: DataFrame |
 def manual_aliases(records: DataFrame, given: DataFrame) -> DataFrame:
     """Adds the aliases that ``given`` (book_id, local_page, title, alias) has for a record, by its title and first page."""
     own = given.groupBy("book_id", F.col("local_page").alias("_first"), "title").agg(F.sort_array(F.collect_set("alias")).alias("_given"))
-    r = records.withColumn("_first", F.array_min("local_pages")).join(own, ["book_id", "_first", "title"], "left")
+    r = records.withColumn("_first", F.array_min("local_pages")).join(own.hint("merge"), ["book_id", "_first", "title"], "left")
     more = F.concat("aliases", F.transform(F.coalesce("_given", F.array().cast("array<string>")), T.fullwidth_parens))
     return r.withColumn("aliases", F.array_distinct(F.filter(more, lambda x: (x != "") & (x != F.col("title"))))).select(*records.columns)
 
