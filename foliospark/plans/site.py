@@ -144,7 +144,7 @@ def build_site(
 
     # the appendix, and what is in no article
     cards = pages.select(F.lit("index").alias("key"), F.lit(APPENDIX).alias("title"), F.lit(0).alias("o"), F.struct("article", "book_id").alias("g"), F.col("ord").cast("string").alias("k"), T.escape_html(F.col("article")).alias("head"), _anchor(F.concat("slug", F.lit(".html")), F.col("title")).alias("x"))
-    rest = skipped.select(F.lit("index"), F.lit(APPENDIX), F.lit(1), F.struct(F.lit("").alias("article"), "book_id"), F.lpad(F.col("local_page").cast("string"), 9, "0"), F.lit(None).cast("string"), T.escape_html(name(*map(F.col, on))))
+    rest = skipped.select(F.lit("index"), F.lit(APPENDIX), F.lit(1), F.struct(F.lit("").alias("article"), "book_id"), F.format_string("%010d", "local_page"), F.lit(None).cast("string"), T.escape_html(name(*map(F.col, on))))
     listed = materialize(paged(cards.unionAll(rest), ["o", "g", "k"], per_page, F.col("head")), "appendix_index")
     names = pages.select(F.concat("slug", F.lit(".html")).alias("file_name")).unionByName(listed.select("file_name")).unionByName(spark.createDataFrame([("index.html",)], "file_name string"))
     gone["appendix"] = _stale(spark, f"{folder}/appendix", names)

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
-from foliospark.operators import relate, review, site
+from foliospark.operators import order, relate, review, site
 from foliospark.queries.registry import query
 from foliospark.sources import io
 
@@ -150,15 +149,15 @@ def index_pages(table):
     p, s = table("part"), table("supplier")
     key = F.col("p_partkey").cast("string")
     records = p.select(
-        F.col("p_size").alias("series"), F.col("p_brand").alias("book_id"), F.col("p_name").alias("title"), F.concat(F.lit("n"), key).alias("note"), F.lpad(key, 6, "0").alias("first_page"),
+        F.col("p_size").alias("series"), F.col("p_brand").alias("book_id"), F.col("p_name").alias("title"), F.concat(F.lit("n"), key).alias("note"), F.format_string("%06d", "p_partkey").alias("first_page"),
         key.alias("pages"), F.lit("low").alias("confidence"), (F.col("p_size") % 10 == 0).alias("review_needed"),
     )
     own = F.col("s_suppkey").cast("string")
     fallbacks = s.select(F.concat(F.lit("s"), own).alias("note"), F.lit("Brand#0").alias("book_id"), own.alias("pages"), F.lit("low").alias("confidence"), (F.col("s_suppkey") % 2 == 0).alias("review_needed"))
     terms = records.select(F.explode(F.split("title", " ")).alias("term"), "title", "note")
     lines = site.index_lines(records, fallbacks, terms)
-    no = F.row_number().over(Window.partitionBy("file_name").orderBy("part", "at"))
-    return lines.select("file_name", no.cast("long").alias("line_no"), "line")
+    placed = order.numbered(lines, ["file_name"], ["part", "at"])
+    return placed.select("file_name", (F.col("place") + 1).alias("line_no"), "line")
 
 
 @query(

@@ -1,8 +1,9 @@
 """What larger tables showed: plans and values that small ones do not."""
 
-from pyspark.sql import functions as F
+import tempfile
 
 from foliospark.operators import relate
+from foliospark.queries import QUERIES
 
 
 def test_aliases_send_no_side_to_all_executors(spark):
@@ -14,3 +15,17 @@ def test_aliases_send_no_side_to_all_executors(spark):
     given = relate.manual_aliases(r, named)
     for df in (found, given):
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_index_pages_of_keys_of_seven_digits(spark):
+    parts = [(k, f"p{9999999 - k}", "Brand#1", "T", 10, 1.0) for k in (999999, 1000000, 1000001, 1000009, 1000010)]
+    tables = {
+        "part": spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"),
+        "supplier": spark.createDataFrame([(1, "s", 1, 1.0)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+    }
+    with tempfile.TemporaryDirectory() as d:
+        for name, df in tables.items():
+            df.orderBy(df.columns[0], ascending=False).coalesce(1).write.parquet(f"{d}/{name}.parquet")
+        got = QUERIES["index_pages"](spark, d).filter("file_name = 'books'").orderBy("line_no").collect()
+    pages = ["1000000", "1000001", "1000009", "1000010", "999999"]  # in the order of padded texts
+    assert [x.line for x in got] == ["# 书目索引", "## Brand#1", *(f"- [[n{p}]]" for p in pages), ""]
