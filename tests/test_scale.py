@@ -2,6 +2,9 @@
 
 import tempfile
 
+from pyspark.sql import functions as F
+
+from foliospark.functions import grammar
 from foliospark.operators import relate
 from foliospark.queries import QUERIES
 
@@ -29,3 +32,32 @@ def test_index_pages_of_keys_of_seven_digits(spark):
         got = QUERIES["index_pages"](spark, d).filter("file_name = 'books'").orderBy("line_no").collect()
     pages = ["1000000", "1000001", "1000009", "1000010", "999999"]  # in the order of padded texts
     assert [x.line for x in got] == ["# 书目索引", "## Brand#1", *(f"- [[n{p}]]" for p in pages), ""]
+
+
+def test_equal_lines_are_parsed_once_a_batch(spark):
+    asked = spark.sparkContext.accumulator(0)
+
+    class Counted(grammar.Grammar):
+        def line(self, text):
+            asked.add(1)
+            return super().line(text)
+
+        def _names(self, line):
+            asked.add(1)
+            return super()._names(line)
+
+    said, kept = ["肉 一斤 葱 二两", "调料：盐 一钱", None], grammar.grammar
+    df = spark.createDataFrame([(k, said[k % 3]) for k in range(600)], "k int, t string").coalesce(1)
+    lines = F.array(F.col("t"), F.lit("葱 二两"), F.col("t"))
+    grammar.grammar = lambda v: Counted(v)
+    try:
+        parsed = df.select("k", grammar.parse_line(F.col("t")).alias("p")).collect()
+        terms = df.filter("t is not null").select("k", grammar.extract_terms(lines).alias("p")).collect()
+    finally:
+        grammar.grammar = kept
+    for x in parsed:
+        items, last = kept().line(said[x.k % 3] or "")
+        assert ([tuple(i) for i in x.p["items"]], x.p["last"]) == (items, last)
+    for x in terms:
+        assert x.p == kept().terms([said[x.k % 3], "葱 二两", said[x.k % 3]])
+    assert 0 < asked.value <= 6
