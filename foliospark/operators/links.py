@@ -20,7 +20,8 @@ import hashlib
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
@@ -29,6 +30,8 @@ from foliospark.sources.scratch import materialize, release
 
 #: Characters of forms and links that one automaton takes.
 FORM_CHARS = 4 << 20
+#: Rows and bytes of an Arrow batch; sessions with larger batches are set to these.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 PLACES = "array<struct<text:int,start:int,end:int,link:string>>"
 _TAG, _OPENS, _CLOSES = re.compile(r"<[^>]*>"), re.compile(r"<a[\s>]", re.I), re.compile(r"</a\s*>", re.I)
 
@@ -104,16 +107,30 @@ def _each(value, one):
     return one(value) if isinstance(value, str) else [None if x is None else one(x) for x in value]
 
 
+def _small_batches() -> None:
+    """A worker holds its batch and what it makes of it, so what it needs does not grow with the table."""
+    conf = SparkSession.active().conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = int(conf.get(key).rstrip("b"))
+        if now <= 0 or now > most:
+            conf.set(key, str(most))
+
+
 def _linker(key: str, pairs: list[tuple[str, str]], kind: str):
-    @F.pandas_udf(kind)
-    def run(s: pd.Series) -> pd.Series:
+    _small_batches()
+    made = pa.string() if kind == "string" else pa.list_(pa.string())
+
+    @F.arrow_udf(kind)
+    def run(s: pa.Array) -> pa.Array:
         known = Forms.get(key, pairs)
-        return s.map(lambda v: _each(v, lambda x: with_links(x, ((a, b, known.links[k]) for a, b, k in known.found(x)))))
+        return pa.array((_each(v.as_py(), lambda x: with_links(x, ((a, b, known.links[k]) for a, b, k in known.found(x)))) for v in s), made)
 
     return run
 
 
 def _finder(key: str, pairs: list[tuple[str, str]]):
+    _small_batches()
+
     @F.pandas_udf(PLACES)
     def find(s: pd.Series) -> pd.Series:
         known = Forms.get(key, pairs)

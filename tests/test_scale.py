@@ -5,7 +5,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from foliospark.functions import grammar
-from foliospark.operators import relate
+from foliospark.operators import links, relate
 from foliospark.queries import QUERIES
 
 
@@ -61,3 +61,15 @@ def test_equal_lines_are_parsed_once_a_batch(spark):
     for x in terms:
         assert x.p == kept().terms([said[x.k % 3], "葱 二两", said[x.k % 3]])
     assert 0 < asked.value <= 6
+
+
+def test_links_take_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, "10000")
+    try:
+        df = spark.createDataFrame([("a <b>", None)], "t string, u string")
+        got = df.select(links.linkify(F.col("t"), {"a": "#a"}).alias("t"), links.linkify(F.col("u"), {"a": "#a"}).alias("u")).first()
+        assert tuple(got) == ('<a href="#a">a</a> <b>', None)
+        assert int(spark.conf.get(key)) == links.BATCH_ROWS
+    finally:
+        spark.conf.unset(key)
