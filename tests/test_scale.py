@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from foliospark.functions import grammar
 from foliospark.operators import links, relate
+from foliospark.operators.postings import TrigramIndex, distinct_codes
 from foliospark.queries import QUERIES
 
 
@@ -73,3 +74,15 @@ def test_links_take_small_batches(spark):
         assert int(spark.conf.get(key)) == links.BATCH_ROWS
     finally:
         spark.conf.unset(key)
+
+
+def test_postings_are_lists(spark, tmp_path):
+    said = ["abab", "xbab", None, "ab", "a\x00b😀c"] * 300
+    rows = [("x" if k % 7 else "y", k, s) for k, s in enumerate(said)]
+    index = TrigramIndex(spark, f"{tmp_path}/index", 4)
+    index.put(spark.createDataFrame(rows, "b string, u long, s string").coalesce(1))
+    kept = spark.read.parquet(f"{tmp_path}/index/postings").collect()
+    held = {(x.gram, x.b, u) for x in kept for u in x.us}
+    assert held == {(s[i : i + 3], b, u) for b, u, s in rows for i in range(len(s or "") - 2)}
+    assert len(held) == sum(len(x.us) for x in kept) and 10 * len(kept) < len(held)
+    assert distinct_codes("abcabd" * 5, 4).tolist() == distinct_codes("abcabd" * 5).tolist()
