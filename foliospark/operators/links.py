@@ -107,7 +107,7 @@ def _each(value, one):
     return one(value) if isinstance(value, str) else [None if x is None else one(x) for x in value]
 
 
-def _small_batches() -> None:
+def small_batches() -> None:
     """A worker holds its batch and what it makes of it, so what it needs does not grow with the table."""
     conf = SparkSession.active().conf
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
@@ -117,7 +117,7 @@ def _small_batches() -> None:
 
 
 def _linker(key: str, pairs: list[tuple[str, str]], kind: str):
-    _small_batches()
+    small_batches()
     made = pa.string() if kind == "string" else pa.list_(pa.string())
 
     @F.arrow_udf(kind)
@@ -129,7 +129,7 @@ def _linker(key: str, pairs: list[tuple[str, str]], kind: str):
 
 
 def _finder(key: str, pairs: list[tuple[str, str]]):
-    _small_batches()
+    small_batches()
 
     @F.pandas_udf(PLACES)
     def find(s: pd.Series) -> pd.Series:

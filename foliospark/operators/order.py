@@ -107,10 +107,10 @@ def numbered(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     by = [F.col(c).asc_nulls_first() for c in (*group, *order, "_nth")]
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     dealt = df.repartitionByRange(parts, *by).sortWithinPartitions(*by)
-    dealt = materialize(dealt.withColumn("_part", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id()).withColumn("_of", F.xxhash64(*[F.struct(F.col(c).isNull(), c) for c in group], F.lit(0))), "numbered")
+    dealt = materialize(dealt.drop("_nth").withColumn("_part", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id()).withColumn("_of", F.xxhash64(*[F.struct(F.col(c).isNull(), c) for c in group], F.lit(0))), "numbered")
     counts = dealt.groupBy("_of", "_part").agg(F.count("*").alias("_c"), F.min("_m").alias("_first"))
     counts = materialize(counts, "counts")  # a row a partition and group
     before = Window.partitionBy("_of").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shift = counts.select("_of", "_part", (F.coalesce(F.sum("_c").over(before), F.lit(0)) - F.col("_first")).alias("_shift"), F.sum("_c").over(Window.partitionBy("_of")).alias("n"))
     out = dealt.join(shift, ["_of", "_part"]).withColumn("place", F.col("_m") + F.col("_shift"))
-    return out.drop("_nth", "_part", "_m", "_of", "_shift")
+    return out.drop("_part", "_m", "_of", "_shift")

@@ -103,5 +103,4 @@ def first_category(table):
 )
 def page_packing(table):
     sizes = table("lineitem").groupBy("l_suppkey", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("page")).agg(F.sum(F.col("l_extendedprice").cast("long")).alias("size"))
-    parts = io.split_ranges(sizes, ["l_suppkey"], "page", "size", 200, 1 << 20)
-    return parts.groupBy("l_suppkey", "part").agg(F.min("page").alias("first_page"), F.max("page").alias("last_page"), F.count("*").alias("n_pages"))
+    return io.part_ranges(sizes, ["l_suppkey"], "page", "size", 200, 1 << 20)

@@ -10,17 +10,20 @@ import json
 import re
 from itertools import accumulate
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from foliospark.functions import text as T
 from foliospark.operators.layout import RAW_BLOCK, extract_blocks, unescape_tables
+from foliospark.operators.links import small_batches
 from foliospark.operators.order import numbered
 from foliospark.operators.relate import override_union
 from foliospark.sources.files import save_files, seen_by
-from foliospark.sources.scratch import materialize, release
+from foliospark.sources.scratch import materialize
 
 PAGE = f"array<struct<page_idx:int,page_size:array<double>,para_blocks:array<{RAW_BLOCK}>>>"
 
@@ -292,48 +295,123 @@ def shrunk(pages: int, size: int, most_bytes: int, margin: float = 0.97) -> int:
     return max(1, min(pages - 1, int(pages * most_bytes / size * margin)))
 
 
-def part_lengths(own: list[int], behind: list[int], most_pages: int, most_bytes: int) -> list[int]:
-    """How many pages a part has that begins at each of ``own``: as many as may be, fewer as long as they are too large, one at least."""
-    sums = [0, *accumulate([*own, *behind])]
-    out = []
-    for start in range(len(own)):
-        n = min(most_pages, len(sums) - 1 - start)
-        while n > 1 and (size := sums[start + n] - sums[start]) > most_bytes:
-            n = shrunk(n, size, most_bytes)
-        out.append(n)
+def part_end(sums: list[int], start: int, most_pages: int, most_bytes: int) -> int:
+    """Where a part ends that begins at ``start``: as many pages as may be, fewer as long as they are too large, one at least."""
+    n = min(most_pages, len(sums) - 1 - start)
+    while n > 1 and (size := sums[start + n] - sums[start]) > most_bytes:
+        n = shrunk(n, size, most_bytes)
+    return start + n
+
+
+def part_starts(sizes: list[int], own: int, start: int, most_pages: int, most_bytes: int) -> list[tuple[int, int]]:
+    """(start, end) of the parts from ``start`` on that begin in the first ``own`` pages; the last may end behind them."""
+    sums, out = [0, *accumulate(sizes)], []
+    while start < min(own, len(sizes)):
+        out.append((start, part_end(sums, start, most_pages, most_bytes)))
+        start = out[-1][1]
     return out
 
 
-def split_ranges(sizes: DataFrame, group: list[str], page: str, size: str, most_pages: int = 200, most_bytes: int = 100 << 20) -> DataFrame:
-    """Adds part, from 1: a document's pages, in order, in parts within limits, for documents of any length.
+def part_exits(sizes: list[int], own: int, most_pages: int, most_bytes: int) -> tuple[list[int], list[int]]:
+    """For a first part at each of ``most_pages`` places: the first place behind ``own`` pages where a part begins, counted from there, and how many begin before it."""
+    sums, known = [0, *accumulate(sizes)], {}
+    for at in range(most_pages):
+        path = []
+        while at < own and at not in known:
+            path.append(at)
+            at = part_end(sums, at, most_pages, most_bytes)
+        to, n = known[at] if at < own else (at - own, 0)
+        for k, x in enumerate(reversed(path), 1):
+            known[x] = to, n + k
+    return [known[k][0] for k in range(most_pages)], [known[k][1] for k in range(most_pages)]
+
+
+#: So many pages are walked through together, at least, and the exits of so many runs of pages put together.
+RUN, FAN = 4096, 64
+
+
+def _entries(exits: DataFrame, by: list[str]) -> DataFrame:
+    """(by, _c, _at, _before): where each run's first part begins, and how many parts are before it, from (by, _c, to, n), the ``part_exits`` of all runs.
+
+    The exits of ``FAN`` runs are put together to those of one, and so on until
+    a group has one; then the first entry, which is known, goes down again.
+    """
+    level = exits.withColumn("_up", F.floor(F.col("_c") / FAN))
+    keys = [exits.schema[c] for c in by]
+
+    def joined(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("_c")
+        at, n = np.arange(len(rows["to"].iloc[0])), 0
+        for to, counts in zip(rows["to"], rows["n"]):
+            at, n = np.asarray(to)[at], n + np.asarray(counts)[at]
+        return rows.iloc[:1][by].assign(_c=rows["_up"].iloc[0], to=[at.tolist()], n=[n.tolist()])
+
+    def entered(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("_c")
+        at, before, found = int(rows["_at"].iloc[0]), int(rows["_before"].iloc[0]), []
+        for to, counts in zip(rows["to"], rows["n"]):
+            found.append((at, before))
+            at, before = int(to[at]), before + int(counts[at])
+        return rows[[*by, "_c"]].assign(_at=[a for a, _ in found], _before=[b for _, b in found])
+
+    if level.filter("_up > 0").limit(1).count():
+        above = materialize(level.groupBy(*by, "_up").applyInPandas(joined, exits.schema), "exits")
+        level = level.join(_entries(above, by).withColumnRenamed("_c", "_up"), [*by, "_up"])
+    else:
+        level = level.withColumn("_at", F.lit(0)).withColumn("_before", F.lit(0).cast("long"))
+    return level.groupBy(*by, "_up").applyInPandas(entered, StructType([*keys, *StructType.fromDDL("_c long, _at int, _before long").fields]))
+
+
+def _parts(placed: DataFrame, group: list[str], page: str, size: str, most_pages: int, most_bytes: int) -> DataFrame:
+    """(group, part, first_page, last_page, n_pages, place) of ``numbered`` pages.
+
+    Pages are dealt once into runs, each with the first ``most_pages`` pages of
+    the next one.  A document of one run is walked through; of a longer one each
+    run says, for all places where its first part may begin, where the next
+    run's does, and these answers are put together.
+    """
+    small_batches()
+    run = max(RUN, most_pages)
+    c = F.floor(F.col("place") / run)
+    also = F.when((c > 0) & (F.col("place") % run < most_pages), F.array(c, c - 1)).otherwise(F.array(c))
+    t = placed.select(*group, F.col("n").alias("_n"), F.explode(also).alias("_c"), F.struct("place", F.col(page).alias("p"), F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("s")).alias("_x"))
+    t = t.groupBy(*group, "_n", "_c").agg(F.sort_array(F.collect_list("_x")).alias("_x"))
+    t = materialize(t.select(*group, "_n", "_c", F.transform("_x", lambda x: x["p"]).alias("_pages"), F.transform("_x", lambda x: x["s"]).alias("_sizes")), "runs")
+
+    @F.pandas_udf("struct<to:array<int>,n:array<long>>")
+    def exits(sizes: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([part_exits(x.tolist(), run, most_pages, most_bytes) for x in sizes], columns=["to", "n"])
+
+    @F.pandas_udf("array<struct<a:int,b:int>>")
+    def starts(sizes: pd.Series, at: pd.Series) -> pd.Series:
+        return pd.Series([[{"a": a, "b": b} for a, b in part_starts(x.tolist(), run, k, most_pages, most_bytes)] for x, k in zip(sizes, at)], dtype=object)
+
+    long = t.filter(F.col("_n") > run)
+    rows = t.filter(F.col("_n") <= run).withColumn("_at", F.lit(0)).withColumn("_before", F.lit(0).cast("long"))
+    if long.limit(1).count():
+        none = F.array_repeat(F.lit(0), most_pages)  # behind the last run is nothing
+        last = (F.col("_c") + 1) * run >= F.col("_n")
+        out = long.filter(~last).select(*group, "_c", exits("_sizes").alias("e")).select(*group, "_c", "e.to", "e.n")
+        out = materialize(out.unionByName(long.filter(last).select(*group, "_c", none.alias("to"), none.cast("array<long>").alias("n"))), "exits")
+        rows = rows.unionByName(long.join(_entries(out, group), [*group, "_c"]).select(*rows.columns))
+    rows = rows.select(*group, "_c", "_before", "_pages", F.posexplode(starts("_sizes", "_at")).alias("_i", "_x"))
+    return rows.select(
+        *group, (F.col("_before") + F.col("_i") + 1).cast("int").alias("part"), F.get("_pages", F.col("_x.a")).alias("first_page"), F.get("_pages", F.col("_x.b") - 1).alias("last_page"),
+        (F.col("_x.b") - F.col("_x.a")).cast("long").alias("n_pages"), (F.col("_c") * run + F.col("_x.a")).alias("place"),
+    )
+
+
+def part_ranges(sizes: DataFrame, group: list[str], page: str, size: str, most_pages: int = 200, most_bytes: int = 100 << 20) -> DataFrame:
+    """(group, part, first_page, last_page, n_pages): a document's pages, in order, in parts within limits, for documents of any length.
 
-    From where each page on a part would have to end is found in blocks of
-    ``most_pages`` pages with the block behind.  Which pages do begin a part is
-    found by doubling: the parts that are known, and those that as many parts
-    further on begin, so that the rounds are the logarithm of the parts.
     Groups and pages are not null; a null size counts 0.
     """
-    t = numbered(sizes.withColumn("_size", F.coalesce(F.col(size).cast("long"), F.lit(0))), group, [page])
-    t = materialize(t.withColumn("_g", F.xxhash64(*group)), "pages")
-    block = F.floor(F.col("place") / most_pages)
-    listed = t.groupBy("_g", block.alias("b")).agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "_size"))), lambda x: x["_size"]).alias("own"))
-    behind = listed.select("_g", (F.col("b") - 1).alias("b"), F.col("own").alias("behind"))
-
-    @F.pandas_udf("array<int>")
-    def lengths(own: pd.Series, behind: pd.Series) -> pd.Series:
-        return pd.Series([part_lengths(list(a), [] if b is None else list(b), most_pages, most_bytes) for a, b in zip(own, behind)])
-
-    ends = listed.join(behind, ["_g", "b"], "left").select("_g", "b", F.posexplode(lengths("own", "behind")).alias("i", "n"))
-    place = (F.col("b") * most_pages + F.col("i")).cast("long")
-    step = materialize(ends.select("_g", place.alias("place"), "n", (place + F.col("n")).alias("to")), "steps")
-    jump = materialize(step.join(t.select("_g", F.col("place").alias("to")), ["_g", "to"]).select("_g", "place", "to"), "jumps")
-    starts = materialize(t.filter("place = 0").select("_g", "place"), "starts")
-    while jump.limit(1).count():
-        more = starts.join(jump, ["_g", "place"]).select("_g", F.col("to").alias("place"))
-        longer = materialize(starts.unionByName(more), "starts")
-        twice = materialize(jump.alias("a").join(jump.alias("b"), F.expr("a._g = b._g and a.to = b.place")).select("a._g", "a.place", "b.to"), "jumps")
-        release(starts, jump)
-        starts, jump = longer, twice
-    parts = numbered(starts.withColumnRenamed("place", "at"), ["_g"], ["at"]).select("_g", F.col("at").alias("place"), (F.col("place") + 1).cast("int").alias("part"))
-    held = parts.join(step, ["_g", "place"]).select("_g", "part", F.explode(F.sequence("place", F.col("to") - 1)).alias("place"))
-    return t.join(held, ["_g", "place"]).select(*sizes.columns, "part")
+    return _parts(numbered(sizes.select(*group, page, size), group, [page]), group, page, size, most_pages, most_bytes).drop("place")
+
+
+def split_ranges(sizes: DataFrame, group: list[str], page: str, size: str, most_pages: int = 200, most_bytes: int = 100 << 20) -> DataFrame:
+    """Adds part, from 1, to each page: its part of ``part_ranges``."""
+    t = numbered(sizes, group, [page])
+    parts = _parts(t, group, page, size, most_pages, most_bytes)
+    held = parts.select(*group, "part", F.explode(F.sequence("place", F.col("place") + F.col("n_pages") - 1)).alias("place"))
+    return t.join(held, [*group, "place"]).select(*sizes.columns, "part")

@@ -196,6 +196,25 @@ def test_parts_like_a_loop(spark):
     assert io.split_ranges(df.limit(0), ["b"], "p", "s").count() == 0
 
 
+def test_parts_of_long_documents_in_runs(spark, monkeypatch):
+    """Documents of many runs of pages, put together over several levels, are parted as a walk from the first page does."""
+    from foliospark.sources import io
+
+    monkeypatch.setattr(io, "RUN", 10)
+    monkeypatch.setattr(io, "FAN", 3)
+    r = random.Random(8)
+    books = {f"b{k}": [r.choice([1, 5, 30, 90, None]) for _ in range(n)] for k, n in enumerate((9, 10, 11, 20, 21, 30, 400, 1003))}
+    df = spark.createDataFrame([(b, 3 * i, s) for b, own in books.items() for i, s in enumerate(own)], "b string, p int, s int").repartition(5)
+    for most_pages, most_bytes in ((10, 200), (7, 10_000), (13, 90)):
+        want = []
+        for b, own in books.items():
+            walk = io.part_starts([s or 0 for s in own], len(own), 0, most_pages, most_bytes)
+            want += [(b, k, 3 * x, 3 * (y - 1), y - x) for k, (x, y) in enumerate(walk, 1)]
+        got = io.part_ranges(df, ["b"], "p", "s", most_pages, most_bytes)
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+        assert got.columns == ["b", "part", "first_page", "last_page", "n_pages"]
+
+
 def test_fifty_thousand_blocks_on_a_page(spark):
     from foliospark.operators import layout
 
