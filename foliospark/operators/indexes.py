@@ -67,14 +67,30 @@ def base_forms(forms: DataFrame, v: Vocabulary = DEFAULT, black: tuple[str, ...]
             return step
 
 
-def form_index(postings_: DataFrame, bases: DataFrame, record: str) -> DataFrame:
-    """(base, n_records, n_forms, variants): records are counted once a base; variants by falling count, then name."""
+#: Postings that a task makes distinct.
+PART = 1 << 20
+
+
+def form_index(postings_: DataFrame, bases: DataFrame, record: str, n_postings: int | None = None) -> DataFrame:
+    """(base, n_records, n_forms, variants): records are counted once a base; variants by falling count, then name.
+
+    All forms that a record has of a base meet in one row, of which the first
+    form counts the record for the base.  Postings are dealt by base and record
+    with no map before it, ``PART`` to a task; ``n_postings`` is counted where
+    it is not known.  A null record is none.
+    """
+    n = postings_.count() if n_postings is None else n_postings
+    usual = int(postings_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(usual, -(-n // PART))
+    if parts > usual:  # so that a merge sorts no more of them at a time either
+        postings_ = postings_.repartition(parts, "term")
     p = postings_.join(bases, postings_["term"] == bases["form"]).select("base", "form", record)
-    per_form = p.groupBy("base", "form").agg(F.countDistinct(record).alias("n"))
-    variants = per_form.groupBy("base").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("k"), "form"))).alias("v"))
-    records = p.select("base", record).distinct().groupBy("base").agg(F.count("*").alias("n_records"))
+    own = p.repartition(parts, "base", record).groupBy("base", record).agg(F.collect_set("form").alias("forms"))
+    each = own.select("base", record, F.posexplode("forms").alias("_i", "form"))
+    per_form = each.groupBy("base", "form").agg(F.count(record).alias("n"), F.count(F.when(F.col("_i") == 0, F.col(record))).alias("_first"))
+    t = per_form.groupBy("base").agg(F.sum("_first").alias("n_records"), F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("k"), "form"))).alias("v"))
     listed = F.array_join(F.transform("v", lambda x: F.concat_ws(":", x["form"], (-x["k"]).cast("string"))), ",")
-    return records.join(variants, "base").select("base", "n_records", F.size("v").cast("long").alias("n_forms"), listed.alias("variants"))
+    return t.select("base", "n_records", F.size("v").cast("long").alias("n_forms"), listed.alias("variants"))
 
 
 def rule_evidence(df: DataFrame, text: Column, rules: dict[str, str], page: Column, samples: int = 5) -> DataFrame:

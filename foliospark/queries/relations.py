@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from foliospark.functions.vocabulary import Vocabulary
 from foliospark.operators import indexes, relate, review
 from foliospark.queries.registry import query
 from foliospark.sources import io
+from foliospark.sources.files import seen_by
 
 
 @query("SELECT o_orderkey, coalesce(c_name, 'nobody') AS c_name, coalesce(c_mktsegment, 'none') AS c_mktsegment FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey")
@@ -227,7 +229,9 @@ def base_forms(table):
 def form_index(table):
     d = table("documents")
     p = indexes.postings(d, "doc_id", _words(table))
-    return indexes.form_index(p, indexes.base_forms(p.select(F.col("term").alias("form")), AFFIXES), "doc_id")
+    seen = Observation()  # by the pass that takes the forms
+    bases = indexes.base_forms(p.observe(seen, F.count(F.lit(1)).alias("n")).select(F.col("term").alias("form")), AFFIXES)
+    return indexes.form_index(p, bases, "doc_id", seen_by(seen))
 
 
 @query(

@@ -128,6 +128,20 @@ def test_base_forms(spark):
     assert {r.form: r.base for r in indexes.base_forms(shuffled).collect()} == got
 
 
+def test_form_index_deals_by_size(spark, monkeypatch):
+    """Repeated and null records, and more tasks for more postings without an aggregate before they are dealt."""
+    monkeypatch.setattr(indexes, "PART", 3)
+    rows = [("ab", 1), ("ab", 1), ("a", 1), ("abb", 2), ("a", 3), ("ab", 3), ("c", 4), ("d", None), ("a", None)] * 2
+    p = spark.createDataFrame(rows, "term string, d long")
+    bases = spark.createDataFrame([("a", "a"), ("ab", "a"), ("abb", "a"), ("c", "c"), ("d", "d")], "form string, base string")
+    got = indexes.form_index(p, bases, "d")
+    assert sorted(map(tuple, got.collect())) == [("a", 3, 3, "a:2,ab:2,abb:1"), ("c", 1, 1, "c:1"), ("d", 0, 1, "d:0")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    dealt = plan[plan.rindex("hashpartitioning(base#") :] if "REPARTITION_BY_NUM" in plan else ""
+    assert "REPARTITION_BY_NUM" in plan and ", 6)" in dealt.splitlines()[0]
+    assert "Aggregate" not in dealt
+
+
 def test_linkify(spark):
     df = spark.createDataFrame([('a <b title="cat">cat</b> <a href="x">cat</a> catfish',), (None,)], "h string")
     got = [r.x for r in df.select(links.linkify(F.col("h"), {"cat": "1", "catfish": "2"}).alias("x")).collect()]
