@@ -302,6 +302,23 @@ def test_closest_by_bounds():
         assert corrections.closest(blocks, line) == ((ratios.index(best), best) if best > 0 else (-1, 0.0))
 
 
+def test_ratio_is_difflibs():
+    """Short and long lines, with popular characters or none, blocks of any length; a comparison ends early only below the least."""
+    import random
+    from difflib import SequenceMatcher
+
+    r = random.Random(5)
+    for k in range(300):
+        some = r.choice(["ab", "abcdefgh \x00", "".join(map(chr, range(0x4E00, 0x4E60))), "e" * 30 + "abcdfghij\x00\x01\ud800\U0001f600"])
+        line, block = ("".join(r.choice(some) for _ in range(r.choice([0, 1, 9, 80, 199, 200, 300, 450]))) for _ in range(2))
+        if k % 3 == 0:
+            block = block[:40] + line[20:90] + block[40:] + line[5:15]
+        want = SequenceMatcher(None, block, line).ratio()
+        assert corrections.Line(line).ratio(block) == corrections.Line(line).ratio(block, want) == want
+        assert corrections.Line(line).ratio(block, want + 0.01) in (None, want)
+    assert corrections.Line("ab" * 50).ratio("x" * 10, 0.9) is None
+
+
 def test_entities_in_tables(spark):
     b = "block_type string, text string, bbox array<double>, index int"
     rows = [([("table", "a &eacute;&nbsp;b", [1.0], 2), ("table", "&nbsp;", None, None), ("text", "&amp;", None, 1)],), ([("text", "&lt;", None, None)],), (None,)]
