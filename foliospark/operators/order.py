@@ -96,6 +96,20 @@ def sessions(df: DataFrame, by: list[str], order: list, opens: Column, closes: C
     return t.withColumn("session", F.when(F.coalesce(state, F.lit(False)), F.col("_n")).otherwise(F.lit(0)).cast("long")).drop("_n")
 
 
+#: Rows of which a task makes something, at most.
+ROWS = 1 << 14
+
+
+def dealt(df: DataFrame, by: list[str], per: int | None = None) -> DataFrame:
+    """A written table by key over tasks, about ``per`` rows to one: for work that goes with the rows and not with their bytes.
+
+    Files are cut into tasks by bytes, and what is shuffled is put together by
+    bytes too, so a million short rows could be one task.  The table is counted.
+    """
+    n, usual = df.count(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(1, -(-n // (per or ROWS)), min(usual, -(-n // 1000))), *by)
+
+
 def numbered(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     """``df``, written, with ``place`` from 0 in its group by ``order``, nulls first, and the group's size ``n``.
 

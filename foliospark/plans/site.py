@@ -5,7 +5,8 @@ site or the new one and files of records that are no more go with the old
 folder.  Counters are observed by the writes themselves; only what goes is
 counted by names, from a listing.  No page is as long as an index: lists are cut
 into files of ``per_page`` lines that link to each other, and search data into
-files of ``per_data`` entries.
+files of ``per_data`` entries.  Pages are dealt over tasks by their number, since
+a record is a file and few bytes.
 
 Empty tables give a site without records; records without pages or category are
 in none; a record's null lists are empty; names of records must be unique.
@@ -74,11 +75,11 @@ def written_forms(records: DataFrame, v: Vocabulary = DEFAULT, not_items: tuple[
 
 
 def _marked(rows: DataFrame, sections: tuple[str, ...], done: DataFrame, kind: int, forms: DataFrame) -> DataFrame:
-    """``rows`` with ``html``, the marked and linked lines of each section, and ``numbers``, its notes."""
+    """``rows``, written and dealt, with ``html``, the marked and linked lines of each section, and ``numbers``, its notes."""
     none = F.array().cast("array<string>")
     plain = F.array(*(F.transform(F.filter(F.coalesce(c, none), lambda x: F.trim(x) != ""), T.escape_html) for c in sections))
     own = done.filter(F.col("kind") == kind).select("book_id", "slug", F.col("html").alias("_html"), "numbers")
-    t = rows.join(own, ["book_id", "slug"], "left").withColumn("html", F.coalesce("_html", plain)).drop("_html")
+    t = order.dealt(rows, ["book_id", "slug"]).join(own, ["book_id", "slug"], "left").withColumn("html", F.coalesce("_html", plain)).drop("_html")
     t = t.withColumn("numbers", F.coalesce("numbers", F.array().cast("array<long>")))
     t = t.withColumn("_sizes", F.transform("html", F.size)).withColumn("_flat", F.flatten("html"))
     t = links.link_table(t, "_flat", forms)
@@ -120,7 +121,8 @@ def build_site(
     # what belongs where
     first = records.select("book_id", "slug", F.array_min("local_pages").alias("local_page"))
     category = relate.asof(first, anchors.filter(F.trim("category") != ""), ["book_id"], "local_page", "category", NO_CATEGORY)
-    r = materialize(records.join(category.select("book_id", "slug", "category"), ["book_id", "slug"]), "records")
+    r = records.join(category.select("book_id", "slug", "category"), ["book_id", "slug"])
+    r = materialize(r.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "book_id", "slug"), "records")
     on = ["book_id", "local_page"]
     plan, skipped = relate.article_plan(articles, fallbacks, on)
     name = lambda book, page: F.format_string("%s-p%04d", book, page)

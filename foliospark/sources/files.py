@@ -2,7 +2,9 @@
 
 ``df.write.format("text_files").mode(...).save(folder)`` of (name, body).  Tasks
 write below a staging folder beside the target, each file aside and then by one
-rename, so an attempt that runs again harms nothing.  The driver's commit, when
+rename, so an attempt that runs again harms nothing.  Aside is a folder of the
+attempt's own, because all that make files in one folder wait for each other; it
+goes when the attempt ends.  The driver's commit, when
 all tasks have ended, makes the files visible; a failed job deletes the staging
 folder and leaves the target as it was.  (A task that still runs when its job has
 failed may write into the staging folder again; nothing reads it.)
@@ -44,21 +46,26 @@ class FilesWriter(DataSourceArrowWriter):
 
     def write(self, iterator):
         store, _, staged = self._open()
+        own = f"{staged}/.{uuid.uuid4().hex}"
         n, made = 0, set()
-        for batch in iterator:
-            for name, body in zip(batch.column("name").to_pylist(), batch.column("body").to_pylist()):
-                if not name:
-                    raise ValueError("a file has no name")
-                target = f"{staged}/{name}"
-                parent, _, last = target.rpartition("/")
-                if parent not in made:
-                    store.create_dir(parent, recursive=True)
-                    made.add(parent)
-                aside = f"{parent}/.{uuid.uuid4().hex}-{last[-60:]}"
-                with store.open_output_stream(aside) as out:
-                    out.write(((body or "") + "\n").encode())
-                store.move(aside, target)
-                n += 1
+        try:
+            for batch in iterator:
+                for name, body in zip(batch.column("name").to_pylist(), batch.column("body").to_pylist()):
+                    if not name:
+                        raise ValueError("a file has no name")
+                    target = f"{staged}/{name}"
+                    for folder in (own, target.rpartition("/")[0]):
+                        if folder not in made:
+                            store.create_dir(folder, recursive=True)
+                            made.add(folder)
+                    aside = f"{own}/.{n}"
+                    with store.open_output_stream(aside) as out:
+                        out.write(((body or "") + "\n").encode())
+                    store.move(aside, target)
+                    n += 1
+        finally:
+            if own in made:
+                store.delete_dir(own)
         return Written(n)
 
     def commit(self, messages):

@@ -1,13 +1,17 @@
 """What larger tables showed: plans and values that small ones do not."""
 
+import os
 import tempfile
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from foliospark.functions import grammar
-from foliospark.operators import links, relate
+from foliospark.operators import links, order, relate
 from foliospark.operators.postings import TrigramIndex, distinct_codes
 from foliospark.queries import QUERIES
+from foliospark.sources import files
 
 
 def test_aliases_send_no_side_to_all_executors(spark):
@@ -86,3 +90,61 @@ def test_postings_are_lists(spark, tmp_path):
     assert held == {(s[i : i + 3], b, u) for b, u, s in rows for i in range(len(s or "") - 2)}
     assert len(held) == sum(len(x.us) for x in kept) and 10 * len(kept) < len(held)
     assert distinct_codes("abcabd" * 5, 4).tolist() == distinct_codes("abcabd" * 5).tolist()
+
+
+def test_pages_are_dealt_by_their_number(spark, tmp_path):
+    """Rows of one small file: marks, links and writes are many tasks' work."""
+    from foliospark.plans.site import _marked
+
+    spark.range(8000).select(F.lit("b").alias("book_id"), F.concat(F.lit("s"), "id").alias("slug"), F.array(F.lit("盐"), F.lit(" ")).alias("steps")).coalesce(1).write.parquet(f"{tmp_path}/rows")
+    done = spark.createDataFrame([("b", "s7", [["盐<sup>1</sup>"]], [5], 0)], "book_id string, slug string, html array<array<string>>, numbers array<long>, kind int")
+    forms = spark.createDataFrame([("盐", "<a>盐</a>")], "form string, link string")
+    t = _marked(spark.read.parquet(f"{tmp_path}/rows"), ("steps",), done, 0, forms)
+    sizes = [x["count"] for x in t.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 3000 and sum(sizes) == 8000
+    assert t.filter("html != array(array('<a>盐</a>'))").select("slug", "html", "numbers").collect() == [("s7", [["<a>盐</a><sup>1</sup>"]], [5])]
+
+
+def test_rows_are_dealt_by_their_number(spark):
+    df = spark.range(5000)
+    tasks = lambda *a: order.dealt(df, ["id"], *a).rdd.getNumPartitions()
+    assert (tasks(), tasks(500), order.dealt(df.limit(0), ["id"]).rdd.getNumPartitions()) == (4, 10, 1)
+
+
+def test_files_are_made_aside_in_a_folder_of_the_attempt(tmp_path):
+    opened, moved = [], []
+
+    class Store:
+        def __init__(self, store):
+            self.store = store
+
+        def __getattr__(self, name):
+            return getattr(self.store, name)
+
+        def open_output_stream(self, path):
+            opened.append(path)
+            return self.store.open_output_stream(path)
+
+        def move(self, a, b):
+            moved.append((a, b))
+            if b.endswith("bad"):
+                raise OSError("no")
+            self.store.move(a, b)
+
+    class Writer(files.FilesWriter):
+        def _open(self):
+            store, *rest = super()._open()
+            return Store(store), *rest
+
+    w = Writer(f"file://{tmp_path}/out", True)
+    batch = lambda *names: iter([pa.record_batch({"name": list(names), "body": [None] * len(names)})])
+    staged = w._open()[2]
+    with pytest.raises(OSError):
+        w.write(batch("a", "bad"))
+    assert os.listdir(staged) == ["a"]  # an attempt that fails leaves nothing aside
+    assert [w.write(batch("a", "d/b")).n, w.write(batch("c")).n, w.write(iter([])).n] == [2, 1, 0]
+    asides = [os.path.dirname(x) for x in opened]
+    assert len(opened) == 5 and len(set(asides)) == 3 and not set(asides) & {os.path.dirname(b) for _, b in moved}
+    w.commit([])
+    assert sorted(os.path.relpath(f"{d}/{x}", f"{tmp_path}/out") for d, _, names in os.walk(f"{tmp_path}/out") for x in names) == ["a", "c", "d/b"]
+    assert sorted(os.listdir(tmp_path)) == ["out"] and sorted(os.listdir(f"{tmp_path}/out")) == ["a", "c", "d"]
