@@ -198,10 +198,10 @@ def article_plan(articles: DataFrame, pages: DataFrame, on: list[str]) -> tuple[
 
     ``articles`` has the keys, ``article`` and ``ord``.
     """
-    j = articles.join(pages, on)
+    j = articles.join(pages.hint("merge"), on)
     w = Window.partitionBy("article").orderBy("ord")
     page = F.struct(*on)
     plan = j.select(
         "*", F.row_number().over(w).alias("place"), F.count("*").over(Window.partitionBy("article")).alias("total"), F.lag(page).over(w).alias("prev"), F.lead(page).over(w).alias("next")
     )
-    return plan, pages.join(articles.select(*on), on, "left_anti")
+    return plan, pages.join(articles.select(*on).hint("merge"), on, "left_anti")

@@ -59,7 +59,8 @@ def annotated(records: DataFrame, notes: DataFrame, sections: tuple[str, ...] =
 
     What a record takes hangs on what those before it have taken, so all records
     with candidates are asked again until nothing changes: as many rounds as the
-    longest chain of records that share notes, and one.
+    longest chain of records that share notes, and one.  Joins are by merge: a
+    small file of records that compress well is no small table.
     ``records``: book_id, slug, local_pages and the sections; ``notes`` as ``sources.io.annotations`` gives them.
     """
     nth = F.row_number().over(Window.partitionBy(*notes.columns).orderBy(F.lit(1)))
@@ -70,20 +71,20 @@ def annotated(records: DataFrame, notes: DataFrame, sections: tuple[str, ...] =
         r = r.unionByName(then.select(F.lit(1).alias("kind"), "slug", "book_id", "local_pages", lines(then_sections).alias("rows")))
     on = ["kind", "slug", "book_id"]
     by_page = r.select(*on, "rows", F.explode(F.array_distinct("local_pages")).alias("local_page"))
-    own = n.filter("slug is null").drop("slug").join(by_page, ["book_id", "local_page"]).select("note_id", "_a", *on, "rows")
-    named = n.filter("slug is not null").drop("book_id").join(r, "slug").select("note_id", "_a", *on, "rows")
+    own = n.filter("slug is null").drop("slug").join(by_page.hint("merge"), ["book_id", "local_page"]).select("note_id", "_a", *on, "rows")
+    named = n.filter("slug is not null").drop("book_id").join(r.hint("merge"), "slug").select("note_id", "_a", *on, "rows")
     held = F.exists(F.flatten("rows"), lambda x: x.contains(F.col("_a")))
     pairs = materialize(own.unionByName(named).filter(held).select("note_id", "_a", *on).distinct(), "candidates")
-    rows = materialize(r.join(pairs.select(*on).distinct(), on), "asked")
+    rows = materialize(r.join(pairs.select(*on).distinct().hint("merge"), on), "asked")
     place = F.struct(*on)
     taken, before = None, None
     while True:
         left = pairs
         if taken is not None:  # a note that an earlier record has is no candidate of later ones
             first = taken.groupBy("note_id").agg(F.min("at").alias("first"))
-            left = pairs.join(first, "note_id", "left").filter(F.col("first").isNull() | (place <= F.col("first"))).drop("first")
+            left = pairs.join(first.hint("merge"), "note_id", "left").filter(F.col("first").isNull() | (place <= F.col("first"))).drop("first")
         per = left.groupBy(*on).agg(F.sort_array(F.collect_list(F.struct("note_id", "_a"))).alias("own"))
-        asked = rows.join(per, on).withColumn("x", annotate(F.col("rows"), F.transform("own", lambda o: o["_a"])))
+        asked = rows.join(per.hint("merge"), on).withColumn("x", annotate(F.col("rows"), F.transform("own", lambda o: o["_a"])))
         asked = materialize(asked.select(*on, F.col("x.rows").alias("html"), F.transform("x.matched", lambda k: F.get("own", k)["note_id"]).alias("numbers")), "annotated")
         now = asked.select(F.explode("numbers").alias("note_id"), place.alias("at"))
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("note_id", "at.kind", "at.slug", "at.book_id").cast("decimal(38,0)"))).first()
@@ -94,7 +95,7 @@ def annotated(records: DataFrame, notes: DataFrame, sections: tuple[str, ...] =
         taken, last, before = now, asked, seen
     release(pairs, rows)
     done = asked.filter(F.size("numbers") > 0).select("book_id", "slug", "html", "numbers", "kind")
-    return (done if then is not None else done.drop("kind")), n.join(now.select("note_id").distinct(), "note_id", "left_anti").drop("note_id", "_a")
+    return (done if then is not None else done.drop("kind")), n.join(now.select("note_id").distinct().hint("merge"), "note_id", "left_anti").drop("note_id", "_a")
 
 
 # --- index pages --------------------------------------------------------------------

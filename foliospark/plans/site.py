@@ -79,7 +79,7 @@ def _marked(rows: DataFrame, sections: tuple[str, ...], done: DataFrame, kind: i
     none = F.array().cast("array<string>")
     plain = F.array(*(F.transform(F.filter(F.coalesce(c, none), lambda x: F.trim(x) != ""), T.escape_html) for c in sections))
     own = done.filter(F.col("kind") == kind).select("book_id", "slug", F.col("html").alias("_html"), "numbers")
-    t = order.dealt(rows, ["book_id", "slug"]).join(own, ["book_id", "slug"], "left").withColumn("html", F.coalesce("_html", plain)).drop("_html")
+    t = order.dealt(rows, ["book_id", "slug"]).join(own.hint("merge"), ["book_id", "slug"], "left").withColumn("html", F.coalesce("_html", plain)).drop("_html")
     t = t.withColumn("numbers", F.coalesce("numbers", F.array().cast("array<long>")))
     t = t.withColumn("_sizes", F.transform("html", F.size)).withColumn("_flat", F.flatten("html"))
     t = links.link_table(t, "_flat", forms)
@@ -121,7 +121,7 @@ def build_site(
     # what belongs where
     first = records.select("book_id", "slug", F.array_min("local_pages").alias("local_page"))
     category = relate.asof(first, anchors.filter(F.trim("category") != ""), ["book_id"], "local_page", "category", NO_CATEGORY)
-    r = records.join(category.select("book_id", "slug", "category"), ["book_id", "slug"])
+    r = records.join(category.select("book_id", "slug", "category").hint("merge"), ["book_id", "slug"])
     r = materialize(r.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "book_id", "slug"), "records")
     on = ["book_id", "local_page"]
     plan, skipped = relate.article_plan(articles, fallbacks, on)

@@ -258,7 +258,7 @@ def write_yaml(df: DataFrame, path: str) -> None:
 
 
 def stale_files(existing: DataFrame, expected: DataFrame, name: str = "file_name") -> DataFrame:
-    return existing.join(expected.select(name), name, "left_anti")
+    return existing.join(expected.select(name).hint("merge"), name, "left_anti")
 
 
 def prune(spark: SparkSession, folder: str, expected: DataFrame, glob: str = "*.md", name: str = "file_name") -> int:

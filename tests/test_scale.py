@@ -148,3 +148,23 @@ def test_files_are_made_aside_in_a_folder_of_the_attempt(tmp_path):
     w.commit([])
     assert sorted(os.path.relpath(f"{d}/{x}", f"{tmp_path}/out") for d, _, names in os.walk(f"{tmp_path}/out") for x in names) == ["a", "c", "d/b"]
     assert sorted(os.listdir(tmp_path)) == ["out"] and sorted(os.listdir(f"{tmp_path}/out")) == ["a", "c", "d"]
+
+
+def test_site_sends_no_records_to_all_executors(spark, tmp_path, monkeypatch):
+    from foliospark.operators import site
+    from foliospark.plans.site import _marked
+
+    plans = []
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    kept = site.materialize
+    monkeypatch.setattr(site, "materialize", lambda df, label: (plans.append(plan(df)), kept(df, label))[1])
+    own = spark.createDataFrame([("b", "s1", [1], ["a b"]), ("b", "s2", [1], ["b c"])], "book_id string, slug string, local_pages array<int>, steps array<string>")
+    own.write.parquet(f"{tmp_path}/r")
+    r = spark.read.parquet(f"{tmp_path}/r")
+    notes = spark.createDataFrame([("b", 1, "a", "x", None), ("b", 1, "c", "y", "s2")], "book_id string, local_page int, anchor string, note string, slug string")
+    done, left = site.annotated(r, notes, ("steps",), then=r.withColumn("slug", F.concat(F.lit("x"), "slug")), then_sections=("steps",))
+    marked = _marked(r, ("steps",), done, 0, spark.createDataFrame([("b", "<a>b</a>")], "form string, link string"))
+    pages = r.select("slug", "steps")
+    plans += [plan(left), plan(marked), *map(plan, relate.article_plan(r.select("slug", F.col("book_id").alias("article"), F.lit(1).alias("ord")), pages, ["slug"]))]
+    assert len(plans) > 6 and not [p for p in plans if "Broadcast" in p]
+    assert left.count() == 0 and sorted(len(x.numbers) for x in marked.collect()) == [1, 1]
